@@ -343,7 +343,8 @@ def within_days_rate(events: DataFrame, target_events: Sequence[str], days: int,
                          *[C.FunnelStep(i + 1, e, e) for i, e in enumerate(target_events)]),
                         after_invite=True, window_days=days)
     st = step_times(events, spec)
-    hit = F.greatest(*[F.col(f"step_{i + 1}_at").isNotNull().cast("int") for i in range(len(target_events))])
+    hits = [F.col(f"step_{i + 1}_at").isNotNull().cast("int") for i in range(len(target_events))]
+    hit = F.greatest(*hits) if len(hits) > 1 else hits[0]
     return st.agg(F.count(F.lit(1)).alias("invited"), F.sum(hit).cast("long").alias("converted")) \
              .select(F.lit(label).alias("metric"), "invited", "converted",
                      pct("converted", "invited", 1).alias("rate_pct"))

@@ -59,7 +59,7 @@ def reconcile(raw: DataFrame, bi: DataFrame, grain: Sequence[str] = ("event_name
     if th.two_band:
         status = (F.when((rd == 0) & (bd > 0), "FAIL — Orphan rows in transformed layer")
                    .when((bd == 0) & (rd > 0), "FAIL — Events missing from transformed layer")
-                   .when(ratio > th.warn_pct, "WARN — Variance exceeds threshold")
+                   .when(ratio > th.warn_pct, f"WARN — Variance exceeds {th.warn_pct}% threshold")
                    .otherwise("PASS"))
     else:
         status = (F.when((rd == 0) & (bd > 0), "ORPHAN")
