@@ -48,17 +48,28 @@ def with_position(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence
                 .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
     ranged = ranged.checkpoint(eager=True)
 
-    # One row per (partition, group) present: at most partitions + groups rows.
+    if not group_cols:
+        # One count per partition (≤ n rows, independent of the data size):
+        # running offsets are computed on the driver and broadcast back.
+        counts = dict(ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+        rows, acc = [], 0
+        for pid in sorted(counts):
+            rows.append((pid, acc))
+            acc += counts[pid]
+        offsets = F.broadcast(spark.createDataFrame(rows or [(0, 0)], "_pid int, _offset long"))
+        out = ranged.join(offsets, "_pid").withColumn(pos_col, F.col("_offset") + F.col("_local"))
+        if size_col:
+            out = out.withColumn(size_col, F.lit(acc).cast("long"))
+        return out.drop("_pid", "_local", "_offset", *(["_tb"] if tiebreak is None else []))
+
+    # One row per (partition, group) present: at most partitions + groups rows;
+    # the offset window is partitioned by group.
     stats = ranged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_cnt"),
                                                    F.min("_local").alias("_first"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
+    w = Window.partitionBy(*group_cols).orderBy("_pid")
     stats = stats.withColumn("_offset", F.sum("_cnt").over(w) - F.col("_cnt"))
     if size_col:
-        stats = stats.withColumn(size_col, F.sum("_cnt").over(
-            Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))))
-    if not group_cols:
-        # bounded by the partition count → safe to broadcast
-        stats = F.broadcast(stats)
+        stats = stats.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
     out = (ranged.join(stats, ["_pid", *group_cols])
                  .withColumn(pos_col, F.col("_offset") + F.col("_local") - F.col("_first"))
                  .drop("_pid", "_local", "_cnt", "_first", "_offset", *(["_tb"] if tiebreak is None else [])))

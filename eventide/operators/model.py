@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -23,16 +23,17 @@ def dedupe_events(raw: DataFrame, key: str = "event_id",
                   order: Sequence[str] = ("collector_tstamp",)) -> DataFrame:
     """Keep, per event_id, the copy with the earliest ``collector_tstamp``.
 
-    Written as a group-by with ``min(struct(order…, payload…))`` rather than a
-    ``row_number`` window: the min is combined map-side, so an event_id that
-    was replayed millions of times leaves one row per task before the shuffle.
-    Remaining columns break ties, so the pick is deterministic.
+    ``row_number() = 1`` lets Catalyst plan a partial WindowGroupLimit before
+    the shuffle: every map task forwards at most one row per event_id, so an
+    id replayed millions of times costs one row per task, not one hot task.
+    Ties on the collector time are broken by event time, name and a hash of
+    the payload, so the pick is deterministic.
     """
     payload = [c for c in raw.columns if c != key and c not in order]
-    best = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])).alias("_best")
-    return (raw.groupBy(key).agg(best)
-               .select(F.col(key), *[F.col(f"_best.{c}").alias(c) for c in (*order, *payload)])
-               .select(*raw.columns))
+    tie = [c for c in ("event_timestamp", "event_name") if c in payload]
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order], *[F.col(c) for c in tie],
+                                        F.xxhash64(*[F.col(c) for c in payload]))
+    return raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 # --------------------------------------------------------------------- M-4

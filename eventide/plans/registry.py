@@ -24,8 +24,11 @@ PART_RANGE = C.Window("2024-01-08", "2024-01-22")      # a two-week slice (templ
 class Ctx:
     """Lazily built inputs of one query run (all derived from the parquet)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict | None = None):
         self.spark, self.sf = spark, sf_dir
+        # pre-built tables (e.g. the stored raw and fact tables of a pipeline run)
+        for k, v in (tables or {}).items():
+            self.__dict__[k] = v
 
     @cached_property
     def raw_n(self) -> DataFrame:
@@ -57,6 +60,11 @@ class Ctx:
     def users(self) -> DataFrame:
         return X.dim_users(self.spark, self.sf)
 
+    @cached_property
+    def users_nokey(self) -> DataFrame:
+        """dim_users without the surrogate key (no numbering pass)."""
+        return X.dim_users(self.spark, self.sf, with_key=False)
+
     @cached_property
     def tenants(self) -> DataFrame:
         return X.dim_tenants(self.spark, self.sf)
@@ -67,8 +75,8 @@ class Ctx:
 
 
 def q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Ctx(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str, tables: dict | None = None) -> DataFrame:
+        return fn(Ctx(spark, sf_dir, tables))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -109,7 +117,7 @@ def _m7(c: Ctx):
 
 @register("m9_scd2_as_of")
 def _m9(c: Ctx):
-    return M.scd2_as_of(c.fact.select("event_id", "user_id", "event_timestamp"), c.users, "user_id",
+    return M.scd2_as_of(c.fact.select("event_id", "user_id", "event_timestamp"), c.users_nokey, "user_id",
                         attrs=["role"]).select("event_id", "user_id", "role")
 
 
@@ -167,7 +175,7 @@ def _f4(c: Ctx):
 
 @register("f5_segment_by_role")
 def _f5(c: Ctx):
-    return FN.segment_by_role(c.raw, c.users)
+    return FN.segment_by_role(c.raw, c.users_nokey)
 
 
 @register("f6_weekly_cohort")
@@ -187,7 +195,7 @@ def _f8(c: Ctx):
 
 @register("f10_segment_funnel")
 def _f10(c: Ctx):
-    return FN.segment_funnel(c.raw, c.users, c.tenants)
+    return FN.segment_funnel(c.raw, c.users_nokey, c.tenants)
 
 
 @register("f11_benchmark_compare")
@@ -197,7 +205,7 @@ def _f11(c: Ctx):
 
 @register("f12_role_severity")
 def _f12(c: Ctx):
-    return FN.role_severity(FN.segment_by_role(c.raw, c.users))
+    return FN.role_severity(FN.segment_by_role(c.raw, c.users_nokey))
 
 
 @register("f13_top_dropoffs")
@@ -343,7 +351,7 @@ def _q16(c: Ctx):
 @register("q17_relationships")
 def _q17(c: Ctx):
     return (Q.relationships(c.fact, c.tenants, "tenant_id", "fct.tenant_id→dim_tenants")
-            .unionByName(Q.relationships(c.fact, c.users, "user_id", "fct.user_id→dim_users")))
+            .unionByName(Q.relationships(c.fact, c.users_nokey, "user_id", "fct.user_id→dim_users")))
 
 
 @register("q18_timestamp_order")
@@ -399,7 +407,7 @@ def _q31(c: Ctx):
 # ------------------------------------------------------------------ reports
 @register("r1_executive_summary")
 def _r1(c: Ctx):
-    return R.executive_summary(c.raw, c.fact, c.tenants, c.users)
+    return R.executive_summary(c.raw, c.fact, c.tenants, c.users_nokey)
 
 
 @register("r2_event_volume")

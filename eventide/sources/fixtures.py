@@ -154,6 +154,9 @@ def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
         ts.alias("event_timestamp"),
         shift.alias("_shift"),
         empty_user.alias("_empty"),
+        # one scan: duplicated ids get a second copy, collector time + 30 min
+        F.explode(F.when((n % F.lit(MOD_DUPLICATE) == 0) & F.lit(with_duplicates), F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("_copy"),
     )
     out = base.select(
         "n", "event_id", "event_name",
@@ -165,18 +168,14 @@ def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
             F.concat(F.lit("sess_"), _s(F.col("_u")), F.lit("_"),
                      _s(F.to_date("event_timestamp")))).alias("session_id"),
         F.col("event_timestamp"),
-        F.timestamp_add("SECOND", F.col("_shift"), F.col("event_timestamp")).alias("collector_tstamp"),
+        F.timestamp_add("SECOND", F.col("_shift") + F.col("_copy") * F.lit(1800),
+                        F.col("event_timestamp")).alias("collector_tstamp"),
         F.when(F.col("n") % F.lit(MOD_NO_VERSION) == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("17."), _s(F.col("_u") % F.lit(4)))).alias("platform_version"),
         F.when(F.col("n") % F.lit(2) == 0, F.lit("client")).otherwise(F.lit("server")).alias("event_source"),
         properties_expr(F.col("event_name"), F.col("n"), F.col("_k"), F.col("_u")).alias("properties"),
         F.lit(SDK_VERSION).alias("sdk_version"),
     )
-    if with_duplicates:
-        dups = (out.where(F.col("n") % F.lit(MOD_DUPLICATE) == 0)
-                   .withColumn("collector_tstamp",
-                               F.timestamp_add("SECOND", F.lit(1800), F.col("collector_tstamp"))))
-        out = out.unionByName(dups)
     cols = (["n"] if keep_n else []) + RAW_COLUMNS
     return out.select(*cols)
 
