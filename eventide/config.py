@@ -145,8 +145,17 @@ PIPELINE_STATUSES = ["success", "failed", "canceled"]
 EVENT_SOURCES = ["client", "server"]
 ONBOARDING_STATUSES = ["not_started", "in_progress", "abandoned", "completed"]
 DEVICE_TYPES = ["desktop", "mobile", "tablet", "api"]
-NAME_DOMAINS = ["user", "onboarding", "project", "pipeline", "mr", "security",
-                "tenant", "admin", "sso", "instance", "nav"]
+# Event-name pattern dedicated_{domain}_{object}_{action}: allowed domains.
+NAME_DOMAINS = ["user", "onboarding", "project", "pipeline", "mr", "security", "admin", "nav",
+                "billing", "support", "instance"]
+NAME_PREFIX = "dedicated_"
+MAX_NAME_LENGTH = 60
+MAX_PROPERTIES = 15
+# Required base fields of every event payload (the raw table's columns).
+REQUIRED_FIELDS = ["event_id", "event_name", "tenant_id", "user_id", "event_timestamp",
+                   "platform_version", "session_id", "event_source"]
+# Irregular past-tense actions accepted besides the regular "-ed" form.
+IRREGULAR_PAST = ["sent", "built", "run", "begun", "done", "made", "set", "shown", "taken", "written"]
 
 # Duplicate-cause bands (seconds between first and last copy).
 RETRY_MAX_SECONDS = 2

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import funnel as FN
+from ..operators import governance as G
 from ..operators import model as M
 from ..operators import quality as Q
 from ..operators import reports as R
+from ..session import scratch_path
 from ..sources import fixtures as X
+from ..streaming import stream as ST
 
 AS_OF = "2024-02-01 00:00:00"
 FULL_RANGE = C.Window("2024-01-01", "2024-02-01")      # every event of the month
@@ -56,6 +59,17 @@ class Ctx:
         orphan = f.where(n == 0).withColumn("event_name", F.lit("dedicated_orphan_event"))
         return kept.unionByName(orphan).drop("n")
 
+    @cached_property
+    def landing(self) -> str:
+        """Raw events landed as files by arrival date (stream source)."""
+        import uuid
+        self.run_dir = scratch_path(self.spark, f"stream-{uuid.uuid4().hex}")
+        ST.land_files(self.raw_n, f"{self.run_dir}/landing")
+        return f"{self.run_dir}/landing"
+
+    def stream(self):
+        return ST.read_landing(self.spark, self.landing, files_per_trigger=4)
+
     @cached_property
     def users(self) -> DataFrame:
         return X.dim_users(self.spark, self.sf)
@@ -438,3 +452,139 @@ def _r6(c: Ctx):
 @register("r7_cohort_trend")
 def _r7(c: Ctx):
     return R.cohort_trend(FN.weekly_cohort(c.raw))
+
+
+# ------------------------------------------------------------------ streaming
+FACT_COLS = ["event_id", "event_name", "tenant_id", "user_id", "session_id", "event_timestamp",
+             "platform_version", "event_source", "properties"]
+
+
+@register("st1_stream_dedupe")
+def _st1(c: Ctx):
+    src = c.stream()
+    out = f"{c.run_dir}/st1"
+    ST.run_available(ST.dedupe_stream(src).writeStream.format("parquet").option("path", out)
+                     .outputMode("append"), f"{c.run_dir}/st1_ckpt")
+    return c.spark.read.parquet(out).select(*FACT_COLS)
+
+
+@register("st2_hourly_counts")
+def _st2(c: Ctx):
+    src = c.stream()
+    out, keys = f"{c.run_dir}/st2", ["window_start", "window_end", "event_name"]
+    ST.run_available(ST.hourly_counts(src, delay="24 hours").writeStream.outputMode("update")
+                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st2_ckpt")
+    return ST.latest(c.spark, out, keys)
+
+
+@register("st3_late_routing")
+def _st3(c: Ctx):
+    src = c.stream()
+    on_time, late = f"{c.run_dir}/st3_on_time", f"{c.run_dir}/st3_late"
+    ST.run_available(src.writeStream.foreachBatch(ST.route_late(on_time, late)), f"{c.run_dir}/st3_ckpt")
+    return c.spark.read.parquet(late).select("event_id", "event_name", "event_timestamp", "collector_tstamp")
+
+
+@register("st4_debounce")
+def _st4(c: Ctx):
+    src = c.stream()
+    out = f"{c.run_dir}/st4"
+    ST.run_available(ST.debounce_stream(src).writeStream.format("parquet").option("path", out)
+                     .outputMode("append"), f"{c.run_dir}/st4_ckpt")
+    return c.spark.read.parquet(out)
+
+
+@register("st4_debounce_batch")
+def _st4b(c: Ctx):
+    return ST.debounce_batch(c.raw)
+
+
+@register("st5_sessions")
+def _st5(c: Ctx):
+    src = c.stream()
+    out, keys = f"{c.run_dir}/st5", ["session_id", "user_id", "tenant_id"]
+    ST.run_available(ST.session_stream(src).writeStream.outputMode("update")
+                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st5_ckpt")
+    return ST.latest(c.spark, out, keys)
+
+
+OPT_OUT_TENANTS = ["tenant_5"]
+
+
+@register("st6_opt_out")
+def _st6(c: Ctx):
+    src = c.stream()
+    out = f"{c.run_dir}/st6"
+    opt = c.spark.createDataFrame([(t,) for t in OPT_OUT_TENANTS], "tenant_id string")
+    ST.run_available(ST.suppress_opted_out(src, F.broadcast(opt)).writeStream.format("parquet")
+                     .option("path", out).outputMode("append"), f"{c.run_dir}/st6_ckpt")
+    return c.spark.read.parquet(out).select(*FACT_COLS, "collector_tstamp")
+
+
+# ------------------------------------------------------------------ governance
+DEPRECATIONS = {"dedicated_nav_section_clicked": "2023-09-01", "dedicated_mr_created": "2024-01-01"}
+ERASED_TENANTS = ["tenant_6"]
+STORAGE_REGION = "us-east-1"
+
+
+@register("g1_name_lint")
+def _g1(c: Ctx):
+    return G.name_lint(c.raw)
+
+
+@register("g2_required_properties")
+def _g2(c: Ctx):
+    return G.required_properties(c.raw)
+
+
+@register("g3_property_count")
+def _g3(c: Ctx):
+    return G.property_count(c.raw)
+
+
+@register("g4_pii_scan")
+def _g4(c: Ctx):
+    return G.pii_scan(c.raw)
+
+
+@register("g5_property_naming")
+def _g5(c: Ctx):
+    return G.property_naming(c.raw)
+
+
+@register("g6_property_types")
+def _g6(c: Ctx):
+    return G.property_types(c.raw)
+
+
+@register("g7_category_check")
+def _g7(c: Ctx):
+    return G.category_check(c.raw, c.catalog)
+
+
+@register("g8_opt_out_violations")
+def _g8(c: Ctx):
+    opt = c.spark.createDataFrame([(t,) for t in OPT_OUT_TENANTS], "tenant_id string")
+    return G.opt_out_violations(c.raw, F.broadcast(opt))
+
+
+@register("g9_erasure")
+def _g9(c: Ctx):
+    gone = c.spark.createDataFrame([(t,) for t in ERASED_TENANTS], "tenant_id string")
+    return G.erase_tenants(c.fact, F.broadcast(gone)).groupBy("tenant_id", "event_date") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("g10_residency")
+def _g10(c: Ctx):
+    return G.residency(c.fact, c.tenants, STORAGE_REGION)
+
+
+@register("g11_deprecated_firing")
+def _g11(c: Ctx):
+    return G.deprecated_firing(c.raw, DEPRECATIONS)
+
+
+@register("g12_plan_coverage")
+def _g12(c: Ctx):
+    return G.plan_coverage(c.raw, c.catalog)
