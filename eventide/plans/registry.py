@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import funnel as FN
+from ..operators import docs as D
 from ..operators import governance as G
 from ..operators import model as M
 from ..operators import quality as Q
@@ -588,3 +589,36 @@ def _g11(c: Ctx):
 @register("g12_plan_coverage")
 def _g12(c: Ctx):
     return G.plan_coverage(c.raw, c.catalog)
+
+
+# ------------------------------------------------------------------ documents
+@register("d1_page_text")
+def _d1a(c: Ctx):
+    return D.html_to_text(X.table(c.spark, c.sf, "pages"))
+
+
+@register("d1_chunks")
+def _d1b(c: Ctx):
+    return D.chunk_text(X.table(c.spark, c.sf, "documents"), size=1000, overlap=200)
+
+
+@register("d2_portfolio_summary")
+def _d2(c: Ctx):
+    """Portfolio CSV files derived from lineitem, loaded back and summarized."""
+    import uuid
+    path = scratch_path(c.spark, f"portfolios-{uuid.uuid4().hex}")
+    li = X.table(c.spark, c.sf, "lineitem")
+    (li.select(F.concat(F.lit("pf_"), (F.col("l_orderkey") % 4).cast("string")).alias("portfolio_id"),
+               F.concat(F.lit("T"), (F.col("l_partkey") % 50).cast("string")).alias("ticker"),
+               F.col("l_quantity").cast("long").alias("shares"),
+               (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100.0).alias("price"),
+               F.col("l_shipdate").cast("date").alias("date"))
+       .write.partitionBy("portfolio_id").option("header", True).csv(path))
+    return D.portfolio_summary(D.read_portfolios(c.spark, path))
+
+
+@register("d3_vector_topk")
+def _d3(c: Ctx):
+    vec = X.table(c.spark, c.sf, "embeddings")
+    q = vec.where(F.col("vec_id") == vec.agg(F.min("vec_id")).first()[0]).select("embedding").first()[0]
+    return D.cosine_top_k(vec, list(q), k=10)
