@@ -163,18 +163,17 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: str, attrs: Sequenc
 
 
 # -------------------------------------------------------------------- M-10
-def scd1_upsert(current: DataFrame, incoming: DataFrame, key: str,
+def scd1_upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str] | str,
                 order_col: str = "loaded_at") -> DataFrame:
     """Overwrite by key: the latest row per key wins (ties: incoming).
-    A partial-aggregated ``max(struct)`` keeps hot keys cheap."""
+    ``row_number() = 1`` gets a partial WindowGroupLimit before the shuffle,
+    so a hot key forwards one row per task."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     cols = current.columns
     both = (current.select(*cols).withColumn("_src", F.lit(0))
             .unionByName(incoming.select(*cols).withColumn("_src", F.lit(1))))
-    payload = [c for c in cols if c not in (key, order_col)]
-    best = F.max(F.struct(F.col(order_col), F.col("_src"), *[F.col(c) for c in payload])).alias("_b")
-    return (both.groupBy(key).agg(best)
-                .select(key, *[F.col(f"_b.{c}").alias(c) for c in (order_col, *payload)])
-                .select(*cols))
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc(), F.col("_src").desc())
+    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*cols)
 
 
 # -------------------------------------------------------------------- M-11
@@ -222,13 +221,14 @@ def touched_dates(raw: DataFrame, cutoff: str, date_col: str = "event_timestamp"
 
 def reprocess_dates(raw: DataFrame, cutoff: str, path: str, as_of: str | None = None) -> DataFrame:
     """Rebuild only the fact partitions that late rows touched, with dynamic
-    partition overwrite; returns the rebuilt rows."""
+    partition overwrite (other dates in ``path`` stay); returns the rebuilt
+    partitions as stored."""
     dates = touched_dates(raw, cutoff)
     affected = raw.join(dates, F.to_date("event_timestamp") == dates.event_date, "left_semi")
     rebuilt = fact_from_raw(affected, as_of=as_of)
     (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date").parquet(path))
-    return rebuilt
+    return raw.sparkSession.read.parquet(path).join(dates, "event_date", "left_semi")
 
 
 # -------------------------------------------------------------------- M-15

@@ -36,6 +36,36 @@ def layer_counts(df: DataFrame, grain: Sequence[str], prefix: str) -> DataFrame:
                                   F.countDistinct("event_id").alias(f"{prefix}_distinct"))
 
 
+def layer_extract(df: DataFrame, prefix: str, window: C.Window | None = None) -> DataFrame:
+    """Q-3: per (event, date) counts, distinct ids and tenants reporting, for
+    one layer (raw: event time; BI: its event_date column)."""
+    if "event_date" in df.columns:
+        df = _in_window(df, window, "event_date")
+    else:
+        df = _in_window(df, window).withColumn("event_date", F.to_date(TS))
+    tenants = "tenants_reporting" if prefix == "raw" else "tenants_in_model"
+    return df.groupBy(NAME, "event_date").agg(F.count(F.lit(1)).alias(f"{prefix}_event_count"),
+                                              F.countDistinct("event_id").alias(f"{prefix}_distinct_event_count"),
+                                              F.countDistinct("tenant_id").alias(tenants))
+
+
+def runbook_diff(raw: DataFrame, bi: DataFrame, window: C.Window, warn_pct: float = 0.1) -> DataFrame:
+    """Q-4: the runbook's raw-vs-BI comparison of distinct ids with its four
+    outcomes: ORPHAN IN BI, MISSING FROM BI, VARIANCE EXCEEDS THRESHOLD, PASS."""
+    r = (_in_window(raw, window).groupBy(NAME, F.to_date(TS).alias("event_date"))
+         .agg(F.countDistinct("event_id").alias("raw_count")))
+    b = _in_window(bi, window, "event_date").groupBy(NAME, "event_date") \
+        .agg(F.countDistinct("event_id").alias("bi_count"))
+    j = r.join(b, [NAME, "event_date"], "full")
+    rc, bc = F.coalesce("raw_count", F.lit(0).cast("long")), F.coalesce("bi_count", F.lit(0).cast("long"))
+    ratio = F.abs(rc - bc).cast("double") * 100.0 / F.col("raw_count").cast("double")
+    return j.select(NAME, "event_date", rc.alias("raw_count"), bc.alias("bi_count"), (rc - bc).alias("count_diff"),
+                    F.when(rc == 0, F.lit(None).cast("double")).otherwise(F.round(ratio, 4)).alias("variance_pct"),
+                    F.when((rc == 0) & (bc > 0), "ORPHAN IN BI").when((bc == 0) & (rc > 0), "MISSING FROM BI")
+                     .when(ratio > warn_pct, "VARIANCE EXCEEDS THRESHOLD").otherwise("PASS")
+                     .alias("reconciliation_status"))
+
+
 def reconcile(raw: DataFrame, bi: DataFrame, grain: Sequence[str] = ("event_name", "event_date"),
               th: C.Thresholds = C.Thresholds(), window: C.Window | None = None,
               keep_nulls: bool = False) -> DataFrame:
@@ -231,6 +261,22 @@ def timestamp_order(raw: DataFrame) -> DataFrame:
                .withColumn("status", F.when(F.col("violations") > 0, "FAIL").otherwise("PASS")))
 
 
+def freshness_exact(raw: DataFrame, max_lag_hours: float = 4.0, arrival_col: str = "collector_tstamp"
+                    ) -> DataFrame:
+    """Q-19 with exact interpolated P50/P90 (range-partitioned positions)."""
+    from ..functions.ranking import exact_quantiles
+    lagged = (raw.withColumn("event_date", F.to_date(TS))
+                 .withColumn("_lag", seconds_between(TS, arrival_col) / 60.0))
+    base = lagged.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.max("_lag"), 2).alias("max_lag_minutes"),
+        F.count_if(F.col("_lag") > max_lag_hours * 60).alias("late_rows"))
+    q = exact_quantiles(lagged, ["event_date"], "_lag", [0.5, 0.9], ["p50", "p90"])
+    return (base.join(q, "event_date", "left")
+                .select("event_date", "rows", F.round("p50", 2).alias("p50_lag_minutes"),
+                        F.round("p90", 2).alias("p90_lag_minutes"), "max_lag_minutes", "late_rows",
+                        F.when(F.col("late_rows") > 0, "WARN").otherwise("PASS").alias("status")))
+
+
 def freshness(raw: DataFrame, max_lag_hours: float = 4.0, arrival_col: str = "collector_tstamp",
               accuracy: int = 10000) -> DataFrame:
     """Q-19: load lag (arrival - event) per event date: P50 / P90 (sketch)
@@ -289,31 +335,32 @@ def late_arrivals(raw: DataFrame, max_lag_hours: float = 4.0) -> DataFrame:
 def discrepancy_log(recon: DataFrame, nulls: DataFrame, dups: DataFrame, drift: DataFrame,
                     late: DataFrame) -> DataFrame:
     """Q-24: every WARN/FAIL finding as one typed row
-    (check, code, event_name, event_date, detail, severity)."""
+    (check_name, code, event_name, event_date, detail, severity)."""
+    def s(c):
+        return F.col(c).cast("string")
     r = (recon.where(F.col("status") != "PASS")
-              .select(F.lit("reconciliation").alias("check"), F.col("status").alias("code"), NAME,
+              .select(F.lit("reconciliation").alias("check_name"), F.col("status").alias("code"), NAME,
                       F.col("event_date").cast("date").alias("event_date"),
-                      F.concat_ws(" ", F.lit("variance_pct="), F.col("variance_pct").cast("string")).alias("detail"),
+                      F.concat(F.lit("raw="), s("raw_distinct"), F.lit(" bi="), s("bi_distinct")).alias("detail"),
                       F.when(F.col("status") == "WARN", "WARN").otherwise("FAIL").alias("severity")))
     n = (null_verdict(nulls).where(F.col("status") == "FAIL")
-         .select(F.lit("null_fields").alias("check"), F.lit("NULL_REQUIRED").alias("code"), NAME,
+         .select(F.lit("null_fields").alias("check_name"), F.lit("NULL_REQUIRED").alias("code"), NAME,
                  F.lit(None).cast("date").alias("event_date"),
-                 F.concat(F.lit("critical_nulls="), F.col("critical_nulls").cast("string")).alias("detail"),
+                 F.concat(F.lit("critical_nulls="), s("critical_nulls")).alias("detail"),
                  F.lit("FAIL").alias("severity")))
-    d = dups.select(F.lit("duplicates").alias("check"), F.lit("DUPLICATE").alias("code"), NAME,
+    d = dups.select(F.lit("duplicates").alias("check_name"), F.lit("DUPLICATE").alias("code"), NAME,
                     F.lit(None).cast("date").alias("event_date"),
-                    F.concat(F.lit("tenant="), F.col("tenant_id"), F.lit(" excess="),
-                             F.col("excess_rows").cast("string")).alias("detail"),
+                    F.concat(F.lit("tenant="), F.col("tenant_id"), F.lit(" excess="), s("excess_rows")).alias("detail"),
                     F.lit("WARN").alias("severity"))
-    s = drift.select(F.lit("schema_drift").alias("check"), F.col("drift").alias("code"), NAME,
-                     F.lit(None).cast("date").alias("event_date"),
-                     F.concat(F.lit("raw_rows="), F.col("raw_rows").cast("string")).alias("detail"),
-                     F.lit("FAIL").alias("severity"))
-    la = late.select(F.lit("late_arrival").alias("check"), F.lit("LATE").alias("code"),
+    sd = drift.select(F.lit("schema_drift").alias("check_name"), F.col("drift").alias("code"), NAME,
+                      F.lit(None).cast("date").alias("event_date"),
+                      F.concat(F.lit("raw_rows="), s("raw_rows"), F.lit(" bi_rows="), s("bi_rows")).alias("detail"),
+                      F.lit("FAIL").alias("severity"))
+    la = late.select(F.lit("late_arrival").alias("check_name"), F.lit("LATE").alias("code"),
                      F.lit(None).cast("string").alias(NAME), "event_date",
-                     F.concat(F.lit("late_rows="), F.col("late_rows").cast("string")).alias("detail"),
+                     F.concat(F.lit("late_rows="), s("late_rows")).alias("detail"),
                      F.lit("WARN").alias("severity"))
-    return r.unionByName(n).unionByName(d).unionByName(s).unionByName(la)
+    return r.unionByName(n).unionByName(d).unionByName(sd).unionByName(la)
 
 
 # ---------------------------------------------------------------- Q-25..Q-28

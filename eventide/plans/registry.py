@@ -622,3 +622,75 @@ def _d3(c: Ctx):
     vec = X.table(c.spark, c.sf, "embeddings")
     q = vec.where(F.col("vec_id") == vec.agg(F.min("vec_id")).first()[0]).select("embedding").first()[0]
     return D.cosine_top_k(vec, list(q), k=10)
+
+
+# ------------------------------------------------------------------ more quality / model
+@register("q3_raw_extract")
+def _q3r(c: Ctx):
+    return Q.layer_extract(c.raw, "raw", PART_RANGE)
+
+
+@register("q3_bi_extract")
+def _q3b(c: Ctx):
+    return Q.layer_extract(c.degraded, "bi", PART_RANGE)
+
+
+@register("q4_runbook_diff")
+def _q4(c: Ctx):
+    return Q.runbook_diff(c.raw, c.degraded, PART_RANGE)
+
+
+@register("q19_freshness")
+def _q19(c: Ctx):
+    return Q.freshness(c.raw)
+
+
+@register("q19_freshness_exact")
+def _q19e(c: Ctx):
+    return Q.freshness_exact(c.raw)
+
+
+@register("q24_discrepancy_log")
+def _q24(c: Ctx):
+    return Q.discrepancy_log(Q.reconcile(c.raw, c.degraded), Q.null_checks(c.raw), Q.duplicates(c.raw),
+                             Q.schema_drift(c.raw, c.degraded), Q.late_arrivals(c.raw))
+
+
+ESCALATION_THRESHOLDS = C.Thresholds(fail_pct=10.0, warn_pct=0.1)
+
+
+@register("q25_escalations")
+def _q25(c: Ctx):
+    return Q.escalations(Q.run_history(Q.reconcile(c.raw, c.degraded, th=ESCALATION_THRESHOLDS)))
+
+
+@register("q26_stale_failures")
+def _q26(c: Ctx):
+    return Q.stale_failures(Q.run_history(Q.reconcile(c.raw, c.degraded)), "2024-02-05", 3)
+
+
+@register("m8_scd2_apply")
+def _m8(c: Ctx):
+    """A role-change batch derived from customer (every 7th key) applied to
+    the user dimension as of 2024-02-01."""
+    cust = X.table(c.spark, c.sf, "customer").where(F.col("c_custkey") % 7 == 0)
+    inc = cust.select(F.concat(F.lit("usr_"), F.col("c_custkey").cast("string")).alias("user_id"),
+                      F.element_at(F.array(*[F.lit(r) for r in C.ROLES]),
+                                   (F.col("c_custkey") % 5 + 1).cast("int")).alias("role"))
+    return M.scd2_apply(c.users_nokey, inc, "user_id", ["role"], AS_OF)
+
+
+@register("m10_scd1_upsert")
+def _m10(c: Ctx):
+    early = M.user_lifecycle(c.fact.where(F.col("event_date") < F.lit("2024-01-15").cast("date"))) \
+        .withColumn("loaded_at", F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    full = M.user_lifecycle(c.fact).withColumn("loaded_at", F.lit(AS_OF).cast("timestamp_ntz"))
+    return M.scd1_upsert(early, full, ["user_id", "tenant_id"])
+
+
+@register("m14_reprocess_dates")
+def _m14(c: Ctx):
+    import uuid
+    path = scratch_path(c.spark, f"fact-{uuid.uuid4().hex}")
+    rebuilt = M.reprocess_dates(c.raw, "2024-01-15 00:00:00", path, as_of=AS_OF)
+    return rebuilt.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
