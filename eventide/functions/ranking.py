@@ -125,3 +125,42 @@ def lag_by_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     prev = pos.select(*group_cols, (F.col("_pos") + 1).alias("_pos"),
                       *[F.col(v).alias(prefix + v) for v in value_cols])
     return pos.join(prev, [*group_cols, "_pos"], "left").withColumnRenamed("_pos", "seq_no")
+
+
+def asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
+              left_id: str, value_cols: Sequence[str]) -> DataFrame:
+    """As-of join: for each left row, the right row of the same keys with the
+    greatest ``right_ts <= left_ts`` (NULL values when none; among rows with
+    that time, the greatest value).
+
+    Both sides are merged into one timeline, range-partitioned on
+    (keys, ts) so a hot key spreads over many partitions, checkpointed, and
+    scanned with a running "last value" inside each (partition, key). The
+    value entering a partition from earlier ones comes from a small table
+    with one row per (partition, key). No key's rows meet in one task.
+    Returns ``left_id`` and ``value_cols``.
+    """
+    spark = left.sparkSession
+    checkpoint_dir(spark)
+    keys = list(keys)
+    id_type = dict(left.dtypes)[left_id]
+    vstruct = F.struct(F.col(right_ts).alias("_vts"), *[F.col(v) for v in value_cols])
+    r = right.select(*keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_kind"),
+                     F.lit(None).cast(id_type).alias("_lid"), vstruct.alias("_v"))
+    l = left.select(*keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_kind"), F.col(left_id).alias("_lid"),
+                    F.lit(None).cast(r.schema["_v"].dataType).alias("_v"))
+    u = l.unionByName(r).withColumn("_tb", F.monotonically_increasing_id())
+    order = [*keys, "_ts", "_kind", "_v", "_tb"]   # ties on time: greatest value wins
+    ranged = (u.repartitionByRange(shuffle_partitions(spark), *order)
+               .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    right_row = F.when(F.col("_kind") == 0, F.struct("_ts", "_v", "_tb"))
+    stats = ranged.groupBy("_pid", *keys).agg(F.max(right_row).alias("_lastrow"))
+    carry_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_carry", F.last(F.col("_lastrow._v"), ignorenulls=True).over(carry_w)) \
+                 .select("_pid", *keys, "_carry")
+    run_w = (Window.partitionBy("_pid", *keys).orderBy("_ts", "_kind", "_v", "_tb")
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_local", F.last(F.when(F.col("_kind") == 0, F.col("_v")), ignorenulls=True)
+                              .over(run_w)).where(F.col("_kind") == 1)
+    out = local.join(stats, ["_pid", *keys], "left").withColumn("_best", F.coalesce("_local", "_carry"))
+    return out.select(F.col("_lid").alias(left_id), *[F.col(f"_best.{v}").alias(v) for v in value_cols])

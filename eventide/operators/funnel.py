@@ -492,3 +492,215 @@ def uplift_projection(events: DataFrame, factor: float = C.IMPROVEMENT_FACTOR) -
     cvr = F.col("activated").cast("double") / F.col("invited")
     return q.select("quarter", "invited", "activated",
                     F.round(F.col("invited") * cvr * F.lit(factor - 1.0), 1).alias("extra_activated"))
+
+
+# ----------------------------------------------------------------- F-23..F-38
+def _window_spec(events_after: Sequence[tuple[str, str | None]], days: int | None) -> C.FunnelSpec:
+    steps = [C.FunnelStep(0, "invite", C.FUNNEL_STEPS[0][2])]
+    steps += [C.FunnelStep(i + 1, e, e, p) for i, (e, p) in enumerate(events_after)]
+    return C.FunnelSpec(tuple(steps), after_invite=True, window_days=days)
+
+
+def ssh_step_lift(events: DataFrame, days: int = 30) -> DataFrame:
+    """F-23: 30-day activation of users who completed the SSH-key step within
+    30 days vs those who skipped it, with relative lift."""
+    spec = _window_spec([(STEP_EVENT, "step_name = 'ssh_key_setup'"), ("dedicated_user_activated", None)], days)
+    st = step_times(events, spec)
+    prof = st.select(F.when(F.col("step_1_at").isNotNull(), "ssh_done").otherwise("ssh_skipped").alias("arm"),
+                     F.col("step_2_at").isNotNull().cast("int").alias("activated_30d"))
+    return grouped_rate(prof, "arm", "activated_30d")
+
+
+def sso_login_effect(events: DataFrame, dim_tenants: DataFrame) -> DataFrame:
+    """F-24: first-login rate of invited users by the tenant's SSO setting."""
+    from ..functions.skew import bounded_broadcast
+    prof = invite_profile(events, {"logged_in": _ev("dedicated_user_first_login")})
+    t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(T, "sso_enabled"))
+    x = prof.join(t, T, "left").select(F.coalesce(F.col("sso_enabled").cast("string"), F.lit("unknown"))
+                                       .alias("sso_enabled"), "logged_in")
+    return grouped_rate(x, "sso_enabled", "logged_in")
+
+
+def step_duration(fact: DataFrame, target_seconds: int = 120, project_step_limit: int = 300) -> DataFrame:
+    """F-26: exact P50 of the reported step duration per onboarding step
+    against the 120 s target; the project step's P50 against 5 minutes."""
+    s = fact.where((F.col(NAME) == STEP_EVENT) & F.col("step_name").isNotNull()) \
+            .select("step_name", F.col("duration_seconds").cast("double").alias("d"))
+    q = exact_quantiles(s, ["step_name"], "d", [0.5], ["p50_seconds"])
+    n = s.groupBy("step_name").agg(F.count(F.lit(1)).alias("events"))
+    return (n.join(q, "step_name")
+             .withColumn("p50_seconds", F.round("p50_seconds", 1))
+             .withColumn("meets_target", F.col("p50_seconds") < target_seconds)
+             .withColumn("over_project_limit", (F.col("step_name") == "create_first_project") &
+                         (F.col("p50_seconds") > project_step_limit)))
+
+
+def ticket_rate(events: DataFrame, tickets: DataFrame, days: int = 7,
+                hot_rows: int = C.Scale().hot_key_rows) -> DataFrame:
+    """F-27a: share of invited users who opened a ticket within ``days`` of
+    their first invite, and the share of those tickets within 48 hours."""
+    inv = invited_users(events).where(F.col(U).isNotNull())
+
+    def cond(l, r):
+        return (F.col("_l.opened_at") >= F.col("_r.invited_at")) & \
+               (F.col("_l.opened_at") < F.timestamp_add("DAY", F.lit(days), F.col("_r.invited_at")))
+    tk = split_join(tickets.select(U, T, "ticket_id", "opened_at"), inv, [U, T], how="inner",
+                    condition=cond, threshold=hot_rows)
+    tk = tk.withColumn("_48h", F.col("opened_at") < F.timestamp_add("HOUR", F.lit(48), F.col("invited_at")))
+    per_user = tk.groupBy(U, T).agg(F.lit(1).alias("has_ticket"))
+    users = inv.join(per_user, [U, T], "left").agg(F.count(F.lit(1)).alias("invited"),
+                                                   F.count("has_ticket").alias("with_ticket"))
+    tks = tk.agg(F.count(F.lit(1)).alias("tickets"), F.count_if("_48h").alias("tickets_48h"))
+    # two one-row aggregates side by side (equi-join on a constant key)
+    return (users.withColumn("_k", F.lit(1)).join(tks.withColumn("_k", F.lit(1)), "_k").drop("_k")
+            .select("invited", "with_ticket", pct("with_ticket", "invited", 1).alias("ticket_rate_pct"),
+                    "tickets", pct("tickets_48h", "tickets", 1).alias("within_48h_pct")))
+
+
+def ticket_preceding_step(events: DataFrame, tickets: DataFrame) -> DataFrame:
+    """F-27b: for each ticket, the onboarding event the user fired most
+    recently at or before it (skew-safe as-of join); tickets per step."""
+    from ..functions.ranking import asof_last
+    onb = (events.where(F.col(NAME).isin(*[e for _, _, e in C.FUNNEL_STEPS]) & F.col(U).isNotNull())
+                 .select(U, T, TS, F.col(NAME).alias("step_event")))
+    last = asof_last(tickets, onb, [U, T], "opened_at", TS, "ticket_id", ["step_event"])
+    return last.groupBy(F.coalesce("step_event", F.lit("none")).alias("preceding_step")) \
+               .agg(F.count(F.lit(1)).alias("tickets"))
+
+
+FEATURE_EVENTS = ("dedicated_project_created", "dedicated_pipeline_executed", "dedicated_mr_created",
+                  "dedicated_mr_merged", "dedicated_security_scan_completed")
+
+
+def feature_adoption(events: DataFrame, dim_tenants: DataFrame, days: int = 30) -> DataFrame:
+    """F-28: per feature event, tenants that used it within ``days`` days of
+    their provisioning date (first use per tenant, then a date compare)."""
+    from ..functions.skew import bounded_broadcast
+    first = (events.where(F.col(NAME).isin(*FEATURE_EVENTS))
+                   .groupBy(T, NAME).agg(F.min(TS).alias("first_use")))
+    t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(T, "provisioning_date"))
+    x = first.join(t, T).where(F.col("first_use") < F.timestamp_add(
+        "DAY", F.lit(days), F.col("provisioning_date").cast("timestamp_ntz")))
+    return x.groupBy(NAME).agg(F.countDistinct(T).alias("tenants_adopted"))
+
+
+def pipeline_retention_corr(events: DataFrame, early_days: int = 14, late_from: int = 15) -> DataFrame:
+    """F-29: correlation between pipelines run in the first ``early_days``
+    after invite and being active again from day ``late_from`` on."""
+    spec = _window_spec([], None)
+    inv = invited_users(events, spec).where(F.col(U).isNotNull())
+    ev = events.where(F.col(U).isNotNull()).select(U, T, TS, NAME)
+
+    def cond(l, r):
+        return F.col(f"_l.{TS}") >= F.col("_r.invited_at")
+    j = split_join(ev, inv, [U, T], how="inner", condition=cond)
+    d = F.timestamp_diff("DAY", F.col("invited_at"), F.col(TS))
+    per = j.groupBy(U, T).agg(
+        F.count_if((F.col(NAME) == "dedicated_pipeline_executed") & (d < early_days)).alias("early_pipelines"),
+        F.max((d >= late_from).cast("int")).alias("retained"))
+    return per.agg(F.count(F.lit(1)).alias("users"),
+                   F.round(F.corr(F.col("early_pipelines").cast("double"), F.col("retained").cast("double")), 4)
+                   .alias("correlation"))
+
+
+def scan_adoption(fact: DataFrame) -> DataFrame:
+    """F-30a: scans, tenants and users per scan type."""
+    return (fact.where(F.col(NAME) == "dedicated_security_scan_completed")
+                .groupBy("scan_type").agg(F.count(F.lit(1)).alias("scans"),
+                                          F.countDistinct(T).alias("tenants"), F.countDistinct(U).alias("users")))
+
+
+def top_admin_actions(fact: DataFrame, k: int = 5) -> DataFrame:
+    """F-30b: the k most frequent admin settings changed (top-k report)."""
+    s = F.get_json_object("properties_json", "$.setting_name")
+    return (fact.where(F.col(NAME) == "dedicated_admin_setting_changed")
+                .groupBy(s.alias("setting_name")).agg(F.count(F.lit(1)).alias("changes"))
+                .orderBy(F.col("changes").desc(), F.col("setting_name")).limit(k))
+
+
+def composite_activation(events: DataFrame, required: Sequence[str] = VALUE_EVENTS, days: int = 30) -> DataFrame:
+    """F-31: invited users who fired every required event within ``days``."""
+    st = step_times(events, _window_spec([(e, None) for e in required], days))
+    allc = F.lit(True)
+    for i in range(len(required)):
+        allc = allc & F.col(f"step_{i + 1}_at").isNotNull()
+    return st.agg(F.count(F.lit(1)).alias("invited"), F.count_if(allc).alias("activated")) \
+             .select("invited", "activated", pct("activated", "invited", 1).alias("activation_pct"))
+
+
+def reinvite_recovery(events: DataFrame, hot_rows: int = C.Scale().hot_key_rows) -> DataFrame:
+    """F-32: users invited at least twice; share accepting after the second
+    invite. ``row_number() <= 2`` keeps two invites per user map-side."""
+    w = Window.partitionBy(U, T).orderBy(TS)
+    second = (events.where(_ev("dedicated_user_invited") & F.col(U).isNotNull())
+                    .select(U, T, TS).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 2)
+                    .select(U, T, F.col(TS).alias("second_invite_at")))
+    acc = events.where(_ev("dedicated_user_invitation_accepted") & F.col(U).isNotNull()).select(U, T, TS)
+
+    def cond(l, r):
+        return F.col(f"_l.{TS}") >= F.col("_r.second_invite_at")
+    rec = split_join(acc, second, [U, T], how="inner", condition=cond, threshold=hot_rows) \
+        .select(U, T).distinct().withColumn("recovered", F.lit(1))
+    return (second.join(rec, [U, T], "left")
+                  .agg(F.count(F.lit(1)).alias("reinvited"), F.count("recovered").alias("recovered"))
+                  .select("reinvited", "recovered", pct("recovered", "reinvited", 1).alias("recovery_pct")))
+
+
+def plan_tier_lift(events: DataFrame, dim_tenants: DataFrame) -> DataFrame:
+    """F-33: activation rate per plan tier with relative lift (any label
+    column works the same way)."""
+    from ..functions.skew import bounded_broadcast
+    prof = invite_profile(events, {"activated": _ev("dedicated_user_activated")})
+    t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(T, "plan_tier"))
+    return grouped_rate(prof.join(t, T, "left").fillna({"plan_tier": "unknown"}), "plan_tier", "activated")
+
+
+def daily_activations(events: DataFrame) -> DataFrame:
+    return (events.where(_ev("dedicated_user_activated"))
+                  .groupBy(F.to_date(TS).alias("event_date")).agg(F.count(F.lit(1)).alias("activations")))
+
+
+def guardrails(events: DataFrame, tickets: DataFrame, cut: str) -> DataFrame:
+    """F-35: four metrics of users invited before vs after ``cut`` with the
+    allowed change: activation (≥ -5 pts), abandonment (≤ +5 pts), ticket
+    rate (≤ +5 pts), median invite→accept minutes (≤ +20 %)."""
+    st = step_times(events).withColumn(
+        "period", F.when(F.col("invited_at") < F.lit(cut).cast("timestamp_ntz"), "before").otherwise("after"))
+    prof = invite_profile(events, {"abandoned": _ev("dedicated_onboarding_abandoned")})
+    tk = tickets.select(U, T).distinct().withColumn("ticket", F.lit(1))
+    x = (st.join(prof.select(U, T, "abandoned"), [U, T], "left").join(tk, [U, T], "left")
+           .withColumn("accept_min", elapsed(F.col("invited_at"), F.col("step_1_at"), 60)))
+    g = x.groupBy("period").agg(
+        pct(F.count("step_7_at"), F.count(F.lit(1)), 2).alias("activation_pct"),
+        pct(F.sum(F.coalesce("abandoned", F.lit(0))), F.count(F.lit(1)), 2).alias("abandonment_pct"),
+        pct(F.count("ticket"), F.count(F.lit(1)), 2).alias("ticket_pct"))
+    med = exact_quantiles(x, ["period"], "accept_min", [0.5], ["accept_p50_min"]) \
+        .withColumn("accept_p50_min", F.round("accept_p50_min", 2))
+    g = g.join(med, "period", "left")
+    b, a = g.where(F.col("period") == "before").alias("b"), g.where(F.col("period") == "after").alias("a")
+    j = b.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k")  # one row per side
+    rows = []
+    for m, kind, lim in (("activation_pct", "drop_pts", 5.0), ("abandonment_pct", "rise_pts", 5.0),
+                         ("ticket_pct", "rise_pts", 5.0), ("accept_p50_min", "rise_rel", 0.2)):
+        bv, av = F.col(f"b.{m}"), F.col(f"a.{m}")
+        ok = (bv - av <= lim) if kind == "drop_pts" else (av - bv <= lim) if kind == "rise_pts" else \
+            (av <= bv * (1 + lim))
+        rows.append(F.struct(F.lit(m).alias("metric"), bv.alias("before"), av.alias("after"),
+                             F.when(ok, "OK").otherwise("BREACH").alias("status")))
+    return j.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def stratified_rates(events: DataFrame, dim_tenants: DataFrame, days: int = 90) -> DataFrame:
+    """F-38: activation rate within tenant strata (seat bucket × SSO) for
+    invites in the last ``days`` days of data."""
+    from ..functions.skew import bounded_broadcast
+    prof = invite_profile(events, {"activated": _ev("dedicated_user_activated")})
+    last = prof.agg(F.max("invited_at").alias("_last"))
+    t = bounded_broadcast(dim_tenants.where(F.col("is_current"))
+                          .select(T, seat_bucket(F.col("seat_limit")).alias("seat_bucket"), "sso_enabled"))
+    x = (prof.withColumn("_k", F.lit(1)).join(last.withColumn("_k", F.lit(1)), "_k")
+             .where(F.col("invited_at") > F.timestamp_add("DAY", F.lit(-days), F.col("_last")))
+             .join(t, T, "left"))
+    return x.groupBy("seat_bucket", "sso_enabled").agg(F.count(F.lit(1)).alias("invited"),
+                                                      F.sum("activated").cast("long").alias("activated")) \
+            .withColumn("activation_pct", pct("activated", "invited", 1))

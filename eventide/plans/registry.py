@@ -84,6 +84,10 @@ class Ctx:
     def tenants(self) -> DataFrame:
         return X.dim_tenants(self.spark, self.sf)
 
+    @cached_property
+    def tickets(self) -> DataFrame:
+        return X.tickets(self.spark, self.sf)
+
     @cached_property
     def catalog(self) -> DataFrame:
         return X.event_catalog(self.spark)
@@ -694,3 +698,87 @@ def _m14(c: Ctx):
     path = scratch_path(c.spark, f"fact-{uuid.uuid4().hex}")
     rebuilt = M.reprocess_dates(c.raw, "2024-01-15 00:00:00", path, as_of=AS_OF)
     return rebuilt.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ behaviour (S tier)
+GUARDRAIL_CUT = "2024-01-15 00:00:00"
+
+
+@register("f23_ssh_step_lift")
+def _f23(c: Ctx):
+    return FN.ssh_step_lift(c.raw)
+
+
+@register("f24_sso_login_effect")
+def _f24(c: Ctx):
+    return FN.sso_login_effect(c.raw, c.tenants)
+
+
+@register("f26_step_duration")
+def _f26(c: Ctx):
+    return FN.step_duration(c.fact)
+
+
+@register("f27_ticket_rate")
+def _f27(c: Ctx):
+    return FN.ticket_rate(c.raw, c.tickets)
+
+
+@register("f27_ticket_preceding_step")
+def _f27b(c: Ctx):
+    return FN.ticket_preceding_step(c.raw, c.tickets)
+
+
+@register("f28_feature_adoption")
+def _f28(c: Ctx):
+    return FN.feature_adoption(c.raw, c.tenants)
+
+
+@register("f29_pipeline_retention_corr")
+def _f29(c: Ctx):
+    return FN.pipeline_retention_corr(c.raw)
+
+
+@register("f30_scan_adoption")
+def _f30(c: Ctx):
+    return FN.scan_adoption(c.fact)
+
+
+@register("f30_top_admin_actions")
+def _f30b(c: Ctx):
+    return FN.top_admin_actions(c.fact)
+
+
+@register("f31_composite_activation")
+def _f31(c: Ctx):
+    return FN.composite_activation(c.raw)
+
+
+@register("f32_reinvite_recovery")
+def _f32(c: Ctx):
+    return FN.reinvite_recovery(c.fact)
+
+
+@register("f33_plan_tier_lift")
+def _f33(c: Ctx):
+    return FN.plan_tier_lift(c.raw, c.tenants)
+
+
+@register("f34_interrupted_series")
+def _f34(c: Ctx):
+    return FN.interrupted_series(FN.daily_activations(c.raw), "event_date", "activations", "2024-01-15")
+
+
+@register("f35_guardrails")
+def _f35(c: Ctx):
+    return FN.guardrails(c.raw, c.tickets, GUARDRAIL_CUT)
+
+
+@register("f37_uplift_projection")
+def _f37(c: Ctx):
+    return FN.uplift_projection(c.raw)
+
+
+@register("f38_stratified_rates")
+def _f38(c: Ctx):
+    return FN.stratified_rates(c.raw, c.tenants)
