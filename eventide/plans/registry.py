@@ -18,6 +18,7 @@ from ..operators import quality as Q
 from ..operators import reports as R
 from ..session import scratch_path
 from ..sources import fixtures as X
+from ..sources import io as IO
 from ..streaming import stream as ST
 
 AS_OF = "2024-02-01 00:00:00"
@@ -782,3 +783,36 @@ def _f37(c: Ctx):
 @register("f38_stratified_rates")
 def _f38(c: Ctx):
     return FN.stratified_rates(c.raw, c.tenants)
+
+
+# ------------------------------------------------------------------ sources / sinks
+@register("src2_json_roundtrip")
+def _src2(c: Ctx):
+    """Raw events written as JSON-lines payloads and loaded back typed."""
+    import uuid
+    path = scratch_path(c.spark, f"json-{uuid.uuid4().hex}")
+    IO.write_raw_json(c.raw, path)
+    back = IO.read_raw_json(c.spark, path)
+    return back.groupBy("event_name").agg(F.count(F.lit(1)).alias("rows"),
+                                          F.countDistinct("event_id").alias("ids"),
+                                          F.count_if(F.col("properties") != "{}").alias("with_properties"))
+
+
+@register("src8_region_landing")
+def _src8(c: Ctx):
+    import uuid
+    path = scratch_path(c.spark, f"region-{uuid.uuid4().hex}")
+    IO.write_region_local(c.raw, c.tenants, path)
+    return c.spark.read.parquet(path).groupBy("region").agg(F.count(F.lit(1)).alias("rows"),
+                                                            F.countDistinct("tenant_id").alias("tenants"))
+
+
+@register("m12_clustered_write")
+def _m12(c: Ctx):
+    import uuid
+    path = scratch_path(c.spark, f"fact-clustered-{uuid.uuid4().hex}")
+    M.write_clustered(c.fact, path)
+    back = c.spark.read.parquet(path)
+    # partition pruning: one date read back
+    return back.where(F.col("event_date") == F.lit("2024-01-10").cast("date")) \
+               .groupBy("tenant_id", "event_name").agg(F.count(F.lit(1)).alias("rows"))
