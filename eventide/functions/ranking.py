@@ -84,16 +84,37 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], out_col: str = "seq
             .withColumn(out_col, F.col("_pos") + F.lit(1)).drop("_pos"))
 
 
+SMALL_GROUP_VALUES = 5_000_000
+
+
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+                    probs: Sequence[float], names: Sequence[str],
+                    small_group_values: int = SMALL_GROUP_VALUES) -> DataFrame:
     """Exact interpolated quantiles (``QUANTILE_CONT``) per group.
 
     Position h = (n-1)·p; result = v[⌊h⌋] + (h-⌊h⌋)·(v[⌈h⌉] - v[⌊h⌋]).
-    Only the ≤ 2·len(probs) rows per group at the needed positions reach the
-    final aggregate.
+
+    The largest group's size is measured first (one small aggregate). When
+    every group holds at most ``small_group_values`` values, Spark's exact
+    ``percentile`` aggregate is used: its per-group buffer is then bounded.
+    Otherwise positions come from range partitions (``with_position``) and
+    only the ≤ 2·len(probs) rows per group at the needed positions reach
+    the final aggregate, so no group is ever held in one task.
     """
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
+    sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
+        vals.agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= small_group_values:
+        q = F.percentile(F.col("_v"), [float(p) for p in probs])
+        g = vals.groupBy(*group_cols).agg(q.alias("_q"))
+        return g.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return _distributed_quantiles(vals, group_cols, probs, names)
+
+
+def _distributed_quantiles(vals: DataFrame, group_cols: list[str], probs: Sequence[float],
+                           names: Sequence[str]) -> DataFrame:
     pos = with_position(vals, ["_v"], group_cols)
     conds, aggs = [], []
     for p, name in zip(probs, names):

@@ -137,9 +137,11 @@ def properties_expr(name: Column, n: Column, k: Column, u: Column) -> Column:
 def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
                with_duplicates: bool = True) -> DataFrame:
     """M-1: the typed raw landing table, duplicates included."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    # parse the JSON payload once; later expressions refer to the column
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
+                                               json_int("props", "k").alias("_k0"))
     n, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    k = json_int("props", "k")
+    k = F.col("_k0")
     name = event_name_expr(F.col("event_type"), k, u)
     empty_user = (n % F.lit(MOD_EMPTY_USER)) == 0
     shift = (F.when(n % F.lit(MOD_LATE) == 0, F.lit(18000))

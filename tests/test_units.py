@@ -156,3 +156,16 @@ def test_coverage_without_cross_join(spark):
     assert len(got) == 10 and sum(v == "MISSING" for v in got.values()) == 4
     plan = cov._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_exact_quantiles_distributed_path_equals_percentile(spark):
+    import numpy as np
+    rows = [(g, float((i * 7919) % 1009)) for g in ("a", "b", "c") for i in range(300 if g != "c" else 1)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    small = {r.g: (r.p50, r.p90) for r in ranking.exact_quantiles(df, ["g"], "v", [0.5, 0.9], ["p50", "p90"]).collect()}
+    dist = {r.g: (r.p50, r.p90) for r in ranking.exact_quantiles(df, ["g"], "v", [0.5, 0.9], ["p50", "p90"],
+                                                                  small_group_values=10).collect()}
+    for g in ("a", "b", "c"):
+        arr = np.array([v for k, v in rows if k == g])
+        for got in (small[g], dist[g]):
+            assert abs(got[0] - np.quantile(arr, 0.5)) < 1e-9 and abs(got[1] - np.quantile(arr, 0.9)) < 1e-9
