@@ -1,13 +1,14 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A sort-merge join sends every row of a key to one task. When the per-key side
-(``keyed``) has few rows per key, the rows of a *hot* key on the large side can
-instead be joined map-side against a broadcast copy of just the hot keys'
-``keyed`` rows. The set of hot keys is bounded by construction: with
-``threshold`` rows per hot key there are at most ``rows / threshold`` of them,
-so the broadcast side has a proven size limit whatever the data volume.
-Cold keys take the ordinary shuffle join, where AQE may still pick a
-broadcast from runtime sizes.
+``split_join`` salts hot keys: a key of the large side with more than
+``threshold`` rows gets ``ceil(rows / threshold)`` salts; its rows pick a salt
+by hash and the per-key side (``keyed``: a dimension or a per-key aggregate,
+few rows per key) is replicated once per salt. One shuffle join then serves
+hot and cold keys alike, and no reducer receives more than about
+``threshold`` rows of one key. The table of salted keys is broadcast; its
+size is bounded by construction (at most rows / threshold keys). The per-key
+counts come from one partial aggregate, or from the caller when it already
+aggregates the same rows (fused into its own pass).
 """
 
 from __future__ import annotations
@@ -20,43 +21,49 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Keys with more than ``threshold`` rows. Partial aggregation runs
-    map-side, so a hot key costs one row per task before the shuffle."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-              .where(F.col("_rows") > F.lit(threshold))
-              .select(*keys))
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key; combined map-side, so a hot key costs one row per task."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_HOT_ROWS,
+             counts: DataFrame | None = None) -> DataFrame:
+    """Keys with more than ``threshold`` rows and their salt count."""
+    c = counts if counts is not None else key_counts(df, keys)
+    return (c.where(F.col("_rows") > F.lit(threshold))
+             .select(*keys, F.ceil(F.col("_rows") / F.lit(threshold)).cast("int").alias("_salts")))
 
 
 def split_join(big: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str = "inner",
-               condition=None, threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
+               condition=None, threshold: int = DEFAULT_HOT_ROWS,
+               counts: DataFrame | None = None) -> DataFrame:
     """``big`` joined with ``keyed`` on ``keys`` (+ optional residual condition).
 
     ``how`` is ``inner`` or ``left`` (rows of ``big`` kept). ``condition`` is a
     function ``(big_df, keyed_df) -> Column`` evaluated after the key match.
-    ``keyed`` must have a small number of rows per key (a dimension or a
-    per-key aggregate).
+    ``counts`` (keys, ``_rows``) may be passed when the caller has them.
     """
     if how not in ("inner", "left"):
         raise ValueError("split_join supports inner and left joins")
-    hot = F.broadcast(hot_keys(big, keys, threshold))
-    big_hot = big.join(hot, list(keys), "left_semi")
-    big_cold = big.join(hot, list(keys), "left_anti")
-    keyed_hot = F.broadcast(keyed.join(hot, list(keys), "left_semi"))
-
-    def _join(left: DataFrame, right: DataFrame) -> DataFrame:
-        if condition is None:
-            return left.join(right, list(keys), how)
-        l, r = left.alias("_l"), right.alias("_r")
-        cond: Column = condition(l, r)
-        for k in keys:
-            cond = (F.col(f"_l.{k}") == F.col(f"_r.{k}")) & cond
-        out = l.join(r, cond, how)
-        other = [c for c in right.columns if c not in keys]
-        return out.select(*[F.col(f"_l.{c}") for c in left.columns],
-                          *[F.col(f"_r.{c}") for c in other])
-
-    return _join(big_cold, keyed).unionByName(_join(big_hot, keyed_hot))
+    keys = list(keys)
+    salts = F.broadcast(hot_keys(big, keys, threshold, counts))
+    n = F.coalesce(F.col("_salts"), F.lit(1))
+    b = (big.join(salts, keys, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int"))
+            .drop("_salts"))
+    k = (keyed.join(salts, keys, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
+              .drop("_salts"))
+    jk = keys + ["_salt"]
+    if condition is None:
+        return b.join(k, jk, how).drop("_salt")
+    l, r = b.alias("_l"), k.alias("_r")
+    cond: Column = condition(l, r)
+    for c in jk:
+        cond = (F.col(f"_l.{c}") == F.col(f"_r.{c}")) & cond
+    other = [c for c in keyed.columns if c not in keys]
+    return l.join(r, cond, how).select(*[F.col(f"_l.{c}") for c in big.columns],
+                                       *[F.col(f"_r.{c}") for c in other])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

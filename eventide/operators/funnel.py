@@ -66,24 +66,36 @@ def step_times(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(),
     if _needs_step_name(spec):
         events = _with_step_name(events)
     later = spec.steps[1:]
-    invited = invited_users(events, spec, window)
+    step_names = sorted({s.event for s in later})
     flags = [_step_cond(s).alias(f"_s{s.number}") for s in later]
-    step_events = (events.where(F.col(NAME).isin(*sorted({s.event for s in later})) &
-                                F.col(U).isNotNull() & F.col(T).isNotNull())
+    step_events = (events.where(F.col(NAME).isin(*step_names) & F.col(U).isNotNull() & F.col(T).isNotNull())
                          .select(U, T, TS, *flags))
     mins = [F.min(F.when(F.col(f"_s{s.number}"), F.col(TS))).alias(f"step_{s.number}_at") for s in later]
-    if spec.after_invite or spec.window_days:
-        def cond(l, r):
-            c = F.col(f"_l.{TS}") >= F.col("_r.invited_at")
-            if spec.window_days:
-                c = c & (F.col(f"_l.{TS}") < F.timestamp_add("DAY", F.lit(spec.window_days),
-                                                             F.col("_r.invited_at")))
-            return c
-        joined = split_join(step_events, invited.where(F.col(U).isNotNull() & F.col(T).isNotNull()),
-                            [U, T], how="inner", condition=cond, threshold=hot_rows)
-        per_key = joined.groupBy(U, T).agg(*mins)
-    else:
+    if not (spec.after_invite or spec.window_days):
+        invited = invited_users(events, spec, window)
         per_key = step_events.groupBy(U, T).agg(*mins)
+        return invited.join(per_key, [U, T], "left")
+
+    # One pass gives the invite time and the step-row count per key (the
+    # counts size the salting of hot keys in the join below).
+    inv_cond = _step_cond(spec.invite)
+    if window:
+        inv_cond = inv_cond & (F.col(TS) >= F.lit(window.start).cast("timestamp_ntz")) & \
+            (F.col(TS) < F.lit(window.end).cast("timestamp_ntz"))
+    per_user = (events.where(F.col(NAME).isin(spec.invite.event, *step_names))
+                      .groupBy(U, T)
+                      .agg(F.min(F.when(inv_cond, F.col(TS))).alias("invited_at"),
+                           F.count_if(F.col(NAME).isin(*step_names)).alias("_rows")))
+    invited = per_user.where(F.col("invited_at").isNotNull()).select(U, T, "invited_at")
+
+    def cond(l, r):
+        c = F.col(f"_l.{TS}") >= F.col("_r.invited_at")
+        if spec.window_days:
+            c = c & (F.col(f"_l.{TS}") < F.timestamp_add("DAY", F.lit(spec.window_days), F.col("_r.invited_at")))
+        return c
+    joined = split_join(step_events, invited, [U, T], how="inner", condition=cond, threshold=hot_rows,
+                        counts=per_user.select(U, T, "_rows"))
+    per_key = joined.groupBy(U, T).agg(*mins)
     return invited.join(per_key, [U, T], "left")
 
 
