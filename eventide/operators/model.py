@@ -194,13 +194,16 @@ def sessions(events: DataFrame, nav_event: str = NAV_EVENT) -> DataFrame:
 
 # -------------------------------------------------------------------- M-12
 def write_clustered(df: DataFrame, path: str, date_col: str = "event_date",
-                    cluster: Sequence[str] = ("tenant_id", "event_name"), mode: str = "overwrite") -> None:
+                    cluster: Sequence[str] = ("tenant_id", "event_name"), mode: str = "overwrite",
+                    shuffle: bool = True) -> None:
     """Partition by date, cluster rows by tenant and event inside each file.
     Repartitioning on the date column groups each date's rows; the sort inside
-    partitions gives parquet min/max statistics that prune on tenant/event."""
-    (df.repartition(date_col)
-       .sortWithinPartitions(date_col, *cluster)
-       .write.mode(mode).partitionBy(date_col).parquet(path))
+    partitions gives parquet min/max statistics that prune on tenant/event.
+    ``shuffle=False`` skips the repartition for input that is already
+    range-partitioned by time (e.g. after ``add_event_key``): each task then
+    holds a contiguous time range, i.e. few dates."""
+    out = df.repartition(date_col) if shuffle else df
+    out.sortWithinPartitions(date_col, *cluster).write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 # -------------------------------------------------------------------- M-13
