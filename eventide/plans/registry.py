@@ -816,3 +816,15 @@ def _m12(c: Ctx):
     # partition pruning: one date read back
     return back.where(F.col("event_date") == F.lit("2024-01-10").cast("date")) \
                .groupBy("tenant_id", "event_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("st5_session_windows")
+def _st5w(c: Ctx):
+    """Gap-based sessions (30 min) per user and tenant, when no session id is trusted."""
+    src = c.stream()
+    out = f"{c.run_dir}/st5w"
+    # append mode emits a session once the watermark (max event time - 6 h)
+    # passes its end; sessions still open at the end of the input stay in state
+    ST.run_available(ST.session_windows(src, gap="30 minutes", delay="6 hours").writeStream
+                     .format("parquet").option("path", out).outputMode("append"), f"{c.run_dir}/st5w_ckpt")
+    return c.spark.read.parquet(out)
