@@ -180,7 +180,7 @@ def _f1(c: Ctx):
 
 @register("f2_funnel")
 def _f2(c: Ctx):
-    return FN.funnel(c.raw)
+    return FN.funnel(c.raw).orderBy("step_number")
 
 
 @register("f3_e2e_conversion")
@@ -190,17 +190,17 @@ def _f3(c: Ctx):
 
 @register("f4_time_to_complete")
 def _f4(c: Ctx):
-    return FN.time_to_complete(c.raw)
+    return FN.time_to_complete(c.raw).orderBy("transition_order")
 
 
 @register("f5_segment_by_role")
 def _f5(c: Ctx):
-    return FN.segment_by_role(c.raw, c.users_nokey)
+    return FN.segment_by_role(c.raw, c.users_nokey).orderBy(F.col("activation_rate").desc_nulls_last(), "role")
 
 
 @register("f6_weekly_cohort")
 def _f6(c: Ctx):
-    return FN.weekly_cohort(c.raw)
+    return FN.weekly_cohort(c.raw).orderBy("cohort_week")
 
 
 @register("f7_funnel_template")
@@ -286,7 +286,7 @@ def _f36(c: Ctx):
 # ------------------------------------------------------------------ quality
 @register("q1_reconcile_day")
 def _q1(c: Ctx):
-    return Q.reconcile(c.raw, c.degraded)
+    return Q.reconcile(c.raw, c.degraded).orderBy("status", "event_date", "event_name")
 
 
 @register("q1_reconcile_name")
@@ -311,7 +311,7 @@ def _q5(c: Ctx):
 
 @register("q6_null_checks")
 def _q6(c: Ctx):
-    return Q.null_checks(c.raw)
+    return Q.null_checks(c.raw).orderBy(F.col("null_rate_pct").desc(), "event_name")
 
 
 @register("q7_null_verdict")
@@ -326,7 +326,7 @@ def _q8(c: Ctx):
 
 @register("q9_duplicates")
 def _q9(c: Ctx):
-    return Q.duplicates(c.raw)
+    return Q.duplicates(c.raw).orderBy(F.col("total_duplicate_rows").desc(), "event_name", "tenant_id")
 
 
 @register("q10_duplicates_template")
@@ -336,7 +336,7 @@ def _q10(c: Ctx):
 
 @register("q11_p0_coverage")
 def _q11(c: Ctx):
-    return Q.p0_coverage(c.raw)
+    return Q.p0_coverage(c.raw).orderBy(F.col("status").desc(), "tenant_id", "event_name")
 
 
 @register("q12_coverage_gaps")
@@ -432,7 +432,7 @@ def _r1(c: Ctx):
 
 @register("r2_event_volume")
 def _r2(c: Ctx):
-    return R.event_volume(c.fact)
+    return R.event_volume(c.fact).orderBy(F.col("event_count").desc(), "event_category", "event_name")
 
 
 @register("r3_category_distribution")
@@ -442,7 +442,7 @@ def _r3(c: Ctx):
 
 @register("r4_tenant_overview")
 def _r4(c: Ctx):
-    return R.tenant_overview(c.fact, c.tenants)
+    return R.tenant_overview(c.fact, c.tenants).orderBy(F.col("total_events").desc(), "tenant_id")
 
 
 @register("r5_quality_scorecard")

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # sizes; dynamic overwrite lets M-14 replace only touched date partitions.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
