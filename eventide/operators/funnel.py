@@ -499,7 +499,10 @@ def uplift_projection(events: DataFrame, factor: float = C.IMPROVEMENT_FACTOR) -
     """F-37: per quarter of the first invite, invited users, current e2e
     conversion and the extra activated users at ``factor`` × conversion."""
     st = step_times(events)
-    q = st.groupBy(F.date_trunc("quarter", F.col("invited_at")).cast("timestamp_ntz").alias("quarter")) \
+    d = F.to_date("invited_at")
+    quarter = F.make_date(F.year(d), (F.floor((F.month(d) - 1) / 3) * 3 + 1).cast("int"), F.lit(1)) \
+        .cast("timestamp_ntz")
+    q = st.groupBy(quarter.alias("quarter")) \
           .agg(F.count(F.lit(1)).alias("invited"), F.count("step_7_at").alias("activated"))
     cvr = F.col("activated").cast("double") / F.col("invited")
     return q.select("quarter", "invited", "activated",

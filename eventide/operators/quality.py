@@ -315,7 +315,8 @@ def column_drift(a: DataFrame, b: DataFrame) -> list[tuple[str, str]]:
 
 def timezone_shift(raw: DataFrame, zone: str) -> DataFrame:
     """Q-22: daily counts under UTC vs under a second zone, per date."""
-    local = F.to_date(F.from_utc_timestamp(F.col(TS).cast("timestamp"), zone))
+    # wall-clock UTC → wall clock in ``zone``, both timestamp_ntz (no session zone involved)
+    local = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(TS)))
     utc = raw.groupBy(F.to_date(TS).alias("event_date")).agg(F.count(F.lit(1)).alias("utc_rows"))
     loc = raw.groupBy(local.alias("event_date")).agg(F.count(F.lit(1)).alias("local_rows"))
     j = utc.join(loc, "event_date", "full")

@@ -24,3 +24,14 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() == 8
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", ["q22_timezone_shift", "f37_uplift_projection", "f6_weekly_cohort",
+                                  "f8_time_template", "m4_fct_events", "q28_weekly_health", "st2_hourly_counts"])
+def test_results_do_not_depend_on_session_time_zone(spark, sf_dir, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(QUERIES[name](spark, sf_dir), duck, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["match"], r
