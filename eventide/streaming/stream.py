@@ -85,12 +85,18 @@ def hourly_counts(events: DataFrame, delay: str = "4 hours") -> DataFrame:
                           to_ntz(F.col("w.end")).alias("window_end"), "event_name", "events"))
 
 
+def _batch_dir(path: str, batch_id: int) -> str:
+    # one folder per micro-batch, overwritten on retry: a batch replayed after
+    # a failure replaces its own output instead of appending it twice
+    return f"{path}/_batch={batch_id}"
+
+
 def upsert_batches(path: str, keys: Sequence[str]):
     """foreachBatch writer for update-mode aggregates: every micro-batch's
-    changed rows are appended with the batch id; readers take the latest
-    row per key (``latest``)."""
+    changed rows go to their own batch folder; readers take the latest row
+    per key (``latest``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(_batch_dir(path, batch_id))
     write.keys = list(keys)
     return write
 
@@ -113,9 +119,8 @@ def route_late(on_time_path: str, late_path: str, max_lag_hours: float = 4.0,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("_late", lag > F.lit(int(max_lag_hours * 3600)))
-        b.where(~F.col("_late")).drop("_late").write.mode("append").parquet(on_time_path)
-        b.where(F.col("_late")).drop("_late").withColumn("_batch", F.lit(batch_id)) \
-         .write.mode("append").parquet(late_path)
+        b.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(on_time_path, batch_id))
+        b.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(late_path, batch_id))
     return write
 
 
