@@ -470,7 +470,7 @@ def _st1(c: Ctx):
     src = c.stream()
     out = f"{c.run_dir}/st1"
     ST.run_available(ST.dedupe_stream(src).writeStream.format("parquet").option("path", out)
-                     .outputMode("append"), f"{c.run_dir}/st1_ckpt")
+                     .outputMode("append"), f"{c.run_dir}/st1_ckpt", ST.state_partitions(c.spark))
     return c.spark.read.parquet(out).select(*FACT_COLS)
 
 
@@ -479,7 +479,7 @@ def _st2(c: Ctx):
     src = c.stream()
     out, keys = f"{c.run_dir}/st2", ["window_start", "window_end", "event_name"]
     ST.run_available(ST.hourly_counts(src, delay="24 hours").writeStream.outputMode("update")
-                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st2_ckpt")
+                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st2_ckpt", ST.state_partitions(c.spark))
     return ST.latest(c.spark, out, keys)
 
 
@@ -487,7 +487,7 @@ def _st2(c: Ctx):
 def _st3(c: Ctx):
     src = c.stream()
     on_time, late = f"{c.run_dir}/st3_on_time", f"{c.run_dir}/st3_late"
-    ST.run_available(src.writeStream.foreachBatch(ST.route_late(on_time, late)), f"{c.run_dir}/st3_ckpt")
+    ST.run_available(src.writeStream.foreachBatch(ST.route_late(on_time, late)), f"{c.run_dir}/st3_ckpt", ST.state_partitions(c.spark))
     return c.spark.read.parquet(late).select("event_id", "event_name", "event_timestamp", "collector_tstamp")
 
 
@@ -496,7 +496,7 @@ def _st4(c: Ctx):
     src = c.stream()
     out = f"{c.run_dir}/st4"
     ST.run_available(ST.debounce_stream(src).writeStream.format("parquet").option("path", out)
-                     .outputMode("append"), f"{c.run_dir}/st4_ckpt")
+                     .outputMode("append"), f"{c.run_dir}/st4_ckpt", ST.state_partitions(c.spark))
     return c.spark.read.parquet(out)
 
 
@@ -510,7 +510,7 @@ def _st5(c: Ctx):
     src = c.stream()
     out, keys = f"{c.run_dir}/st5", ["session_id", "user_id", "tenant_id"]
     ST.run_available(ST.session_stream(src).writeStream.outputMode("update")
-                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st5_ckpt")
+                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st5_ckpt", ST.state_partitions(c.spark))
     return ST.latest(c.spark, out, keys)
 
 
@@ -523,7 +523,7 @@ def _st6(c: Ctx):
     out = f"{c.run_dir}/st6"
     opt = c.spark.createDataFrame([(t,) for t in OPT_OUT_TENANTS], "tenant_id string")
     ST.run_available(ST.suppress_opted_out(src, F.broadcast(opt)).writeStream.format("parquet")
-                     .option("path", out).outputMode("append"), f"{c.run_dir}/st6_ckpt")
+                     .option("path", out).outputMode("append"), f"{c.run_dir}/st6_ckpt", ST.state_partitions(c.spark))
     return c.spark.read.parquet(out).select(*FACT_COLS, "collector_tstamp")
 
 
@@ -826,5 +826,5 @@ def _st5w(c: Ctx):
     # append mode emits a session once the watermark (max event time - 6 h)
     # passes its end; sessions still open at the end of the input stay in state
     ST.run_available(ST.session_windows(src, gap="30 minutes", delay="6 hours").writeStream
-                     .format("parquet").option("path", out).outputMode("append"), f"{c.run_dir}/st5w_ckpt")
+                     .format("parquet").option("path", out).outputMode("append"), f"{c.run_dir}/st5w_ckpt", ST.state_partitions(c.spark))
     return c.spark.read.parquet(out)

@@ -58,9 +58,27 @@ def read_landing(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
                  .drop("arrival_date"))
 
 
-def run_available(query_writer, checkpoint: str):
-    """Start a DataStreamWriter with availableNow and wait for it."""
-    q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def state_partitions(spark: SparkSession) -> int:
+    """Shuffle/state partitions for a new stateful query: the session's
+    setting, capped at twice the cluster's default parallelism (state
+    partitions are fixed for the life of a checkpoint, and every micro-batch
+    runs one task per partition)."""
+    cur = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(cur, 2 * spark.sparkContext.defaultParallelism))
+
+
+def run_available(query_writer, checkpoint: str, partitions: int | None = None):
+    """Start a DataStreamWriter with availableNow and wait for it. When
+    ``partitions`` is given it is the query's shuffle/state partition count
+    (set only while the query starts, then restored)."""
+    spark = SparkSession.active()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
