@@ -14,6 +14,7 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
         return
     r = compare(df, duck, ORACLE[name])
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["match"], r
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
