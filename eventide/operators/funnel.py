@@ -566,8 +566,9 @@ def ticket_rate(events: DataFrame, tickets: DataFrame, days: int = 7,
     users = inv.join(per_user, [U, T], "left").agg(F.count(F.lit(1)).alias("invited"),
                                                    F.count("has_ticket").alias("with_ticket"))
     tks = tk.agg(F.count(F.lit(1)).alias("tickets"), F.count_if("_48h").alias("tickets_48h"))
-    # two one-row aggregates side by side (equi-join on a constant key)
-    return (users.withColumn("_k", F.lit(1)).join(tks.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # two one-row aggregates side by side: union + max, no join
+    both = users.unionByName(tks, allowMissingColumns=True)
+    return (both.agg(*[F.max(c).alias(c) for c in ("invited", "with_ticket", "tickets", "tickets_48h")])
             .select("invited", "with_ticket", pct("with_ticket", "invited", 1).alias("ticket_rate_pct"),
                     "tickets", pct("tickets_48h", "tickets", 1).alias("within_48h_pct")))
 
@@ -692,12 +693,14 @@ def guardrails(events: DataFrame, tickets: DataFrame, cut: str) -> DataFrame:
     med = exact_quantiles(x, ["period"], "accept_min", [0.5], ["accept_p50_min"]) \
         .withColumn("accept_p50_min", F.round("accept_p50_min", 2))
     g = g.join(med, "period", "left")
-    b, a = g.where(F.col("period") == "before").alias("b"), g.where(F.col("period") == "after").alias("a")
-    j = b.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k")  # one row per side
+    metrics = ("activation_pct", "abandonment_pct", "ticket_pct", "accept_p50_min")
+    # the two period rows side by side: conditional aggregates, no join
+    j = g.agg(*[F.max(F.when(F.col("period") == p, F.col(m))).alias(f"{p}_{m}")
+                for p in ("before", "after") for m in metrics])
     rows = []
     for m, kind, lim in (("activation_pct", "drop_pts", 5.0), ("abandonment_pct", "rise_pts", 5.0),
                          ("ticket_pct", "rise_pts", 5.0), ("accept_p50_min", "rise_rel", 0.2)):
-        bv, av = F.col(f"b.{m}"), F.col(f"a.{m}")
+        bv, av = F.col(f"before_{m}"), F.col(f"after_{m}")
         ok = (bv - av <= lim) if kind == "drop_pts" else (av - bv <= lim) if kind == "rise_pts" else \
             (av <= bv * (1 + lim))
         rows.append(F.struct(F.lit(m).alias("metric"), bv.alias("before"), av.alias("after"),
@@ -710,12 +713,14 @@ def stratified_rates(events: DataFrame, dim_tenants: DataFrame, days: int = 90)
     invites in the last ``days`` days of data."""
     from ..functions.skew import bounded_broadcast
     prof = invite_profile(events, {"activated": _ev("dedicated_user_activated")})
-    last = prof.agg(F.max("invited_at").alias("_last"))
+    last = prof.agg(F.max("invited_at")).first()[0]      # one scalar to the driver
     t = bounded_broadcast(dim_tenants.where(F.col("is_current"))
                           .select(T, seat_bucket(F.col("seat_limit")).alias("seat_bucket"), "sso_enabled"))
-    x = (prof.withColumn("_k", F.lit(1)).join(last.withColumn("_k", F.lit(1)), "_k")
-             .where(F.col("invited_at") > F.timestamp_add("DAY", F.lit(-days), F.col("_last")))
-             .join(t, T, "left"))
+    x = prof
+    if last is not None:
+        cut = F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz")   # exact, no zone conversion
+        x = x.where(F.col("invited_at") > F.timestamp_add("DAY", F.lit(-days), cut))
+    x = x.join(t, T, "left")
     return x.groupBy("seat_bucket", "sso_enabled").agg(F.count(F.lit(1)).alias("invited"),
                                                       F.sum("activated").cast("long").alias("activated")) \
             .withColumn("activation_pct", pct("activated", "invited", 1))
