@@ -193,17 +193,30 @@ def sessions(events: DataFrame, nav_event: str = NAV_EVENT) -> DataFrame:
 
 
 # -------------------------------------------------------------------- M-12
+def clustered_layout(df: DataFrame, part_col: str, cluster: Sequence[str] = (),
+                     num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on (partition column, cluster columns, a unique row
+    key) and sort within partitions. A date or a hot tenant spreads over as
+    many balanced tasks as its size needs; each task writes a contiguous,
+    sorted slice, so files stay few per date and row groups carry narrow
+    min/max statistics. ``repartition(date)`` would instead give one task per
+    date."""
+    from ..session import shuffle_partitions
+    n = num_partitions or shuffle_partitions(df.sparkSession)
+    row_key = F.col("event_id") if "event_id" in df.columns else F.xxhash64(*[F.col(c) for c in df.columns])
+    keys = [F.col(part_col), *[F.col(c) for c in cluster], row_key]
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(part_col, *cluster)
+
+
 def write_clustered(df: DataFrame, path: str, date_col: str = "event_date",
                     cluster: Sequence[str] = ("tenant_id", "event_name"), mode: str = "overwrite",
                     shuffle: bool = True) -> None:
-    """Partition by date, cluster rows by tenant and event inside each file.
-    Repartitioning on the date column groups each date's rows; the sort inside
-    partitions gives parquet min/max statistics that prune on tenant/event.
-    ``shuffle=False`` skips the repartition for input that is already
-    range-partitioned by time (e.g. after ``add_event_key``): each task then
-    holds a contiguous time range, i.e. few dates."""
-    out = df.repartition(date_col) if shuffle else df
-    out.sortWithinPartitions(date_col, *cluster).write.mode(mode).partitionBy(date_col).parquet(path)
+    """M-12 / SRC-7: partition by date, cluster rows by tenant and event inside
+    each file (see ``clustered_layout``). ``shuffle=False`` skips the range
+    shuffle for input already range-partitioned by time (e.g. after
+    ``add_event_key``): each task then holds a contiguous time range."""
+    out = clustered_layout(df, date_col, cluster) if shuffle else df.sortWithinPartitions(date_col, *cluster)
+    out.write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 # -------------------------------------------------------------------- M-13

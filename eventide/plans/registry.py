@@ -61,16 +61,14 @@ class Ctx:
         orphan = f.where(n == 0).withColumn("event_name", F.lit("dedicated_orphan_event"))
         return kept.unionByName(orphan).drop("n")
 
-    @cached_property
-    def landing(self) -> str:
-        """Raw events landed as files by arrival date (stream source)."""
+    def replay(self, name: str, build) -> str:
+        """Run a streaming query over raw events that land week by week;
+        returns the query's folder (sinks go below it)."""
         import uuid
-        self.run_dir = scratch_path(self.spark, f"stream-{uuid.uuid4().hex}")
-        ST.land_files(self.raw_n, f"{self.run_dir}/landing")
-        return f"{self.run_dir}/landing"
-
-    def stream(self):
-        return ST.read_landing(self.spark, self.landing, files_per_trigger=4)
+        root = scratch_path(self.spark, f"stream-{name}-{uuid.uuid4().hex}")
+        self.run_dir = root
+        ST.replay(self.spark, self.raw_n, root, build(root), partitions=ST.state_partitions(self.spark))
+        return root
 
     @cached_property
     def users(self) -> DataFrame:
@@ -467,37 +465,32 @@ FACT_COLS = ["event_id", "event_name", "tenant_id", "user_id", "session_id", "ev
 
 @register("st1_stream_dedupe")
 def _st1(c: Ctx):
-    src = c.stream()
-    out = f"{c.run_dir}/st1"
-    ST.run_available(ST.dedupe_stream(src).writeStream.format("parquet").option("path", out)
-                     .outputMode("append"), f"{c.run_dir}/st1_ckpt", ST.state_partitions(c.spark))
-    return c.spark.read.parquet(out).select(*FACT_COLS)
+    root = c.replay("st1", lambda r: lambda src: ST.dedupe_stream(src).writeStream.format("parquet")
+                    .option("path", f"{r}/out").outputMode("append"))
+    return c.spark.read.parquet(f"{root}/out").select(*FACT_COLS)
 
 
 @register("st2_hourly_counts")
 def _st2(c: Ctx):
-    src = c.stream()
-    out, keys = f"{c.run_dir}/st2", ["window_start", "window_end", "event_name"]
-    ST.run_available(ST.hourly_counts(src, delay="24 hours").writeStream.outputMode("update")
-                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st2_ckpt", ST.state_partitions(c.spark))
-    return ST.latest(c.spark, out, keys)
+    keys = ["window_start", "window_end", "event_name"]
+    root = c.replay("st2", lambda r: lambda src: ST.hourly_counts(src, delay="24 hours").writeStream
+                    .outputMode("update").foreachBatch(ST.upsert_batches(f"{r}/out", keys)))
+    return ST.latest(c.spark, f"{root}/out", keys)
 
 
 @register("st3_late_routing")
 def _st3(c: Ctx):
-    src = c.stream()
-    on_time, late = f"{c.run_dir}/st3_on_time", f"{c.run_dir}/st3_late"
-    ST.run_available(src.writeStream.foreachBatch(ST.route_late(on_time, late)), f"{c.run_dir}/st3_ckpt", ST.state_partitions(c.spark))
-    return c.spark.read.parquet(late).select("event_id", "event_name", "event_timestamp", "collector_tstamp")
+    root = c.replay("st3", lambda r: lambda src: src.writeStream.foreachBatch(
+        ST.route_late(f"{r}/on_time", f"{r}/late")))
+    return c.spark.read.parquet(f"{root}/late").select("event_id", "event_name", "event_timestamp",
+                                                      "collector_tstamp")
 
 
 @register("st4_debounce")
 def _st4(c: Ctx):
-    src = c.stream()
-    out = f"{c.run_dir}/st4"
-    ST.run_available(ST.debounce_stream(src).writeStream.format("parquet").option("path", out)
-                     .outputMode("append"), f"{c.run_dir}/st4_ckpt", ST.state_partitions(c.spark))
-    return c.spark.read.parquet(out)
+    root = c.replay("st4", lambda r: lambda src: ST.debounce_stream(src).writeStream.format("parquet")
+                    .option("path", f"{r}/out").outputMode("append"))
+    return c.spark.read.parquet(f"{root}/out")
 
 
 @register("st4_debounce_batch")
@@ -507,11 +500,10 @@ def _st4b(c: Ctx):
 
 @register("st5_sessions")
 def _st5(c: Ctx):
-    src = c.stream()
-    out, keys = f"{c.run_dir}/st5", ["session_id", "user_id", "tenant_id"]
-    ST.run_available(ST.session_stream(src).writeStream.outputMode("update")
-                     .foreachBatch(ST.upsert_batches(out, keys)), f"{c.run_dir}/st5_ckpt", ST.state_partitions(c.spark))
-    return ST.latest(c.spark, out, keys)
+    keys = ["session_id", "user_id", "tenant_id"]
+    root = c.replay("st5", lambda r: lambda src: ST.session_stream(src).writeStream.outputMode("update")
+                    .foreachBatch(ST.upsert_batches(f"{r}/out", keys)))
+    return ST.latest(c.spark, f"{root}/out", keys)
 
 
 OPT_OUT_TENANTS = ["tenant_5"]
@@ -519,12 +511,10 @@ OPT_OUT_TENANTS = ["tenant_5"]
 
 @register("st6_opt_out")
 def _st6(c: Ctx):
-    src = c.stream()
-    out = f"{c.run_dir}/st6"
-    opt = c.spark.createDataFrame([(t,) for t in OPT_OUT_TENANTS], "tenant_id string")
-    ST.run_available(ST.suppress_opted_out(src, F.broadcast(opt)).writeStream.format("parquet")
-                     .option("path", out).outputMode("append"), f"{c.run_dir}/st6_ckpt", ST.state_partitions(c.spark))
-    return c.spark.read.parquet(out).select(*FACT_COLS, "collector_tstamp")
+    opt = F.broadcast(c.spark.createDataFrame([(t,) for t in OPT_OUT_TENANTS], "tenant_id string"))
+    root = c.replay("st6", lambda r: lambda src: ST.suppress_opted_out(src, opt).writeStream.format("parquet")
+                    .option("path", f"{r}/out").outputMode("append"))
+    return c.spark.read.parquet(f"{root}/out").select(*FACT_COLS, "collector_tstamp")
 
 
 # ------------------------------------------------------------------ governance
@@ -820,11 +810,9 @@ def _m12(c: Ctx):
 
 @register("st5_session_windows")
 def _st5w(c: Ctx):
-    """Gap-based sessions (30 min) per user and tenant, when no session id is trusted."""
-    src = c.stream()
-    out = f"{c.run_dir}/st5w"
-    # append mode emits a session once the watermark (max event time - 6 h)
-    # passes its end; sessions still open at the end of the input stay in state
-    ST.run_available(ST.session_windows(src, gap="30 minutes", delay="6 hours").writeStream
-                     .format("parquet").option("path", out).outputMode("append"), f"{c.run_dir}/st5w_ckpt", ST.state_partitions(c.spark))
-    return c.spark.read.parquet(out)
+    """Gap-based sessions (30 min) per user and tenant, when no session id is trusted.
+    Append mode emits a session once the watermark (max event time - 6 h)
+    passes its end; sessions still open at the end of the input stay in state."""
+    root = c.replay("st5w", lambda r: lambda src: ST.session_windows(src, gap="30 minutes", delay="6 hours")
+                    .writeStream.format("parquet").option("path", f"{r}/out").outputMode("append"))
+    return c.spark.read.parquet(f"{root}/out")

@@ -40,22 +40,48 @@ def to_ntz(c) -> "F.Column":
 
 
 # ------------------------------------------------------------------ source
-def land_files(raw: DataFrame, path: str) -> None:
-    """Write raw events as landing files, one folder per arrival date
-    (collector date), the way a collector drops hourly/daily files."""
-    (raw.withColumn("arrival_date", F.to_date("collector_tstamp"))
-        .repartition("arrival_date")
-        .sortWithinPartitions("collector_tstamp")
-        .write.mode("overwrite").partitionBy("arrival_date").parquet(path))
-
-
-def read_landing(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Streaming read of the landing folder with an explicit schema; one
-    file per micro-batch replays arrival order."""
-    return (spark.readStream.schema(RAW_STREAM_SCHEMA + ", arrival_date date")
-                 .option("maxFilesPerTrigger", files_per_trigger)
-                 .parquet(path)
-                 .drop("arrival_date"))
+def land_files(raw: DataFrame, path: str, lo: str | None = None, hi: str | None = None,
+               mode: str = "append") -> None:
+    """Land raw events as collector files, one folder per arrival
+    (collector) date; optionally only the arrivals in [lo, hi). The write is
+    range-partitioned (balanced tasks, sorted files), never one task per day."""
+    from ..operators.model import clustered_layout
+    df = raw.withColumn("arrival_date", F.to_date("collector_tstamp"))
+    if lo is not None:
+        df = df.where((F.col("arrival_date") >= F.lit(lo).cast("date")) &
+                      (F.col("arrival_date") < F.lit(hi).cast("date")))
+    (clustered_layout(df, "arrival_date", ["collector_tstamp"])
+        .write.mode(mode).partitionBy("arrival_date").parquet(path))
+
+
+def read_landing(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of the landing folder with an explicit schema.
+    ``files_per_trigger`` caps the files per micro-batch (files are taken in
+    modification-time order)."""
+    r = spark.readStream.schema(RAW_STREAM_SCHEMA + ", arrival_date date")
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    return r.parquet(path).drop("arrival_date")
+
+
+def replay(spark: SparkSession, raw: DataFrame, root: str, build, chunk_days: int = 7,
+           partitions: int | None = None) -> None:
+    """Let files arrive over time: land the raw events chunk by chunk in
+    arrival order and, after each landing, let the query catch up
+    (``availableNow``, one micro-batch per landing). One checkpoint carries
+    offsets and state across the runs, as after a restart. ``build`` maps the
+    streaming source to a DataStreamWriter. The loop runs over arrival-date
+    chunks (a handful per month), each step a distributed job."""
+    import datetime as dt
+    lo, hi = raw.agg(F.min(F.to_date("collector_tstamp")), F.max(F.to_date("collector_tstamp"))).first()
+    if lo is None:
+        return
+    day = lo
+    while day <= hi:
+        nxt = day + dt.timedelta(days=chunk_days)
+        land_files(raw, f"{root}/landing", day.isoformat(), nxt.isoformat())
+        run_available(build(read_landing(spark, f"{root}/landing")), f"{root}/checkpoint", partitions)
+        day = nxt
 
 
 def state_partitions(spark: SparkSession) -> int:
@@ -133,10 +159,10 @@ def route_late(on_time_path: str, late_path: str, max_lag_hours: float = 4.0,
     """ST-3: foreachBatch that splits each batch into on-time rows and rows
     that arrived more than ``max_lag_hours`` after the event; the late rows'
     dates are what M-14 reprocesses."""
-    lag = F.timestamp_diff("SECOND", F.col("event_timestamp"), F.col(arrival_col))
+    lag = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), F.col(arrival_col))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_late", lag > F.lit(int(max_lag_hours * 3600)))
+        b = batch.withColumn("_late", lag > F.lit(int(max_lag_hours * 3600 * 1_000_000)))
         b.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(on_time_path, batch_id))
         b.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(late_path, batch_id))
     return write
@@ -170,11 +196,22 @@ def _debounce(window_ms: int):
     return fn
 
 
-def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "1 hour") -> DataFrame:
+def _on_time(events: DataFrame, max_lag_hours: float | None) -> DataFrame:
+    if max_lag_hours is None:
+        return events
+    lag = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), F.col("collector_tstamp"))
+    return events.where(lag <= F.lit(int(max_lag_hours * 3600 * 1_000_000)))
+
+
+def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "1 hour",
+                    max_lag_hours: float | None = 4.0) -> DataFrame:
     """ST-4: drop a navigation click that follows the previous click of the
     same (user, session, section) within ``window_ms``. State per key is the
-    last click time; it times out an hour after the watermark passes."""
-    nav = (events.where(F.col("event_name") == NAV_EVENT)
+    last click time; it times out an hour after the watermark passes. Rows
+    are ordered by event time inside a micro-batch and by arrival across
+    batches, so rows arriving more than ``max_lag_hours`` late are left to
+    the late route (ST-3 → M-14) instead of being judged out of order."""
+    nav = (_on_time(events, max_lag_hours).where(F.col("event_name") == NAV_EVENT)
                  .select("event_id", "user_id", "session_id",
                          F.get_json_object("properties", "$.section_name").alias("section_name"),
                          "event_timestamp", F.timestamp_micros(epoch_micros("event_timestamp")).alias(ET))
@@ -183,13 +220,13 @@ def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "1 hou
         _debounce(window_ms), DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def debounce_batch(events: DataFrame, window_ms: int = 200) -> DataFrame:
+def debounce_batch(events: DataFrame, window_ms: int = 200, max_lag_hours: float | None = 4.0) -> DataFrame:
     """ST-4 batch twin: the same rule with a skew-safe positional lag
     (NULL keys form their own group, as in GROUP BY)."""
     from ..functions.ranking import lag_by_position
     keys = ["user_id", "session_id", "section_name"]
     nul = "\u0000"
-    nav = (events.where((F.col("event_name") == NAV_EVENT))
+    nav = (_on_time(events, max_lag_hours).where((F.col("event_name") == NAV_EVENT))
                  .select("event_id", *[F.coalesce(c, F.lit(nul)).alias(k) for k, c in (
                      ("user_id", F.col("user_id")), ("session_id", F.col("session_id")),
                      ("section_name", F.get_json_object("properties", "$.section_name")))],
