@@ -724,3 +724,15 @@ def stratified_rates(events: DataFrame, dim_tenants: DataFrame, days: int = 90)
     return x.groupBy("seat_bucket", "sso_enabled").agg(F.count(F.lit(1)).alias("invited"),
                                                       F.sum("activated").cast("long").alias("activated")) \
             .withColumn("activation_pct", pct("activated", "invited", 1))
+
+
+def role_step_dropoff(segments: DataFrame) -> DataFrame:
+    """F-25: drop-off % of every funnel step against the previous one, per
+    role (from the one-pass segment counts of ``segment_funnel``)."""
+    r = segments.where(F.col("segment") == "role")
+    parts = []
+    for i in range(1, 8):
+        prev, cur = F.col(f"step_{i - 1}").cast("double"), F.col(f"step_{i}").cast("double")
+        parts.append(F.struct(F.lit(i).alias("step_number"), F.col(f"step_{i}").alias("users"),
+                              F.when(prev > 0, F.bround(F.lit(100.0) - cur / prev * 100.0, 1)).alias("dropoff_pct")))
+    return r.select(F.col("value").alias("role"), F.explode(F.array(*parts)).alias("p")).select("role", "p.*")

@@ -816,3 +816,29 @@ def _st5w(c: Ctx):
     root = c.replay("st5w", lambda r: lambda src: ST.session_windows(src, gap="30 minutes", delay="6 hours")
                     .writeStream.format("parquet").option("path", f"{r}/out").outputMode("append"))
     return c.spark.read.parquet(f"{root}/out")
+
+
+
+@register("f25_role_step_dropoff")
+def _f25(c: Ctx):
+    return FN.role_step_dropoff(FN.segment_funnel(c.raw, c.users_nokey, c.tenants))
+
+
+@register("src6_report_sets")
+def _src6(c: Ctx):
+    """Report data sets written as CSV (the workbook's sheets) and read back."""
+    import uuid
+    path = scratch_path(c.spark, f"reports-{uuid.uuid4().hex}")
+    IO.write_report_sets({"event_volume": R.event_volume(c.fact), "tenant_overview": R.tenant_overview(
+        c.fact, c.tenants)}, path, fmt="csv")
+    schema = ("event_category string, event_name string, event_count long, tenants long, users long, "
+              "first_seen date, last_seen date")
+    return c.spark.read.schema(schema).option("header", True).csv(f"{path}/event_volume")
+
+
+@register("q20_column_drift")
+def _q20c(c: Ctx):
+    """Columns added or removed between the raw and the fact layer (schema
+    metadata of the two derived tables; no rows are read)."""
+    rows = Q.column_drift(c.raw, c.fact)
+    return c.spark.createDataFrame(rows or [], "column_name string, change string")
