@@ -169,3 +169,29 @@ def test_exact_quantiles_distributed_path_equals_percentile(spark):
         arr = np.array([v for k, v in rows if k == g])
         for got in (small[g], dist[g]):
             assert abs(got[0] - np.quantile(arr, 0.5)) < 1e-9 and abs(got[1] - np.quantile(arr, 0.9)) < 1e-9
+
+
+def test_salted_paths_give_the_same_results(spark, sf_dir):
+    from eventide.plans.registry import Ctx
+    c = Ctx(spark, sf_dir)
+    base = sorted(map(tuple, FN.step_times(c.raw).collect()), key=str)
+    salted = sorted(map(tuple, FN.step_times(c.raw, hot_rows=3).collect()), key=str)
+    assert base == salted
+    plain = M.scd2_as_of(c.fact.select("event_id", "user_id", "event_timestamp"), c.users_nokey, "user_id",
+                         attrs=["role"])
+    hot = M.scd2_as_of(c.fact.select("event_id", "user_id", "event_timestamp"), c.users_nokey, "user_id",
+                       attrs=["role"], hot_rows=2)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, hot.collect()), key=str)
+
+
+def test_asof_last_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    left = [(i, rnd.choice("ab") if i % 3 else "a", rnd.randint(0, 500)) for i in range(300)]
+    right = [(rnd.choice("ab") if j % 4 else "a", rnd.randint(0, 500), f"v{j:03d}") for j in range(900)]
+    lf = spark.createDataFrame(left, "lid long, k string, t long")
+    rf = spark.createDataFrame(right, "k string, ts long, val string")
+    got = {r.lid: r.val for r in ranking.asof_last(lf, rf, ["k"], "t", "ts", "lid", ["val"]).collect()}
+    for lid, k, t in left:
+        cands = [(ts, v) for kk, ts, v in right if kk == k and ts <= t]
+        assert got[lid] == (max(cands)[1] if cands else None)
