@@ -562,7 +562,7 @@ def ticket_rate(events: DataFrame, tickets: DataFrame, days: int = 7,
     tk = split_join(tickets.select(U, T, "ticket_id", "opened_at"), inv, [U, T], how="inner",
                     condition=cond, threshold=hot_rows)
     tk = tk.withColumn("_48h", F.col("opened_at") < F.timestamp_add("HOUR", F.lit(48), F.col("invited_at")))
-    per_user = tk.groupBy(U, T).agg(F.lit(1).alias("has_ticket"))
+    per_user = tk.groupBy(U, T).agg(F.max(F.lit(1)).alias("has_ticket"))
     users = inv.join(per_user, [U, T], "left").agg(F.count(F.lit(1)).alias("invited"),
                                                    F.count("has_ticket").alias("with_ticket"))
     tks = tk.agg(F.count(F.lit(1)).alias("tickets"), F.count_if("_48h").alias("tickets_48h"))
@@ -603,8 +603,7 @@ def feature_adoption(events: DataFrame, dim_tenants: DataFrame, days: int = 30)
 def pipeline_retention_corr(events: DataFrame, early_days: int = 14, late_from: int = 15) -> DataFrame:
     """F-29: correlation between pipelines run in the first ``early_days``
     after invite and being active again from day ``late_from`` on."""
-    spec = _window_spec([], None)
-    inv = invited_users(events, spec).where(F.col(U).isNotNull())
+    inv = invited_users(events).where(F.col(U).isNotNull())
     ev = events.where(F.col(U).isNotNull()).select(U, T, TS, NAME)
 
     def cond(l, r):
