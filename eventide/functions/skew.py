@@ -66,9 +66,13 @@ def split_join(big: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str =
                                        *[F.col(f"_r.{c}") for c in other])
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (a limited count)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
     (a cheap limited count); otherwise return it unhinted so the planner and
     AQE pick a shuffle join from runtime sizes."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -87,3 +87,78 @@ def cosine_top_k(vectors: DataFrame, query: list[float], k: int = 10, id_col: st
     return (vectors.select(*rest, score.alias("score"))
                    .orderBy(F.col("score").desc_nulls_last(), F.col(id_col)).limit(k)
                    .withColumn("score", F.round("score", 6)))
+
+
+# ----------------------------------------------------------------- D-4
+SHINGLE_WORDS = 8
+KEYWORD_MIN_CHARS = 6
+PUNCTUATION = r"""[.,;:!?()"']"""
+
+
+def words(text):
+    """Whitespace tokens of the whole text (case kept, empties dropped)."""
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def shingles(df: DataFrame, id_col: str, text_col: str = "text", n: int = SHINGLE_WORDS,
+             distinct: bool = True) -> DataFrame:
+    """n-word shingles of every text, one row each (the whole text, every
+    window); distinct per text unless ``distinct`` is off."""
+    # the token array is projected once per row; the lambda then slices the
+    # column instead of re-tokenizing the text for every window
+    tok = df.select(id_col, words(F.col(text_col)).alias("_w"))
+    w = F.col("_w")
+    starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(
+        F.array().cast("array<int>"))
+    sh = F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
+    out = tok.select(id_col, F.explode(sh).alias("shingle"))
+    return out.distinct() if distinct else out
+
+
+def passage_top_k(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "item_id",
+                  doc_id: str = "doc_id", broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """D-4 retrieval: documents sharing the most shingles with each query
+    text; exact (no candidate cap). The document side is joined through the
+    salted split join (boilerplate shingles shared by many documents are
+    hot keys); ``row_number() <= k`` keeps a partial top-k per task. When
+    the distinct query shingles number at most ``broadcast_max_rows`` they are
+    broadcast and the corpus is filtered map-side first."""
+    from pyspark.sql import Window
+
+    from ..functions.skew import fits, split_join
+    qs = shingles(queries, query_id)
+    wanted = qs.select("shingle").distinct()
+    ds_all = shingles(docs, doc_id, distinct=False)
+    if fits(wanted, broadcast_max_rows):
+        wanted = F.broadcast(wanted)
+        # bounded query set: drop non-matching document shingles map-side,
+        # before any shuffle of the corpus
+        ds = ds_all.join(wanted, "shingle", "left_semi").distinct()
+        pairs = ds.join(qs, "shingle")
+    else:
+        pairs = split_join(ds_all.distinct(), qs, ["shingle"], how="inner")
+    scores = pairs.groupBy(query_id, doc_id).agg(F.count(F.lit(1)).alias("shared_shingles"))
+    w = Window.partitionBy(query_id).orderBy(F.col("shared_shingles").desc(), F.col(doc_id))
+    return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def keyword_recall_at_k(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "item_id",
+                        doc_id: str = "doc_id") -> DataFrame:
+    """D-4: per query, the share of its expected keywords (distinct words of
+    at least 6 characters, punctuation stripped) present anywhere in the
+    full text of its top-k retrieved documents."""
+    kw = (queries.select(query_id, F.explode(words(F.col("text"))).alias("w"))  # one tokenization per row
+                 .select(query_id, F.regexp_replace("w", PUNCTUATION, "").alias("keyword"))
+                 .where(F.length("keyword") >= KEYWORD_MIN_CHARS).distinct())
+    top = passage_top_k(queries, docs, k, query_id, doc_id)
+    retrieved = top.join(docs.select(doc_id, F.col("text").alias("_doc_text")), doc_id)
+    hits = (kw.join(retrieved, query_id, "left")
+              .groupBy(query_id, "keyword")
+              .agg(F.max(F.coalesce(F.col("_doc_text").contains(F.col("keyword")), F.lit(False)).cast("int"))
+                   .alias("found")))
+    per = hits.groupBy(query_id).agg(F.count(F.lit(1)).alias("keywords"),
+                                     F.sum("found").cast("long").alias("found"))
+    n = top.groupBy(query_id).agg(F.count(F.lit(1)).alias("retrieved"))
+    return (per.join(n, query_id, "left")
+               .select(query_id, "keywords", "found", F.coalesce("retrieved", F.lit(0).cast("long")).alias("retrieved"),
+                       F.round(F.col("found").cast("double") / F.col("keywords"), 4).alias("recall_at_k")))

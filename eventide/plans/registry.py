@@ -842,3 +842,14 @@ def _q20c(c: Ctx):
     metadata of the two derived tables; no rows are read)."""
     rows = Q.column_drift(c.raw, c.fact)
     return c.spark.createDataFrame(rows or [], "column_name string, change string")
+
+
+
+@register("d4_passage_top_k")
+def _d4a(c: Ctx):
+    return D.passage_top_k(X.table(c.spark, c.sf, "benchmark"), X.table(c.spark, c.sf, "documents"), k=3)
+
+
+@register("d4_keyword_recall")
+def _d4b(c: Ctx):
+    return D.keyword_recall_at_k(X.table(c.spark, c.sf, "benchmark"), X.table(c.spark, c.sf, "documents"), k=3)

@@ -195,3 +195,12 @@ def test_asof_last_matches_brute_force(spark):
     for lid, k, t in left:
         cands = [(ts, v) for kk, ts, v in right if kk == k and ts <= t]
         assert got[lid] == (max(cands)[1] if cands else None)
+
+
+def test_passage_search_paths_agree(spark, sf_dir):
+    from eventide.operators import docs as D
+    from eventide.sources import fixtures as X
+    q, d = X.table(spark, sf_dir, "benchmark"), X.table(spark, sf_dir, "documents")
+    a = sorted(map(tuple, D.passage_top_k(q, d, k=3).collect()))
+    b = sorted(map(tuple, D.passage_top_k(q, d, k=3, broadcast_max_rows=0).collect()))
+    assert a == b and len(a) > 0
