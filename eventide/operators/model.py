@@ -133,7 +133,10 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: str, attrs: Sequenc
     """
     ts = F.lit(as_of).cast("timestamp_ntz")
     cols = current.columns
-    inc = incoming.select(key, *attrs).dropDuplicates([key])
+    # one incoming row per key; a key sent twice keeps its greatest attribute
+    # tuple (deterministic, combined map-side)
+    inc = (incoming.groupBy(key).agg(F.max(F.struct(*[F.col(a) for a in attrs])).alias("_a"))
+                   .select(key, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
     open_rows = current.where(F.col("is_current"))
     closed_hist = current.where(~F.col("is_current"))
     o, i = open_rows.alias("o"), inc.alias("i")
