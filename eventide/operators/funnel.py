@@ -735,3 +735,26 @@ def role_step_dropoff(segments: DataFrame) -> DataFrame:
         parts.append(F.struct(F.lit(i).alias("step_number"), F.col(f"step_{i}").alias("users"),
                               F.when(prev > 0, F.bround(F.lit(100.0) - cur / prev * 100.0, 1)).alias("dropoff_pct")))
     return r.select(F.col("value").alias("role"), F.explode(F.array(*parts)).alias("p")).select("role", "p.*")
+
+
+def template_ttfv_effect(events: DataFrame, value_events: Sequence[str] = VALUE_EVENTS) -> DataFrame:
+    """F-24b: hours from first login to the first value action after it,
+    exact median per arm: the user's first created project used a template
+    or not (users without a project form their own arm)."""
+    spec = C.FunnelSpec((C.FunnelStep(0, "login", "dedicated_user_first_login"),
+                         *[C.FunnelStep(i + 1, e, e) for i, e in enumerate(value_events)]), after_invite=True)
+    st = step_times(events, spec)
+    first_value = F.least(*[F.col(f"step_{i + 1}_at") for i in range(len(value_events))])
+    src = "properties" if "properties" in events.columns else "properties_json"
+    proj = (events.where(_ev("dedicated_project_created") & F.col(U).isNotNull())
+                  .groupBy(U, T)
+                  .agg(F.min_by(F.get_json_object(src, "$.template_used"),
+                                F.struct(TS, F.get_json_object(src, "$.template_used"))).alias("_tpl")))
+    arm = F.when(F.col("_tpl") == "true", "template").when(F.col("_tpl") == "false", "no_template") \
+           .otherwise("no_project")
+    d = (st.join(proj, [U, T], "left")
+           .select(arm.alias("arm"), elapsed(F.col("invited_at"), first_value, 3600).alias("v"))
+           .where(F.col("v").isNotNull()))
+    n = d.groupBy("arm").agg(F.count(F.lit(1)).alias("users"))
+    q = exact_quantiles(d, ["arm"], "v", [0.5], ["p50_hours"])
+    return n.join(q, "arm").withColumn("p50_hours", F.round("p50_hours", 2))

@@ -853,3 +853,9 @@ def _d4a(c: Ctx):
 @register("d4_keyword_recall")
 def _d4b(c: Ctx):
     return D.keyword_recall_at_k(X.table(c.spark, c.sf, "benchmark"), X.table(c.spark, c.sf, "documents"), k=3)
+
+
+
+@register("f24_template_ttfv_effect")
+def _f24b(c: Ctx):
+    return FN.template_ttfv_effect(c.raw)
