@@ -49,3 +49,8 @@ def test_segments_cohorts_coverage_order(spark):
     assert q(spark, "q12_coverage_gaps").count() == 1
     assert q(spark, "q11_p0_coverage").count() == 40
     assert q(spark, "q18_timestamp_order").agg(F.sum("violations")).first()[0] == 44
+
+
+def test_registered_template_funnel_is_the_whole_month(spark):
+    r = q(spark, "f7_funnel_template").first()
+    assert (r.step_0_invited, r.step_3_ssh_key, r.step_7_activated) == (151, 70, 57)
