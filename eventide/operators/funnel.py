@@ -758,3 +758,26 @@ def template_ttfv_effect(events: DataFrame, value_events: Sequence[str] = VALUE_
     n = d.groupBy("arm").agg(F.count(F.lit(1)).alias("users"))
     q = exact_quantiles(d, ["arm"], "v", [0.5], ["p50_hours"])
     return n.join(q, "arm").withColumn("p50_hours", F.round("p50_hours", 2))
+
+
+# Keyword rules for support tickets nobody tagged (first match wins).
+TICKET_KEYWORDS = [
+    ("onboarding", r"(?i)\b(onboard\w*|invit\w*|first login|sign ?in|log ?in)\b"),
+    ("ssh", r"(?i)\b(ssh|public key|key pair)\b"),
+    ("pipeline", r"(?i)\b(pipeline|ci/cd|runner|job failed)\b"),
+    ("project", r"(?i)\b(project|repository|repo)\b"),
+]
+
+
+def tag_untagged(tickets: DataFrame, text_col: str = "text", tag_col: str = "category",
+                 rules=tuple(TICKET_KEYWORDS)) -> DataFrame:
+    """F-38 supplement: keep the existing tag; tickets without one get the
+    first keyword rule matching their text (``tag_source`` says which)."""
+    kw = None
+    for tag, pattern in rules:
+        cond = F.col(text_col).rlike(pattern)
+        kw = F.when(cond, F.lit(tag)) if kw is None else kw.when(cond, F.lit(tag))
+    tagged = F.col(tag_col).isNotNull() & (F.col(tag_col) != "")
+    return (tickets.withColumn("tag_source", F.when(tagged, "tagged").when(kw.isNotNull(), "keyword")
+                               .otherwise("untagged"))
+                   .withColumn(tag_col, F.when(tagged, F.col(tag_col)).otherwise(kw)))

@@ -204,3 +204,12 @@ def test_passage_search_paths_agree(spark, sf_dir):
     a = sorted(map(tuple, D.passage_top_k(q, d, k=3).collect()))
     b = sorted(map(tuple, D.passage_top_k(q, d, k=3, broadcast_max_rows=0).collect()))
     assert a == b and len(a) > 0
+
+
+def test_keyword_tagging_keeps_tags_and_fills_untagged(spark):
+    rows = [(1, "billing", "cannot log in"), (2, None, "My SSH key is rejected"),
+            (3, "", "the pipeline runner is stuck"), (4, None, "nothing relevant here")]
+    df = spark.createDataFrame(rows, "ticket_id int, category string, text string")
+    got = {r.ticket_id: (r.category, r.tag_source) for r in FN.tag_untagged(df).collect()}
+    assert got == {1: ("billing", "tagged"), 2: ("ssh", "keyword"), 3: ("pipeline", "keyword"),
+                   4: (None, "untagged")}
