@@ -89,7 +89,8 @@ SMALL_GROUP_VALUES = 5_000_000
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str],
-                    small_group_values: int = SMALL_GROUP_VALUES) -> DataFrame:
+                    small_group_values: int = SMALL_GROUP_VALUES,
+                    group_size_bound: int | None = None) -> DataFrame:
     """Exact interpolated quantiles (``QUANTILE_CONT``) per group.
 
     Position h = (n-1)·p; result = v[⌊h⌋] + (h-⌊h⌋)·(v[⌈h⌉] - v[⌊h⌋]).
@@ -100,12 +101,19 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     Otherwise positions come from range partitions (``with_position``) and
     only the ≤ 2·len(probs) rows per group at the needed positions reach
     the final aggregate, so no group is ever held in one task.
+
+    ``group_size_bound`` is an upper bound on any group's size known to the
+    caller (e.g. the number of invite rows for per-invite durations); when it
+    is within the limit the measuring pass is skipped.
     """
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-        vals.agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if group_size_bound is not None and group_size_bound <= small_group_values:
+        largest = group_size_bound
+    else:
+        sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
+            vals.agg(F.count(F.lit(1)).alias("_n"))
+        largest = sizes.agg(F.max("_n")).first()[0] or 0
     if largest <= small_group_values:
         q = F.percentile(F.col("_v"), [float(p) for p in probs])
         g = vals.groupBy(*group_cols).agg(q.alias("_q"))

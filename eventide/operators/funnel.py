@@ -174,7 +174,11 @@ def time_to_complete(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(a
                       F.when(at(a).isNotNull() & at(b).isNotNull(), elapsed(at(a), at(b), unit)).alias("v"))
              for label, a, b, unit in transitions]
     long = per_user.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    q = exact_quantiles(long, ["transition"], "v", [0.5, 0.9], ["median_minutes", "p90_minutes"])
+    # a transition has at most one value per (user, invite) group, so the
+    # invite rows bound every group (one count over a pushed-down filter)
+    bound = events.where(_step_cond(spec.invite)).count()
+    q = exact_quantiles(long, ["transition"], "v", [0.5, 0.9], ["median_minutes", "p90_minutes"],
+                        group_size_bound=bound)
     spark = events.sparkSession
     labels = spark.createDataFrame([(i, t[0]) for i, t in enumerate(transitions)],
                                    "transition_order int, transition string")
