@@ -25,6 +25,7 @@ from .. import config as C
 from ..functions.compat import boundary_diff, elapsed, flag, json_str, pct, week_start
 from ..functions.ranking import exact_quantiles
 from ..functions.skew import split_join
+from ..session import checkpoint_dir
 
 U, T, TS, NAME = "user_id", "tenant_id", "event_timestamp", "event_name"
 STEP_EVENT = "dedicated_onboarding_step_completed"
@@ -61,7 +62,7 @@ def invited_users(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(),
 
 def step_times(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(),
                window: C.Window | None = None,
-               hot_rows: int = C.Scale().hot_key_rows) -> DataFrame:
+               hot_rows: int = C.Scale().hot_key_rows, checkpoint: bool = True) -> DataFrame:
     """F-1: per (user, tenant): invited_at and step_<n>_at for n ≥ 1."""
     if _needs_step_name(spec):
         events = _with_step_name(events)
@@ -86,6 +87,12 @@ def step_times(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(),
                       .groupBy(U, T)
                       .agg(F.min(F.when(inv_cond, F.col(TS))).alias("invited_at"),
                            F.count_if(F.col(NAME).isin(*step_names)).alias("_rows")))
+    if checkpoint:
+        # one row per (user, tenant), used three times below (salt sizes, join
+        # side, final rows): materialize it once in the shared checkpoint
+        # folder instead of rescanning the events for each use
+        checkpoint_dir(events.sparkSession)
+        per_user = per_user.checkpoint(eager=True)
     invited = per_user.where(F.col("invited_at").isNotNull()).select(U, T, "invited_at")
 
     def cond(l, r):
