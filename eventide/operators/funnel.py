@@ -198,9 +198,12 @@ def time_to_complete(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(a
 def invite_profile(events: DataFrame, flags: dict[str, Column], invite_event: str = C.FUNNEL_STEPS[0][2]
                    ) -> DataFrame:
     """Per (user, tenant) with an invite: invited_at and one 0/1 column per
-    flag (any event of the pair, no time bound). One aggregation."""
+    flag (any event of the pair, no time bound). One aggregation. A NULL key
+    forms its own invite group but, as with an equality join, matches no
+    events, so its flags are 0."""
+    keyed = F.col(U).isNotNull() & F.col(T).isNotNull()
     aggs = [F.min(F.when(F.col(NAME) == invite_event, F.col(TS))).alias("invited_at")]
-    aggs += [flag(c).alias(name) for name, c in flags.items()]
+    aggs += [flag(c & keyed).alias(name) for name, c in flags.items()]
     return events.groupBy(U, T).agg(*aggs).where(F.col("invited_at").isNotNull())
 
 
@@ -208,12 +211,14 @@ def _ev(name: str) -> Column:
     return F.col(NAME) == F.lit(name)
 
 
-def segment_by_role(events: DataFrame, dim_users: DataFrame) -> DataFrame:
+def segment_by_role(events: DataFrame, dim_users: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """F-5: per role of the current user version: invited, logged in,
-    completed, activated; login %, completion % of logged in, activation %."""
-    prof = invite_profile(events, {"logged_in": _ev("dedicated_user_first_login"),
-                                   "completed": _ev("dedicated_onboarding_completed"),
-                                   "activated": _ev("dedicated_user_activated")})
+    completed, activated; login %, completion % of logged in, activation %.
+    ``profile`` (see ``user_profiles``) replaces the event pass when given."""
+    prof = profile if profile is not None else invite_profile(events, {
+        "logged_in": _ev("dedicated_user_first_login"),
+        "completed": _ev("dedicated_onboarding_completed"),
+        "activated": _ev("dedicated_user_activated")})
     cur = dim_users.where(F.col("is_current")).select(U, "role")
     per_user = (prof.join(cur, U).groupBy(U, "role")
                     .agg(F.max("logged_in").alias("logged_in"), F.max("completed").alias("completed"),
@@ -235,10 +240,11 @@ def role_severity(segments: DataFrame) -> DataFrame:
     return segments.withColumn("severity", F.when(a >= 15, "green").when(a >= 10, "yellow").otherwise("red"))
 
 
-def weekly_cohort(events: DataFrame) -> DataFrame:
+def weekly_cohort(events: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """F-6: per Monday-week of the first invite: invited, accepted, logged
     in, completed, activated, accept % and activation %."""
-    prof = invite_profile(events, {"accepted": _ev("dedicated_user_invitation_accepted"),
+    prof = profile if profile is not None else invite_profile(events, {
+                                   "accepted": _ev("dedicated_user_invitation_accepted"),
                                    "logged_in": _ev("dedicated_user_first_login"),
                                    "completed": _ev("dedicated_onboarding_completed"),
                                    "activated": _ev("dedicated_user_activated")})
@@ -792,3 +798,30 @@ def tag_untagged(tickets: DataFrame, text_col: str = "text", tag_col: str = "cat
     return (tickets.withColumn("tag_source", F.when(tagged, "tagged").when(kw.isNotNull(), "keyword")
                                .otherwise("untagged"))
                    .withColumn(tag_col, F.when(tagged, F.col(tag_col)).otherwise(kw)))
+
+
+
+PROFILE_FLAGS = {"accepted": "dedicated_user_invitation_accepted", "logged_in": "dedicated_user_first_login",
+                 "completed": "dedicated_onboarding_completed", "activated": "dedicated_user_activated"}
+
+
+def user_profiles(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel()) -> DataFrame:
+    """One row per invited (user, tenant) with everything the funnel family
+    reads: ``invited_at``; ``step_<n>_at`` bounded by the invite (F-1/F-2);
+    ``any_step_<n>_at`` without the bound (F-4); 0/1 flags of the events any
+    time (F-5/F-6). Built once per run and shared, instead of each analysis
+    re-deriving invites and steps from the events."""
+    bounded = step_times(events, spec)
+    later = spec.steps[1:]
+    aggs = [F.min(F.when(_step_cond(s), F.col(TS))).alias(f"any_step_{s.number}_at") for s in later]
+    aggs += [flag(F.col(NAME) == F.lit(ev)).alias(name) for name, ev in PROFILE_FLAGS.items()]
+    rest = (events.where(F.col(NAME).isin(*sorted({s.event for s in later} | set(PROFILE_FLAGS.values()))))
+                  .groupBy(U, T).agg(*aggs))
+    out = bounded.join(rest, [U, T], "left")
+    return out.fillna(0, subset=list(PROFILE_FLAGS))
+
+
+def profile_steps(profile: DataFrame, bounded: bool = True) -> DataFrame:
+    """The step-times view of a profile: bounded (F-1/F-2) or not (F-4)."""
+    cols = [F.col(f"step_{i}_at" if bounded else f"any_step_{i}_at").alias(f"step_{i}_at") for i in range(1, 8)]
+    return profile.select(U, T, "invited_at", *cols)

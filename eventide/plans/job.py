@@ -33,10 +33,14 @@ def run(spark: SparkSession, raw_path: str, dims_path: str, out: str, as_of: str
     M.write_clustered(fact, f"{out}/fct_events", shuffle=False)
     fact = spark.read.parquet(f"{out}/fct_events")
 
+    # per-user invites, step times and flags, built once for the funnel family
+    FN.user_profiles(raw).write.mode("overwrite").parquet(f"{out}/user_profiles")
+    profile = spark.read.parquet(f"{out}/user_profiles")
+
     recon = Q.reconcile(raw, fact)
     nulls = Q.null_checks(raw)
-    funnel_rows = FN.funnel(raw)
-    cohorts = FN.weekly_cohort(raw)
+    funnel_rows = FN.funnel(raw, st=FN.profile_steps(profile))
+    cohorts = FN.weekly_cohort(raw, profile=profile)
     sets = {
         "reconciliation": recon,
         "reconciliation_summary": Q.status_summary(recon),
@@ -45,8 +49,8 @@ def run(spark: SparkSession, raw_path: str, dims_path: str, out: str, as_of: str
         "tenant_coverage": Q.p0_coverage(raw),
         "funnel": funnel_rows,
         "benchmarks": FN.benchmark_compare(funnel_rows, C.FUNNEL_BENCHMARKS),
-        "time_to_complete": FN.time_to_complete(raw),
-        "segments": FN.role_severity(FN.segment_by_role(raw, users)),
+        "time_to_complete": FN.time_to_complete(raw, st=FN.profile_steps(profile, bounded=False)),
+        "segments": FN.role_severity(FN.segment_by_role(raw, users, profile=profile)),
         "cohorts": cohorts,
         "executive_summary": R.executive_summary(raw, fact, tenants, users),
         "event_volume": R.event_volume(fact),

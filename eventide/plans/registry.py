@@ -69,6 +69,20 @@ class Ctx:
         ST.replay(self.spark, self.raw_n, root, build(root), partitions=ST.state_partitions(self.spark))
         return root
 
+    # Funnel intermediates: from a shared profile table when the run built
+    # one (bench, daily job), else computed for the query at hand.
+    @cached_property
+    def st(self) -> DataFrame:
+        if "profile" in self.__dict__:
+            return FN.profile_steps(self.profile, bounded=True)
+        return FN.step_times(self.raw)
+
+    @cached_property
+    def st_any(self) -> DataFrame:
+        if "profile" in self.__dict__:
+            return FN.profile_steps(self.profile, bounded=False)
+        return FN.step_times(self.raw, C.executed_funnel(after_invite=False))
+
     @cached_property
     def users(self) -> DataFrame:
         return X.dim_users(self.spark, self.sf)
@@ -172,32 +186,32 @@ def _m18(c: Ctx):
 # ------------------------------------------------------------------ funnel
 @register("f1_step_times")
 def _f1(c: Ctx):
-    return FN.step_times(c.raw)
+    return c.st
 
 
 @register("f2_funnel")
 def _f2(c: Ctx):
-    return FN.funnel(c.raw).orderBy("step_number")
+    return FN.funnel(c.raw, st=c.st).orderBy("step_number")
 
 
 @register("f3_e2e_conversion")
 def _f3(c: Ctx):
-    return FN.e2e_conversion(c.raw)
+    return FN.e2e_conversion(c.raw, st=c.st)
 
 
 @register("f4_time_to_complete")
 def _f4(c: Ctx):
-    return FN.time_to_complete(c.raw).orderBy("transition_order")
+    return FN.time_to_complete(c.raw, st=c.st_any).orderBy("transition_order")
 
 
 @register("f5_segment_by_role")
 def _f5(c: Ctx):
-    return FN.segment_by_role(c.raw, c.users_nokey).orderBy(F.col("activation_rate").desc_nulls_last(), "role")
+    return FN.segment_by_role(c.raw, c.users_nokey, profile=c.__dict__.get("profile")).orderBy(F.col("activation_rate").desc_nulls_last(), "role")
 
 
 @register("f6_weekly_cohort")
 def _f6(c: Ctx):
-    return FN.weekly_cohort(c.raw).orderBy("cohort_week")
+    return FN.weekly_cohort(c.raw, profile=c.__dict__.get("profile")).orderBy("cohort_week")
 
 
 @register("f7_funnel_template")
@@ -217,7 +231,7 @@ def _f10(c: Ctx):
 
 @register("f11_benchmark_compare")
 def _f11(c: Ctx):
-    return FN.benchmark_compare(FN.funnel(c.raw))
+    return FN.benchmark_compare(FN.funnel(c.raw, st=c.st))
 
 
 @register("f12_role_severity")
@@ -227,7 +241,7 @@ def _f12(c: Ctx):
 
 @register("f13_top_dropoffs")
 def _f13(c: Ctx):
-    return FN.top_dropoffs(FN.funnel(c.raw), FN.time_to_complete(c.raw))
+    return FN.top_dropoffs(FN.funnel(c.raw, st=c.st), FN.time_to_complete(c.raw, st=c.st_any))
 
 
 @register("f14_cohort_dropoff_trend")
@@ -449,7 +463,7 @@ def _r5(c: Ctx):
 
 @register("r6_funnel_share")
 def _r6(c: Ctx):
-    return R.funnel_share(FN.funnel(c.raw))
+    return R.funnel_share(FN.funnel(c.raw, st=c.st))
 
 
 @register("r7_cohort_trend")

@@ -213,3 +213,14 @@ def test_keyword_tagging_keeps_tags_and_fills_untagged(spark):
     got = {r.ticket_id: (r.category, r.tag_source) for r in FN.tag_untagged(df).collect()}
     assert got == {1: ("billing", "tagged"), 2: ("ssh", "keyword"), 3: ("pipeline", "keyword"),
                    4: (None, "untagged")}
+
+
+def test_shared_profile_gives_the_same_funnel_family(spark, sf_dir):
+    from eventide.plans.registry import QUERIES, Ctx
+    c = Ctx(spark, sf_dir)
+    profile = FN.user_profiles(c.raw)
+    for name in ("f1_step_times", "f2_funnel", "f4_time_to_complete", "f5_segment_by_role", "f6_weekly_cohort",
+                 "f13_top_dropoffs", "r6_funnel_share"):
+        direct = sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()), key=str)
+        shared = sorted(map(tuple, QUERIES[name](spark, sf_dir, {"profile": profile}).collect()), key=str)
+        assert direct == shared, name
