@@ -204,11 +204,12 @@ def clustered_layout(df: DataFrame, part_col: str, cluster: Sequence[str] = (),
     sorted slice, so files stay few per date and row groups carry narrow
     min/max statistics. ``repartition(date)`` would instead give one task per
     date."""
-    from ..session import shuffle_partitions
-    n = num_partitions or shuffle_partitions(df.sparkSession)
     row_key = F.col("event_id") if "event_id" in df.columns else F.xxhash64(*[F.col(c) for c in df.columns])
     keys = [F.col(part_col), *[F.col(c) for c in cluster], row_key]
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(part_col, *cluster)
+    # without an explicit count AQE sizes the range shuffle from the data
+    # (advisory partition size), so tasks stay balanced at any volume
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(part_col, *cluster)
 
 
 def write_clustered(df: DataFrame, path: str, date_col: str = "event_date",
