@@ -333,19 +333,30 @@ def late_arrivals(raw: DataFrame, max_lag_hours: float = 4.0) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("late_rows"), F.countDistinct(NAME).alias("event_names")))
 
 
+# FIXED VALUES — discrepancy type codes of the discrepancy log.
+DISCREPANCY_CODES = ["ROW_COUNT", "MISSING_EVENT", "DUPLICATE", "NULL_FIELD", "SCHEMA_DRIFT", "TIMEZONE",
+                     "LATE_ARRIVAL", "FILTER"]
+
+
 def discrepancy_log(recon: DataFrame, nulls: DataFrame, dups: DataFrame, drift: DataFrame,
-                    late: DataFrame) -> DataFrame:
-    """Q-24: every WARN/FAIL finding as one typed row
-    (check_name, code, event_name, event_date, detail, severity)."""
+                    late: DataFrame, tz_shift: DataFrame | None = None,
+                    tenant_recon: DataFrame | None = None,
+                    p0_events=tuple(C.P0_EVENTS)) -> DataFrame:
+    """Q-24: every WARN/FAIL finding as one typed row (check_name, code,
+    event_name, event_date, detail, severity, is_p0, escalation). Codes are
+    the log's eight types; findings on a P0 event escalate immediately."""
     def s(c):
         return F.col(c).cast("string")
+    missing = F.col("status").isin("MISSING", "ORPHAN")
     r = (recon.where(F.col("status") != "PASS")
-              .select(F.lit("reconciliation").alias("check_name"), F.col("status").alias("code"), NAME,
+              .select(F.lit("reconciliation").alias("check_name"),
+                      F.when(missing, "MISSING_EVENT").otherwise("ROW_COUNT").alias("code"), NAME,
                       F.col("event_date").cast("date").alias("event_date"),
-                      F.concat(F.lit("raw="), s("raw_distinct"), F.lit(" bi="), s("bi_distinct")).alias("detail"),
+                      F.concat(F.col("status"), F.lit(" raw="), s("raw_distinct"), F.lit(" bi="), s("bi_distinct"))
+                       .alias("detail"),
                       F.when(F.col("status") == "WARN", "WARN").otherwise("FAIL").alias("severity")))
     n = (null_verdict(nulls).where(F.col("status") == "FAIL")
-         .select(F.lit("null_fields").alias("check_name"), F.lit("NULL_REQUIRED").alias("code"), NAME,
+         .select(F.lit("null_fields").alias("check_name"), F.lit("NULL_FIELD").alias("code"), NAME,
                  F.lit(None).cast("date").alias("event_date"),
                  F.concat(F.lit("critical_nulls="), s("critical_nulls")).alias("detail"),
                  F.lit("FAIL").alias("severity")))
@@ -353,15 +364,32 @@ def discrepancy_log(recon: DataFrame, nulls: DataFrame, dups: DataFrame, drift:
                     F.lit(None).cast("date").alias("event_date"),
                     F.concat(F.lit("tenant="), F.col("tenant_id"), F.lit(" excess="), s("excess_rows")).alias("detail"),
                     F.lit("WARN").alias("severity"))
-    sd = drift.select(F.lit("schema_drift").alias("check_name"), F.col("drift").alias("code"), NAME,
+    sd = drift.select(F.lit("schema_drift").alias("check_name"), F.lit("SCHEMA_DRIFT").alias("code"), NAME,
                       F.lit(None).cast("date").alias("event_date"),
-                      F.concat(F.lit("raw_rows="), s("raw_rows"), F.lit(" bi_rows="), s("bi_rows")).alias("detail"),
+                      F.concat(F.col("drift"), F.lit(" raw_rows="), s("raw_rows"), F.lit(" bi_rows="), s("bi_rows"))
+                       .alias("detail"),
                       F.lit("FAIL").alias("severity"))
-    la = late.select(F.lit("late_arrival").alias("check_name"), F.lit("LATE").alias("code"),
+    la = late.select(F.lit("late_arrival").alias("check_name"), F.lit("LATE_ARRIVAL").alias("code"),
                      F.lit(None).cast("string").alias(NAME), "event_date",
                      F.concat(F.lit("late_rows="), s("late_rows")).alias("detail"),
                      F.lit("WARN").alias("severity"))
-    return r.unionByName(n).unionByName(d).unionByName(sd).unionByName(la)
+    out = r.unionByName(n).unionByName(d).unionByName(sd).unionByName(la)
+    if tz_shift is not None:
+        out = out.unionByName(
+            tz_shift.where(F.col("shift") != 0)
+                    .select(F.lit("timezone_shift").alias("check_name"), F.lit("TIMEZONE").alias("code"),
+                            F.lit(None).cast("string").alias(NAME), "event_date",
+                            F.concat(F.lit("shift="), s("shift")).alias("detail"), F.lit("WARN").alias("severity")))
+    if tenant_recon is not None:
+        out = out.unionByName(
+            tenant_recon.where(F.col("status") != "PASS")
+                        .select(F.lit("tenant_reconciliation").alias("check_name"), F.lit("FILTER").alias("code"),
+                                NAME, F.lit(None).cast("date").alias("event_date"),
+                                F.concat(F.col("status"), F.lit(" tenant="), F.col("tenant_id")).alias("detail"),
+                                F.when(F.col("status") == "WARN", "WARN").otherwise("FAIL").alias("severity")))
+    p0 = F.col(NAME).isin(*p0_events)
+    return (out.withColumn("is_p0", F.coalesce(p0, F.lit(False)))
+               .withColumn("escalation", F.when(F.col("is_p0"), "immediate").otherwise("standard")))
 
 
 # ---------------------------------------------------------------- Q-25..Q-28

@@ -661,7 +661,9 @@ def _q19e(c: Ctx):
 @register("q24_discrepancy_log")
 def _q24(c: Ctx):
     return Q.discrepancy_log(Q.reconcile(c.raw, c.degraded), Q.null_checks(c.raw), Q.duplicates(c.raw),
-                             Q.schema_drift(c.raw, c.degraded), Q.late_arrivals(c.raw))
+                             Q.schema_drift(c.raw, c.degraded), Q.late_arrivals(c.raw),
+                             tz_shift=Q.timezone_shift(c.raw, "America/Los_Angeles"),
+                             tenant_recon=Q.reconcile(c.raw, c.degraded, grain=["tenant_id", "event_name"]))
 
 
 ESCALATION_THRESHOLDS = C.Thresholds(fail_pct=10.0, warn_pct=0.1)

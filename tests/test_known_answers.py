@@ -54,3 +54,11 @@ def test_segments_cohorts_coverage_order(spark):
 def test_registered_template_funnel_is_the_whole_month(spark):
     r = q(spark, "f7_funnel_template").first()
     assert (r.step_0_invited, r.step_3_ssh_key, r.step_7_activated) == (151, 70, 57)
+
+
+def test_discrepancy_codes_are_the_logs_types(spark):
+    from eventide.operators.quality import DISCREPANCY_CODES
+    rows = q(spark, "q24_discrepancy_log").collect()
+    assert {r.code for r in rows} <= set(DISCREPANCY_CODES)
+    assert all(r.escalation == ("immediate" if r.is_p0 else "standard") for r in rows)
+    assert any(r.is_p0 for r in rows)
