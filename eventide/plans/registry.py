@@ -872,3 +872,11 @@ def _d4b(c: Ctx):
 @register("f24_template_ttfv_effect")
 def _f24b(c: Ctx):
     return FN.template_ttfv_effect(c.raw)
+
+
+
+@register("m16_dim_users_lifecycle")
+def _m16b(c: Ctx):
+    """The user dimension with lifecycle dates and status filled on the
+    current versions (history rows keep theirs)."""
+    return M.apply_lifecycle(c.users_nokey, M.user_lifecycle(c.fact))
