@@ -2,8 +2,13 @@
 sets out. A thin sequential driver over the library functions (each step is
 a distributed Spark job; nothing is collected).
 
-    spark-submit eventide/plans/job.py --raw s3://…/raw_events --dims s3://…/dims \\
-        --out s3://…/analytics --as-of "2024-02-01 00:00:00"
+    zip -qr eventide.zip eventide
+    spark-submit --py-files eventide.zip daily_job.py --raw s3://…/raw_events \\
+        --dims s3://…/dims --out s3://…/analytics --as-of "2024-02-01 00:00:00"
+
+(``daily_job.py`` at the repository root calls ``main``; ``--py-files``
+ships the package to the executors, where only the streaming debounce runs
+Python code.)
 
 ``--raw`` is the raw landing table (parquet, columns of ``fixtures.RAW_COLUMNS``);
 ``--dims`` holds ``dim_users`` and ``dim_tenants`` parquet tables. Outputs:
