@@ -70,9 +70,16 @@ def with_position(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence
     stats = stats.withColumn("_offset", F.sum("_cnt").over(w) - F.col("_cnt"))
     if size_col:
         stats = stats.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
-    out = (ranged.join(stats, ["_pid", *group_cols])
+    # null-safe on the group columns: a NULL group is a group like any other
+    st = stats.select(F.col("_pid").alias("_spid"), *[F.col(g).alias(f"_s_{g}") for g in group_cols],
+                      "_first", "_offset", *([size_col] if size_col else []))
+    cond = F.col("_pid") == F.col("_spid")
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_s_{g}"))
+    out = (ranged.join(st, cond)
                  .withColumn(pos_col, F.col("_offset") + F.col("_local") - F.col("_first"))
-                 .drop("_pid", "_local", "_cnt", "_first", "_offset", *(["_tb"] if tiebreak is None else [])))
+                 .drop("_pid", "_spid", "_local", "_first", "_offset", *[f"_s_{g}" for g in group_cols],
+                       *(["_tb"] if tiebreak is None else [])))
     return out
 
 
@@ -151,9 +158,13 @@ def lag_by_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     does not land in one task."""
     group_cols = list(group_cols)
     pos = with_position(df, order_cols, group_cols, tiebreak=tiebreak, size_col=None, pos_col="_pos")
-    prev = pos.select(*group_cols, (F.col("_pos") + 1).alias("_pos"),
+    prev = pos.select(*[F.col(g).alias(f"_p_{g}") for g in group_cols], (F.col("_pos") + 1).alias("_ppos"),
                       *[F.col(v).alias(prefix + v) for v in value_cols])
-    return pos.join(prev, [*group_cols, "_pos"], "left").withColumnRenamed("_pos", "seq_no")
+    cond = F.col("_pos") == F.col("_ppos")
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_p_{g}"))
+    return (pos.join(prev, cond, "left").drop("_ppos", *[f"_p_{g}" for g in group_cols])
+               .withColumnRenamed("_pos", "seq_no"))
 
 
 def asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,

@@ -256,3 +256,15 @@ def test_salted_join_balances_a_hot_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_distributed_positions_keep_null_groups(spark):
+    import numpy as np
+    rows = [(None, float(v)) for v in (5, 1, 3)] + [("a", float(v)) for v in (2, 4)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.p50 for r in ranking.exact_quantiles(df, ["g"], "v", [0.5], ["p50"],
+                                                        small_group_values=0).collect()}
+    assert got == {None: float(np.quantile([5, 1, 3], 0.5)), "a": 3.0}
+    lag = ranking.lag_by_position(df, ["g"], ["v"], ["v"], tiebreak=[])
+    prev = {(r.g, r.v): r.prev_v for r in lag.collect()}
+    assert prev[(None, 3.0)] == 1.0 and prev[(None, 1.0)] is None and prev[("a", 4.0)] == 2.0
