@@ -202,5 +202,9 @@ def asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_local", F.last(F.when(F.col("_kind") == 0, F.col("_v")), ignorenulls=True)
                               .over(run_w)).where(F.col("_kind") == 1)
-    out = local.join(stats, ["_pid", *keys], "left").withColumn("_best", F.coalesce("_local", "_carry"))
+    st = stats.select(F.col("_pid").alias("_spid"), *[F.col(k).alias(f"_s_{k}") for k in keys], "_carry")
+    cond = F.col("_pid") == F.col("_spid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))      # NULL keys carry over too
+    out = local.join(st, cond, "left").withColumn("_best", F.coalesce("_local", "_carry"))
     return out.select(F.col("_lid").alias(left_id), *[F.col(f"_best.{v}").alias(v) for v in value_cols])
