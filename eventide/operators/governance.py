@@ -110,22 +110,23 @@ PROPERTY_TYPES = {
 
 def property_types(events: DataFrame, registry: dict = PROPERTY_TYPES, props: str = "properties") -> DataFrame:
     """G-6: per (event, property) rows whose value does not parse as the
-    registered type (present but not castable)."""
-    out = None
-    for ev, spec in registry.items():
-        e = events.where(F.col(NAME) == ev)
-        aggs = []
-        for k, t in spec.items():
-            v = F.get_json_object(F.col(props), f"$.{k}")
-            bad = v.isNotNull() & v.try_cast(t).isNull()
-            aggs.append(F.struct(F.lit(k).alias("property"), F.lit(t).alias("expected_type"),
-                                 F.count_if(bad).alias("misfit_rows"),
-                                 F.count_if(v.isNull()).alias("missing_rows")))
-        part = (e.groupBy(NAME).agg(*[a.alias(f"_{i}") for i, a in enumerate(aggs)])
-                 .select(NAME, F.explode(F.array(*[F.col(f"_{i}") for i in range(len(aggs))])).alias("p"))
-                 .select(NAME, "p.*"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    registered type (present but not castable), and rows missing it. One
+    pass: each row is expanded into its event's registered properties, then
+    one grouped aggregate."""
+    pairs = F.array(*[F.struct(F.lit(ev).alias("_ev"), F.lit(k).alias("property"),
+                               F.lit(t).alias("expected_type"))
+                      for ev, spec in registry.items() for k, t in spec.items()])
+    rows = (events.where(F.col(NAME).isin(*registry))
+                  .select(NAME, F.from_json(F.col(props), "map<string,string>").alias("_m"),
+                          F.explode(pairs).alias("x"))
+                  .where(F.col("x._ev") == F.col(NAME))
+                  .select(NAME, "x.property", "x.expected_type",
+                          F.try_element_at(F.col("_m"), F.col("x.property")).alias("_v")))
+    bad = F.lit(False)
+    for t in sorted({t for spec in registry.values() for t in spec.values()}):
+        bad = bad | ((F.col("expected_type") == t) & F.col("_v").isNotNull() & F.col("_v").try_cast(t).isNull())
+    return rows.groupBy(NAME, "property", "expected_type").agg(
+        F.count_if(bad).alias("misfit_rows"), F.count_if(F.col("_v").isNull()).alias("missing_rows"))
 
 
 def category_check(events: DataFrame, catalog: DataFrame) -> DataFrame:

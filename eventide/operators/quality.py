@@ -173,28 +173,33 @@ def duplicates(raw: DataFrame) -> DataFrame:
 
 def duplicates_template(raw: DataFrame, window: C.Window) -> DataFrame:
     """Q-10: + user key, first/last seen, boundary-counted span in seconds,
-    the group's duplicate rate against all its rows (pre-aggregated totals
-    joined, not a correlated subquery) and the probable cause."""
+    the group's duplicate rate against all its rows and the probable cause.
+    One scan: the per-id groups give both the duplicate statistics (groups
+    seen more than once) and the group totals the rate needs (all groups),
+    instead of a correlated subquery."""
     r = _in_window(raw, window)
     keys = ["event_id", NAME, "tenant_id", "user_id"]
-    d = (r.groupBy(*keys).agg(F.count(F.lit(1)).alias("occ"), F.min(TS).alias("first_seen"),
-                               F.max(TS).alias("last_seen"))
-          .where(F.col("occ") > 1)
-          .withColumn("span", boundary_diff("second", "first_seen", "last_seen")))
-    g = d.groupBy(NAME, "tenant_id").agg(
-        F.count_distinct("event_id").alias("duplicate_event_count"),
-        F.sum("occ").cast("long").alias("total_duplicate_rows"),
-        (F.sum("occ") - F.count_distinct("event_id")).cast("long").alias("excess_rows"),
-        F.avg("span").alias("avg_time_span_seconds"),
-        F.max("occ").alias("max_occurrences"))
-    totals = r.groupBy(NAME, "tenant_id").agg(F.count(F.lit(1)).alias("_total"))
+    ids = (r.groupBy(*keys).agg(F.count(F.lit(1)).alias("occ"), F.min(TS).alias("first_seen"),
+                                F.max(TS).alias("last_seen"))
+            .withColumn("span", boundary_diff("second", "first_seen", "last_seen"))
+            .withColumn("_dup", F.col("occ") > 1))
+    dup = F.col("_dup")
+    g = ids.groupBy(NAME, "tenant_id").agg(
+        F.count_distinct(F.when(dup, F.col("event_id"))).alias("duplicate_event_count"),
+        F.sum(F.when(dup, F.col("occ"))).cast("long").alias("total_duplicate_rows"),
+        F.avg(F.when(dup, F.col("span"))).alias("avg_time_span_seconds"),
+        F.max(F.when(dup, F.col("occ"))).alias("max_occurrences"),
+        F.sum("occ").alias("_total"))
+    g = (g.where(F.col("duplicate_event_count") > 0)
+          .withColumn("excess_rows", (F.col("total_duplicate_rows") - F.col("duplicate_event_count")).cast("long")))
     avg = F.col("avg_time_span_seconds")
     cause = (F.when(avg < C.RETRY_MAX_SECONDS, "Likely: Client retry / double fire")
               .when(avg.between(C.RETRY_MAX_SECONDS, C.REPLAY_MAX_SECONDS), "Likely: Collector replay")
               .otherwise("Likely: Pipeline re-ingestion"))
-    return (g.join(totals, [NAME, "tenant_id"], "left")
-             .withColumn("duplicate_rate_pct", pct("excess_rows", "_total", 4))
-             .withColumn("probable_cause", cause).drop("_total"))
+    return (g.withColumn("duplicate_rate_pct", pct("excess_rows", "_total", 4))
+             .withColumn("probable_cause", cause)
+             .select(NAME, "tenant_id", "duplicate_event_count", "total_duplicate_rows", "excess_rows",
+                     "avg_time_span_seconds", "max_occurrences", "duplicate_rate_pct", "probable_cause"))
 
 
 # ---------------------------------------------------------------- Q-11..Q-13
@@ -314,15 +319,16 @@ def column_drift(a: DataFrame, b: DataFrame) -> list[tuple[str, str]]:
 
 
 def timezone_shift(raw: DataFrame, zone: str) -> DataFrame:
-    """Q-22: daily counts under UTC vs under a second zone, per date."""
+    """Q-22: daily counts under UTC vs under a second zone, per date. One
+    pass: every row contributes its UTC date and its local date."""
     # wall-clock UTC → wall clock in ``zone``, both timestamp_ntz (no session zone involved)
     local = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(TS)))
-    utc = raw.groupBy(F.to_date(TS).alias("event_date")).agg(F.count(F.lit(1)).alias("utc_rows"))
-    loc = raw.groupBy(local.alias("event_date")).agg(F.count(F.lit(1)).alias("local_rows"))
-    j = utc.join(loc, "event_date", "full")
-    return j.select("event_date", F.coalesce("utc_rows", F.lit(0).cast("long")).alias("utc_rows"),
-                    F.coalesce("local_rows", F.lit(0).cast("long")).alias("local_rows"),
-                    (F.coalesce("local_rows", F.lit(0)) - F.coalesce("utc_rows", F.lit(0))).alias("shift"))
+    days = F.array(F.struct(F.lit("utc").alias("k"), F.to_date(TS).alias("event_date")),
+                   F.struct(F.lit("local").alias("k"), local.alias("event_date")))
+    g = (raw.select(F.explode(days).alias("x")).select("x.*")
+            .groupBy("event_date").agg(F.count_if(F.col("k") == "utc").alias("utc_rows"),
+                                       F.count_if(F.col("k") == "local").alias("local_rows")))
+    return g.select("event_date", "utc_rows", "local_rows", (F.col("local_rows") - F.col("utc_rows")).alias("shift"))
 
 
 def late_arrivals(raw: DataFrame, max_lag_hours: float = 4.0) -> DataFrame:
@@ -451,16 +457,20 @@ def weekly_health(history: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- Q-29..Q-31
 def cardinality(raw: DataFrame) -> DataFrame:
     """Q-29: children linked to more than one parent: user → tenant,
-    session → user, event → session."""
-    def one(child, parent, label):
-        return (raw.where(F.col(child).isNotNull() & (F.col(child) != ""))
-                   .groupBy(child).agg(F.countDistinct(parent).alias("parents"))
-                   .where(F.col("parents") > 1)
-                   .agg(F.count(F.lit(1)).alias("violations"))
-                   .select(F.lit(label).alias("rule"), "violations"))
-    return (one("user_id", "tenant_id", "user→one tenant")
-            .unionByName(one("session_id", "user_id", "session→one user"))
-            .unionByName(one("event_id", "session_id", "event→one session")))
+    session → user, event → session. One pass: the three (child, parent)
+    pairs of every row are stacked, then one two-level aggregate."""
+    rules = [("user→one tenant", "user_id", "tenant_id"), ("session→one user", "session_id", "user_id"),
+             ("event→one session", "event_id", "session_id")]
+    pairs = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(c).alias("child"), F.col(p).alias("parent"))
+                      for r, c, p in rules])
+    per_child = (raw.select(F.explode(pairs).alias("x")).select("x.*")
+                    .where(F.col("child").isNotNull() & (F.col("child") != ""))
+                    .groupBy("rule", "child").agg(F.countDistinct("parent").alias("parents")))
+    found = per_child.groupBy("rule").agg(F.count_if(F.col("parents") > 1).alias("violations"))
+    spark = raw.sparkSession
+    all_rules = spark.createDataFrame([(r,) for r, _, _ in rules], "rule string")
+    return all_rules.join(found, "rule", "left").select(
+        "rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
 
 
 UUID_V4 = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
@@ -480,11 +490,17 @@ def format_checks(raw: DataFrame, max_name_len: int = 60) -> DataFrame:
 
 def domain_values(raw_or_fact: DataFrame) -> DataFrame:
     """Q-30: values outside their domain for event_source and, on the fact,
-    pipeline_status and scan_type (read from JSON on raw)."""
+    pipeline_status and scan_type (read from JSON on raw). One pass: the
+    (column, value) pairs of every row are stacked and checked together."""
     df = raw_or_fact
     if "pipeline_status" not in df.columns:
         df = df.withColumn("pipeline_status", json_str("properties", "status")) \
                .withColumn("scan_type", json_str("properties", "scan_type"))
-    return (accepted_values(df, "event_source", C.EVENT_SOURCES)
-            .unionByName(accepted_values(df, "pipeline_status", C.PIPELINE_STATUSES))
-            .unionByName(accepted_values(df, "scan_type", C.SCAN_TYPES)))
+    domains = {"event_source": C.EVENT_SOURCES, "pipeline_status": C.PIPELINE_STATUSES, "scan_type": C.SCAN_TYPES}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in domains])
+    outside = F.lit(False)
+    for c, allowed in domains.items():
+        outside = outside | ((F.col("column_name") == c) & ~F.col("value").isin(*allowed))
+    return (df.select(F.explode(pairs).alias("x")).select("x.*")
+              .where(F.col("value").isNotNull() & outside)
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows")))
