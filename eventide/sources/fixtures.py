@@ -101,7 +101,7 @@ def event_name_expr(event_type: Column, k: Column, src_user: Column) -> Column:
 
 def category_expr(name: Column) -> Column:
     m = F.create_map(*[x for n, c in C.catalog_rows() for x in (F.lit(n), F.lit(c))])
-    return F.element_at(m, name)
+    return F.try_element_at(m, name)
 
 
 def properties_expr(name: Column, n: Column, k: Column, u: Column) -> Column:
@@ -210,7 +210,7 @@ def dim_users(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFr
     base = cust.select(
         F.concat(F.lit("usr_"), _s(ck)).alias("user_id"),
         F.concat(F.lit("tenant_"), _s(ck % F.lit(N_TENANTS))).alias("tenant_id"),
-        F.element_at(role_map, F.col("c_mktsegment")).alias("role"),
+        F.try_element_at(role_map, F.col("c_mktsegment")).alias("role"),
         (F.col("c_acctbal") >= 0).alias("is_active"),
         changed.alias("_changed"),
     )
