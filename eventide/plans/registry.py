@@ -206,7 +206,8 @@ def _f4(c: Ctx):
 
 @register("f5_segment_by_role")
 def _f5(c: Ctx):
-    return FN.segment_by_role(c.raw, c.users_nokey, profile=c.__dict__.get("profile")).orderBy(F.col("activation_rate").desc_nulls_last(), "role")
+    seg = FN.segment_by_role(c.raw, c.users_nokey, profile=c.__dict__.get("profile"))
+    return seg.orderBy(F.col("activation_rate").desc_nulls_last(), "role")
 
 
 @register("f6_weekly_cohort")
