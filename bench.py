@@ -82,7 +82,11 @@ def main() -> None:
         t = time.perf_counter()
         QUERIES[n](spark, sf_dir, tables).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t, 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     total = round(sum(times.values()), 3)
     # second pass of the analyses on the same stored tables: steady state
     # after JIT/codegen warm-up (reported for information; value is the cold run)
