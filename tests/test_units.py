@@ -268,3 +268,28 @@ def test_distributed_positions_keep_null_groups(spark):
     lag = ranking.lag_by_position(df, ["g"], ["v"], ["v"], tiebreak=[])
     prev = {(r.g, r.v): r.prev_v for r in lag.collect()}
     assert prev[(None, 3.0)] == 1.0 and prev[(None, 1.0)] is None and prev[("a", 4.0)] == 2.0
+
+
+def test_reprocess_dates_is_idempotent_and_keeps_other_dates(spark):
+    import tempfile
+    late = T0 + dt.timedelta(hours=30)
+    rows = [ev("a", "x", ts=T0), ev("b", "x", ts=T0 + dt.timedelta(days=2)),
+            ev("c", "x", ts=T0, ct=late)]                                    # late row of 2024-01-03
+    raw = raw_df(spark, rows)
+    path = tempfile.mkdtemp(prefix="fact-", dir="/tmp")
+    M.build_fact(M.dedupe_events(raw_df(spark, [ev("z", "x", ts=T0 + dt.timedelta(days=5))])))\
+        .write.mode("overwrite").partitionBy("event_date").parquet(path)    # an untouched older partition
+    cutoff = (T0 + dt.timedelta(hours=20)).isoformat(sep=" ")
+    first = sorted(r.event_id for r in M.reprocess_dates(raw, cutoff, path).collect())
+    second = sorted(r.event_id for r in M.reprocess_dates(raw, cutoff, path).collect())
+    assert first == second == ["a", "b", "c"]       # dates with arrivals after the cutoff: 01-03, 01-05
+    everything = sorted(r.event_id for r in spark.read.parquet(path).collect())
+    assert everything == ["a", "b", "c", "z"]       # 01-08 untouched, nothing duplicated
+
+
+def test_scd1_upsert_latest_wins_ties_to_incoming(spark):
+    schema = "k string, v string, loaded_at timestamp_ntz"
+    cur = spark.createDataFrame([("a", "old", T0), ("b", "keep", T0)], schema)
+    inc = spark.createDataFrame([("a", "new", T0), ("c", "add", T0 + dt.timedelta(days=1))], schema)
+    got = {r.k: r.v for r in M.scd1_upsert(cur, inc, "k").collect()}
+    assert got == {"a": "new", "b": "keep", "c": "add"}
