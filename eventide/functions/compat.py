@@ -83,10 +83,6 @@ def json_int(props, key: str) -> Column:
     return json_str(props, key).try_cast("int")
 
 
-def count_when(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def flag(cond: Column) -> Column:
     """0/1 flag: 1 if any row satisfies cond (``COUNT(DISTINCT CASE … 1 END)``)."""
     return F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0)))

@@ -304,6 +304,7 @@ def time_template(events: DataFrame, window: C.Window, spec: C.FunnelSpec = C.te
 
 
 def seat_bucket(seats: Column) -> Column:
+    """Tenant size bucket of the template cuts: 1-20, 21-100, 101-500, 500+."""
     return (F.when(seats <= 20, "1-20").when(seats <= 100, "21-100")
              .when(seats <= 500, "101-500").otherwise("500+"))
 
@@ -688,6 +689,7 @@ def plan_tier_lift(events: DataFrame, dim_tenants: DataFrame) -> DataFrame:
 
 
 def daily_activations(events: DataFrame) -> DataFrame:
+    """Activations per event date (the F-34 series)."""
     return (events.where(_ev("dedicated_user_activated"))
                   .groupBy(F.to_date(TS).alias("event_date")).agg(F.count(F.lit(1)).alias("activations")))
 

@@ -75,6 +75,7 @@ def add_event_key(fact: DataFrame) -> DataFrame:
 
 def fact_from_raw(raw: DataFrame, as_of: str | None = None, with_key: bool = False,
                   keep: Sequence[str] = ()) -> DataFrame:
+    """M-3 + M-4 (+ M-5 when ``with_key``): the fact table from raw events."""
     fact = build_fact(dedupe_events(raw), as_of=as_of, keep=keep)
     return add_event_key(fact) if with_key else fact
 

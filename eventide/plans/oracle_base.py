@@ -163,6 +163,7 @@ CTES["catalog"] = ([], "\n  SELECT * FROM (VALUES " + ", ".join(
 
 
 def prelude(*names: str) -> str:
+    """``WITH`` clause holding the named adapter CTEs and their dependencies."""
     order: list[str] = []
 
     def visit(n):

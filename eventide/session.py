@@ -25,6 +25,7 @@ BASE_CONF = {
 def build_session(master: str | None = None, app: str = "eventide",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
+    """A session with ``BASE_CONF`` (+ ``extra``); used by tests, bench and tools."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
