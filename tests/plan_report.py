@@ -16,7 +16,8 @@ from eventide.sources import fixtures as X  # noqa: E402
 
 NAMES = ["q1_reconcile_day", "q6_null_checks", "q9_duplicates", "q11_p0_coverage", "f1_step_times",
          "f2_funnel", "f4_time_to_complete", "f5_segment_by_role", "f6_weekly_cohort", "r1_executive_summary",
-         "r2_event_volume", "r4_tenant_overview", "m18_page_sequence", "f27_ticket_preceding_step"]
+         "r2_event_volume", "r4_tenant_overview", "m18_page_sequence", "f27_ticket_preceding_step",
+         "q10_duplicates_template", "g6_property_types", "q29_cardinality", "d4_passage_top_k"]
 KINDS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
          "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "HashAggregate",
          "SortAggregate", "ObjectHashAggregate", "WindowGroupLimit", "Window ", "Expand", "TakeOrderedAndProject",
