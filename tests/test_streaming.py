@@ -71,3 +71,14 @@ def test_hourly_counts_in_update_mode_keep_latest(spark):
                      .foreachBatch(ST.upsert_batches(f"{out}/t", keys)), f"{out}/ckpt")
     got = {r.window_start: r.events for r in ST.latest(spark, f"{out}/t", keys).collect()}
     assert got == {T0: 3, T0 + dt.timedelta(hours=1): 1}
+
+
+def test_state_table_debounce_matches_the_stateful_one(spark):
+    ms = dt.timedelta(milliseconds=1)
+    b1 = [row(1, NAV, T0), row(2, NAV, T0 + 100 * ms)]
+    b2 = [row(3, NAV, T0 + 250 * ms), row(4, NAV, T0 + 900 * ms), row(5, NAV, T0 + 950 * ms, section="groups")]
+    src = ST.read_landing(spark, land(spark, [b1, b2]), files_per_trigger=1)
+    out = tempfile.mkdtemp(prefix="deb-", dir="/tmp")
+    ST.run_available(src.writeStream.foreachBatch(ST.debounce_batches(f"{out}/o", f"{out}/s")), f"{out}/ckpt")
+    got = sorted(r.event_id for r in spark.read.parquet(f"{out}/o").collect())
+    assert got == ["evt_1", "evt_4", "evt_5"]
