@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,24 +48,34 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    # Spark's event log (a local run → a private temporary folder) gives per-step
+    # shuffle bytes and stage counts once the session stops
+    log_dir = tempfile.mkdtemp(prefix="eventide-events-")
     spark = build_session(f"local[{cpus}]", app="eventide-bench", shuffle_partitions=int(cpus),
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "8g", "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": log_dir, "spark.eventLog.rolling.enabled": "false",
+                                 "spark.eventLog.compress": "false"})
+    sc = spark.sparkContext
     names = sys.argv[1:] or HEADLINE
     run = scratch_path(spark, f"bench-{int(time.time() * 1000)}")
     # warm-up, not timed: JVM start, parquet reader/writer and shuffle machinery
     # (generic work on spark.range; none of the library's operators or data)
+    sc.setJobGroup("warmup", "warmup")
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
     (spark.range(100_000).groupBy((F.col("id") % 31).alias("d")).agg(F.count(F.lit(1)).alias("n"))
           .write.mode("overwrite").partitionBy("d").parquet(f"{run}/warmup"))
     times = {}
 
+    sc.setJobGroup("load_raw", "load_raw")
     t = time.perf_counter()
     raw = X.raw_events(spark, sf_dir, keep_n=True)
     M.write_clustered(raw.withColumn("event_date", raw.event_timestamp.cast("date")), f"{run}/raw")
     times["load_raw"] = round(time.perf_counter() - t, 3)
     raw_n = spark.read.parquet(f"{run}/raw").drop("event_date")
+    sc.setJobGroup("untimed", "untimed")
     raw_rows = raw_n.count()   # metadata-cheap count of the stored table (not timed)
 
+    sc.setJobGroup("build_fact", "build_fact")
     t = time.perf_counter()
     fact = M.add_event_key(M.fact_from_raw(raw_n, as_of=AS_OF, keep=["n"]))
     M.write_clustered(fact, f"{run}/fact", shuffle=False)   # already range-partitioned by time
@@ -72,6 +83,7 @@ def main() -> None:
     fact_n = spark.read.parquet(f"{run}/fact").drop("event_key")
 
     # shared funnel intermediates: invites, step times and flags per user, once
+    sc.setJobGroup("build_profiles", "build_profiles")
     t = time.perf_counter()
     FN.user_profiles(raw_n.drop("n")).write.mode("overwrite").parquet(f"{run}/profile")
     times["build_profiles"] = round(time.perf_counter() - t, 3)
@@ -79,6 +91,7 @@ def main() -> None:
 
     tables = {"raw_n": raw_n, "fact_n": fact_n, "profile": profile}
     for n in names:
+        sc.setJobGroup(n, n)
         t = time.perf_counter()
         QUERIES[n](spark, sf_dir, tables).write.format("noop").mode("overwrite").save()
         times[n] = round(time.perf_counter() - t, 3)
@@ -90,16 +103,48 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     # second pass of the analyses on the same stored tables: steady state
     # after JIT/codegen warm-up (reported for information; value is the cold run)
+    sc.setJobGroup("warm", "warm")
     warm = {}
     for n in names:
         t = time.perf_counter()
         QUERIES[n](spark, sf_dir, tables).write.format("noop").mode("overwrite").save()
         warm[n] = round(time.perf_counter() - t, 3)
-    print(json.dumps({"metric": "pipeline_wall_time", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "raw_rows": raw_rows,
-                      "raw_rows_per_sec": round(raw_rows / total, 1) if total else None,
-                      "warm_analyses_sec": round(sum(warm.values()), 3), "warm_queries": warm}))
     spark.stop()
+    out = {"metric": "pipeline_wall_time", "value": total, "unit": "sec",
+           "queries": times, "sf": sf, "raw_rows": raw_rows,
+           "raw_rows_per_sec": round(raw_rows / total, 1) if total else None,
+           "warm_analyses_sec": round(sum(warm.values()), 3), "warm_queries": warm}
+    try:
+        out["shuffle"] = shuffle_by_step(log_dir, set(times))
+    except Exception:   # informative only; never fail the bench on it
+        pass
+    print(json.dumps(out))
+
+
+def shuffle_by_step(log_dir: str, steps: set) -> dict:
+    """Per timed step: shuffle bytes written and stages completed (event log)."""
+    stage_group, written, stages = {}, {}, {}
+    for name in os.listdir(log_dir):
+        if name.startswith("."):
+            continue
+        with open(os.path.join(log_dir, name)) as f:
+            for line in f:
+                e = json.loads(line)
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e.get("Stage IDs", []):
+                        stage_group[sid] = g
+                elif kind == "SparkListenerStageCompleted":
+                    g = stage_group.get(e["Stage Info"]["Stage ID"])
+                    if g in steps:
+                        stages[g] = stages.get(g, 0) + 1
+                elif kind == "SparkListenerTaskEnd":
+                    g = stage_group.get(e.get("Stage ID"))
+                    m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if g in steps:
+                        written[g] = written.get(g, 0) + int(m.get("Shuffle Bytes Written", 0))
+    return {g: {"shuffle_write_bytes": written.get(g, 0), "stages": stages.get(g, 0)} for g in sorted(steps)}
 
 
 if __name__ == "__main__":
