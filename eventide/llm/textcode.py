@@ -24,7 +24,7 @@ LOWER[65:91] += 32
 _tables: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P^0..P^n and their inverses mod 2^64, kept by the worker and grown when a text needs more."""
     have = _tables.get("p")
     if have is None or len(have) <= n:
@@ -38,10 +38,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> U64(32))
-    h = h * U64(0xD6E8FEB86659FD93)
-    h = h ^ (h >> U64(29))
-    h = h * U64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> U64(32))
+    h *= U64(0xD6E8FEB86659FD93)
+    h ^= h >> U64(29)
+    h *= U64(0xBF58476D1CE4E5B9)
+    h ^= h >> U64(32)
+    return h
 
 
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +78,7 @@ def blocks(batches, column: str, size: int = BLOCK_BYTES) -> Iterator[tuple[pa.R
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """S with S[b]-S[a] = sum of (byte+1)·P^i over i in [a, b)."""
-    p, _ = _powers(len(data))
+    p, _ = powers(len(data))
     s = np.empty(len(data) + 1, U64)
     s[0] = 0
     np.cumsum((data.astype(U64) + U64(1)) * p[:len(data)], out=s[1:])
@@ -86,7 +87,7 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 def span_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Mixed 64-bit hashes of byte spans, from ``prefix_hash``; equal bytes, equal hash."""
-    _, inv = _powers(len(s))
+    _, inv = powers(len(s))
     return mix((s[end] - s[start]) * inv[start] + (end - start).astype(U64) * U64(0xA24BAED4963EE407))
 
 
