@@ -41,6 +41,11 @@ def shards_for(n_bytes: int, per: int = SHARD_BYTES) -> int:
     return max(8, -(-int(n_bytes) // per))
 
 
+def let(value, use):
+    """``use(value)`` with the value computed once a row, also inside lambdas (a plain column would be inlined there)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def crc_mod(column: str, mod: int):
     """crc32 of the column's text modulo ``mod`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % mod
