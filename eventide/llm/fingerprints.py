@@ -28,6 +28,7 @@ from eventide.llm.textcode import prefix_hash, span_hash
 WINDOW = 7          # bytes of the rolling hash
 MAX_CHUNKS = 64     # of a signature; the block size grows with the text
 SYMBOL_BITS = 18
+BROADCAST_ROWS = 1_000_000
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _CODE = np.frombuffer(_ALPHABET, np.uint8)
 _VALUE = {c: i for i, c in enumerate(_ALPHABET)}
@@ -137,6 +138,7 @@ def _dealt_with_next(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataF
     part = F.when(F.col("id").isNull(), parts - 1).otherwise(F.size(F.filter(edges, lambda c: c > F.col("id"))))
     dealt = base.withColumn("part", part.cast("int"))
     top = dealt.groupBy("part").agg(F.max("id").alias("id")).select(F.col("part").alias("p"), F.col("id").alias("i"))
+    top = F.broadcast(top) if parts <= BROADCAST_ROWS else top       # two numbers a range
     heads = (dealt.join(top, (dealt.part == top.p) & dealt.id.eqNullSafe(top.i))
              .groupBy("part").agg(F.max("id").alias("id"), F.min("text").alias("text")))
     guests = heads.select("id", "text", ((F.col("part") + parts - 1) % parts).cast("int").alias("part"), F.lit(True).alias("guest"))
