@@ -43,8 +43,8 @@ from eventide.llm.textcode import blocks, mix, powers, prefix_hash, span_hash
 
 LENGTH = 100
 GRAM = 32
-CHUNK = 16 << 20            # text bytes whose runs a task joins before sending
-SORT_BYTES = 4 << 20        # bytes of one suffix array
+CHUNK = 8 << 20             # text bytes whose runs a task joins before sending
+SORT_BYTES = 1 << 20        # bytes of one suffix array
 U64 = np.uint64
 _W48 = ~np.uint64(0xFFFF)
 _LAST = (1 << 63) - 1
@@ -192,7 +192,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = texts.mapInArrow(name_runs, "shard int, k binary, many binary").groupBy("shard").applyInArrow(repeated, "runs long").collect()  # one number a shard
     if not rows:
         return spark.createDataFrame([], "doc long, tie long, start long, `end` long")
-    out_n = shards_for(sum(r["runs"] for r in rows) * 180, 8 << 20)
+    out_n = shards_for(sum(r["runs"] for r in rows) * 180, 2 << 20)
 
     def send(batches):
         store = ArrayStore(url)
@@ -290,7 +290,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return pa.table({c: pa.array(gone[c]) for c in ("doc", "tie", "start", "end")})
 
     return (docs.select("doc", "tie", "text").mapInArrow(send, "shard int, runs binary, body binary, gone binary")
-            .groupBy("shard").applyInArrow(sort_shard, "doc long, tie long, start long, `end` long"))
+            .repartition(out_n, "shard").groupBy("shard").applyInArrow(sort_shard, "doc long, tie long, start long, `end` long"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = True) -> DataFrame:
