@@ -57,22 +57,26 @@ def _shingles(line: Column, n: int = SHINGLE) -> Column:
     return F.transform(whole, lambda x: F.xxhash64(x))
 
 
+def _blank(line: Column) -> Column:
+    return ~line.rlike(r"\S")
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, place, line) of every line that is not blank."""
     return (docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
-            .where(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != ""))
+            .where(~_blank(F.col("line"))))
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """(first occurrences: line_id, doc, place; links: a, b of verified similar lines)."""
     lines = lines_of(docs, id_col, text_col).withColumn("line_id", F.xxhash64("line"))
     order = F.struct(F.col("doc").isNull().alias("n"), "doc", "place")
-    words = F.size(F.regexp_extract_all("line", F.lit(r"\S+"), F.lit(0)))
-    at_words = F.transform(F.regexp_extract_all("line", F.lit(rf"(?s)(?:^|(?<=\s))(?=(\S.{{0,{WORD_SHINGLE - 1}}}))"), F.lit(1)), lambda x: F.xxhash64(x))
-    marked = lines.withColumn("words", words)
+    # at each word: as many characters from its start on
+    at_words = F.transform(F.regexp_extract_all("line", F.lit(rf"(?s)(?=(\S.{{0,{WORD_SHINGLE - 1}}}))\S+"), F.lit(1)), lambda x: F.xxhash64(x))
     none = F.array().cast("array<bigint>")
-    marked = marked.withColumn("wide", F.when(F.col("words") >= FEW, _least_of_bins(at_words)).otherwise(none)).withColumn(
-        "fine", F.when(F.col("words") <= MANY, _least_of_bins(_shingles(F.col("line")))).otherwise(none))
+    marked = lines.withColumn("at", at_words)
+    marked = marked.withColumn("wide", F.when(F.size("at") >= FEW, _least_of_bins(F.col("at"))).otherwise(none)).withColumn(
+        "fine", F.when(F.size("at") <= MANY, _least_of_bins(_shingles(F.col("line")))).otherwise(none))
     firsts = stored(marked.groupBy("line_id").agg(F.min(order).alias("o"), F.first("wide").alias("wide"), F.first("fine").alias("fine"))
                     .select("line_id", F.col("o.doc").alias("doc"), F.col("o.place").alias("place"),
                             F.concat(F.when(F.size("wide") > 0, _bands(F.col("wide"), 0)).otherwise(none),
@@ -91,11 +95,14 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
     places = firsts.join(wanted, "line_id", "left_semi").select("line_id", F.col("doc").alias("d"), F.col("place").alias("p"))
     texts = stored(lines.join(places.withColumnRenamed("line_id", "id"), (lines.line_id == F.col("id")) & lines.doc.eqNullSafe(F.col("d")) & (lines.place == F.col("p")))
-                   .select("line_id", "line").dropDuplicates(["line_id"]), "line-texts")
+                   .dropDuplicates(["line_id"]).select("line_id", "line", F.size(F.array_distinct(_shingles(F.col("line")))).alias("n")), "line-texts")
+    # numbers of shingles bound the similarity, so pairs of unlike size need no comparison
+    sizes = texts.select("line_id", "n")
+    pairs = (pairs.join(sizes.select(F.col("line_id").alias("a"), F.col("n").alias("nx")), "a").join(sizes.select(F.col("line_id").alias("b"), F.col("n").alias("ny")), "b")
+             .where(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")))
     both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
             .join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b"))
-    x, y = F.array_distinct(_shingles(F.col("x"))), F.array_distinct(_shingles(F.col("y")))
-    links = (both.select("a", "b", x.alias("x"), y.alias("y")).select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("n"))
+    links = (both.select("a", "b", "nx", "ny", F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y")))).alias("n"))
              .where(F.col("n") >= threshold * (F.col("nx") + F.col("ny") - F.col("n"))).select("a", "b"))
     return firsts, links
 
@@ -108,14 +115,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = (firsts.join(roots, firsts.line_id == roots.node, "left").groupBy(F.coalesce("root", "line_id").alias("root"))
             .agg(F.min(order).alias("o")).groupBy(F.col("o.doc").alias("kept_doc")).agg(F.collect_list("o.place").alias("kept")))
     lines = F.split(F.col(text_col), "\n")
-    blank = lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")) == ""
     # places in groups of 256, so a text of many lines is not searched line by line in all places
     places = F.coalesce(F.col("kept"), F.array().cast("array<int>"))
     grouped = F.transform(F.sequence(F.lit(0), F.floor(F.size(lines) / 256).cast("int")), lambda g: F.filter("places_", lambda p: F.floor(p / 256) == g))
     joined = docs.join(kept, docs[id_col].eqNullSafe(kept.kept_doc), "left").withColumn("places_", places)
     out = joined.withColumn("lines_", let(grouped, lambda by: F.filter(
-        lines, lambda x, i: blank(x) | F.array_contains(F.get(by, F.floor(i / 256).cast("int")), i))))
-    n = F.coalesce(F.size(F.filter(lines, lambda x: ~blank(x))), F.lit(0)).cast("long")
-    left = F.coalesce(F.size(F.filter("lines_", lambda x: ~blank(x))), F.lit(0)).cast("long")
+        lines, lambda x, i: _blank(x) | F.array_contains(F.get(by, F.floor(i / 256).cast("int")), i))))
+    n = F.coalesce(F.size(F.filter(lines, lambda x: ~_blank(x))), F.lit(0)).cast("long")
+    left = F.coalesce(F.size(F.filter("lines_", lambda x: ~_blank(x))), F.lit(0)).cast("long")
     return (out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(n)).withColumn("n_removed", F.when(F.col(text_col).isNull(), 0).otherwise(n - left))
             .withColumn(text_col, F.array_join("lines_", "\n")).drop("kept_doc", "kept", "places_", "lines_"))
