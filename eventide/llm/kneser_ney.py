@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from eventide.llm.common import ArrayStore, scratch, shards_for, text_bytes
 from eventide.llm.textcode import LOWER, blocks, mix, prefix_hash, span_hash, word_spans
 
-CHUNK_TOKENS = 3_000_000     # counted at once by a task, in memory
+CHUNK_TOKENS = 2_000_000     # counted at once by a task, in memory
 U64 = np.uint64
 END = np.uint64(0x5851F42D4C957F2D)       # hash of the end token
 BEGIN = np.uint64(0x14057B7EF767814F)     # context of the first token
@@ -331,7 +331,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
                        + ["n_tokens long", "n_known long", "base_score double", "score double"])
 
     def run(batches):
-        for batch, lo, hi, data, offs in blocks(batches, text_col, 8 << 20):
+        for batch, lo, hi, data, offs in blocks(batches, text_col, 4 << 20):
             toks, sizes = _tokens(data, offs)
             known, base, prob = model.score(toks, sizes)
             yield pa.RecordBatch.from_arrays(
