@@ -93,7 +93,8 @@ def runs_of(data: np.ndarray, offs: np.ndarray, length: int):
     inside = first < ends[np.searchsorted(offs, first, "right") - 1]
     first, last = first[inside], last[inside]
     loose = (least[first] != least[last]) | (n > int(_PLACE))
-    return name[first], first, last - first + 1, loose, s
+    # least hashes crowd near zero; mixed, names spread evenly over shards
+    return mix(name[first]), first, last - first + 1, loose, s
 
 
 def _first_of(keys: list[np.ndarray], order_by: list[np.ndarray]):
