@@ -85,13 +85,13 @@ class UnitIds:
     """Ids of every distinct unit of ``docs``, encoded once, as sorted hash arrays in the shared folder."""
 
     def __init__(self, docs: DataFrame, text_col: str, tokenizer_path: str):
-        n = shards_for(text_bytes(docs, text_col))
+        n = shards_for(text_bytes(docs, text_col), 8 << 20)
         url = scratch(docs.sparkSession, "units")
         special = tuple(t.content.encode() for t in _load(tokenizer_path).get_added_tokens_decoder().values())
         self.url, self.shards, self.special = url, n, special
 
         def distinct(batches):
-            for _, _, _, data, offs in blocks(batches, text_col, 16 << 20):
+            for _, _, _, data, offs in blocks(batches, text_col, 4 << 20):
                 low = LOWER[data]
                 starts, ends, _ = unit_spans(data if special else low, offs, special)
                 keys, first = np.unique(span_hash(prefix_hash(low), starts, ends), return_index=True)
@@ -113,8 +113,8 @@ class UnitIds:
                     units += u.split(b" ")
             keys, first = np.unique(np.concatenate(keys) if keys else np.empty(0, "<u8"), return_index=True)
             ids, sizes = [], []
-            for at in range(0, len(first), 20_000):
-                for e in tok.encode_batch_fast([units[i].decode() for i in first[at:at + 20_000]], add_special_tokens=False):
+            for at in range(0, len(first), 4_000):
+                for e in tok.encode_batch_fast([units[i].decode() for i in first[at:at + 4_000]], add_special_tokens=False):
                     x = e.ids
                     ids += x
                     sizes.append(len(x))
