@@ -89,6 +89,7 @@ class _Lines(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "body" and self.skip:       # a head that was never closed
             self.skip = 0
+            self.stack = [x for x in self.stack if x[0] not in SKIP]
         if tag in SKIP:
             self.flush() if tag not in ("svg", "math") else None
             self.skip += 1
