@@ -7,8 +7,12 @@ permutations: permutation j orders the hashes with their high four bits
 xor-ed by j, so the least hash of each of the sixteen bins is all a signature
 needs. Two permutations make a band. Lines that share a band are sorted by
 their other bands; each is paired with the ones just before it and with the
-band's first, so a band's pairs grow with its lines, not with their square,
-whatever its size. Pairs are verified by the exact Jaccard similarity of all
+band's first, so a band's pairs grow with its lines, not with their square.
+That is every pair of a small band. The lines of a larger one are grouped again
+by each set of two bands they share, those of still large groups by three bands
+and so on, so a line is in a bounded number of groups, and a pair is compared
+unless all the sets of bands that it shares are large groups and it stands
+apart in each order. Pairs are verified by the exact Jaccard similarity of all
 their character shingles; verified links go through distributed connected
 components, and the first line (by document id, then place) of each component
 stays. Blank lines are never removed.
@@ -23,6 +27,9 @@ cannot arise, as places differ; an empty table gives no rows.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +42,7 @@ BANDS = 6             # of two permutations each
 FEW, MANY = 6, 10     # words: below FEW all places, above MANY word starts, both between
 SIMILAR = 0.8
 BEFORE = 3            # lines of a band that each line is compared with, beside the first
+DEEPER = 8            # the same in groups of lines that share several bands
 
 
 def _least_of_bins(hashes: Column) -> Column:
@@ -67,6 +75,24 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .where(~_blank(F.col("line"))))
 
 
+def _after() -> Column:
+    """The band that follows place ``at`` in a line's bands, for lines of a group to be sorted by."""
+    return F.get("bands", F.pmod(F.col("at") + 1, F.size("bands")))
+
+
+def _shared(posted: DataFrame, name: str) -> DataFrame:
+    """Rows of the groups of two or more lines, with the group's size ``n``."""
+    return stored(posted.join(posted.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), name)
+
+
+def _neighbours(members: DataFrame, before: int) -> DataFrame:
+    """(a, b) of each group's lines with the ``before`` lines before them and with the group's first."""
+    by = Window.partitionBy("band").orderBy("next", "line_id")
+    near = members.select("line_id", *[F.lag("line_id", i).over(by).alias(f"p{i}") for i in range(1, before + 1)], F.first("line_id").over(by).alias("p0"))
+    return (near.select("line_id", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(before + 1)]))).alias("o"))
+            .where("o is not null and o <> line_id").select(F.least("line_id", "o").alias("a"), F.greatest("line_id", "o").alias("b")))
+
+
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """(first occurrences: line_id, doc, place; links: a, b of verified similar lines)."""
     lines = lines_of(docs, id_col, text_col).withColumn("line_id", F.xxhash64("line"))
@@ -81,29 +107,38 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     .select("line_id", F.col("o.doc").alias("doc"), F.col("o.place").alias("place"),
                             F.concat(F.when(F.size("wide") > 0, _bands(F.col("wide"), 0)).otherwise(none),
                                      F.when(F.size("fine") > 0, _bands(F.col("fine"), BANDS)).otherwise(none)).alias("bands")), "lines")
-    # bands with the next band beside them, to sort by
-    posted = firsts.select("line_id", F.posexplode("bands").alias("b", "band"), "bands").select(
-        "line_id", "band", F.get("bands", F.pmod(F.col("b") + 1, F.size("bands"))).alias("next"))
-    shared = posted.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    by = Window.partitionBy("band").orderBy("next", "line_id")
-    near = posted.join(shared, "band", "left_semi").select("line_id", *[F.lag("line_id", i).over(by).alias(f"p{i}") for i in range(1, BEFORE + 1)],
-                                                           F.first("line_id").over(by).alias("p0"))
-    pairs = (near.select("line_id", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(BEFORE + 1)]))).alias("o"))
-             .where("o is not null and o <> line_id").select(F.least("line_id", "o").alias("a"), F.greatest("line_id", "o").alias("b")).distinct())
-    pairs = stored(pairs, "line-pairs")
+    posted = firsts.select("line_id", F.posexplode("bands").alias("at", "band"), "bands").select("line_id", "at", "band", _after().alias("next"))
+    met, found = _shared(posted, "line-bands"), []
+    for level in range(BANDS):
+        found.append(_neighbours(met, BEFORE if level == 0 else DEEPER))
+        # lines of a group too large for every pair meet again in the groups of one band more
+        large = met.where(F.col("n") > (BEFORE if level == 0 else DEEPER) + 1)
+        if level + 1 == BANDS or large.isEmpty():
+            break
+        more = (large.select("line_id", F.col("at").alias("last"), F.col("band").alias("so_far")).join(firsts.select("line_id", "bands"), "line_id")
+                .select("line_id", "last", "so_far", "bands", F.posexplode("bands").alias("at", "one"))
+                # each set of bands once, by rising places of one of the two signatures
+                .where((F.col("at") > F.col("last")) & (F.floor(F.col("at") / BANDS) == F.floor(F.col("last") / BANDS))))
+        met = _shared(more.select("line_id", "at", F.xxhash64("so_far", "one").alias("band"), _after().alias("next")), f"line-bands-{level + 2}")
+    pairs = stored(reduce(DataFrame.union, found).distinct(), "line-pairs")
     # texts of the lines in a pair, from their first occurrence
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
-    places = firsts.join(wanted, "line_id", "left_semi").select("line_id", F.col("doc").alias("d"), F.col("place").alias("p"))
-    texts = stored(lines.join(places.withColumnRenamed("line_id", "id"), (lines.line_id == F.col("id")) & lines.doc.eqNullSafe(F.col("d")) & (lines.place == F.col("p")))
-                   .dropDuplicates(["line_id"]).select("line_id", "line", F.size(F.array_distinct(_shingles(F.col("line")))).alias("n")), "line-texts")
+    places = (firsts.join(wanted, "line_id", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("place", "line_id")).alias("places"))
+              .select(F.col("doc").alias("d"), "places"))
+    texts = (docs.select(F.col(id_col).alias("doc"), F.split(F.col(text_col), "\n").alias("lines_")).join(places, F.col("doc").eqNullSafe(F.col("d")))
+             .select(F.explode(F.transform("places", lambda p: F.struct(p.line_id.alias("line_id"), F.get("lines_", p.place).alias("line")))).alias("x"))
+             .select("x.*").where(F.xxhash64("line") == F.col("line_id")))
+    texts = stored(texts.dropDuplicates(["line_id"]).select("line_id", "line", F.size(F.array_distinct(_shingles(F.col("line")))).alias("n")), "line-texts")
     # numbers of shingles bound the similarity, so pairs of unlike size need no comparison
     sizes = texts.select("line_id", "n")
     pairs = (pairs.join(sizes.select(F.col("line_id").alias("a"), F.col("n").alias("nx")), "a").join(sizes.select(F.col("line_id").alias("b"), F.col("n").alias("ny")), "b")
              .where(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")))
     both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
             .join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b"))
-    links = (both.select("a", "b", "nx", "ny", F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y")))).alias("n"))
-             .where(F.col("n") >= threshold * (F.col("nx") + F.col("ny") - F.col("n"))).select("a", "b"))
+    # the common shingles stand once in the condition, in whole numbers, so they are found once a pair
+    ratio = Fraction(str(threshold))
+    common = F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y"))))
+    links = both.where(common * (ratio.numerator + ratio.denominator) >= (F.col("nx") + F.col("ny")) * ratio.numerator).select("a", "b")
     return firsts, links
 
 
