@@ -66,7 +66,7 @@ def _shingles(line: Column, n: int = SHINGLE) -> Column:
 
 
 def _blank(line: Column) -> Column:
-    return ~line.rlike(r"\S")
+    return F.ltrim(line, F.lit(" \t\n\x0b\f\r")) == ""
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -149,14 +149,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("doc").isNull().alias("n"), "doc", "place")
     kept = (firsts.join(roots, firsts.line_id == roots.node, "left").groupBy(F.coalesce("root", "line_id").alias("root"))
             .agg(F.min(order).alias("o")).groupBy(F.col("o.doc").alias("kept_doc")).agg(F.collect_list("o.place").alias("kept")))
-    lines = F.split(F.col(text_col), "\n")
     # places in groups of 256, so a text of many lines is not searched line by line in all places
-    places = F.coalesce(F.col("kept"), F.array().cast("array<int>"))
-    grouped = F.transform(F.sequence(F.lit(0), F.floor(F.size(lines) / 256).cast("int")), lambda g: F.filter("places_", lambda p: F.floor(p / 256) == g))
-    joined = docs.join(kept, docs[id_col].eqNullSafe(kept.kept_doc), "left").withColumn("places_", places)
-    out = joined.withColumn("lines_", let(grouped, lambda by: F.filter(
-        lines, lambda x, i: _blank(x) | F.array_contains(F.get(by, F.floor(i / 256).cast("int")), i))))
-    n = F.coalesce(F.size(F.filter(lines, lambda x: ~_blank(x))), F.lit(0)).cast("long")
-    left = F.coalesce(F.size(F.filter("lines_", lambda x: ~_blank(x))), F.lit(0)).cast("long")
-    return (out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(n)).withColumn("n_removed", F.when(F.col(text_col).isNull(), 0).otherwise(n - left))
-            .withColumn(text_col, F.array_join("lines_", "\n")).drop("kept_doc", "kept", "places_", "lines_"))
+    joined = docs.join(kept, docs[id_col].eqNullSafe(kept.kept_doc), "left").withColumn("all_", F.split(F.col(text_col), "\n")).withColumn(
+        "places_", F.coalesce(F.col("kept"), F.array().cast("array<int>")))
+    grouped = F.transform(F.sequence(F.lit(0), F.floor(F.size("all_") / 256).cast("int")), lambda g: F.filter("places_", lambda p: F.floor(p / 256) == g))
+    # of each line: 0 blank, 1 kept, 2 removed
+    marks = let(grouped, lambda by: F.transform("all_", lambda x, i: F.when(_blank(x), 0).when(
+        F.array_contains(F.get(by, F.floor(i / 256).cast("int")), i), 1).otherwise(2)))
+    out = joined.withColumn("marks_", F.when(F.col(text_col).isNull(), F.array().cast("array<int>")).otherwise(marks))
+    return (out.withColumn("n_lines", F.size(F.filter("marks_", lambda m: m > 0)).cast("long"))
+            .withColumn("n_removed", F.size(F.filter("marks_", lambda m: m == 2)).cast("long"))
+            .withColumn(text_col, F.array_join(F.filter("all_", lambda x, i: F.get("marks_", i) < 2), "\n"))
+            .drop("kept_doc", "kept", "places_", "all_", "marks_"))
