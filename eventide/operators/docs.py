@@ -67,8 +67,8 @@ def portfolio_summary(positions: DataFrame) -> DataFrame:
     (shares × price), first and last date."""
     return positions.groupBy("portfolio_id").agg(
         F.count(F.lit(1)).alias("positions"), F.countDistinct("ticker").alias("tickers"),
-        # exact: prices carry 2 decimals, so sum integer cents
-        (F.sum(F.col("shares") * F.round(F.col("price") * 100).cast("long")) / F.lit(100.0)).alias("market_value"),
+        # decimals: exact sums in any order, for prices of up to six places
+        F.sum(F.col("shares").cast("decimal(20,0)") * F.col("price").cast("decimal(18,6)")).cast("double").alias("market_value"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 

@@ -75,8 +75,8 @@ def pii_scan(events: DataFrame, props: str = "properties") -> DataFrame:
 
 def property_naming(events: DataFrame, props: str = "properties") -> DataFrame:
     """G-5: (event, property) pairs breaking the naming rules: snake_case;
-    booleans start is_/has_; counts end _count; durations end
-    _seconds/_hours. Keys are aggregated per (event, key) before the rules
+    booleans start is_/has_; counts (a word ``count``, ``counts`` or
+    ``found``) end _count; durations end _seconds/_hours. Keys are aggregated per (event, key) before the rules
     run, so the rules see one row per payload shape."""
     kv = (events.select(NAME, F.from_json(F.col(props), "map<string,string>").alias("m"))
                 .select(NAME, F.explode("m").alias("key", "value")))
@@ -88,7 +88,7 @@ def property_naming(events: DataFrame, props: str = "properties") -> DataFrame:
         ("not_snake_case", ~key.rlike(SNAKE)),
         ("boolean_without_is_has", (F.col("_bool") == 1) & ~(key.startswith("is_") | key.startswith("has_"))),
         ("duration_without_unit", key.contains("duration") & ~(key.endswith("_seconds") | key.endswith("_hours"))),
-        ("count_without_suffix", (key.contains("count") | key.endswith("_found")) & ~key.endswith("_count")),
+        ("count_without_suffix", key.rlike("(^|_)(count|counts|found)(_|$)") & ~key.endswith("_count")),
     ]
     viol = F.array(*[F.when(c, F.lit(r)) for r, c in rules])
     return (shapes.select(NAME, F.col("key").alias("property"), "rows",

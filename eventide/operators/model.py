@@ -131,39 +131,45 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: str, attrs: Sequenc
     Open versions whose attributes changed are closed at ``as_of``; a new
     open version starts at ``as_of``; unchanged and historical rows stay.
     Re-applying the same batch is a no-op. Attributes are compared null-safe.
+    A key without an open version takes every column that the batch sends.
+    Surrogate keys never change: new versions are numbered after the greatest
+    key. Batch rows with a NULL key are left out.
     """
     ts = F.lit(as_of).cast("timestamp_ntz")
     cols = current.columns
-    # one incoming row per key; a key sent twice keeps its greatest attribute
-    # tuple (deterministic, combined map-side)
-    inc = (incoming.groupBy(key).agg(F.max(F.struct(*[F.col(a) for a in attrs])).alias("_a"))
-                   .select(key, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
-    open_rows = current.where(F.col("is_current"))
-    closed_hist = current.where(~F.col("is_current"))
-    o, i = open_rows.alias("o"), inc.alias("i")
+    sent = [c for c in cols if c in incoming.columns
+            and c not in (key, "valid_from", "valid_to", "is_current", surrogate, *attrs)]
+    # one incoming row per key; a key sent twice keeps its greatest row by
+    # attributes (deterministic, combined map-side)
+    inc = (incoming.where(F.col(key).isNotNull()).groupBy(key)
+                   .agg(F.max(F.struct(*attrs, *sent)).alias("_new")).withColumnRenamed(key, "_key"))
+    joined = (current.withColumn("_old", F.lit(True))
+                     .join(inc, F.col("is_current") & (F.col(key) == F.col("_key")), "full"))
+    is_old = F.col("_old").isNotNull()
     same = F.lit(True)
     for a in attrs:
-        same = same & F.col(f"o.{a}").eqNullSafe(F.col(f"i.{a}"))
-    joined = o.join(i, F.col(f"o.{key}") == F.col(f"i.{key}"), "full")
-    has_o, has_i = F.col(f"o.{key}").isNotNull(), F.col(f"i.{key}").isNotNull()
-    changed = has_o & has_i & ~same
-    # rows kept as they are: open and not changed (incl. not in the batch)
-    keep = joined.where(has_o & ~changed).select("o.*")
-    close = (joined.where(changed).select("o.*")
-                   .withColumn("valid_to", ts).withColumn("is_current", F.lit(False)))
-    new_src = joined.where(changed | (~has_o & has_i))
-    new = new_src.select(*[
-        (F.col(f"i.{c}") if c in attrs or c == key else
-         ts.alias(c) if c == "valid_from" else
-         F.lit(None).cast("timestamp_ntz").alias(c) if c == "valid_to" else
-         F.lit(True).alias(c) if c == "is_current" else
-         F.coalesce(F.col(f"o.{c}"), F.lit(None)).alias(c))
-        for c in cols])
-    out = closed_hist.unionByName(keep).unionByName(close).unionByName(new.select(*cols))
-    if surrogate and surrogate in cols:
-        out = dense_sequence(out.drop(surrogate), [key, "valid_from"], out_col=surrogate, tiebreak=[]) \
-            .select(*cols)
-    return out
+        same = same & F.col(a).eqNullSafe(F.col(f"_new.{a}"))
+    changed = is_old & F.col("_key").isNotNull() & ~same
+    opened = {c: F.col(c) for c in cols}
+    opened.update({c: F.when(is_old, F.col(c)).otherwise(F.col(f"_new.{c}")) for c in sent})
+    opened.update({a: F.col(f"_new.{a}") for a in attrs})
+    opened.update({key: F.col("_key"), "valid_from": ts, "valid_to": F.lit(None), "is_current": F.lit(True)})
+    if surrogate in cols:
+        opened[surrogate] = F.lit(None)
+
+    def version(values: dict) -> F.Column:
+        return F.struct(*[values.get(c, F.col(c)).cast(current.schema[c].dataType).alias(c) for c in cols])
+
+    versions = (F.when(changed, F.array(version({"valid_to": ts, "is_current": F.lit(False)}), version(opened)))
+                 .when(is_old, F.array(version({}))).otherwise(F.array(version(opened))))
+    out = joined.select(F.explode(versions).alias("_v")).select("_v.*")
+    if surrogate not in cols:
+        return out
+    top = current.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
+    fresh = dense_sequence(out.where(F.col(surrogate).isNull()).drop(surrogate), [key, "valid_from"],
+                           out_col=surrogate, tiebreak=[])
+    fresh = fresh.withColumn(surrogate, (F.col(surrogate) + F.lit(top)).cast(current.schema[surrogate].dataType))
+    return out.where(F.col(surrogate).isNotNull()).unionByName(fresh.select(*cols))
 
 
 # -------------------------------------------------------------------- M-10

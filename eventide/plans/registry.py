@@ -494,10 +494,15 @@ def _st2(c: Ctx):
 
 @register("st3_late_routing")
 def _st3(c: Ctx):
-    root = c.replay("st3", lambda r: lambda src: src.writeStream.foreachBatch(
-        ST.route_late(f"{r}/on_time", f"{r}/late")))
-    return c.spark.read.parquet(f"{root}/late").select("event_id", "event_name", "event_timestamp",
-                                                      "collector_tstamp")
+    """All routes, over events of which some lost a time (ids that end in 77
+    the event time, in 78 the arrival time)."""
+    def lost(src: DataFrame) -> DataFrame:
+        return (src.withColumn("event_timestamp", F.when(~F.col("event_id").endswith("77"), F.col("event_timestamp")))
+                   .withColumn("collector_tstamp", F.when(~F.col("event_id").endswith("78"), F.col("collector_tstamp"))))
+
+    root = c.replay("st3", lambda r: lambda src: lost(src).writeStream.foreachBatch(ST.route_late(f"{r}/out")))
+    return c.spark.read.parquet(f"{root}/out").select("event_id", "event_name", "event_timestamp",
+                                                     "collector_tstamp", "route")
 
 
 @register("st4_debounce")
@@ -699,6 +704,19 @@ def _m8(c: Ctx):
     return M.scd2_apply(c.users_nokey, inc, "user_id", ["role"], AS_OF)
 
 
+@register("m8_scd2_keys")
+def _m8k(c: Ctx):
+    """The same batch with new members on the keyed dimension: old surrogate
+    keys stay, new versions are numbered after them."""
+    cust, ck = X.table(c.spark, c.sf, "customer"), F.col("c_custkey")
+    sent = cust.select(F.when(ck % 11 == 0, "new_").otherwise("usr_").alias("kind"), ck).where((ck % 7 == 0) | (ck % 11 == 0))
+    inc = sent.select(F.concat("kind", ck.cast("string")).alias("user_id"),
+                      F.concat(F.lit("tenant_"), (ck % 3).cast("string")).alias("tenant_id"),
+                      F.element_at(F.array(*[F.lit(r) for r in C.ROLES]), (ck % 5 + 1).cast("int")).alias("role"))
+    out = M.scd2_apply(c.users, inc, "user_id", ["role"], AS_OF, surrogate="user_surrogate_key")
+    return out.select("user_surrogate_key", "user_id", "tenant_id", "role", "is_active", "valid_from", "valid_to", "is_current")
+
+
 @register("m10_scd1_upsert")
 def _m10(c: Ctx):
     early = M.user_lifecycle(c.fact.where(F.col("event_date") < F.lit("2024-01-15").cast("date"))) \

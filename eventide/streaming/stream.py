@@ -154,17 +154,18 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ ST-3
-def route_late(on_time_path: str, late_path: str, max_lag_hours: float = 4.0,
-               arrival_col: str = "collector_tstamp"):
-    """ST-3: foreachBatch that splits each batch into on-time rows and rows
-    that arrived more than ``max_lag_hours`` after the event; the late rows'
-    dates are what M-14 reprocesses."""
+def route_late(path: str, max_lag_hours: float = 4.0, arrival_col: str = "collector_tstamp"):
+    """ST-3: foreachBatch that writes each batch once, split by ``route``:
+    ``late`` rows arrived more than ``max_lag_hours`` after the event (their
+    dates are what M-14 reprocesses), ``unknown`` rows lack one of the times,
+    all others are ``on_time``. Every row lands in exactly one folder."""
     lag = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), F.col(arrival_col))
+    route = (F.when(lag.isNull(), "unknown").when(lag > F.lit(int(max_lag_hours * 3600 * 1_000_000)), "late")
+              .otherwise("on_time"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_late", lag > F.lit(int(max_lag_hours * 3600 * 1_000_000)))
-        b.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(on_time_path, batch_id))
-        b.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(_batch_dir(late_path, batch_id))
+        (batch.withColumn("route", route).write.mode("overwrite").option("partitionOverwriteMode", "static")
+              .partitionBy("route").parquet(_batch_dir(path, batch_id)))
     return write
 
 

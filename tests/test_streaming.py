@@ -3,6 +3,8 @@ micro-batches, watermark dedupe, late routing."""
 import datetime as dt
 import tempfile
 
+from pyspark.sql import functions as F
+
 from eventide.streaming import stream as ST
 
 T0 = dt.datetime(2024, 1, 3, 10, 0, 0)
@@ -51,14 +53,16 @@ def test_dedupe_within_watermark_keeps_first_arrival(spark):
     assert got == {"evt_1": T0, "evt_2": T0, "evt_3": T0 + dt.timedelta(hours=1)}
 
 
-def test_late_rows_are_routed(spark):
+def test_every_row_takes_one_route(spark):
     late = T0 - dt.timedelta(hours=5)
-    b1 = [row(1, "x", T0), row(2, "x", late, ct=T0)]
+    gone = row(4, "x", T0, ct=T0)
+    b1 = [row(1, "x", T0), row(2, "x", late, ct=T0), row(3, "x", T0, ct=T0 + dt.timedelta(hours=4)), gone]
     src = ST.read_landing(spark, land(spark, [b1]), files_per_trigger=1)
+    src = src.withColumn("event_timestamp", F.when(F.col("event_id") != "evt_4", F.col("event_timestamp")))
     out = tempfile.mkdtemp(prefix="route-", dir="/tmp")
-    ST.run_available(src.writeStream.foreachBatch(ST.route_late(f"{out}/ok", f"{out}/late")), f"{out}/ckpt")
-    assert [r.event_id for r in spark.read.parquet(f"{out}/late").collect()] == ["evt_2"]
-    assert [r.event_id for r in spark.read.parquet(f"{out}/ok").collect()] == ["evt_1"]
+    ST.run_available(src.writeStream.foreachBatch(ST.route_late(f"{out}/o")), f"{out}/ckpt")
+    got = {r.event_id: r.route for r in spark.read.parquet(f"{out}/o").collect()}
+    assert got == {"evt_1": "on_time", "evt_2": "late", "evt_3": "on_time", "evt_4": "unknown"}
 
 
 def test_hourly_counts_in_update_mode_keep_latest(spark):

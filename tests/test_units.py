@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from eventide import config as C
 from eventide.functions import ranking, skew
+from eventide.operators import docs as D
 from eventide.operators import funnel as FN
+from eventide.operators import governance as G
 from eventide.operators import model as M
 from eventide.operators import quality as Q
 
@@ -142,6 +144,35 @@ def test_scd2_apply_invariants(spark):
     assert again.count() == 5                                                # same batch: no-op
 
 
+def test_scd2_apply_keeps_keys_and_new_members_columns(spark):
+    schema = ("user_id string, tenant_id string, role string, valid_from timestamp_ntz, valid_to timestamp_ntz, "
+              "is_current boolean, k long")
+    t0, t1 = dt.datetime(2022, 1, 1), dt.datetime(2023, 1, 1)
+    cur = spark.createDataFrame([("b", "t1", "guest", t0, t1, False, 1), ("b", "t1", "owner", t1, None, True, 2),
+                                 ("c", "t2", "dev", t1, None, True, 7)], schema)
+    inc = spark.createDataFrame([("a", "t9", "guest"), ("c", "t8", "owner"), ("b", "t1", "owner"), (None, "t1", "x")],
+                                "user_id string, tenant_id string, role string")
+    out = M.scd2_apply(cur, inc, "user_id", ["role"], "2024-01-15 00:00:00", surrogate="k")
+    got = sorted((r.k, r.user_id, r.tenant_id, r.role, r.is_current) for r in out.collect())
+    assert got == [(1, "b", "t1", "guest", False), (2, "b", "t1", "owner", True), (7, "c", "t2", "dev", False),
+                   (8, "a", "t9", "guest", True), (9, "c", "t2", "owner", True)]
+    empty = M.scd2_apply(cur, inc.limit(0), "user_id", ["role"], "2024-01-15 00:00:00", surrogate="k")
+    assert empty.exceptAll(cur).count() == 0 and empty.count() == 3
+
+
+def test_property_naming_matches_whole_words(spark):
+    ev = spark.createDataFrame([("e", '{"account_id": "1", "country": "x", "discount_pct": "2", "count_files": "3", "issues_found": "4"}')],
+                               "event_name string, properties string")
+    got = {r.property for r in G.property_naming(ev).collect()}
+    assert got == {"count_files", "issues_found"}
+
+
+def test_portfolio_value_keeps_all_places(spark):
+    pos = spark.createDataFrame([("p", "T1", 1000, 1.2345, dt.date(2024, 1, 1))],
+                                "portfolio_id string, ticker string, shares long, price double, date date")
+    assert D.portfolio_summary(pos).first().market_value == 1234.5
+
+
 def test_time_to_complete_empty_transition_row(spark):
     raw = raw_df(spark, [ev("1", "dedicated_user_invited")])
     out = FN.time_to_complete(raw).collect()
