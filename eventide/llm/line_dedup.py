@@ -13,7 +13,10 @@ by each set of two bands they share, those of still large groups by three bands
 and so on, so a line is in a bounded number of groups, and a pair is compared
 unless all the sets of bands that it shares are large groups and it stands
 apart in each order. Pairs are verified by the exact Jaccard similarity of all
-their character shingles; verified links go through distributed connected
+their character shingles, after two bounds that no similar pair can miss: their
+numbers of shingles, and the classes of hashes that hold an odd number in one
+line and an even one in the other. Pairs whose lines earlier links have already
+connected are not verified again. Verified links go through distributed connected
 components, and the first line (by document id, then place) of each component
 stays. Blank lines are never removed.
 
@@ -43,6 +46,7 @@ FEW, MANY = 6, 10     # words: below FEW all places, above MANY word starts, bot
 SIMILAR = 0.8
 BEFORE = 3            # lines of a band that each line is compared with, beside the first
 DEEPER = 8            # the same in groups of lines that share several bands
+PARITY_WORDS = 8      # of 64 classes of shingle hashes each
 
 
 def _least_of_bins(hashes: Column) -> Column:
@@ -71,7 +75,8 @@ def _blank(line: Column) -> Column:
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, place, line) of every line that is not blank."""
-    return (docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
+    # the outer forms here and below: the others add a filter on the array's size, which makes the array a second time
+    return (docs.select(F.col(id_col).alias("doc"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("place", "line"))
             .where(~_blank(F.col("line"))))
 
 
@@ -93,8 +98,24 @@ def _neighbours(members: DataFrame, before: int) -> DataFrame:
             .where("o is not null and o <> line_id").select(F.least("line_id", "o").alias("a"), F.greatest("line_id", "o").alias("b")))
 
 
+def _marks(texts: DataFrame) -> DataFrame:
+    """(line_id, n, parity): the number of distinct shingles, and of each of 512 classes of hashes whether it holds an odd number of them."""
+    def word(k: int) -> Column:
+        mine = F.shiftrightunsigned("h", 61) == k
+        return F.bit_xor(F.when(mine, F.expr("shiftleft(1L, cast(h & 63 as int))")).otherwise(F.lit(0).cast("long")))
+
+    return (texts.select("line_id", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")).groupBy("line_id")
+            .agg(F.count(F.lit(1)).alias("n"), *[word(k).alias(f"w{k}") for k in range(PARITY_WORDS)])
+            .select("line_id", "n", F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("parity")))
+
+
+def _unlike(x: Column, y: Column) -> Column:
+    """Classes of unlike parity: each holds a shingle that only one of the two lines has."""
+    return reduce(Column.__add__, [F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(PARITY_WORDS)])
+
+
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """(first occurrences: line_id, doc, place; links: a, b of verified similar lines)."""
+    """(first occurrences: line_id, doc, place; links: verified pairs a, b of similar lines, enough of them to connect each component)."""
     lines = lines_of(docs, id_col, text_col).withColumn("line_id", F.xxhash64("line"))
     order = F.struct(F.col("doc").isNull().alias("n"), "doc", "place")
     # at each word: as many characters from its start on
@@ -126,19 +147,33 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     places = (firsts.join(wanted, "line_id", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("place", "line_id")).alias("places"))
               .select(F.col("doc").alias("d"), "places"))
     texts = (docs.select(F.col(id_col).alias("doc"), F.split(F.col(text_col), "\n").alias("lines_")).join(places, F.col("doc").eqNullSafe(F.col("d")))
-             .select(F.explode(F.transform("places", lambda p: F.struct(p.line_id.alias("line_id"), F.get("lines_", p.place).alias("line")))).alias("x"))
+             .select(F.explode_outer(F.transform("places", lambda p: F.struct(p.line_id.alias("line_id"), F.get("lines_", p.place).alias("line")))).alias("x"))
              .select("x.*").where(F.xxhash64("line") == F.col("line_id")))
-    texts = stored(texts.dropDuplicates(["line_id"]).select("line_id", "line", F.size(F.array_distinct(_shingles(F.col("line")))).alias("n")), "line-texts")
-    # numbers of shingles bound the similarity, so pairs of unlike size need no comparison
-    sizes = texts.select("line_id", "n")
-    pairs = (pairs.join(sizes.select(F.col("line_id").alias("a"), F.col("n").alias("nx")), "a").join(sizes.select(F.col("line_id").alias("b"), F.col("n").alias("ny")), "b")
-             .where(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")))
-    both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
-            .join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b"))
-    # the common shingles stand once in the condition, in whole numbers, so they are found once a pair
+    texts = stored(texts.dropDuplicates(["line_id"]), "line-texts")
     ratio = Fraction(str(threshold))
-    common = F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y"))))
-    links = both.where(common * (ratio.numerator + ratio.denominator) >= (F.col("nx") + F.col("ny")) * ratio.numerator).select("a", "b")
+    marks = stored(_marks(texts), "line-marks")
+    likely = (pairs.join(marks.select(F.col("line_id").alias("a"), F.col("n").alias("nx"), F.col("parity").alias("px")), "a")
+              .join(marks.select(F.col("line_id").alias("b"), F.col("n").alias("ny"), F.col("parity").alias("py")), "b")
+              # similar sets have like numbers of shingles, and few that only one of them has
+              .where(F.least("nx", "ny") * ratio.denominator >= F.greatest("nx", "ny") * ratio.numerator)
+              .where(_unlike(F.col("px"), F.col("py")) * (ratio.denominator + ratio.numerator) <= (F.col("nx") + F.col("ny")) * (ratio.denominator - ratio.numerator)))
+    likely = stored(likely.select("a", "b", "nx", "ny"), "line-likely")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
+                .join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b"))
+        # the common shingles stand once in the condition, in whole numbers, so they are found once a pair
+        common = F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y"))))
+        return both.where(common * (ratio.numerator + ratio.denominator) >= (F.col("nx") + F.col("ny")) * ratio.numerator).select("a", "b")
+
+    # one pair of each line first; of the others only those whose lines these have not yet connected
+    least = likely.groupBy("b").agg(F.min("a").alias("a"))
+    trees = stored(verified(likely.join(least, ["a", "b"], "left_semi")), "line-links")
+    roots = connected_components(trees)
+    apart = (likely.join(least, ["a", "b"], "left_anti").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+             .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
+    links = trees.union(verified(apart.select("a", "b", "nx", "ny")))
     return firsts, links
 
 
