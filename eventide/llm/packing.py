@@ -3,7 +3,8 @@
 Tokens: every distinct unit of the corpus is encoded once. A unit is a run of
 bytes between white space, also cut where two ASCII bytes of different kind
 (letter, digit, other) meet, which the tokenizer's own pre-splitting always
-cuts too; the ids of a text are those of its units in order. Units and ids are
+cuts too; a special token's string is a unit of its own. The ids of a text are
+those of its units in order. Units and ids are
 sorted hash arrays in the shared folder, mapped into memory by the tasks.
 
 Pieces: a document's ids, its end id last, are cut into whole windows and one
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 
 import numpy as np
@@ -56,8 +58,27 @@ for _a, _b in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3, 2), (
 _CUT = _CUT.ravel()
 
 
+def _special_spans(data: np.ndarray, offs: np.ndarray, special: tuple[bytes, ...]) -> list[tuple[int, int]]:
+    """Spans of the special strings, leftmost and then longest first; none reaches over a row's end."""
+    raw = data.tobytes() if special else b""
+    if not any(s in raw for s in special):
+        return []
+    any_of = re.compile(b"|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)))
+    out, at = [], 0
+    while found := any_of.search(raw, at):
+        a = found.start()
+        inside = any_of.match(raw, a, int(offs[np.searchsorted(offs, a, "right")]))
+        if inside:
+            out.append((a, inside.end()))
+        at = inside.end() if inside else a + 1
+    return out
+
+
 def unit_spans(data: np.ndarray, offs: np.ndarray, special: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, units per row). A block with a special token's string is cut at white space only."""
+    """(starts, ends, units per row). A special token's string inside a row is a unit of its own, as the tokenizer takes it out first.
+
+    A row's units do not depend on the rows around it.
+    """
     n = len(data)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offs) - 1, np.int64)
@@ -65,10 +86,11 @@ def unit_spans(data: np.ndarray, offs: np.ndarray, special: tuple[bytes, ...]) -
     word = kind > 0
     edge = np.ones(n + 1, bool)        # a cut before byte i
     edge[1:n] = word[1:] != word[:-1]
-    raw = data.tobytes() if special else b""
-    if not any(s in raw for s in special):
-        edge[1:n] |= _CUT[kind[:-1] * 6 + kind[1:]]
+    edge[1:n] |= _CUT[kind[:-1] * 6 + kind[1:]]
     edge[offs] = True
+    for a, b in _special_spans(data, offs, special):
+        edge[a + 1:b] = False
+        edge[[a, b]] = True
     starts = np.flatnonzero(edge[:n] & word)
     ends = np.flatnonzero(edge[1:] & word) + 1
     return starts, ends, np.diff(np.searchsorted(starts, offs))
@@ -147,6 +169,8 @@ class UnitIds:
             if len(k):
                 key, at, ids = self._maps[s]
                 i = np.searchsorted(key, k)
+                if i[-1] == len(key) or (key[i] != k).any():
+                    raise RuntimeError(f"shard {s} of the unit table lacks a unit of the texts")
                 a, m = at[i], at[i + 1] - at[i]
                 size.append(m)
                 table.append(ids[np.repeat(a - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))])

@@ -202,6 +202,24 @@ def test_packing(docs, rows, empty):
     assert sorted(seqs) == list(range(len(seqs))) and packing.pack(empty, path).count() == 0
 
 
+def test_special_strings_leave_other_rows_alone(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    # one batch of over 2 MB: the unit table is built over larger blocks than the lookup's
+    texts = [f"zyxq{k}. don't {k}a'b{k} (x)" + " pad" * 60 for k in range(9_500)]
+    texts[-1] = "a.b<|endoftext|>c.d <|ENDOFTEXT|><|startoftext|>'s <|endof"
+    texts.append("text|> e.f")
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), path).collect()
+    want = [[*e.ids, 2] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == dict(enumerate(want))
+    data = np.frombuffer("".join(texts[-2:]).encode(), np.uint8)
+    at = len(texts[-2].encode())
+    alone = packing.unit_spans(data[:at], np.array([0, at]), (b"<|endoftext|>",))[0]
+    both = packing.unit_spans(data, np.array([0, at, len(data)]), (b"<|endoftext|>",))[0]
+    assert both[both < at].tolist() == alone.tolist()
+
+
 def test_plan_is_tight_and_whole():
     rng = np.random.default_rng(2)
     hist = Counter(np.minimum(rng.geometric(1 / 700, 40_000), 4095).tolist())
