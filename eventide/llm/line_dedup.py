@@ -10,9 +10,11 @@ their other bands; each is paired with the ones just before it and with the
 band's first, so a band's pairs grow with its lines, not with their square.
 That is every pair of a small band. The lines of a larger one are grouped again
 by each set of two bands they share, those of still large groups by three bands
-and so on, so a line is in a bounded number of groups, and a pair is compared
-unless all the sets of bands that it shares are large groups and it stands
-apart in each order. Pairs are verified by the exact Jaccard similarity of all
+and so on, so a line is in a bounded number of groups. Lines of large groups that
+these links leave in different components are then met exactly: two similar
+lines share one of the first fifth of their shingles in any fixed order of all
+shingles (rare ones first here), so the pairs of those posting lists hold every
+similar pair of them; long lists are split over tasks by both lines. Pairs are verified by the exact Jaccard similarity of all
 their character shingles, after two bounds that no similar pair can miss: their
 numbers of shingles, and the classes of hashes that hold an odd number in one
 line and an even one in the other. Pairs whose lines earlier links have already
@@ -47,6 +49,8 @@ SIMILAR = 0.8
 BEFORE = 3            # lines of a band that each line is compared with, beside the first
 DEEPER = 8            # the same in groups of lines that share several bands
 PARITY_WORDS = 8      # of 64 classes of shingle hashes each
+RARITY = 1 << 16      # classes of shingle hashes whose counts order the shingles
+LIST_PART = 1000      # lines of a posting list that meet in one task
 
 
 def _least_of_bins(hashes: Column) -> Column:
@@ -114,6 +118,38 @@ def _unlike(x: Column, y: Column) -> Column:
     return reduce(Column.__add__, [F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(PARITY_WORDS)])
 
 
+def _posted_prefixes(texts: DataFrame, ratio: Fraction) -> DataFrame:
+    """(line_id, n, h): the shingles of each line of which similar lines share one, rare ones first; n is the line's number of shingles."""
+    cls = F.col("h").bitwiseAND(RARITY - 1)
+    counts = texts.select(F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")).groupBy(cls.alias("c")).count().collect()  # at most RARITY rows
+    by_class = ["0"] * RARITY
+    for r in counts:
+        by_class[r["c"]] = str(r["count"])
+    # any order of shingles will do that is the same for all lines, so counts of classes are enough
+    count = F.split(F.lit(",".join(by_class)), ",").cast("array<bigint>")
+    ranked = F.sort_array(F.transform(F.array_distinct(_shingles(F.col("line"))), lambda h: F.struct(
+        F.get(count, h.bitwiseAND(RARITY - 1).cast("int")).alias("c"), h.alias("h"))))
+    listed = texts.select("line_id", ranked.alias("s")).select("line_id", F.size("s").alias("n"), "s")
+    # n - ceil(ratio * n) + 1
+    first = F.floor(F.col("n") * (ratio.denominator - ratio.numerator) / ratio.denominator).cast("int") + 1
+    return listed.select("line_id", "n", F.explode_outer(F.slice("s", 1, first)).alias("x")).select("line_id", "n", F.col("x.h").alias("h"))
+
+
+def _apart_in_lists(texts: DataFrame, links: DataFrame, ratio: Fraction) -> DataFrame:
+    """(a, b): every pair of lines in different components of ``links`` that can be similar, by shared rare shingles and sizes."""
+    roots = connected_components(links)
+    posted = stored(_posted_prefixes(texts, ratio).join(roots, F.col("line_id") == F.col("node"), "left")
+                    .select("line_id", "n", "h", F.coalesce("root", "line_id").alias("root")), "line-prefixes")
+    lists = posted.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    met = (posted.join(lists.select("h", F.ceil(F.col("c") / LIST_PART).cast("int").alias("parts")), "h")
+           .withColumn("mine", F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    x = met.select("h", F.col("mine").alias("p"), F.col("other").alias("q"), F.col("line_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    y = met.select("h", F.col("other").alias("p"), F.col("mine").alias("q"), F.col("line_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    return (x.join(y, ["h", "p", "q"]).where("a < b and ra <> rb")
+            .where(F.least("na", "nb") * ratio.denominator >= F.greatest("na", "nb") * ratio.numerator).select("a", "b").distinct())
+
+
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """(first occurrences: line_id, doc, place; links: verified pairs a, b of similar lines, enough of them to connect each component)."""
     lines = lines_of(docs, id_col, text_col).withColumn("line_id", F.xxhash64("line"))
@@ -129,7 +165,8 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                             F.concat(F.when(F.size("wide") > 0, _bands(F.col("wide"), 0)).otherwise(none),
                                      F.when(F.size("fine") > 0, _bands(F.col("fine"), BANDS)).otherwise(none)).alias("bands")), "lines")
     posted = firsts.select("line_id", F.posexplode("bands").alias("at", "band"), "bands").select("line_id", "at", "band", _after().alias("next"))
-    met, found = _shared(posted, "line-bands"), []
+    met_first, found = _shared(posted, "line-bands"), []
+    met = met_first
     for level in range(BANDS):
         found.append(_neighbours(met, BEFORE if level == 0 else DEEPER))
         # lines of a group too large for every pair meet again in the groups of one band more
@@ -152,12 +189,16 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = stored(texts.dropDuplicates(["line_id"]), "line-texts")
     ratio = Fraction(str(threshold))
     marks = stored(_marks(texts), "line-marks")
-    likely = (pairs.join(marks.select(F.col("line_id").alias("a"), F.col("n").alias("nx"), F.col("parity").alias("px")), "a")
-              .join(marks.select(F.col("line_id").alias("b"), F.col("n").alias("ny"), F.col("parity").alias("py")), "b")
-              # similar sets have like numbers of shingles, and few that only one of them has
-              .where(F.least("nx", "ny") * ratio.denominator >= F.greatest("nx", "ny") * ratio.numerator)
-              .where(_unlike(F.col("px"), F.col("py")) * (ratio.denominator + ratio.numerator) <= (F.col("nx") + F.col("ny")) * (ratio.denominator - ratio.numerator)))
-    likely = stored(likely.select("a", "b", "nx", "ny"), "line-likely")
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(marks.select(F.col("line_id").alias("a"), F.col("n").alias("nx"), F.col("parity").alias("px")), "a")
+                .join(marks.select(F.col("line_id").alias("b"), F.col("n").alias("ny"), F.col("parity").alias("py")), "b")
+                # similar sets have like numbers of shingles, and few that only one of them has
+                .where(F.least("nx", "ny") * ratio.denominator >= F.greatest("nx", "ny") * ratio.numerator)
+                .where(_unlike(F.col("px"), F.col("py")) * (ratio.denominator + ratio.numerator) <= (F.col("nx") + F.col("ny")) * (ratio.denominator - ratio.numerator))
+                .select("a", "b", "nx", "ny"))
+
+    likely = stored(bounded(pairs), "line-likely")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
@@ -173,7 +214,11 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     apart = (likely.join(least, ["a", "b"], "left_anti").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
              .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
              .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
-    links = trees.union(verified(apart.select("a", "b", "nx", "ny")))
+    links = stored(trees.union(verified(apart.select("a", "b", "nx", "ny"))), "line-near-links")
+    # lines of large groups were not all compared: every similar pair that is still apart
+    rest = met_first.where(F.col("n") > BEFORE + 1).select("line_id").distinct()
+    if not rest.isEmpty():
+        links = links.union(verified(bounded(_apart_in_lists(texts.join(rest, "line_id", "left_semi"), links, ratio))))
     return firsts, links
 
 

@@ -179,6 +179,45 @@ def test_lines(spark, docs, rows, empty):
         assert r.text == (None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if not x.strip(" \t\r\x0b\x0c") or (r.doc_id is None, r.doc_id or 0, k) in places))
 
 
+def test_lines_of_large_groups(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(424)]
+    made = []
+    for k in range(420):
+        free = list(rng.choice(words[24:], 8))
+        line = words[:8] + free[:3] + words[8:16] + free[3:6] + words[16:24] + free[6:]
+        made.append(" ".join(line))
+        if k < 120:       # a near copy: one or two free words changed
+            for at in rng.choice([8, 9, 19, 20, 30, 31], 1 + k % 2, replace=False):
+                line[at] = line[at][:-1] + "#"
+            made.append(" ".join(line))
+    made = [made[i] for i in rng.permutation(len(made))]
+    sets = [{x[j:j + 9] for j in range(len(x) - 8)} for x in made]
+    root = list(range(len(made)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b, y in enumerate(sets):
+        for a, x in enumerate(sets[:b]):
+            if (c := len(x & y)) >= 0.8 * (len(x) + len(y) - c) and find(a) != find(b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    want = {k for k in range(len(made)) if find(k) == k}
+    assert len(made) - len(want) > 100
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"))
+    assert {r.doc_id for r in got.where("n_removed = 0").collect()} == want
+    # long posting lists in parts
+    assert line_dedup.LIST_PART > 3
+    line_dedup.LIST_PART, kept = 3, line_dedup.LIST_PART
+    try:
+        got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"))
+        assert {r.doc_id for r in got.where("n_removed = 0").collect()} == want
+    finally:
+        line_dedup.LIST_PART = kept
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 
