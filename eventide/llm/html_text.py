@@ -2,9 +2,10 @@
 
 The standard-library parser's events become lines: a line is the text between
 two block-level tags, with the tags met inside it, the share of it in links,
-the innermost section it stands in, and whether that is inside an element
-that is never main text (navigation, footer, form, script, ... by tag, role,
-class or id). A line's text-to-tag ratio is its characters over its tags. The
+and the innermost section it stands in. Elements that are never main text are
+marked by tag or role (navigation, footer, form, script, ...) or named by class
+or id; a name alone counts only as far as the element's text bears it out (see
+``_boilerplate_lines``), so layout wrappers keep what they hold. A line's text-to-tag ratio is its characters over its tags. The
 ratios are smoothed by a Gaussian over neighbouring lines and the lines above
 the threshold (the mean of the two centres of a two-means clustering) form the
 content cluster. The section that holds most of the cluster's text is the
@@ -39,50 +40,60 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner",
          "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "comment", "comments", "disqus",
          "reply", "replies", "respond", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter",
          "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "pagination", "pager", "copyright", "skip", "disclaimer", "feedback", "paywall"}
+# of these, names that layout wrappers have too; the others name what is in the element
+LAYOUT = {"banner", "nav", "navbar", "navigation", "menu", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "notice", "notices", "notification",
+          "alert", "modal", "overlay", "widget", "skip", "feedback", "paywall", "share", "sharing", "social", "promo", "promotion"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+NO_MARK, IN_LAYOUT, NAMED, DROPPED = range(4)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _boilerplate(tag: str, attrs: list) -> bool:
+def _mark(tag: str, attrs: list) -> int:
+    """Whether the element is dropped, or only named like boilerplate or its layout."""
     if tag in DROP:
-        return True
+        return DROPPED
+    mark = NO_MARK
     for k, v in attrs:
         if not v:
             if k in ("hidden",):
-                return True
+                return DROPPED
             continue
         if k == "role" and v.strip().lower() in ROLES:
-            return True
+            return DROPPED
         if k == "aria-hidden" and v.strip().lower() == "true":
-            return True
-        if k in ("class", "id") and tag not in ("html", "body", "article", "main") and any(w.lower() in NAMES for w in _WORD.findall(v)):
-            return True
+            return DROPPED
+        if k in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            names = {w.lower() for w in _WORD.findall(v)} & NAMES
+            if names - LAYOUT:
+                mark = NAMED
+            elif names and tag not in HEADINGS:
+                mark = max(mark, IN_LAYOUT)
         if k == "style" and "display:none" in v.replace(" ", "").lower():
-            return True
-    return False
+            return DROPPED
+    return mark
 
 
 class _Lines(HTMLParser):
-    """Parser events to lines: [text, tags, link characters, section path, boilerplate]."""
+    """Parser events to lines: (text, tags, link characters, section)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines, self.text, self.tags, self.linked = [], [], 0, 0
-        self.stack: list[tuple[str, int, bool]] = []     # open elements: (tag, section, boilerplate)
-        self.sections = [(-1, "html")]                   # (parent, tag)
+        self.stack: list[tuple[str, int]] = []           # open elements: (tag, section)
+        self.sections = [(-1, "html", NO_MARK)]          # (parent, tag, mark)
         self.skip, self.links = 0, 0
 
     def updatepos(self, i, j):
         return j              # line numbers are not used
 
-    def _state(self):
-        return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
+    def _section(self):
+        return self.stack[-1][1] if self.stack else 0
 
     def flush(self):
-        section, boiler = self._state()
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.tags, self.linked, section, boiler))
+            self.lines.append((text, self.tags, self.linked, self._section()))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -93,7 +104,7 @@ class _Lines(HTMLParser):
         if tag in SKIP:
             self.flush() if tag not in ("svg", "math") else None
             self.skip += 1
-            self.stack.append((tag, *self._state()))
+            self.stack.append((tag, self._section()))
             return
         if self.skip:
             return
@@ -104,8 +115,8 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        section, boiler = self._state()
-        bad = _boilerplate(tag, attrs)
+        section = self._section()
+        bad = _mark(tag, attrs)
         if tag not in BLOCK and not bad:
             if tag == "a":
                 self.links += 1
@@ -113,26 +124,26 @@ class _Lines(HTMLParser):
         if bad and tag not in BLOCK:
             self.flush()
         if tag in SECTION or bad:
-            self.sections.append((section, tag))
+            self.sections.append((section, tag, bad))
             section = len(self.sections) - 1
-        elif any(t == tag for t, _, _ in self.stack[-1:]):     # <p> or <li> closes the one before
+        elif any(t == tag for t, _ in self.stack[-1:]):     # <p> or <li> closes the one before
             self.stack.pop()
-            section, boiler = self._state()
-        self.stack.append((tag, section, boiler or bad))
+            section = self._section()
+        self.stack.append((tag, section))
 
     def handle_endtag(self, tag):
         if self.skip:
-            if tag in SKIP and any(t == tag for t, _, _ in self.stack):
+            if tag in SKIP and any(t == tag for t, _ in self.stack):
                 while self.stack and self.stack[-1][0] != tag:
                     self.stack.pop()
                 self.stack.pop()
-                self.skip = sum(t in SKIP for t, _, _ in self.stack)
+                self.skip = sum(t in SKIP for t, _ in self.stack)
             return
         if tag == "a":
             self.links = max(0, self.links - 1)
         at = next((i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag), None)
         # a block that only lies outside the section it is in closes nothing
-        if at is not None and (tag in SECTION or not any(t in SECTION for t, _, _ in self.stack[at + 1:])):
+        if at is not None and (tag in SECTION or not any(t in SECTION for t, _ in self.stack[at + 1:])):
             self.flush()
             del self.stack[at:]
         elif tag in BLOCK:
@@ -172,6 +183,64 @@ def _threshold(x: np.ndarray) -> float:
     return (lo + hi) / 2
 
 
+def _cluster(lines: list, ids: list[int]) -> list[int]:
+    """Those of the lines ``ids`` that are above the threshold."""
+    ratio = np.array([(len(t) - linked) / max(1, tags) for t, tags, linked, _ in lines])
+    smooth = _smooth(ratio)
+    cut = _threshold(smooth[ids])
+    return [i for i in ids if smooth[i] >= cut] or ids
+
+
+def _boilerplate_lines(lines: list, sections: list) -> list[bool]:
+    """Whether each line stands in an element that is no main text.
+
+    Dropped elements are. A layout name counts if most of the element's text is
+    links or outside the content cluster, and not for an article or main element
+    inside it. Another name counts unless nearly all of the page's cluster that
+    has no such name is in the element, and not for a main element inside it.
+    """
+    paths, dropped = [], []
+    for k, (parent, _, mark) in enumerate(sections):
+        paths.append([*(paths[parent] if k else []), k] if mark in (IN_LAYOUT, NAMED) else paths[parent] if k else [])
+        if sections[k][1] == "main":
+            paths[k] = []
+        elif sections[k][1] == "article":
+            paths[k] = [s for s in paths[k] if sections[s][2] == NAMED]
+        dropped.append(mark == DROPPED or (k > 0 and dropped[parent]))
+    out = [dropped[x[3]] for x in lines]
+    rest = [i for i, x in enumerate(out) if not x]
+    if not rest or not any(paths[lines[i][3]] for i in rest):
+        return out
+    cluster = set(_cluster(lines, rest))
+    text, linked, content, free = {}, {}, {}, 0
+    for i in rest:
+        t, _, link, section = lines[i]
+        for s in paths[section]:
+            text[s] = text.get(s, 0) + len(t)
+            linked[s] = linked.get(s, 0) + link
+            content[s] = content.get(s, 0) + len(t) * (i in cluster)
+        if i in cluster and not any(sections[s][2] == NAMED for s in paths[section]):
+            free += len(t)
+    whole = free + sum(content[s] for s in content if sections[s][2] == NAMED and not any(sections[p][2] == NAMED for p in paths[s] if p != s))
+    inner = {s: 0 for s in content}      # the part of ``free`` in an element is not outside it
+    for i in rest:
+        if i in cluster and not any(sections[s][2] == NAMED for s in paths[lines[i][3]]):
+            for s in paths[lines[i][3]]:
+                inner[s] += len(lines[i][0])
+
+    def bad(s: int) -> bool:
+        if 2 * linked[s] >= text[s]:
+            return True
+        if sections[s][2] == IN_LAYOUT:
+            return 2 * content[s] < text[s] and 2 * content[s] < whole
+        return not content[s] or content[s] < 9 * (free - inner[s])
+
+    verdict = {s: bad(s) for s in text}
+    for i in rest:
+        out[i] = any(verdict[s] for s in paths[lines[i][3]])
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: blocks of the content region joined by two newlines."""
     if not html:
@@ -180,41 +249,39 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
-    good = [i for i, x in enumerate(lines) if not x[4]]
+    lines, sections = parser.lines, parser.sections
+    boiler = _boilerplate_lines(lines, sections)
+    good = [i for i, x in enumerate(boiler) if not x]
     if not good:
         return ""
-    ratio = np.array([(len(t) - linked) / max(1, tags) for t, tags, linked, _, _ in lines])
-    smooth = _smooth(ratio)
-    cut = _threshold(smooth[good])
-    cluster = [i for i in good if smooth[i] >= cut] or good
+    cluster = _cluster(lines, good)
     # text of the content cluster below each section
     mass: dict[int, int] = {}
     for i in cluster:
         s = lines[i][3]
         while s >= 0:
             mass[s] = mass.get(s, 0) + len(lines[i][0])
-            s = parser.sections[s][0]
+            s = sections[s][0]
     total = sum(len(lines[i][0]) for i in cluster)
     depth: dict[int, int] = {0: 0}
-    for s in range(1, len(parser.sections)):
-        depth[s] = depth[parser.sections[s][0]] + 1
+    for s in range(1, len(sections)):
+        depth[s] = depth[sections[s][0]] + 1
     region = max((s for s in mass if mass[s] >= SHARE * total), key=lambda s: (depth[s], mass[s]))
     # the article or main element around it
     s = region
     while s >= 0:
-        if parser.sections[s][1] in ("article", "main"):
+        if sections[s][1] in ("article", "main"):
             region = s
-            if parser.sections[s][1] == "article":
+            if sections[s][1] == "article":
                 break
-        s = parser.sections[s][0]
+        s = sections[s][0]
 
     def inside(s: int) -> bool:
         while s >= 0 and s != region:
-            s = parser.sections[s][0]
+            s = sections[s][0]
         return s == region
 
-    if region == 0 or parser.sections[region][1] == "body":
+    if region == 0 or sections[region][1] == "body":
         kept = [i for i in good if cluster[0] <= i <= cluster[-1]]
     else:
         kept = [i for i in good if inside(lines[i][3])]

@@ -96,6 +96,20 @@ def test_html():
     assert html_text.main_text("<p>" + "w " * 50_000) == ("w " * 50_000).strip()
 
 
+LONG = "A long paragraph of the article with many words and no links in it, number "
+
+
+def test_html_layout_names():
+    ps = [f"{LONG}{k}." for k in range(6)]
+    body = "".join(f"<p>{x}</p>" for x in ps)
+    nav = "<div class='nav-menu'><a href=#>Home</a> <a href=#>News</a></div>"
+    comments = "<div id='comments'>" + f"<p>{LONG}of a reader.</p>" * 3 + "</div>"
+    for page in (f"<div class='content-sidebar-wrap'><main>{body}</main></div>", f"<div class='has-sidebar'>{body}</div>", f"<div class='widget Blog'><div class='post'>{body}</div></div>",
+                 f"<div id='no-comments-page'><main>{body}</main></div>", f"<div class='subscribe-page'>{body}</div>"):
+        assert html_text.main_text(f"<body>{nav}{page}</body>").split("\n\n") == ps
+    assert html_text.main_text(f"<body>{nav}<div class='has-sidebar'><article><h2 class='section-header'>Head</h2>{body}{comments}</article></div></body>").split("\n\n") == ["Head", *ps]
+
+
 def test_html_table(spark):
     t = spark.createDataFrame([(1, None, None, 5), (1, "u", "<p>a", 5), (1, "u", "<p>a", 5)], "page_id long, url string, html string, text int")
     assert sorted((r.text, r.n_chars) for r in html_text.extract(t).collect()) == [("", 0), ("a", 1), ("a", 1)]
