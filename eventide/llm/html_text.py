@@ -8,14 +8,17 @@ or id; a name alone counts only as far as the element's text bears it out (see
 ``_boilerplate_lines``), so layout wrappers keep what they hold. A line's text-to-tag ratio is its characters over its tags. The
 ratios are smoothed by a Gaussian over neighbouring lines and the lines above
 the threshold (the mean of the two centres of a two-means clustering) form the
-content cluster. The section that holds most of the cluster's text is the
-content region: the deepest one with at least ``SHARE`` of it, or the page's
-article or main element around it. All lines of the region that are not
-boilerplate are kept, so short paragraphs between long ones stay.
+content cluster. Content regions are the deepest section with at least ``SHARE``
+of the cluster's text and the section of every other line of the cluster, each
+widened from a list, table or figure to what it stands in, and to the page's
+article or main element around it. All lines of the regions that are not
+boilerplate are kept, so short paragraphs between long ones stay, and so do
+lines that stand directly in the sections that join the regions.
 
 Defined cases: null, empty and text-free pages give the empty text; unclosed
 and misnested tags are closed where their section ends; without any section
-the body's content cluster from its first to its last line is taken.
+the body's lines are taken, before and after the content cluster only those
+that are not mostly links.
 """
 
 from __future__ import annotations
@@ -44,6 +47,7 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner",
 LAYOUT = {"banner", "nav", "navbar", "navigation", "menu", "sidebar", "aside", "footer", "header", "masthead", "topbar", "toolbar", "notice", "notices", "notification",
           "alert", "modal", "overlay", "widget", "skip", "feedback", "paywall", "share", "sharing", "social", "promo", "promotion"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+PARTS = {"ul", "ol", "dl", "table", "tbody", "thead", "tr", "figure", "details"}     # sections that stand among paragraphs
 NO_MARK, IN_LAYOUT, NAMED, DROPPED = range(4)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -242,7 +246,7 @@ def _boilerplate_lines(lines: list, sections: list) -> list[bool]:
 
 
 def main_text(html: str | None) -> str:
-    """The page's main text: blocks of the content region joined by two newlines."""
+    """The page's main text: blocks of the content regions joined by two newlines."""
     if not html:
         return ""
     parser = _Lines()
@@ -266,26 +270,42 @@ def main_text(html: str | None) -> str:
     depth: dict[int, int] = {0: 0}
     for s in range(1, len(sections)):
         depth[s] = depth[sections[s][0]] + 1
-    region = max((s for s in mass if mass[s] >= SHARE * total), key=lambda s: (depth[s], mass[s]))
-    # the article or main element around it
-    s = region
-    while s >= 0:
-        if sections[s][1] in ("article", "main"):
-            region = s
-            if sections[s][1] == "article":
-                break
-        s = sections[s][0]
-
-    def inside(s: int) -> bool:
-        while s >= 0 and s != region:
+
+    def up(s: int) -> list[int]:
+        """The section and those around it."""
+        out = []
+        while s >= 0:
+            out.append(s)
+            s = sections[s][0]
+        return out
+
+    def widened(s: int) -> int:
+        while sections[s][1] in PARTS and s:
             s = sections[s][0]
-        return s == region
+        around = [x for x in up(s) if sections[x][1] in ("article", "main")]
+        return next((x for x in around if sections[x][1] == "article"), around[-1] if around else s)
+
+    first = max((s for s in mass if mass[s] >= SHARE * total), key=lambda s: (depth[s], mass[s]))
+    regions = {widened(first)}
+    for i in cluster:
+        if not regions.intersection(up(lines[i][3])):
+            regions.add(widened(lines[i][3]))
+    # sections that join the regions, up to the lowest one around all
+    paths = [up(r) for r in regions]
+    shared = set(paths[0]).intersection(*paths[1:])
+    lowest = max(shared, key=lambda s: depth[s])
+    joining = {s for p in paths for s in p if depth[s] >= depth[lowest]} - regions
+
+    def stays(i: int) -> bool:
+        text, _, linked, s = lines[i]
+        while s >= 0 and s not in regions and sections[s][1] in PARTS:
+            s = sections[s][0]
+        inside = regions.intersection(up(s))
+        if any(r and sections[r][1] != "body" for r in inside) or (inside and cluster[0] <= i <= cluster[-1]):
+            return True
+        return bool(inside or s in joining) and 2 * linked < len(text)
 
-    if region == 0 or sections[region][1] == "body":
-        kept = [i for i in good if cluster[0] <= i <= cluster[-1]]
-    else:
-        kept = [i for i in good if inside(lines[i][3])]
-    return "\n\n".join(lines[i][0] for i in kept)
+    return "\n\n".join(lines[i][0] for i in good if stays(i))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

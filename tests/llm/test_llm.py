@@ -110,6 +110,18 @@ def test_html_layout_names():
     assert html_text.main_text(f"<body>{nav}<div class='has-sidebar'><article><h2 class='section-header'>Head</h2>{body}{comments}</article></div></body>").split("\n\n") == ["Head", *ps]
 
 
+def test_html_regions():
+    ps = [f"{LONG}{k}." for k in range(10)]
+    p = [f"<p>{x}</p>" for x in ps]
+    text = html_text.main_text
+    assert text(f"<body><div><div>{''.join(p[:6])}</div><h2>Next</h2><div>{''.join(p[6:])}</div></div>").split("\n\n") == [*ps[:6], "Next", *ps[6:]]
+    items = "".join(f"<li>{x}</li>" for x in ps[1:9])
+    assert text(f"<body><div>{p[0]}<ul>{items}</ul>{p[9]}</div>").split("\n\n") == ps
+    assert text(f"<body><div><p>Short.</p><ul>{items}</ul><p>End.</p></div>").split("\n\n") == ["Short.", *ps[1:9], "End."]
+    assert text(f"<body><article>{''.join(p[:7])}</article><article>{''.join(p[7:])}</article>").split("\n\n") == ps
+    assert text(f"<body><h1>Title</h1>{''.join(p)}<p>End.</p><p><a href=#>Imprint</a></p></body>").split("\n\n") == ["Title", *ps, "End."]
+
+
 def test_html_table(spark):
     t = spark.createDataFrame([(1, None, None, 5), (1, "u", "<p>a", 5), (1, "u", "<p>a", 5)], "page_id long, url string, html string, text int")
     assert sorted((r.text, r.n_chars) for r in html_text.extract(t).collect()) == [("", 0), ("a", 1), ("a", 1)]
