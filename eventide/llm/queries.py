@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, fingerprints, html_text, kneser_ney, line_dedup, packing, simhash, suffix_dedup, toxicity, url_filter
+from eventide.llm import decontamination, fingerprints, html_text, kneser_ney, line_dedup, packing, simhash, suffix_dedup, token_alignment, toxicity, url_filter
 from eventide.llm.common import crc_mod, read
 
 # (host, path, action)
@@ -85,9 +85,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of a byte-level and a sentencepiece tokenizer over all documents."""
+    return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_lm_scoring, op3_html_extraction, op4_decontamination, op5_toxicity,
-                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter)}
+                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": r"""
