@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, fingerprints, html_text, kneser_ney, line_dedup, packing, simhash, suffix_dedup, token_alignment, toxicity, url_filter
+from eventide.llm import decontamination, embedding_dedup, fingerprints, html_text, kneser_ney, line_dedup, packing, simhash, suffix_dedup, token_alignment, toxicity, url_filter
 from eventide.llm.common import crc_mod, read
 
 # (host, path, action)
@@ -85,6 +85,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.95 and components of all embeddings."""
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of a byte-level and a sentencepiece tokenizer over all documents."""
     return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -92,7 +97,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_lm_scoring, op3_html_extraction, op4_decontamination, op5_toxicity,
-                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter, op13_token_alignment)}
+                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter, op12_embedding_dedup, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": r"""
@@ -135,5 +140,23 @@ WITH parts AS (
 )
 SELECT cut.page_id, cut.host, cut.path, fit.rule, coalesce(fit.action, 'allow') AS verdict
 FROM cut LEFT JOIN fit ON fit.page_id = cut.page_id
+""",
+    "op12_embedding_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT r, vec_id, e, len(e) AS dim FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+), link AS (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.dim = b.dim AND a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(a, b) AS (
+  SELECT r, r FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+), comp AS (
+  SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a
+), n AS (
+  SELECT a AS r, count(*) AS n FROM link GROUP BY a
+)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, comp.component_id, v.vec_id IS NOT DISTINCT FROM comp.component_id AS kept
+FROM v JOIN comp USING (r) LEFT JOIN n USING (r)
 """,
 }
