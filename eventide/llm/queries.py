@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontamination, embedding_dedup, fingerprints, html_text, kneser_ney, line_dedup, packing, simhash, suffix_dedup, token_alignment, toxicity, url_filter
+from eventide.llm import decontamination, embedding_dedup, fingerprints, html_text, kneser_ney, line_dedup, packing, prefix_trie, simhash, suffix_dedup, token_alignment, toxicity, url_filter
 from eventide.llm.common import crc_mod, read
 
 # (host, path, action)
@@ -85,6 +85,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of conversation prefixes, with its members, leaves and savings."""
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at cosine 0.95 and components of all embeddings."""
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -97,7 +102,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_lm_scoring, op3_html_extraction, op4_decontamination, op5_toxicity,
-                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter, op12_embedding_dedup, op13_token_alignment)}
+                            op6_line_dedup, op7_packing, op8_suffix_dedup, op9_simhash, op10_url_filter, op11_prefix_trie, op12_embedding_dedup, op13_token_alignment)}
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": r"""
@@ -140,13 +145,44 @@ WITH parts AS (
 )
 SELECT cut.page_id, cut.host, cut.path, fit.rule, coalesce(fit.action, 'allow') AS verdict
 FROM cut LEFT JOIN fit ON fit.page_id = cut.page_id
+""",
+    "op11_prefix_trie": r"""
+WITH turn AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  -- crc32 bit by bit: each byte is mixed in, then eight steps (marked -1) follow
+  SELECT c, list(struct_pack(r := role, t := text) ORDER BY i) AS ts,
+         xor(list_reduce(list_concat([4294967295::BIGINT], flatten([[ascii(substr(c::VARCHAR, k::INT, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR k IN range(1, len(c::VARCHAR) + 1)])),
+             lambda v, x: CASE WHEN x >= 0 THEN xor(v, x) ELSE xor(v >> 1, 3988292384::BIGINT * (v & 1)) END), 4294967295::BIGINT) % 6 AS h
+  FROM turn GROUP BY c
+), made AS (
+  SELECT a.c, list_concat(coalesce(list_slice(b.ts, 1, a.h), []), list_slice(a.ts, a.h + 1, len(a.ts))) AS ts
+  FROM conv a LEFT JOIN conv b ON b.c = a.c - a.c % 100
+), step AS (
+  SELECT c, d, list_slice(ts, 1, d) AS path, d = len(ts) AS ends FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM made)
+), node AS (
+  SELECT path, d AS depth, min(c) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE length(path[d].t) END AS chars,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM step GROUP BY path, d
+), family AS (
+  SELECT node.path, node.depth, p.conv_id AS parent_conv_id, (SELECT count(*) FROM node k WHERE k.depth = node.depth + 1 AND list_slice(k.path, 1, node.depth) = node.path) AS n_children
+  FROM node LEFT JOIN node p ON p.depth = node.depth - 1 AND p.path = list_slice(node.path, 1, node.depth - 1)
+), tree AS (
+  SELECT node.*, family.parent_conv_id, family.n_children FROM node JOIN family ON family.depth = node.depth AND family.path = node.path
+)
+SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+       CAST(sum((b.n_convs - 1) * b.chars) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM tree a JOIN tree b ON b.depth >= a.depth AND list_slice(b.path, 1, a.depth) = a.path
+GROUP BY ALL
 """,
     "op12_embedding_dedup": r"""
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 ), good AS (
   SELECT r, vec_id, e, len(e) AS dim FROM v
-  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0
 ), link AS (
   SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.dim = b.dim AND a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= 0.95
 ), reach(a, b) AS (
