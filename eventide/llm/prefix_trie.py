@@ -63,7 +63,7 @@ def running_sums(df: DataFrame, keys: list[str], at: str, values: list[str], wid
                       *[(F.col(v) + F.coalesce(f"{v}_before", F.lit(0))).alias(v) for v in values])
 
 
-def list_ranks(links: DataFrame) -> DataFrame:
+def list_ranks(links: DataFrame, level: int = 0) -> DataFrame:
     """(id, rank) of one linked list given as (id, next, hop): the sum of hops from each link to the list's end.
 
     ``next`` of the last link is null. Every round doubles the pointers that have not yet met a ruler; each
@@ -72,7 +72,8 @@ def list_ranks(links: DataFrame) -> DataFrame:
     links = stored(links, "links")
     if links.count() <= ONE_TASK:
         return links.groupBy(F.lit(0).alias("all_")).applyInArrow(_rank_here, "id string, rank long")
-    ruler = f"pmod(xxhash64(to, {RULERS}), {RULERS}) = 0"
+    # each level draws rulers of its own
+    ruler = f"pmod(xxhash64(to, {level}), {RULERS}) = 0"
     state = stored(links.select("id", F.col("next").alias("to"), F.col("hop").alias("dist")).withColumn("done", F.expr(f"to IS NULL OR {ruler}")), "hops")
     while state.where("NOT done").limit(1).count():
         ahead = state.select(F.col("id").alias("to"), F.col("to").alias("then"), F.col("dist").alias("more"), F.col("done").alias("there"))
@@ -80,7 +81,7 @@ def list_ranks(links: DataFrame) -> DataFrame:
         state = stored(state.where("done").unionByName(moved), "hops")
     # rulers are the links that pointers stop at; the list of them is ranked the same way
     at_ruler = F.expr(ruler.replace("to,", "id,"))
-    ranks = list_ranks(state.where(at_ruler).select("id", F.col("to").alias("next"), F.col("dist").alias("hop")))
+    ranks = list_ranks(state.where(at_ruler).select("id", F.col("to").alias("next"), F.col("dist").alias("hop")), level + 1)
     ranks = stored(ranks, "ranks")
     rest = state.where(~at_ruler).join(ranks.select(F.col("id").alias("to"), "rank"), "to", "left")
     return rest.select("id", (F.col("dist") + F.coalesce("rank", F.lit(0))).alias("rank")).unionByName(ranks)
