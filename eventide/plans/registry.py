@@ -60,13 +60,15 @@ class Ctx:
         orphan = f.where(n == 0).withColumn("event_name", F.lit("dedicated_orphan_event"))
         return kept.unionByName(orphan).drop("n")
 
-    def replay(self, name: str, build) -> str:
+    def replay(self, name: str, build, raw: DataFrame | None = None, route_delay: str | None = None,
+               conf: dict | None = None) -> str:
         """Run a streaming query over raw events that land week by week;
         returns the query's folder (sinks go below it)."""
         import uuid
         root = scratch_path(self.spark, f"stream-{name}-{uuid.uuid4().hex}")
         self.run_dir = root
-        ST.replay(self.spark, self.raw_n, root, build(root), partitions=ST.state_partitions(self.spark))
+        ST.replay(self.spark, self.raw_n if raw is None else raw, root, build(root),
+                  partitions=ST.state_partitions(self.spark), route_delay=route_delay, conf=conf)
         return root
 
     # Funnel intermediates: from a shared profile table when the run built
@@ -505,24 +507,49 @@ def _st3(c: Ctx):
                                                      "collector_tstamp", "route")
 
 
+@register("st1_dedupe_routed")
+def _st1r(c: Ctx):
+    """Each event once, and the rows that came behind the watermark: no row vanishes."""
+    root = c.replay("st1r", lambda r: lambda src: ST.dedupe_stream(src, "24 hours").writeStream.format("parquet")
+                    .option("path", f"{r}/out").outputMode("append"), raw=X.very_late(c.raw_n), route_delay="24 hours")
+    cols = ["event_id", "event_name", "event_timestamp"]
+    return (c.spark.read.parquet(f"{root}/out").select(*cols, F.lit("once").alias("route"))
+            .unionByName(ST.behind_rows(c.spark, f"{root}/routed").select(*cols, F.lit("behind").alias("route"))))
+
+
+@register("st2_counts_routed")
+def _st2r(c: Ctx):
+    """Rows of each event name: counted in hourly windows and routed; together all rows that came in."""
+    keys = ["window_start", "window_end", "event_name"]
+    root = c.replay("st2r", lambda r: lambda src: ST.hourly_counts(src, delay="4 hours").writeStream
+                    .outputMode("update").foreachBatch(ST.upsert_batches(f"{r}/out", keys)),
+                    raw=X.very_late(c.raw_n), route_delay="4 hours")
+    counted = ST.latest(c.spark, f"{root}/out", keys).select("event_name", F.col("events").alias("counted"), F.lit(0).alias("routed"))
+    routed = ST.behind_rows(c.spark, f"{root}/routed").select("event_name", F.lit(0).alias("counted"), F.lit(1).alias("routed"))
+    return (counted.unionByName(routed).groupBy("event_name")
+            .agg(F.sum("counted").cast("long").alias("rows_counted"), F.sum("routed").cast("long").alias("rows_routed"),
+                 (F.sum("counted") + F.sum("routed")).cast("long").alias("rows_in")))
+
+
 @register("st4_debounce")
 def _st4(c: Ctx):
+    """Clicks with bursts, out of order and up to hours late: those decided and those still waiting in state."""
     root = c.replay("st4", lambda r: lambda src: ST.debounce_stream(src).writeStream.format("parquet")
-                    .option("path", f"{r}/out").outputMode("append"))
-    return c.spark.read.parquet(f"{root}/out")
+                    .option("path", f"{r}/out").outputMode("append"), raw=X.click_bursts(c.raw_n), conf=ST.TIMER_CONF)
+    return c.spark.read.schema(ST.CLICK_SCHEMA).parquet(f"{root}/out").unionByName(ST.debounce_pending(c.spark, f"{root}/checkpoint"))
 
 
 @register("st4_debounce_state_table")
 def _st4t(c: Ctx):
-    """ST-4 with the state kept as a table and judged by the skew-safe lag."""
-    root = c.replay("st4t", lambda r: lambda src: src.writeStream.foreachBatch(
-        ST.debounce_batches(f"{r}/out", f"{r}/state")))
-    return c.spark.read.parquet(f"{root}/out").drop("_batch")
+    """ST-4 with the waiting clicks kept as a table."""
+    root = c.replay("st4t", lambda r: lambda src: src.writeStream.foreachBatch(ST.debounce_batches(f"{r}/clicks")),
+                    raw=X.click_bursts(c.raw_n))
+    return ST.debounced(c.spark, f"{root}/clicks")
 
 
 @register("st4_debounce_batch")
 def _st4b(c: Ctx):
-    return ST.debounce_batch(c.raw)
+    return ST.debounce_batch(X.click_bursts(c.raw_n))
 
 
 @register("st5_sessions")
@@ -852,11 +879,10 @@ def _m12(c: Ctx):
 def _st5w(c: Ctx):
     """Gap-based sessions (30 min) per user and tenant, when no session id is trusted.
     Append mode emits a session once the watermark (max event time - 6 h)
-    passes its end; sessions still open at the end of the input stay in state."""
+    passes its end; those still open at the end of the input come from the state."""
     root = c.replay("st5w", lambda r: lambda src: ST.session_windows(src, gap="30 minutes", delay="6 hours")
-                    .writeStream.format("parquet").option("path", f"{r}/out").outputMode("append"))
-    return c.spark.read.parquet(f"{root}/out")
-
+                    .writeStream.format("parquet").option("path", f"{r}/out").outputMode("append"), conf=ST.SESSION_CONF)
+    return c.spark.read.parquet(f"{root}/out").unionByName(ST.open_sessions(c.spark, f"{root}/checkpoint"))
 
 
 @register("f25_role_step_dropoff")

@@ -134,6 +134,33 @@ def properties_expr(name: Column, n: Column, k: Column, u: Column) -> Column:
              .otherwise(F.lit("{}")))
 
 
+# Clicks derived around navigation clicks, to exercise the debounce rule: (every n-th, suffix, ms after the click,
+# hours late)
+CLICK_ECHOES = [(3, "a", 150, 2), (5, "b", 290, 5), (7, "c", -120, 0), (2, "d", 500, 0)]
+# Rows that arrive many days late, to exercise the watermark: ids that end in 7
+VERY_LATE_DAYS = 10
+
+
+def click_bursts(raw_n: DataFrame) -> DataFrame:
+    """Raw events and, around navigation clicks, further clicks of the same key that come out of order and 2 or 5 hours late."""
+    own = F.struct(F.lit("").alias("suffix"), F.lit(0).alias("ms"), F.lit(0).alias("hours"))
+    nav = F.col("event_name") == "dedicated_nav_section_clicked"
+    echoes = [F.when(nav & (F.col("n") % every == 0), F.struct(F.lit(f"_{s}").alias("suffix"), F.lit(ms).alias("ms"), F.lit(h).alias("hours")))
+              for every, s, ms, h in CLICK_ECHOES]
+    copies = F.filter(F.array(own, *echoes), lambda x: x.isNotNull())
+    e = raw_n.withColumn("_e", F.explode(copies))
+    moved = F.timestamp_add("MILLISECOND", F.col("_e.ms"), F.col("event_timestamp"))
+    return (e.withColumn("event_id", F.concat("event_id", "_e.suffix")).withColumn("event_timestamp", moved)
+             .withColumn("collector_tstamp", F.timestamp_add("HOUR", F.col("_e.hours"), F.col("collector_tstamp")))
+             .select(*raw_n.columns))
+
+
+def very_late(raw_n: DataFrame) -> DataFrame:
+    """Raw events of which every tenth (id ending in 7) arrives ten days later than it did."""
+    late = F.timestamp_add("DAY", F.lit(VERY_LATE_DAYS), F.col("collector_tstamp"))
+    return raw_n.withColumn("collector_tstamp", F.when(F.col("event_id").endswith("7"), late).otherwise(F.col("collector_tstamp")))
+
+
 def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
                with_duplicates: bool = True) -> DataFrame:
     """M-1: the typed raw landing table, duplicates included."""

@@ -13,9 +13,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.compat import EPOCH_NTZ, epoch_micros
 
@@ -65,13 +65,15 @@ def read_landing(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def replay(spark: SparkSession, raw: DataFrame, root: str, build, chunk_days: int = 7,
-           partitions: int | None = None) -> None:
+           partitions: int | None = None, route_delay: str | None = None, conf: dict | None = None) -> None:
     """Let files arrive over time: land the raw events chunk by chunk in
     arrival order and, after each landing, let the query catch up
     (``availableNow``, one micro-batch per landing). One checkpoint carries
     offsets and state across the runs, as after a restart. ``build`` maps the
-    streaming source to a DataStreamWriter. The loop runs over arrival-date
-    chunks (a handful per month), each step a distributed job."""
+    streaming source to a DataStreamWriter. With ``route_delay`` the rows go
+    through ``route_behind`` first and the query reads those it lets pass. The
+    loop runs over arrival-date chunks (a handful per month), each step a
+    distributed job."""
     import datetime as dt
     lo, hi = raw.agg(F.min(F.to_date("collector_tstamp")), F.max(F.to_date("collector_tstamp"))).first()
     if lo is None:
@@ -80,7 +82,12 @@ def replay(spark: SparkSession, raw: DataFrame, root: str, build, chunk_days: in
     while day <= hi:
         nxt = day + dt.timedelta(days=chunk_days)
         land_files(raw, f"{root}/landing", day.isoformat(), nxt.isoformat())
-        run_available(build(read_landing(spark, f"{root}/landing")), f"{root}/checkpoint", partitions)
+        source = read_landing(spark, f"{root}/landing")
+        if route_delay:
+            run_available(spark, source.writeStream.foreachBatch(route_behind(f"{root}/routed", route_delay)),
+                          f"{root}/router", partitions)
+            source = read_routed(spark, f"{root}/routed")
+        run_available(spark, build(source), f"{root}/checkpoint", partitions, conf)
         day = nxt
 
 
@@ -93,18 +100,28 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, min(cur, 2 * spark.sparkContext.defaultParallelism))
 
 
-def run_available(query_writer, checkpoint: str, partitions: int | None = None):
-    """Start a DataStreamWriter with availableNow and wait for it. When
-    ``partitions`` is given it is the query's shuffle/state partition count
-    (set only while the query starts, then restored)."""
-    spark = SparkSession.active()
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    if partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+# session settings of queries with timers and state variables
+TIMER_CONF = {"spark.sql.streaming.stateStore.providerClass":
+              "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+# sessions are merged before the shuffle, so that a user with very many events sends few rows
+SESSION_CONF = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+def run_available(spark: SparkSession, query_writer, checkpoint: str, partitions: int | None = None,
+                  conf: dict | None = None):
+    """Start a DataStreamWriter of ``spark`` with availableNow and wait for it
+    (the active session may be a foreachBatch's own). When ``partitions`` is
+    given it is the query's shuffle/state partition count; it and ``conf`` are
+    set only while the query starts, then restored."""
+    want = {**(conf or {}), **({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})}
+    old = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
     try:
         q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -169,74 +186,204 @@ def route_late(path: str, max_lag_hours: float = 4.0, arrival_col: str = "collec
     return write
 
 
+def delay_ms(delay: str) -> int:
+    """Milliseconds of a delay such as ``4 hours``."""
+    n, unit = delay.split()
+    return int(n) * {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+
+
+def _mark(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The horizon (epoch ms) left by the batch before, if there was one."""
+    if batch_id == 0:
+        return None
+    row = spark.read.schema("horizon long").parquet(f"{path}/mark={batch_id - 1}").first()
+    return row[0] if row else None
+
+
+def _set_mark(batch: DataFrame, path: str, batch_id: int, before: int | None, delay: str) -> int | None:
+    """Store the horizon after this batch: the latest event time so far less the delay, never going back."""
+    spark = batch.sparkSession
+    seen = batch.agg(F.max(epoch_micros("event_timestamp"))).first()[0]
+    new = [x for x in (before, None if seen is None else seen // 1000 - delay_ms(delay)) if x is not None]
+    after = max(new) if new else None
+    spark.createDataFrame([(after,)], "horizon long").coalesce(1).write.mode("overwrite").parquet(f"{path}/mark={batch_id}")
+    return after
+
+
+def route_behind(path: str, delay: str):
+    """ST-1 / ST-2: foreachBatch ahead of a stateful query with the same
+    ``delay``. Rows at or before the watermark that the query will have (the
+    latest event time of the batches before, less the delay) would be dropped
+    there without a trace; they go to ``behind``, to be counted and
+    reprocessed by M-14. All others, also those without an event time, go to
+    ``ahead``, which the query reads. However the query batches them, its
+    watermark is no further than the router's, so it drops none."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        horizon = _mark(batch.sparkSession, f"{path}_marks", batch_id)
+        behind = epoch_micros("event_timestamp") <= F.lit((horizon or 0) * 1000) if horizon is not None else F.lit(False)
+        (batch.withColumn("route", F.when(behind, "behind").otherwise("ahead"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route").parquet(_batch_dir(path, batch_id)))
+        _set_mark(batch, f"{path}_marks", batch_id, horizon, delay)
+        batch.unpersist()
+    return write
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    """Streaming read of the rows that ``route_behind`` let pass."""
+    return spark.readStream.schema(RAW_STREAM_SCHEMA).parquet(f"{path}/_batch=*/route=ahead")
+
+
+def behind_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that ``route_behind`` kept from the query."""
+    return spark.read.schema(RAW_STREAM_SCHEMA + ", route string, _batch long").parquet(path).where("route = 'behind'").drop("route", "_batch")
+
+
 # ------------------------------------------------------------------ ST-4
-DEBOUNCE_OUT = ("event_id string, user_id string, session_id string, section_name string, "
+# The rule: a navigation click is dropped if another click of the same
+# (user, session, section) stands at most 200 ms before it, by event time
+# (ties by event_id), whenever the two arrived. Only the last 200 ms matter,
+# so a key is cut into buckets of time, each with copies of the clicks at the
+# end of the bucket before; a hot key spreads over its buckets.
+CLICK_KEYS = ["user_id", "session_id", "section_name"]
+CLICK = ["event_id", *CLICK_KEYS, "event_timestamp"]
+CLICK_SCHEMA = ("event_id string, user_id string, session_id string, section_name string, "
                 "event_timestamp timestamp_ntz")
-DEBOUNCE_STATE = "last_ts timestamp_ntz"
-
-
-def _debounce(window_ms: int):
-    gap = pd.Timedelta(milliseconds=window_ms)
-    cols = ["event_id", "user_id", "session_id", "section_name", "event_timestamp"]
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["event_timestamp", "event_id"])
-        if not len(pdf):
-            return
-        ts = pdf["event_timestamp"]
-        prev = ts.shift(1)
-        if state.exists:
-            prev.iloc[0] = pd.Timestamp(state.get[0])
-        keep = prev.isna() | ((ts - prev) > gap)
-        state.update((pd.Timestamp(ts.iloc[-1]).to_pydatetime(),))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + 3_600_000)
-        yield pdf[keep.values][cols]
-    return fn
-
-
-def _on_time(events: DataFrame, max_lag_hours: float | None) -> DataFrame:
-    if max_lag_hours is None:
-        return events
-    lag = F.timestamp_diff("MICROSECOND", F.col("event_timestamp"), F.col("collector_tstamp"))
-    return events.where(lag <= F.lit(int(max_lag_hours * 3600 * 1_000_000)))
-
-
-def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "1 hour",
-                    max_lag_hours: float | None = 4.0) -> DataFrame:
-    """ST-4: drop a navigation click that follows the previous click of the
-    same (user, session, section) within ``window_ms``. State per key is the
-    last click time; it times out an hour after the watermark passes. Rows
-    are ordered by event time inside a micro-batch and by arrival across
-    batches, so rows arriving more than ``max_lag_hours`` late are left to
-    the late route (ST-3 → M-14) instead of being judged out of order."""
-    nav = (_on_time(events, max_lag_hours).where(F.col("event_name") == NAV_EVENT)
-                 .select("event_id", "user_id", "session_id",
-                         F.get_json_object("properties", "$.section_name").alias("section_name"),
-                         "event_timestamp", F.timestamp_micros(epoch_micros("event_timestamp")).alias(ET))
-                 .withWatermark(ET, delay))
-    return nav.groupBy("user_id", "session_id", "section_name").applyInPandasWithState(
-        _debounce(window_ms), DEBOUNCE_OUT, DEBOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def debounce_batch(events: DataFrame, window_ms: int = 200, max_lag_hours: float | None = 4.0) -> DataFrame:
-    """ST-4 batch twin: the same rule with a skew-safe positional lag
-    (NULL keys form their own group, as in GROUP BY)."""
-    from ..functions.ranking import lag_by_position
-    keys = ["user_id", "session_id", "section_name"]
-    nul = "\u0000"
-    nav = (_on_time(events, max_lag_hours).where((F.col("event_name") == NAV_EVENT))
-                 .select("event_id", *[F.coalesce(c, F.lit(nul)).alias(k) for k, c in (
-                     ("user_id", F.col("user_id")), ("session_id", F.col("session_id")),
-                     ("section_name", F.get_json_object("properties", "$.section_name")))],
-                         "event_timestamp"))
-    lagged = lag_by_position(nav, keys, ["event_timestamp"], ["event_timestamp"], tiebreak=["event_id"])
-    gap = F.timestamp_diff("MICROSECOND", F.col("prev_event_timestamp"), F.col("event_timestamp"))
-    return (lagged.where(F.col("prev_event_timestamp").isNull() | (gap > F.lit(window_ms * 1000)))
-                  .select("event_id", *[F.when(F.col(k) != nul, F.col(k)).alias(k) for k in keys],
-                          "event_timestamp"))
+BUCKET_SECONDS = 600
+
+
+def nav_clicks(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The navigation clicks with the columns that the rule needs (it cannot judge one without an event time)."""
+    return (events.where((F.col("event_name") == NAV_EVENT) & F.col("event_timestamp").isNotNull())
+                  .select("event_id", "user_id", "session_id",
+                          F.get_json_object("properties", "$.section_name").alias("section_name"),
+                          "event_timestamp", *extra))
+
+
+def in_buckets(clicks: DataFrame, window_ms: int = 200, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Each click in its bucket (``own``), and a copy in the next one if the window reaches over."""
+    if window_ms >= bucket_seconds * 1000:
+        raise ValueError("a bucket must be longer than the window")
+    size = F.lit(bucket_seconds * 1_000_000)
+    us = epoch_micros("event_timestamp")
+
+    def bucket(at):
+        return ((at - F.pmod(at, size)) / size).cast("long")
+
+    here, ahead = bucket(us), bucket(us + F.lit(window_ms * 1000))
+    places = F.filter(F.array(F.struct(here.alias("bucket"), F.lit(True).alias("own")),
+                              F.struct(ahead.alias("bucket"), F.lit(False).alias("own"))),
+                      lambda x: x.own | (x.bucket != here))
+    return clicks.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
+
+
+def judge(bucketed: DataFrame, window_ms: int = 200) -> DataFrame:
+    """``keep`` for every click that a bucket owns; one exchange on (key, bucket)."""
+    w = Window.partitionBy(*CLICK_KEYS, "bucket").orderBy("event_timestamp", "event_id")
+    before = F.lag("event_timestamp").over(w)
+    gap = F.timestamp_diff("MICROSECOND", before, F.col("event_timestamp"))
+    return (bucketed.withColumn("keep", before.isNull() | (gap > F.lit(window_ms * 1000)))
+                    .where("own").drop("own", "bucket"))
+
+
+def debounce_batch(events: DataFrame, window_ms: int = 200) -> DataFrame:
+    """ST-4 over a table. NULL keys form their own group, as in GROUP BY."""
+    return judge(in_buckets(nav_clicks(events), window_ms), window_ms).where("keep").select(*CLICK)
+
+
+class ClickDebouncer(StatefulProcessor):
+    """Buffers a bucket's clicks until the watermark passes its end, then judges them in event-time order.
+
+    Clicks may arrive in any order up to the watermark's delay; nothing is
+    judged before all that could change it has come. State is one bucket of
+    one key, and is cleared when its timer fires.
+    """
+
+    def __init__(self, window_ms: int, bucket_seconds: int):
+        self.window_us, self.bucket_ms = window_ms * 1000, bucket_seconds * 1000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.clicks = handle.getListState("clicks", "event_id string, us long, own boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        found = [(r["event_id"], int(r["us"]), bool(r["own"])) for pdf in rows for r in pdf.to_dict("records")]
+        if found:
+            self.clicks.appendList(found)
+            self.handle.registerTimer((int(key[-1]) + 1) * self.bucket_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        rows = sorted((us, event_id, own) for event_id, us, own in self.clicks.get())
+        self.clicks.clear()
+        kept = [(event_id, *key[:-1], pd.Timestamp(us, unit="us")) for (us, event_id, own), (before, *_) in
+                zip(rows, [(None,), *rows], strict=False) if own and (before is None or us - before > self.window_us)]
+        if kept:
+            yield pd.DataFrame(kept, columns=CLICK)
+
+    def close(self) -> None:
+        pass
+
+
+def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "24 hours",
+                    bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """ST-4 on a stream: clicks are emitted once the watermark has passed their
+    bucket. What still waits in state can be read with ``debounce_pending``."""
+    clicks = with_event_time(nav_clicks(events)).withWatermark(ET, delay)
+    dealt = in_buckets(clicks, window_ms, bucket_seconds).withColumn("us", epoch_micros("event_timestamp"))
+    return (dealt.select("event_id", *CLICK_KEYS, "bucket", "us", "own", ET).groupBy(*CLICK_KEYS, "bucket")
+                 .transformWithStateInPandas(ClickDebouncer(window_ms, bucket_seconds), CLICK_SCHEMA, "append", "EventTime"))
+
+
+def debounce_pending(spark: SparkSession, checkpoint: str, window_ms: int = 200) -> DataFrame:
+    """The clicks that wait in the state of ``debounce_stream``, judged by what has come so far
+    (read through the state data source)."""
+    state = spark.read.format("statestore").option("stateVarName", "clicks").load(checkpoint)
+    rows = state.select("key.*", "list_element.*").withColumn("event_timestamp", to_ntz(F.timestamp_micros("us"))).drop("us")
+    return judge(rows, window_ms).where("keep").select(*CLICK)
+
+
+def debounce_batches(path: str, window_ms: int = 200, delay: str = "24 hours"):
+    """ST-4 without Python state: a ``foreachBatch`` writer. Clicks wait in a
+    table under ``path`` until the horizon (latest event time less ``delay``)
+    has passed them; each micro-batch is judged together with those, by the
+    same bucketed window as a table, so a hot key spreads over many tasks. A
+    batch writes its own folders, so a retry overwrites what it had written.
+    Clicks behind the horizon go to ``behind`` (see ``route_behind``)."""
+    schema = CLICK_SCHEMA + ", done boolean"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        before = _mark(spark, f"{path}/marks", batch_id)
+        after = _set_mark(batch, f"{path}/marks", batch_id, before, delay)
+        us = epoch_micros("event_timestamp")
+        clicks = nav_clicks(batch)
+        if before is not None:
+            clicks.where(us <= F.lit(before * 1000)).write.mode("overwrite").parquet(_batch_dir(f"{path}/behind", batch_id))
+            clicks = clicks.where(us > F.lit(before * 1000))
+        clicks = clicks.withColumn("done", F.lit(False))
+        if batch_id:
+            old = spark.read.schema(schema + ", keep boolean").parquet(_batch_dir(f"{path}/waiting", batch_id - 1))
+            clicks = clicks.unionByName(old.drop("keep"))
+        judged = judge(in_buckets(clicks, window_ms), window_ms)
+        passed = us <= F.lit((after or 0) * 1000) if after is not None else F.lit(False)
+        # what is decided goes out once; the last 200 ms of it stay as predecessors
+        judged.write.mode("overwrite").parquet(_batch_dir(f"{path}/judged", batch_id))
+        judged = spark.read.schema(schema + ", keep boolean").parquet(_batch_dir(f"{path}/judged", batch_id))
+        judged.where(passed & F.col("keep") & ~F.col("done")).select(*CLICK).write.mode("overwrite").parquet(_batch_dir(f"{path}/out", batch_id))
+        stays = us > F.lit((after * 1000 if after is not None else 0) - window_ms * 1000) if after is not None else F.lit(True)
+        judged.where(stays).withColumn("done", passed).write.mode("overwrite").parquet(_batch_dir(f"{path}/waiting", batch_id))
+        batch.unpersist()
+    return write
+
+
+def debounced(spark: SparkSession, path: str) -> DataFrame:
+    """All clicks kept so far by ``debounce_batches``: those that are decided, and the waiting ones as they stand."""
+    out = spark.read.schema(CLICK_SCHEMA + ", _batch long").parquet(f"{path}/out").drop("_batch")
+    last = spark.read.schema("horizon long, mark long").parquet(f"{path}/marks").agg(F.max("mark")).first()[0]
+    waiting = spark.read.schema(CLICK_SCHEMA + ", done boolean, keep boolean").parquet(_batch_dir(f"{path}/waiting", last))
+    return out.unionByName(waiting.where("keep AND NOT done").select(*CLICK))
 
 
 # ------------------------------------------------------------------ ST-5
@@ -261,54 +408,17 @@ def session_windows(events: DataFrame, gap: str = "30 minutes", delay: str = "1
                           "user_id", "tenant_id", "events_count"))
 
 
+def open_sessions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The sessions of ``session_windows`` that are still open: they stand in the
+    query's state, which the state data source reads."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(to_ntz(F.col("value.session_window.start")).alias("session_start"),
+                        to_ntz(F.col("value.session_window.end")).alias("session_end"),
+                        "key.user_id", "key.tenant_id", F.col("value.count").alias("events_count"))
+
+
 # ------------------------------------------------------------------ ST-6
 def suppress_opted_out(events: DataFrame, opt_out: DataFrame) -> DataFrame:
     """ST-6: stream-static anti join; the opt-out list is static and on the
     right (broadcast only when its size is bounded by the caller)."""
     return events.join(opt_out, "tenant_id", "left_anti")
-
-
-def debounce_batches(out_path: str, state_path: str, window_ms: int = 200, max_lag_hours: float | None = 4.0,
-                     keep_state: str = "1 hour"):
-    """ST-4 without per-key Python state: a ``foreachBatch`` writer. Each
-    micro-batch is merged with the carried state (last click per key, a
-    table under the checkpoint folder) and judged with the skew-safe
-    positional lag, so a hot key is spread over many tasks. Output and new
-    state are written per batch id (a retry overwrites its own folders).
-    Keys idle for longer than ``keep_state`` are dropped from the state; that
-    cannot change a 200 ms decision."""
-    from pyspark.errors import AnalysisException
-
-    from ..functions.ranking import lag_by_position
-    keys = ["user_id", "session_id", "section_name"]
-    nul = "\u0000"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        nav = (_on_time(batch, max_lag_hours).where(F.col("event_name") == NAV_EVENT)
-               .select("event_id", *[F.coalesce(c, F.lit(nul)).alias(k) for k, c in (
-                   ("user_id", F.col("user_id")), ("session_id", F.col("session_id")),
-                   ("section_name", F.get_json_object("properties", "$.section_name")))],
-                       "event_timestamp", F.lit(1).alias("_kind")))
-        try:
-            prev = spark.read.parquet(_batch_dir(state_path, batch_id - 1)) if batch_id > 0 else None
-        except AnalysisException:
-            prev = None
-        marks = (prev.select(F.lit(None).cast("string").alias("event_id"), *keys,
-                             F.col("last_ts").alias("event_timestamp"), F.lit(0).alias("_kind"))
-                 if prev is not None else None)
-        rows = nav if marks is None else marks.unionByName(nav)
-        lagged = lag_by_position(rows, keys, ["event_timestamp"], ["event_timestamp"],
-                                 tiebreak=["_kind", "event_id"])
-        gap = F.timestamp_diff("MICROSECOND", F.col("prev_event_timestamp"), F.col("event_timestamp"))
-        kept = lagged.where((F.col("_kind") == 1) &
-                            (F.col("prev_event_timestamp").isNull() | (gap > F.lit(window_ms * 1000))))
-        (kept.select("event_id", *[F.when(F.col(k) != nul, F.col(k)).alias(k) for k in keys], "event_timestamp")
-             .write.mode("overwrite").parquet(_batch_dir(out_path, batch_id)))
-        state = rows.groupBy(*keys).agg(F.max("event_timestamp").alias("last_ts"))
-        horizon = state.agg(F.max("last_ts")).first()[0]
-        if horizon is not None:
-            cut = F.lit(horizon.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr(f"INTERVAL {keep_state}")
-            state = state.where(F.col("last_ts") >= cut)
-        state.write.mode("overwrite").parquet(_batch_dir(state_path, batch_id))
-    return write

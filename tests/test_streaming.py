@@ -27,21 +27,83 @@ def land(spark, batches):
 
 def run(spark, df, mode="append"):
     out = tempfile.mkdtemp(prefix="out-", dir="/tmp")
-    ST.run_available(df.writeStream.format("parquet").option("path", f"{out}/data").outputMode(mode),
+    ST.run_available(spark, df.writeStream.format("parquet").option("path", f"{out}/data").outputMode(mode),
                      f"{out}/ckpt")
     return spark.read.parquet(f"{out}/data")
 
 
-def test_debounce_state_spans_micro_batches(spark):
-    ms = dt.timedelta(milliseconds=1)
-    b1 = [row(1, NAV, T0), row(2, NAV, T0 + 100 * ms)]                      # 2 dropped (100 ms)
-    b2 = [row(3, NAV, T0 + 250 * ms), row(4, NAV, T0 + 900 * ms),           # 3 dropped vs 2 (150 ms)
-          row(5, NAV, T0 + 950 * ms, section="groups")]                      # other section: kept
+def clicks():
+    """Micro-batches in arrival order: out of order, 2 h and 5 h late, across bucket edges, and a hot key without ids."""
+    ms, hour = dt.timedelta(milliseconds=1), dt.timedelta(hours=1)
+    edge = T0 + dt.timedelta(minutes=10)                                     # a bucket begins here
+    b1 = [row(1, NAV, T0), row(2, NAV, T0 + 100 * ms), row(6, NAV, edge - 50 * ms), row(7, NAV, edge + 500 * ms, section="groups")]
+    b2 = [row(3, NAV, T0 + 250 * ms), row(4, NAV, T0 + 900 * ms),            # 3 dropped vs 2 (150 ms)
+          row(5, NAV, T0 + 950 * ms, section="groups"),                      # other section: kept
+          row(8, NAV, edge + 100 * ms),                                      # dropped vs 6, in the bucket before
+          row(9, NAV, T0 - 150 * ms)]                                        # out of order: 1 is dropped after all
+    b3 = [row(10, NAV, T0 + 850 * ms, ct=T0 + 2 * hour),                     # 2 h late: 4 is dropped
+          row(11, NAV, edge + 400 * ms, ct=T0 + 5 * hour, section="groups"), # 5 h late: 7 is dropped
+          row(12, NAV, T0 + 6 * hour)]
+    b4 = [row(20 + k, NAV, T0 + 30 * hour + 150 * k * ms, user="", session=None) for k in range(40)]
+    b4 += [row(60 + k, NAV, T0 + 31 * hour + 1000 * k * ms, user="", session=None) for k in range(40)]
+    return [b1, b2, b3, b4]
+
+
+KEPT = [f"evt_{k}" for k in (9, 10, 5, 6, 11, 12, 20, *range(60, 100))]
+
+
+def test_debounce_of_a_table(spark):
+    rows = spark.createDataFrame([r for b in clicks() for r in b], ST.RAW_STREAM_SCHEMA)
+    out = ST.debounce_batch(rows)
+    assert sorted(r.event_id for r in out.collect()) == sorted(KEPT)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_debounce_in_state_agrees_with_the_table(spark):
+    src = ST.read_landing(spark, land(spark, clicks()), files_per_trigger=1)
+    out = tempfile.mkdtemp(prefix="deb-", dir="/tmp")
+    ST.run_available(spark, ST.debounce_stream(src).writeStream.format("parquet").option("path", f"{out}/data").outputMode("append"), f"{out}/ckpt", conf=ST.TIMER_CONF)
+    decided = [r.event_id for r in spark.read.parquet(f"{out}/data").collect()]
+    waiting = [r.event_id for r in ST.debounce_pending(spark, f"{out}/ckpt").collect()]
+    assert sorted(decided + waiting) == sorted(KEPT)
+    # the watermark stands a day before the last click
+    assert "evt_9" in decided and "evt_60" in waiting
+
+
+def test_debounce_in_a_waiting_table_agrees(spark):
+    src = ST.read_landing(spark, land(spark, clicks()), files_per_trigger=1)
+    out = tempfile.mkdtemp(prefix="deb-", dir="/tmp")
+    ST.run_available(spark, src.writeStream.foreachBatch(ST.debounce_batches(f"{out}/o")), f"{out}/ckpt")
+    assert sorted(r.event_id for r in ST.debounced(spark, f"{out}/o").collect()) == sorted(KEPT)
+
+
+def test_rows_behind_the_watermark_are_routed(spark):
+    hour = dt.timedelta(hours=1)
+    b1 = [row(1, "x", T0), row(2, "x", T0 + 10 * hour)]
+    b2 = [row(3, "x", T0 + 6 * hour, ct=T0 + 10 * hour), row(4, "x", T0 + 7 * hour, ct=T0 + 10 * hour), row(5, "x", T0 + 11 * hour)]
+    out = tempfile.mkdtemp(prefix="behind-", dir="/tmp")
+    src = ST.read_landing(spark, land(spark, [b1, b2]), files_per_trigger=1)
+    ST.run_available(spark, src.writeStream.foreachBatch(ST.route_behind(f"{out}/r", "4 hours")), f"{out}/router")
+    keys = ["window_start", "window_end", "event_name"]
+    ST.run_available(spark, ST.hourly_counts(ST.read_routed(spark, f"{out}/r")).writeStream.outputMode("update")
+                     .foreachBatch(ST.upsert_batches(f"{out}/t", keys)), f"{out}/ckpt")
+    behind = [r.event_id for r in ST.behind_rows(spark, f"{out}/r").collect()]
+    counted = sum(r.events for r in ST.latest(spark, f"{out}/t", keys).collect())
+    assert behind == ["evt_3"] and counted == 4
+
+
+def test_open_sessions_come_from_the_state(spark):
+    minute = dt.timedelta(minutes=1)
+    b1 = [row(1, "x", T0), row(2, "x", T0 + 10 * minute), row(3, "x", T0 + 300 * minute)]
+    b2 = [row(4, "x", T0 + 310 * minute), row(5, "x", T0 + 305 * minute, user="u2")]
+    out = tempfile.mkdtemp(prefix="open-", dir="/tmp")
     src = ST.read_landing(spark, land(spark, [b1, b2]), files_per_trigger=1)
-    got = sorted(r.event_id for r in run(spark, ST.debounce_stream(src)).collect())
-    assert got == ["evt_1", "evt_4", "evt_5"]
-    batch = spark.createDataFrame(b1 + b2, ST.RAW_STREAM_SCHEMA)
-    assert sorted(r.event_id for r in ST.debounce_batch(batch).collect()) == got
+    ST.run_available(spark, ST.session_windows(src).writeStream.format("parquet").option("path", f"{out}/data").outputMode("append"), f"{out}/ckpt", conf=ST.SESSION_CONF)
+    closed = {(r.user_id, r.session_start): r.events_count for r in spark.read.parquet(f"{out}/data").collect()}
+    still = {(r.user_id, r.session_start): r.events_count for r in ST.open_sessions(spark, f"{out}/ckpt").collect()}
+    assert closed == {("u1", T0): 2}
+    assert still == {("u1", T0 + 300 * minute): 2, ("u2", T0 + 305 * minute): 1}
 
 
 def test_dedupe_within_watermark_keeps_first_arrival(spark):
@@ -60,7 +122,7 @@ def test_every_row_takes_one_route(spark):
     src = ST.read_landing(spark, land(spark, [b1]), files_per_trigger=1)
     src = src.withColumn("event_timestamp", F.when(F.col("event_id") != "evt_4", F.col("event_timestamp")))
     out = tempfile.mkdtemp(prefix="route-", dir="/tmp")
-    ST.run_available(src.writeStream.foreachBatch(ST.route_late(f"{out}/o")), f"{out}/ckpt")
+    ST.run_available(spark, src.writeStream.foreachBatch(ST.route_late(f"{out}/o")), f"{out}/ckpt")
     got = {r.event_id: r.route for r in spark.read.parquet(f"{out}/o").collect()}
     assert got == {"evt_1": "on_time", "evt_2": "late", "evt_3": "on_time", "evt_4": "unknown"}
 
@@ -71,18 +133,7 @@ def test_hourly_counts_in_update_mode_keep_latest(spark):
     src = ST.read_landing(spark, land(spark, [b1, b2]), files_per_trigger=1)
     out = tempfile.mkdtemp(prefix="hourly-", dir="/tmp")
     keys = ["window_start", "window_end", "event_name"]
-    ST.run_available(ST.hourly_counts(src).writeStream.outputMode("update")
+    ST.run_available(spark, ST.hourly_counts(src).writeStream.outputMode("update")
                      .foreachBatch(ST.upsert_batches(f"{out}/t", keys)), f"{out}/ckpt")
     got = {r.window_start: r.events for r in ST.latest(spark, f"{out}/t", keys).collect()}
     assert got == {T0: 3, T0 + dt.timedelta(hours=1): 1}
-
-
-def test_state_table_debounce_matches_the_stateful_one(spark):
-    ms = dt.timedelta(milliseconds=1)
-    b1 = [row(1, NAV, T0), row(2, NAV, T0 + 100 * ms)]
-    b2 = [row(3, NAV, T0 + 250 * ms), row(4, NAV, T0 + 900 * ms), row(5, NAV, T0 + 950 * ms, section="groups")]
-    src = ST.read_landing(spark, land(spark, [b1, b2]), files_per_trigger=1)
-    out = tempfile.mkdtemp(prefix="deb-", dir="/tmp")
-    ST.run_available(src.writeStream.foreachBatch(ST.debounce_batches(f"{out}/o", f"{out}/s")), f"{out}/ckpt")
-    got = sorted(r.event_id for r in spark.read.parquet(f"{out}/o").collect())
-    assert got == ["evt_1", "evt_4", "evt_5"]
