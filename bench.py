@@ -25,6 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from eventide.operators import funnel as FN  # noqa: E402
 from eventide.operators import model as M  # noqa: E402
+from eventide.operators.fact_store import FactStore  # noqa: E402
 from eventide.plans.registry import AS_OF, QUERIES  # noqa: E402
 from eventide.session import build_session, scratch_path  # noqa: E402
 from eventide.sources import fixtures as X  # noqa: E402
@@ -77,10 +78,10 @@ def main() -> None:
 
     sc.setJobGroup("build_fact", "build_fact")
     t = time.perf_counter()
-    fact = M.add_event_key(M.fact_from_raw(raw_n, as_of=AS_OF, keep=["n"]))
-    M.write_clustered(fact, f"{run}/fact", shuffle=False)   # already range-partitioned by time
+    store = FactStore(spark, f"{run}/fact")
+    store.build(raw_n.drop("n"), as_of=AS_OF)
     times["build_fact"] = round(time.perf_counter() - t, 3)
-    fact_n = spark.read.parquet(f"{run}/fact").drop("event_key")
+    fact_n = store.read(with_key=False)
 
     # shared funnel intermediates: invites, step times and flags per user, once
     sc.setJobGroup("build_profiles", "build_profiles")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, shuffle_partitions
+from .scan import scan_groups
 
 _LOCAL_MASK = (1 << 33) - 1
 
@@ -34,7 +35,6 @@ def with_position(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
     group_cols, order_cols = list(group_cols), list(order_cols)
     if tiebreak is None:
         df = df.withColumn("_tb", F.monotonically_increasing_id())
@@ -42,14 +42,15 @@ def with_position(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence
     else:
         tb = list(tiebreak)
     keys = group_cols + order_cols + tb
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
+    # without a count AQE sizes the partitions from the data
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = (ranged.sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
     ranged = ranged.checkpoint(eager=True)
 
     if not group_cols:
-        # One count per partition (≤ n rows, independent of the data size):
+        # One count per partition:
         # running offsets are computed on the driver and broadcast back.
         counts = dict(ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
         rows, acc = [], 0
@@ -153,18 +154,10 @@ def _distributed_quantiles(vals: DataFrame, group_cols: list[str], probs: Sequen
 def lag_by_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                     value_cols: Sequence[str], tiebreak: Sequence[str],
                     prefix: str = "prev_") -> DataFrame:
-    """``LAG(v) OVER (PARTITION BY g ORDER BY o)`` as an equi-join of each row
-    with the row one position earlier. Keys (g, pos) are unique, so a hot group
-    does not land in one task."""
-    group_cols = list(group_cols)
-    pos = with_position(df, order_cols, group_cols, tiebreak=tiebreak, size_col=None, pos_col="_pos")
-    prev = pos.select(*[F.col(g).alias(f"_p_{g}") for g in group_cols], (F.col("_pos") + 1).alias("_ppos"),
-                      *[F.col(v).alias(prefix + v) for v in value_cols])
-    cond = F.col("_pos") == F.col("_ppos")
-    for g in group_cols:
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_p_{g}"))
-    return (pos.join(prev, cond, "left").drop("_ppos", *[f"_p_{g}" for g in group_cols])
-               .withColumnRenamed("_pos", "seq_no"))
+    """``LAG(v) OVER (PARTITION BY g ORDER BY o)`` and the 0-based ``seq_no``,
+    by one scan of range partitions (see ``scan_groups``); a hot group is
+    spread over as many of them as it needs."""
+    return scan_groups(df, group_cols, [*order_cols, *tiebreak], value_cols, prefix=prefix)
 
 
 def asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,

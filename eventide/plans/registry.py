@@ -13,6 +13,7 @@ from .. import config as C
 from ..operators import funnel as FN
 from ..operators import docs as D
 from ..operators import governance as G
+from ..operators.fact_store import FactStore
 from ..operators import model as M
 from ..operators import quality as Q
 from ..operators import reports as R
@@ -137,6 +138,28 @@ def _m4(c: Ctx):
     return M.add_event_key(c.fact)
 
 
+def _store(c: Ctx):
+    import uuid
+    return FactStore(c.spark, scratch_path(c.spark, f"fact-{uuid.uuid4().hex}"))
+
+
+@register("m5_stored_key")
+def _m5s(c: Ctx):
+    """The dense key from stored positions and per-partition offsets: the table is written once."""
+    store = _store(c)
+    store.build(c.raw, as_of=AS_OF)
+    return store.read().select("event_key", "event_id", "event_timestamp", "event_date")
+
+
+@register("m14_incremental")
+def _m14i(c: Ctx):
+    """A build, then late rows and copies that move ids to other dates: equal to a full rebuild, keys included."""
+    store, raw = _store(c), X.crossing_copies(c.raw_n)
+    store.build(raw.where("batch = 0").drop("n", "batch"), as_of=AS_OF)
+    store.apply(raw.where("batch = 1").drop("n", "batch"), as_of=AS_OF)
+    return store.read().select("event_key", "event_id", "event_name", "event_timestamp", "event_date", "user_id", "properties_json")
+
+
 @register("m6_derive_category")
 def _m6(c: Ctx):
     return M.derive_category(c.raw, c.catalog).groupBy("event_name", "event_category") \

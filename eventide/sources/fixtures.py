@@ -161,6 +161,18 @@ def very_late(raw_n: DataFrame) -> DataFrame:
     return raw_n.withColumn("collector_tstamp", F.when(F.col("event_id").endswith("7"), late).otherwise(F.col("collector_tstamp")))
 
 
+def crossing_copies(raw_n: DataFrame) -> DataFrame:
+    """Raw events with a landing ``batch`` (0 or 1) and, for every 17th, a copy a day later in event time that was collected
+    an hour earlier, so that it wins; it lands in the batch after, whatever its times say."""
+    both = F.when(F.col("n") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    e = raw_n.withColumn("_c", F.explode(both))
+    copy = F.col("_c") == 1
+    return (e.withColumn("event_timestamp", F.when(copy, F.timestamp_add("DAY", F.lit(1), F.col("event_timestamp"))).otherwise(F.col("event_timestamp")))
+             .withColumn("collector_tstamp", F.when(copy, F.timestamp_add("HOUR", F.lit(-1), F.col("collector_tstamp"))).otherwise(F.col("collector_tstamp")))
+             .withColumn("batch", F.when(copy | (F.to_date("event_timestamp") >= F.lit("2024-01-25").cast("date")) & (F.col("n") % 5 == 0), 1).otherwise(0))
+             .select(*raw_n.columns, "batch"))
+
+
 def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
                with_duplicates: bool = True) -> DataFrame:
     """M-1: the typed raw landing table, duplicates included."""

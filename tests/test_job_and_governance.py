@@ -3,6 +3,7 @@ import datetime as dt
 import tempfile
 
 from eventide.operators import governance as G
+from eventide.operators.fact_store import FactStore
 from eventide.plans import job
 from eventide.sources import fixtures as X
 
@@ -15,12 +16,16 @@ def test_daily_job_writes_fact_and_reports(spark, sf_dir):
     X.dim_users(spark, sf_dir).write.parquet(f"{d}/dims/dim_users")
     X.dim_tenants(spark, sf_dir).write.parquet(f"{d}/dims/dim_tenants")
     job.run(spark, f"{d}/raw", f"{d}/dims", f"{d}/out", "2024-02-01 00:00:00")
-    fact = spark.read.parquet(f"{d}/out/fct_events")
+    fact = FactStore(spark, f"{d}/out/fct_events").read()
     assert fact.count() == spark.read.parquet(f"{d}/raw").select("event_id").distinct().count()
     funnel = spark.read.parquet(f"{d}/out/reports/funnel")
     assert funnel.count() == 8
     statuses = {r.status for r in spark.read.parquet(f"{d}/out/reports/reconciliation").collect()}
     assert statuses == {"PASS"}
+    # the next day's run merges what has come since, and changes nothing where nothing came
+    before = {r.event_id: r.event_key for r in fact.collect()}
+    job.run(spark, f"{d}/raw", f"{d}/dims", f"{d}/out", "2024-02-02 00:00:00", since="2024-01-20 00:00:00")
+    assert {r.event_id: r.event_key for r in FactStore(spark, f"{d}/out/fct_events").read().collect()} == before
 
 
 def test_name_lint_rules(spark):
