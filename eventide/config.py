@@ -225,3 +225,30 @@ class Scale:
     """Knobs for skew handling; defaults suit a large cluster."""
     hot_key_rows: int = 2_000_000   # a key with more rows than this is 'hot'
     extra: dict = field(default_factory=dict)
+
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES — the planned events with their payload properties and types
+# (tenant, user and time stand in columns, not in the payload), and the length
+# limits of the raw columns.
+PLANNED_PROPERTIES = {
+    "dedicated_tenant_provisioned": {"region": "string", "plan_tier": "string", "provisioning_duration_seconds": "int"},
+    "dedicated_user_invited": {"inviter_user_id": "string", "invitee_email_hash": "string", "role_assigned": "string"},
+    "dedicated_onboarding_step_completed": {"step_name": "string", "step_index": "int", "duration_seconds": "int"},
+    "dedicated_onboarding_abandoned": {"last_step_completed": "string", "steps_remaining": "int"},
+    "dedicated_project_created": {"project_id": "string", "visibility_level": "string", "template_used": "boolean"},
+    "dedicated_pipeline_executed": {"project_id": "string", "pipeline_id": "string", "status": "string", "duration_seconds": "int", "runner_type": "string"},
+    "dedicated_merge_request_created": {"project_id": "string", "mr_id": "string", "source_branch": "string", "target_branch": "string"},
+    "dedicated_merge_request_merged": {"project_id": "string", "mr_id": "string", "time_to_merge_hours": "float", "approvals_count": "int"},
+    "dedicated_security_scan_completed": {"project_id": "string", "scan_type": "string", "vulnerabilities_found": "int", "severity_critical": "int"},
+    "dedicated_nav_section_clicked": {"section_name": "string", "previous_section": "string"},
+    "dedicated_admin_setting_changed": {"setting_category": "string", "setting_name": "string", "old_value_hash": "string", "new_value_hash": "string"},
+    "dedicated_sso_configured": {"provider_type": "string", "configuration_action": "string"},
+    "dedicated_user_role_assigned": {"admin_user_id": "string", "target_user_id": "string", "previous_role": "string", "new_role": "string"},
+    "dedicated_instance_upgrade_initiated": {"from_version": "string", "to_version": "string", "upgrade_type": "string"},
+    "dedicated_support_ticket_created": {"ticket_id": "string", "severity": "string", "category": "string"},
+}
+COLUMN_LENGTHS = {"event_id": 36, "event_name": 60, "event_category": 30, "tenant_id": 36, "user_id": 36, "session_id": 36,
+                  "platform_version": 20, "event_source": 10, "sdk_version": 20}
+# End of fixed values.
+# ---------------------------------------------------------------------------

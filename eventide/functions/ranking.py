@@ -92,63 +92,61 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], out_col: str = "seq
             .withColumn(out_col, F.col("_pos") + F.lit(1)).drop("_pos"))
 
 
-SMALL_GROUP_VALUES = 5_000_000
+# buckets of one histogram, and how often the one that holds a rank is split again
+BUCKETS, REFINEMENTS = 1 << 14, 2
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str],
-                    small_group_values: int = SMALL_GROUP_VALUES,
-                    group_size_bound: int | None = None) -> DataFrame:
+                    buckets: int = BUCKETS, refinements: int = REFINEMENTS) -> DataFrame:
     """Exact interpolated quantiles (``QUANTILE_CONT``) per group.
 
     Position h = (n-1)·p; result = v[⌊h⌋] + (h-⌊h⌋)·(v[⌈h⌉] - v[⌊h⌋]).
 
-    The largest group's size is measured first (one small aggregate). When
-    every group holds at most ``small_group_values`` values, Spark's exact
-    ``percentile`` aggregate is used: its per-group buffer is then bounded.
-    Otherwise positions come from range partitions (``with_position``) and
-    only the ≤ 2·len(probs) rows per group at the needed positions reach
-    the final aggregate, so no group is ever held in one task.
-
-    ``group_size_bound`` is an upper bound on any group's size known to the
-    caller (e.g. the number of invite rows for per-invite durations); when it
-    is within the limit the measuring pass is skipped.
+    Ranks are found by histogram refinement, the same for groups of any size:
+    equal values are counted (combined map-side), the range of a group is cut
+    into equal ``buckets`` whose counts tell which one holds a wanted rank,
+    that one is cut again between its least and greatest value, and after
+    ``refinements`` cuts the few values left are walked in order. No window
+    sees more than ``buckets`` rows or the distinct values of one range/
+    buckets^refinements slice. All of it is one lazy plan, whose counts are
+    shuffled once and reused.
     """
     group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    if group_size_bound is not None and group_size_bound <= small_group_values:
-        largest = group_size_bound
-    else:
-        sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-            vals.agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= small_group_values:
-        q = F.percentile(F.col("_v"), [float(p) for p in probs])
-        g = vals.groupBy(*group_cols).agg(q.alias("_q"))
-        return g.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _distributed_quantiles(vals, group_cols, probs, names)
-
-
-def _distributed_quantiles(vals: DataFrame, group_cols: list[str], probs: Sequence[float],
-                           names: Sequence[str]) -> DataFrame:
-    pos = with_position(vals, ["_v"], group_cols)
-    conds, aggs = [], []
+    # a struct compares null-safe, so a NULL group is a group like any other
+    group = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("_all"))
+    counts = (df.select(group.alias("_g"), F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+                .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    size = counts.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+
+    def at(p: float):
+        return (F.col("_n") - 1).cast("double") * F.lit(float(p))
+
+    ranks = F.array_distinct(F.array(*[f(at(p)).cast("long") for p in probs for f in (F.floor, F.ceil)]))
+    sought = size.select("_g", F.explode(ranks).alias("_t"), "_lo", "_hi").withColumn("_r", F.col("_t"))
+    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+
+    def holding(counted: DataFrame, by: str) -> DataFrame:
+        """The rows of (_g, _t) whose counts, in the order of ``by``, reach over the wanted rank."""
+        w = Window.partitionBy("_g", "_t").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_c").over(w), F.lit(0))
+        return (counted.withColumn("_before", before)
+                       .where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_c")))
+                       .withColumn("_r", F.col("_r") - F.col("_before")))
+
+    for _ in range(refinements):
+        width = F.col("_hi") - F.col("_lo")
+        bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1))).otherwise(0)
+        counted = (counts.join(sought, "_g").where(inside).groupBy("_g", "_t", "_r", bucket.alias("_b"))
+                         .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+        sought = holding(counted, "_b").select("_g", "_t", "_lo", "_hi", "_r")
+    found = holding(counts.join(sought, "_g").where(inside), "_v").groupBy("_g").agg(
+        F.map_from_entries(F.collect_list(F.struct("_t", "_v"))).alias("_at"))       # two entries a quantile at most
+    out = [F.col("_g").getField(g).alias(g) for g in group_cols]
     for p, name in zip(probs, names):
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        conds.append((F.col("_pos") == lo) | (F.col("_pos") == hi))
-        aggs += [F.max(F.when(F.col("_pos") == lo, F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(F.col("_pos") == hi, F.col("_v"))).alias(f"_{name}_hi"),
-                 F.max(h - lo).alias(f"_{name}_d")]
-    keep = conds[0]
-    for c in conds[1:]:
-        keep = keep | c
-    g = pos.where(keep).groupBy(*group_cols).agg(*aggs)
-    out = [F.col(c) for c in group_cols]
-    for name in names:
-        lo_v, hi_v, d = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_d")
-        out.append((lo_v + (hi_v - lo_v) * d).alias(name))
-    return g.select(*out)
+        lo, hi = (F.element_at("_at", f(at(p)).cast("long")) for f in (F.floor, F.ceil))
+        out.append((lo + (hi - lo) * (at(p) - F.floor(at(p)))).alias(name))
+    return size.join(found, "_g").select(*out)
 
 
 def lag_by_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

@@ -76,7 +76,8 @@ def pii_scan(events: DataFrame, props: str = "properties") -> DataFrame:
 def property_naming(events: DataFrame, props: str = "properties") -> DataFrame:
     """G-5: (event, property) pairs breaking the naming rules: snake_case;
     booleans start is_/has_; counts (a word ``count``, ``counts`` or
-    ``found``) end _count; durations end _seconds/_hours. Keys are aggregated per (event, key) before the rules
+    ``found``) end _count; durations end _seconds/_hours; identifiers (a
+    word ``id``, ``ids``, ``uuid``, ``guid`` or ``identifier``) end _id. Keys are aggregated per (event, key) before the rules
     run, so the rules see one row per payload shape."""
     kv = (events.select(NAME, F.from_json(F.col(props), "map<string,string>").alias("m"))
                 .select(NAME, F.explode("m").alias("key", "value")))
@@ -88,6 +89,7 @@ def property_naming(events: DataFrame, props: str = "properties") -> DataFrame:
         ("not_snake_case", ~key.rlike(SNAKE)),
         ("boolean_without_is_has", (F.col("_bool") == 1) & ~(key.startswith("is_") | key.startswith("has_"))),
         ("duration_without_unit", key.contains("duration") & ~(key.endswith("_seconds") | key.endswith("_hours"))),
+        ("identifier_without_suffix", key.rlike("(^|_)(id|ids|uuid|guid|identifier)(_|$)") & ~key.endswith("_id")),
         ("count_without_suffix", key.rlike("(^|_)(count|counts|found)(_|$)") & ~key.endswith("_count")),
     ]
     viol = F.array(*[F.when(c, F.lit(r)) for r, c in rules])
@@ -129,6 +131,41 @@ def property_types(events: DataFrame, registry: dict = PROPERTY_TYPES, props: st
         F.count_if(bad).alias("misfit_rows"), F.count_if(F.col("_v").isNull()).alias("missing_rows"))
 
 
+# what a VARIANT calls the types of the tracking plan
+VARIANT_TYPES = {"string": ["STRING"], "int": ["BIGINT"], "float": ["BIGINT", "DOUBLE", "DECIMAL"], "boolean": ["BOOLEAN"]}
+
+
+def plan_violations(events: DataFrame, plan: dict[str, dict[str, str]] = C.PLANNED_PROPERTIES, props: str = "properties") -> DataFrame:
+    """G-6 over the whole tracking plan: what the payloads hold against what was planned.
+
+    One pass gives each event's payload schema (``schema_of_variant_agg`` merges the types of all rows; values
+    of two kinds merge to VARIANT, nulls alone are VOID). One row per deviation: a planned property that no row
+    has (``missing``), one with other types than planned (``wrong_type``), one that nobody planned
+    (``unplanned``), and planned events without rows (``not_observed``).
+    """
+    spark = events.sparkSession
+    # one row per planned property: a parameter table
+    planned = F.broadcast(spark.createDataFrame([(e, k, t) for e, spec in plan.items() for k, t in spec.items()],
+                                                "event_name string, property string, expected_type string"))
+    merged = events.where(F.col(NAME).isin(*plan)).groupBy(NAME).agg(F.schema_of_variant_agg(F.try_parse_json(props)).alias("_s"))
+    # OBJECT<key: TYPE, ...>: payloads are flat, so a nested type is one value
+    field = F.regexp_extract_all(F.regexp_extract("_s", r"^OBJECT<(.*)>$", 1), F.lit(r"([^:<>, ]+: [A-Z]+)"), 1)
+    seen = merged.select(NAME, F.explode_outer(field).alias("_f")).select(
+        NAME, F.split_part("_f", F.lit(": "), F.lit(1)).alias("property"), F.split_part("_f", F.lit(": "), F.lit(2)).alias("observed_type"))
+    fits = F.lit(False)
+    for t, kinds in VARIANT_TYPES.items():
+        fits = fits | ((F.col("expected_type") == t) & F.col("observed_type").isin(*kinds))
+    both = planned.join(seen.where("property IS NOT NULL"), [NAME, "property"], "full")
+    kind = (F.when(F.col("expected_type").isNull(), "unplanned").when(F.col("observed_type").isNull(), "missing")
+             .when(~fits, "wrong_type"))
+    deviations = both.join(F.broadcast(merged.select(NAME)), NAME, "left_semi").withColumn("violation", kind).where("violation IS NOT NULL")
+    names = planned.select(NAME).distinct()
+    absent = names.join(merged.select(NAME), NAME, "left_anti").select(
+        NAME, F.lit(None).cast("string").alias("property"), F.lit(None).cast("string").alias("expected_type"),
+        F.lit(None).cast("string").alias("observed_type"), F.lit("not_observed").alias("violation"))
+    return deviations.select(*absent.columns).unionByName(absent)
+
+
 def category_check(events: DataFrame, catalog: DataFrame) -> DataFrame:
     """G-7: per event name: rows with NULL category, rows whose category
     differs from the catalog's, and whether the name is in the catalog."""

@@ -311,11 +311,28 @@ def schema_drift(raw: DataFrame, bi: DataFrame) -> DataFrame:
                       .alias("drift")))
 
 
-def column_drift(a: DataFrame, b: DataFrame) -> list[tuple[str, str]]:
-    """Q-20 (columns): names added or removed between two schemas. Metadata
-    only — no data is read."""
-    sa, sb = set(a.columns), set(b.columns)
-    return sorted([(c, "removed") for c in sa - sb] + [(c, "added") for c in sb - sa])
+def column_profile(df: DataFrame, date_col: str = "event_date") -> DataFrame:
+    """Per (date, column): the column's type, the rows and how many of them have a value. One pass; the
+    columns are unpivoted after the aggregation, so each date sends one row per task."""
+    cols = [c for c in df.columns if c != date_col]
+    types = dict(df.dtypes)
+    g = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in cols])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), F.col(c).alias("non_null")) for c in cols])
+    return g.select(F.col(date_col).alias("event_date"), F.col("_rows").alias("rows"), F.explode(cells).alias("c")).select("event_date", "rows", "c.*")
+
+
+def column_drift(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Q-20 (columns): the difference of two layers' profiles (``column_profile``), per column and kind:
+    ``removed`` / ``added`` columns, a changed ``type``, and dates on which a column that has values in
+    ``a`` has none in ``b`` (``emptied``) or the other way round (``filled``)."""
+    x = a.select("event_date", "column_name", F.col("data_type").alias("type_a"), F.col("non_null").alias("_a"))
+    y = b.select("event_date", "column_name", F.col("data_type").alias("type_b"), F.col("non_null").alias("_b"))
+    kinds = F.array_compact(F.array(
+        F.when(F.col("type_b").isNull(), "removed").when(F.col("type_a").isNull(), "added").when(F.col("type_a") != F.col("type_b"), "type"),
+        F.when((F.col("_a") > 0) & (F.col("_b") == 0), "emptied").when((F.col("_a") == 0) & (F.col("_b") > 0), "filled")))
+    return (x.join(y, ["event_date", "column_name"], "full").withColumn("drift", F.explode(kinds))
+             .groupBy("column_name", "drift", "type_a", "type_b")
+             .agg(F.min("event_date").alias("first_date"), F.max("event_date").alias("last_date"), F.count(F.lit(1)).alias("dates")))
 
 
 def timezone_shift(raw: DataFrame, zone: str) -> DataFrame:
@@ -411,17 +428,36 @@ def run_history(recon_daily: DataFrame) -> DataFrame:
     return h.withColumn("resolved_at", F.when(F.col("status") != "PASS", nxt_pass))
 
 
-def escalations(history: DataFrame, runs: int = 3) -> DataFrame:
-    """Q-25: runs of ≥ ``runs`` consecutive WARN days per event (gaps and
-    islands by row-number difference) → escalated to FAIL."""
-    w = Window.partitionBy(NAME).orderBy("run_date")
-    ws = Window.partitionBy(NAME, "status").orderBy("run_date")
-    isl = history.withColumn("_grp", F.row_number().over(w) - F.row_number().over(ws))
-    g = (isl.where(F.col("status") == "WARN").groupBy(NAME, "_grp")
-            .agg(F.min("run_date").alias("first_run"), F.max("run_date").alias("last_run"),
-                 F.count(F.lit(1)).alias("consecutive_warns")))
-    return g.where(F.col("consecutive_warns") >= runs).drop("_grp") \
-            .withColumn("escalated_status", F.lit("FAIL"))
+def run_calendar(history: DataFrame) -> DataFrame:
+    """The runs that were due, numbered: every day from the first to the last run of the history."""
+    ends = history.agg(F.min("run_date").alias("_lo"), F.max("run_date").alias("_hi")).where("_lo IS NOT NULL")
+    return ends.select("_lo", F.explode(F.sequence("_lo", "_hi")).alias("run_date")).select("run_date", F.date_diff("run_date", "_lo").alias("run_no"))
+
+
+def _streaks(history: DataFrame, statuses: Sequence[str], calendar: DataFrame | None, length: str) -> DataFrame:
+    """Runs of an event in ``statuses`` without a gap in the calendar: a run with another status, or a
+    run that did not report the event, ends a streak. An event has one row a day, so its window is small."""
+    due = F.broadcast(calendar if calendar is not None else run_calendar(history))      # one row a day
+    w = Window.partitionBy(NAME).orderBy("run_no")
+    found = history.where(F.col("status").isin(*statuses)).join(due, "run_date")
+    return (found.withColumn("_streak", F.col("run_no") - F.row_number().over(w)).groupBy(NAME, "_streak")
+                 .agg(F.min("run_date").alias("first_run"), F.max("run_date").alias("last_run"), F.count(F.lit(1)).alias(length))
+                 .drop("_streak"))
+
+
+def escalations(history: DataFrame, runs: int = 3, calendar: DataFrame | None = None) -> DataFrame:
+    """Q-25: an event in WARN for ``runs`` or more consecutive runs of the calendar → FAIL."""
+    return (_streaks(history, ["WARN"], calendar, "consecutive_warns").where(F.col("consecutive_warns") >= runs)
+            .withColumn("escalated_status", F.lit("FAIL")))
+
+
+def incidents(history: DataFrame, p0: Sequence[str] = tuple(C.P0_EVENTS), runs: int = 3, calendar: DataFrame | None = None) -> DataFrame:
+    """Q-25: the incidents: P0 events that failed (or went missing), one per streak of runs, and P0 events
+    whose warnings were escalated."""
+    own = history.where(F.col(NAME).isin(*p0))
+    failed = _streaks(own, ["FAIL", "MISSING"], calendar, "runs").withColumn("cause", F.lit("FAIL"))
+    warned = escalations(own, runs, calendar).select(NAME, "first_run", "last_run", F.col("consecutive_warns").alias("runs"), F.lit("ESCALATED_WARN").alias("cause"))
+    return failed.unionByName(warned)
 
 
 def stale_failures(history: DataFrame, as_of: str, business_days: int = 3) -> DataFrame:
@@ -474,33 +510,40 @@ def cardinality(raw: DataFrame) -> DataFrame:
 
 
 UUID_V4 = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
-SEMVER = r"^[0-9]+\.[0-9]+(\.[0-9]+)?$"
+SEMVER = r"^[0-9]+\.[0-9]+\.[0-9]+$"
 
 
-def format_checks(raw: DataFrame, max_name_len: int = 60) -> DataFrame:
-    """Q-31: per event name, ids not UUID v4, versions not semver, names over
-    the length limit."""
+def format_checks(raw: DataFrame, limits: dict[str, int] = C.COLUMN_LENGTHS) -> DataFrame:
+    """Q-31: per event name, ids not UUID v4, versions not of three numbers, and for every limited column
+    the values that are too long."""
     return raw.groupBy(NAME).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("event_id").rlike(UUID_V4)).alias("bad_event_id"),
         F.count_if(F.col("platform_version").isNotNull() & ~F.col("platform_version").rlike(SEMVER))
          .alias("bad_version"),
-        F.count_if(F.length(NAME) > max_name_len).alias("long_name"))
-
-
-def domain_values(raw_or_fact: DataFrame) -> DataFrame:
-    """Q-30: values outside their domain for event_source and, on the fact,
-    pipeline_status and scan_type (read from JSON on raw). One pass: the
-    (column, value) pairs of every row are stacked and checked together."""
-    df = raw_or_fact
-    if "pipeline_status" not in df.columns:
-        df = df.withColumn("pipeline_status", json_str("properties", "status")) \
-               .withColumn("scan_type", json_str("properties", "scan_type"))
-    domains = {"event_source": C.EVENT_SOURCES, "pipeline_status": C.PIPELINE_STATUSES, "scan_type": C.SCAN_TYPES}
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in domains])
-    outside = F.lit(False)
-    for c, allowed in domains.items():
-        outside = outside | ((F.col("column_name") == c) & ~F.col("value").isin(*allowed))
-    return (df.select(F.explode(pairs).alias("x")).select("x.*")
-              .where(F.col("value").isNotNull() & outside)
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows")))
+        *[F.count_if(F.length(c) > n).alias(f"long_{c}") for c, n in limits.items()])
+
+
+DOMAINS = {
+    "fact": {"event_source": C.EVENT_SOURCES, "pipeline_status": C.PIPELINE_STATUSES, "scan_type": C.SCAN_TYPES},
+    "users": {"role": C.ROLES},
+    "tenants": {"plan_tier": C.PLAN_TIERS},
+    "lifecycle": {"onboarding_status": C.ONBOARDING_STATUSES},
+    "sessions": {"device_type": C.DEVICE_TYPES},
+}
+
+
+def domain_values(tables: dict[str, DataFrame], domains: dict[str, dict[str, Sequence[str]]] = DOMAINS) -> DataFrame:
+    """Q-30: values outside their domain, with their rows. One pass a table: the (column, value) pairs of a
+    row that break a rule are stacked and counted together."""
+    found = []
+    for table, columns in domains.items():
+        if table not in tables:
+            continue
+        cells = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
+                 for c, allowed in columns.items()]
+        found.append(tables[table].select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*"))
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))

@@ -453,12 +453,14 @@ def _q29(c: Ctx):
 
 @register("q30_domain_values")
 def _q30(c: Ctx):
-    return Q.domain_values(c.fact)
+    """All seven domains, over tables of which some values are out of them."""
+    fact = M.fact_from_raw(X.worn_events(c.raw_n).drop("n"), as_of=AS_OF)
+    return Q.domain_values({"fact": fact, **X.worn_dims(c.users_nokey, c.tenants, M.user_lifecycle(c.fact), M.sessions(c.fact))})
 
 
 @register("q31_format_checks")
 def _q31(c: Ctx):
-    return Q.format_checks(c.raw)
+    return Q.format_checks(X.worn_events(c.raw_n))
 
 
 # ------------------------------------------------------------------ reports
@@ -622,7 +624,13 @@ def _g4(c: Ctx):
 
 @register("g5_property_naming")
 def _g5(c: Ctx):
-    return G.property_naming(c.raw)
+    return G.property_naming(X.worn_events(c.raw_n))
+
+
+@register("g6_plan_violations")
+def _g6p(c: Ctx):
+    """Payloads of all planned events against the tracking plan."""
+    return G.plan_violations(X.worn_events(c.raw_n))
 
 
 @register("g6_property_types")
@@ -676,16 +684,16 @@ def _d1b(c: Ctx):
 
 @register("d2_portfolio_summary")
 def _d2(c: Ctx):
-    """Portfolio CSV files derived from lineitem, loaded back and summarized."""
+    """Portfolio CSV files derived from lineitem, one file per portfolio and named after it, loaded back and summarized."""
     import uuid
     path = scratch_path(c.spark, f"portfolios-{uuid.uuid4().hex}")
     li = X.table(c.spark, c.sf, "lineitem")
-    (li.select(F.concat(F.lit("pf_"), (F.col("l_orderkey") % 4).cast("string")).alias("portfolio_id"),
-               F.concat(F.lit("T"), (F.col("l_partkey") % 50).cast("string")).alias("ticker"),
-               F.col("l_quantity").cast("long").alias("shares"),
-               (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100.0).alias("price"),
-               F.col("l_shipdate").cast("date").alias("date"))
-       .write.partitionBy("portfolio_id").option("header", True).csv(path))
+    IO.write_named_csv(li.select(
+        F.concat(F.lit("pf_"), (F.col("l_orderkey") % 4).cast("string")).alias("portfolio_id"),
+        F.concat(F.lit("T"), (F.col("l_partkey") % 50).cast("string")).alias("ticker"),
+        F.col("l_quantity").cast("long").alias("shares"),
+        (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100.0).alias("price"),
+        F.col("l_shipdate").cast("date").alias("date")), path, "portfolio_id")
     return D.portfolio_summary(D.read_portfolios(c.spark, path))
 
 
@@ -733,6 +741,11 @@ def _q24(c: Ctx):
 ESCALATION_THRESHOLDS = C.Thresholds(fail_pct=10.0, warn_pct=0.1)
 
 
+@register("q25_incidents")
+def _q25i(c: Ctx):
+    return Q.incidents(Q.run_history(Q.reconcile(c.raw, c.degraded, th=ESCALATION_THRESHOLDS)))
+
+
 @register("q25_escalations")
 def _q25(c: Ctx):
     return Q.escalations(Q.run_history(Q.reconcile(c.raw, c.degraded, th=ESCALATION_THRESHOLDS)))
@@ -913,25 +926,36 @@ def _f25(c: Ctx):
     return FN.role_step_dropoff(FN.segment_funnel(c.raw, c.users_nokey, c.tenants))
 
 
-@register("src6_report_sets")
-def _src6(c: Ctx):
-    """Report data sets written as CSV (the workbook's sheets) and read back."""
+def _report_sets(c: Ctx) -> str:
     import uuid
     path = scratch_path(c.spark, f"reports-{uuid.uuid4().hex}")
     IO.write_report_sets({"event_volume": R.event_volume(c.fact), "tenant_overview": R.tenant_overview(
         c.fact, c.tenants)}, path, fmt="csv")
+    return path
+
+
+@register("src6_report_sets")
+def _src6(c: Ctx):
+    """Report data sets written as CSV (the workbook's sheets) and read back: the event volume."""
     schema = ("event_category string, event_name string, event_count long, tenants long, users long, "
               "first_seen date, last_seen date")
-    return c.spark.read.schema(schema).option("header", True).csv(f"{path}/event_volume")
+    return c.spark.read.schema(schema).option("header", True).csv(f"{_report_sets(c)}/event_volume")
+
+
+@register("src6_tenant_overview")
+def _src6t(c: Ctx):
+    """The other of the two report data sets, read back."""
+    schema = ("tenant_id string, tenant_name string, region string, plan_tier string, seat_limit int, sso_enabled boolean, "
+              "provisioning_date date, total_events long, active_users long, event_types_used long")
+    return c.spark.read.schema(schema).option("header", True).csv(f"{_report_sets(c)}/tenant_overview")
 
 
 @register("q20_column_drift")
 def _q20c(c: Ctx):
-    """Columns added or removed between the raw and the fact layer (schema
-    metadata of the two derived tables; no rows are read)."""
-    rows = Q.column_drift(c.raw, c.fact)
-    return c.spark.createDataFrame(rows or [], "column_name string, change string")
-
+    """Profiles of the raw layer and of a reporting layer that lost one column's values on the 20th."""
+    raw = c.raw.withColumn("event_date", F.to_date("event_timestamp"))
+    bi = c.fact.withColumn("platform_version", F.when(F.col("event_date") < F.lit("2024-01-20").cast("date"), F.col("platform_version")))
+    return Q.column_drift(Q.column_profile(raw), Q.column_profile(bi))
 
 
 @register("d4_passage_top_k")

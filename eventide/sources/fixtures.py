@@ -173,6 +173,30 @@ def crossing_copies(raw_n: DataFrame) -> DataFrame:
              .select(*raw_n.columns, "batch"))
 
 
+def worn_events(raw_n: DataFrame) -> DataFrame:
+    """Raw events with faults of the kinds that the format, domain and tracking-plan checks look for: every 41st row has its
+    payload's first number as text, every 43rd a property that nobody planned, every 97th a source out of its domain,
+    every 89th a version of three parts and every 101st an overlong session id."""
+    n, props = F.col("n"), F.col("properties")
+    text_number = F.regexp_replace(props, r'^(.*?": )([0-9]+)([,}])', r'$1"$2"$3')
+    unplanned = F.concat(F.regexp_replace(props, r"\}$", ""), F.when(props == "{}", F.lit('"project_uuid": "x"}')).otherwise(F.lit(', "project_uuid": "x"}')))
+    return (raw_n.withColumn("properties", F.when(n % 41 == 0, text_number).when(n % 43 == 0, unplanned).otherwise(props))
+                 .withColumn("event_source", F.when(n % 97 == 0, F.lit("edge")).otherwise(F.col("event_source")))
+                 .withColumn("platform_version", F.when(n % 89 == 0, F.lit("17.4.2")).otherwise(F.col("platform_version")))
+                 .withColumn("session_id", F.when(n % 101 == 0, F.lit("s" * 40)).otherwise(F.col("session_id"))))
+
+
+def worn_dims(users: DataFrame, tenants: DataFrame, lifecycle: DataFrame, sessions: DataFrame) -> dict[str, DataFrame]:
+    """The dimension tables with some values out of their domains, and a device for each session."""
+    devices = [*C.DEVICE_TYPES, "watch"]
+    return {
+        "users": users.withColumn("role", F.when(F.col("user_id").endswith("50"), F.lit("admin")).otherwise(F.col("role"))),
+        "tenants": tenants.withColumn("plan_tier", F.when(F.col("tenant_id") == "tenant_5", F.lit("starter")).otherwise(F.col("plan_tier"))),
+        "lifecycle": lifecycle.withColumn("onboarding_status", F.when(F.col("user_id").endswith("13"), F.lit("paused")).otherwise(F.col("onboarding_status"))),
+        "sessions": sessions.withColumn("device_type", _pick(devices, F.length("session_id") % len(devices))),
+    }
+
+
 def raw_events(spark: SparkSession, sf_dir: str, keep_n: bool = False,
                with_duplicates: bool = True) -> DataFrame:
     """M-1: the typed raw landing table, duplicates included."""

@@ -52,3 +52,24 @@ def write_report_sets(sets: dict[str, DataFrame], path: str, fmt: str = "parquet
             w.option("header", True).csv(f"{path}/{name}")
         else:
             w.parquet(f"{path}/{name}")
+
+
+def write_named_csv(df: DataFrame, path: str, name_col: str) -> None:
+    """One CSV file per value of ``name_col``, named ``<value>.csv`` (parts of a value beyond the first:
+    ``<value>/<part>.csv``). Values are file names, so there are few; the rows are written by tasks and only
+    the finished files are renamed."""
+    spark = df.sparkSession
+    df.repartition(name_col).write.partitionBy(name_col).option("header", True).csv(f"{path}/_parts")
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/_parts")):
+        key, _, value = folder.getPath().getName().partition("=")
+        if key != name_col:
+            continue
+        parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        for k, part in enumerate(parts):
+            to = jvm.org.apache.hadoop.fs.Path(f"{path}/{value}.csv" if not k else f"{path}/{value}/{k}.csv")
+            if k:
+                fs.mkdirs(to.getParent())
+            fs.rename(part, to)

@@ -189,17 +189,21 @@ def test_coverage_without_cross_join(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_exact_quantiles_distributed_path_equals_percentile(spark):
+def test_exact_quantiles_by_refinement(spark):
     import numpy as np
-    rows = [(g, float((i * 7919) % 1009)) for g in ("a", "b", "c") for i in range(300 if g != "c" else 1)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    small = {r.g: (r.p50, r.p90) for r in ranking.exact_quantiles(df, ["g"], "v", [0.5, 0.9], ["p50", "p90"]).collect()}
-    dist = {r.g: (r.p50, r.p90) for r in ranking.exact_quantiles(df, ["g"], "v", [0.5, 0.9], ["p50", "p90"],
-                                                                  small_group_values=10).collect()}
-    for g in ("a", "b", "c"):
-        arr = np.array([v for k, v in rows if k == g])
-        for got in (small[g], dist[g]):
-            assert abs(got[0] - np.quantile(arr, 0.5)) < 1e-9 and abs(got[1] - np.quantile(arr, 0.9)) < 1e-9
+    rng = np.random.default_rng(4)
+    values = {"ties": [float((i * 7919) % 109) for i in range(300)], "one": [3.5], "same": [2.0] * 40, "two": [1.0, 2.0], None: [5.0, 1.0, 3.0],
+              "spread": [float(x) for x in rng.lognormal(0, 6, 700)], "signs": [float(x) for x in rng.normal(0, 1e-3, 200)]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("none", None)], "g string, v double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    for buckets, cuts in ((1 << 14, 2), (4, 2), (3, 0)):
+        out = ranking.exact_quantiles(df, ["g"], "v", probs, [f"q{k}" for k in range(5)], buckets=buckets, refinements=cuts)
+        got = {r.g: [r[f"q{k}"] for k in range(5)] for r in out.collect()}
+        assert set(got) == set(values)
+        for g, vs in values.items():
+            assert np.allclose(got[g], np.quantile(vs, probs), rtol=1e-12), g
+    whole = ranking.exact_quantiles(df, [], "v", [0.5], ["m"]).collect()
+    assert np.isclose(whole[0].m, np.median([v for vs in values.values() for v in vs]))
 
 
 def test_salted_paths_give_the_same_results(spark, sf_dir):
@@ -293,8 +297,7 @@ def test_distributed_positions_keep_null_groups(spark):
     import numpy as np
     rows = [(None, float(v)) for v in (5, 1, 3)] + [("a", float(v)) for v in (2, 4)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.p50 for r in ranking.exact_quantiles(df, ["g"], "v", [0.5], ["p50"],
-                                                        small_group_values=0).collect()}
+    got = {r.g: r.p50 for r in ranking.exact_quantiles(df, ["g"], "v", [0.5], ["p50"]).collect()}
     assert got == {None: float(np.quantile([5, 1, 3], 0.5)), "a": 3.0}
     lag = ranking.lag_by_position(df, ["g"], ["v"], ["v"], tiebreak=[])
     prev = {(r.g, r.v): r.prev_v for r in lag.collect()}
