@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
+
 DEFAULT_HOT_ROWS = 2_000_000
 
 
@@ -46,10 +48,18 @@ def split_join(big: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str =
     if how not in ("inner", "left"):
         raise ValueError("split_join supports inner and left joins")
     keys = list(keys)
+    no_key = F.lit(False)
+    for c in keys:
+        no_key = no_key | F.col(c).isNull()
+    if how == "inner":
+        big = big.where(~no_key)
+    # at most rows / threshold keys
     salts = F.broadcast(hot_keys(big, keys, threshold, counts))
     n = F.coalesce(F.col("_salts"), F.lit(1))
+    # a NULL key meets nothing; its rows may go anywhere, so they take as many salts as there are partitions
+    spread = F.when(no_key, F.lit(shuffle_partitions(big.sparkSession))).otherwise(n)
     b = (big.join(salts, keys, "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n).cast("int"))
+            .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), spread).cast("int"))
             .drop("_salts"))
     k = (keyed.join(salts, keys, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))

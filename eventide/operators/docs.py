@@ -34,17 +34,17 @@ def chunk_text(docs: DataFrame, size: int = 1000, overlap: int = 200, id_col: st
                text_col: str = "text") -> DataFrame:
     """D-1b: fixed-size character chunks with overlap covering the whole
     text: chunk i starts at i·(size-overlap); the last chunk ends at the
-    text's end. One row per chunk, generated per document with
-    ``sequence`` + ``posexplode`` (no join)."""
+    text's end. One row per chunk, generated per document (no join)."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
     step = size - overlap
     n = F.length(F.col(text_col))
     chunks = F.when(n <= size, F.lit(1)).otherwise(
         F.lit(1) + F.ceil((n - F.lit(size)) / F.lit(step)).cast("int"))
-    return (docs.select(id_col, text_col, F.posexplode(F.sequence(F.lit(0), chunks - 1)).alias("chunk_no", "_i"))
-                .select(id_col, "chunk_no", (F.col("_i") * step).alias("start"),
-                        F.substring(F.col(text_col), F.col("_i") * step + 1, F.lit(size)).alias("chunk"))
+    # the chunks are cut before the rows are made, so that no row carries the whole text
+    cut = F.transform(F.sequence(F.lit(0), chunks - 1), lambda i: F.struct(
+        i.alias("chunk_no"), (i * step).alias("start"), F.substring(F.col(text_col), i * step + 1, F.lit(size)).alias("chunk")))
+    return (docs.select(id_col, F.explode(cut).alias("_c")).select(id_col, "_c.*")
                 .withColumn("chunk_chars", F.length("chunk")))
 
 

@@ -191,13 +191,17 @@ def time_to_complete(events: DataFrame, spec: C.FunnelSpec = C.executed_funnel(a
                           F.round("p90_minutes", 1).alias("p90_minutes")))
 
 
-def invite_profile(events: DataFrame, flags: dict[str, Column], invite_event: str = C.FUNNEL_STEPS[0][2]
+def invite_profile(events: DataFrame, flags: dict[str, Column | str], invite_event: str = C.FUNNEL_STEPS[0][2]
                    ) -> DataFrame:
     """Per (user, tenant) with an invite: invited_at and one 0/1 column per
-    flag (any event of the pair, no time bound). One aggregation. A NULL key
+    flag (any event of the pair, no time bound). A flag is a condition or an
+    event name; if all are names, only those events are read. One aggregation. A NULL key
     forms its own invite group but, as with an equality join, matches no
     events, so its flags are 0."""
     keyed = F.col(U).isNotNull() & F.col(T).isNotNull()
+    if all(isinstance(c, str) for c in flags.values()):
+        events = events.where(F.col(NAME).isin(invite_event, *flags.values()))
+    flags = {name: _ev(c) if isinstance(c, str) else c for name, c in flags.items()}
     aggs = [F.min(F.when(F.col(NAME) == invite_event, F.col(TS))).alias("invited_at")]
     aggs += [flag(c & keyed).alias(name) for name, c in flags.items()]
     return events.groupBy(U, T).agg(*aggs).where(F.col("invited_at").isNotNull())
@@ -212,9 +216,9 @@ def segment_by_role(events: DataFrame, dim_users: DataFrame, profile: DataFrame
     completed, activated; login %, completion % of logged in, activation %.
     ``profile`` (see ``user_profiles``) replaces the event pass when given."""
     prof = profile if profile is not None else invite_profile(events, {
-        "logged_in": _ev("dedicated_user_first_login"),
-        "completed": _ev("dedicated_onboarding_completed"),
-        "activated": _ev("dedicated_user_activated")})
+        "logged_in": "dedicated_user_first_login",
+        "completed": "dedicated_onboarding_completed",
+        "activated": "dedicated_user_activated"})
     cur = dim_users.where(F.col("is_current")).select(U, "role")
     per_user = (prof.join(cur, U).groupBy(U, "role")
                     .agg(F.max("logged_in").alias("logged_in"), F.max("completed").alias("completed"),
@@ -240,10 +244,10 @@ def weekly_cohort(events: DataFrame, profile: DataFrame | None = None) -> DataFr
     """F-6: per Monday-week of the first invite: invited, accepted, logged
     in, completed, activated, accept % and activation %."""
     prof = profile if profile is not None else invite_profile(events, {
-                                   "accepted": _ev("dedicated_user_invitation_accepted"),
-                                   "logged_in": _ev("dedicated_user_first_login"),
-                                   "completed": _ev("dedicated_onboarding_completed"),
-                                   "activated": _ev("dedicated_user_activated")})
+                                   "accepted": "dedicated_user_invitation_accepted",
+                                   "logged_in": "dedicated_user_first_login",
+                                   "completed": "dedicated_onboarding_completed",
+                                   "activated": "dedicated_user_activated"})
     per_user = (prof.withColumn("cohort_week", week_start("invited_at"))
                     .groupBy(U, "cohort_week")
                     .agg(*[F.max(c).alias(c) for c in ("accepted", "logged_in", "completed", "activated")]))
@@ -543,7 +547,7 @@ def ssh_step_lift(events: DataFrame, days: int = 30) -> DataFrame:
 def sso_login_effect(events: DataFrame, dim_tenants: DataFrame) -> DataFrame:
     """F-24: first-login rate of invited users by the tenant's SSO setting."""
     from ..functions.skew import bounded_broadcast
-    prof = invite_profile(events, {"logged_in": _ev("dedicated_user_first_login")})
+    prof = invite_profile(events, {"logged_in": "dedicated_user_first_login"})
     t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(T, "sso_enabled"))
     x = prof.join(t, T, "left").select(F.coalesce(F.col("sso_enabled").cast("string"), F.lit("unknown"))
                                        .alias("sso_enabled"), "logged_in")
@@ -614,22 +618,26 @@ def feature_adoption(events: DataFrame, dim_tenants: DataFrame, days: int = 30)
     return x.groupBy(NAME).agg(F.countDistinct(T).alias("tenants_adopted"))
 
 
-def pipeline_retention_corr(events: DataFrame, early_days: int = 14, late_from: int = 15) -> DataFrame:
-    """F-29: correlation between pipelines run in the first ``early_days``
-    after invite and being active again from day ``late_from`` on."""
-    inv = invited_users(events).where(F.col(U).isNotNull())
-    ev = events.where(F.col(U).isNotNull()).select(U, T, TS, NAME)
-
-    def cond(l, r):
-        return F.col(f"_l.{TS}") >= F.col("_r.invited_at")
-    j = split_join(ev, inv, [U, T], how="inner", condition=cond)
-    d = F.timestamp_diff("DAY", F.col("invited_at"), F.col(TS))
-    per = j.groupBy(U, T).agg(
-        F.count_if((F.col(NAME) == "dedicated_pipeline_executed") & (d < early_days)).alias("early_pipelines"),
-        F.max((d >= late_from).cast("int")).alias("retained"))
-    return per.agg(F.count(F.lit(1)).alias("users"),
-                   F.round(F.corr(F.col("early_pipelines").cast("double"), F.col("retained").cast("double")), 4)
-                   .alias("correlation"))
+def pipeline_retention_corr(events: DataFrame, dim_tenants: DataFrame, as_of: str, months: Sequence[int] = (6, 12)) -> DataFrame:
+    """F-29: for each horizon (months after provisioning), over the tenants that have reached it: how the
+    pipelines run before it correlate with being active after it. Events are first counted per tenant and
+    day, so the join sees one row a tenant and day."""
+    from ..functions.skew import bounded_broadcast
+    daily = events.groupBy(T, F.to_date(TS).alias("_day")).agg(F.count_if(F.col(NAME) == "dedicated_pipeline_executed").alias("_runs"))
+    t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(
+        T, "provisioning_date", F.explode(F.array(*[F.lit(m) for m in months])).alias("horizon_months")))
+    mark = F.add_months("provisioning_date", F.col("horizon_months"))
+    due = t.withColumn("_mark", mark).where(F.col("_mark") <= F.lit(as_of).cast("date"))
+    per = due.join(daily, T, "left").groupBy("horizon_months", T).agg(
+        F.coalesce(F.sum(F.when(F.col("_day") < F.col("_mark"), F.col("_runs"))), F.lit(0)).cast("double").alias("_runs"),
+        F.coalesce(F.max((F.col("_day") >= F.col("_mark")).cast("int")), F.lit(0)).alias("_kept"))
+    corr = F.corr("_runs", F.col("_kept").cast("double"))
+    found = per.groupBy("horizon_months").agg(F.count(F.lit(1)).alias("tenants"), F.sum("_kept").cast("long").alias("retained_tenants"),
+                                              F.when(~F.isnan(corr), F.round(corr, 4)).alias("correlation"))
+    every = events.sparkSession.createDataFrame([(m,) for m in months], "horizon_months int")
+    zero = F.lit(0).cast("long")
+    return every.join(found, "horizon_months", "left").select(
+        "horizon_months", F.coalesce("tenants", zero).alias("tenants"), F.coalesce("retained_tenants", zero).alias("retained_tenants"), "correlation")
 
 
 def scan_adoption(fact: DataFrame) -> DataFrame:
@@ -675,13 +683,27 @@ def reinvite_recovery(events: DataFrame, hot_rows: int = C.Scale().hot_key_rows)
                   .select("reinvited", "recovered", pct("recovered", "reinvited", 1).alias("recovery_pct")))
 
 
-def plan_tier_lift(events: DataFrame, dim_tenants: DataFrame) -> DataFrame:
-    """F-33: activation rate per plan tier with relative lift (any label
+def lift_compare(profile: DataFrame, label_col: str, success_col: str, control: str, min_effect_pct: float) -> DataFrame:
+    """F-33: success rate per arm against the control arm: relative change, and whether it reaches the
+    minimum detectable effect that was set beforehand. Without a control arm there is nothing to compare."""
+    g = profile.groupBy(label_col).agg(F.count(F.lit(1)).alias("users"), F.sum(success_col).cast("long").alias("successes"))
+    g = g.withColumn("rate_pct", pct("successes", "users", 2))
+    base = F.broadcast(g.where(F.col(label_col) == control).select(F.lit(control).alias("control"), F.col("rate_pct").alias("control_rate_pct")))    # one row
+    g = g.withColumn("control", F.lit(control)).join(base, "control", "left")
+    change = F.when(F.col("control_rate_pct") > 0, F.round((F.col("rate_pct") - F.col("control_rate_pct")) * 100.0 / F.col("control_rate_pct"), 2))
+    return g.withColumn("relative_change_pct", change).select(
+        label_col, "users", "successes", "rate_pct", "control_rate_pct", "relative_change_pct",
+        F.when(F.col(label_col) == control, "CONTROL").when(F.col("relative_change_pct").isNull(), "NO_CONTROL")
+         .when(F.col("relative_change_pct") >= min_effect_pct, "REACHES_EFFECT").otherwise("BELOW_EFFECT").alias("verdict"))
+
+
+def plan_tier_lift(events: DataFrame, dim_tenants: DataFrame, control: str = "premium", min_effect_pct: float = 7.0) -> DataFrame:
+    """F-33: activation rate per plan tier against the control tier (any label
     column works the same way)."""
     from ..functions.skew import bounded_broadcast
-    prof = invite_profile(events, {"activated": _ev("dedicated_user_activated")})
+    prof = invite_profile(events, {"activated": "dedicated_user_activated"})
     t = bounded_broadcast(dim_tenants.where(F.col("is_current")).select(T, "plan_tier"))
-    return grouped_rate(prof.join(t, T, "left").fillna({"plan_tier": "unknown"}), "plan_tier", "activated")
+    return lift_compare(prof.join(t, T, "left").fillna({"plan_tier": "unknown"}), "plan_tier", "activated", control, min_effect_pct)
 
 
 def daily_activations(events: DataFrame) -> DataFrame:
@@ -690,35 +712,53 @@ def daily_activations(events: DataFrame) -> DataFrame:
                   .groupBy(F.to_date(TS).alias("event_date")).agg(F.count(F.lit(1)).alias("activations")))
 
 
-def guardrails(events: DataFrame, tickets: DataFrame, cut: str) -> DataFrame:
-    """F-35: four metrics of users invited before vs after ``cut`` with the
-    allowed change: activation (≥ -5 pts), abandonment (≤ +5 pts), ticket
-    rate (≤ +5 pts), median invite→accept minutes (≤ +20 %)."""
-    st = step_times(events).withColumn(
-        "period", F.when(F.col("invited_at") < F.lit(cut).cast("timestamp_ntz"), "before").otherwise("after"))
-    prof = invite_profile(events, {"abandoned": _ev("dedicated_onboarding_abandoned")})
-    tk = tickets.select(U, T).distinct().withColumn("ticket", F.lit(1))
-    x = (st.join(prof.select(U, T, "abandoned"), [U, T], "left").join(tk, [U, T], "left")
-           .withColumn("accept_min", elapsed(F.col("invited_at"), F.col("step_1_at"), 60)))
-    g = x.groupBy("period").agg(
-        pct(F.count("step_7_at"), F.count(F.lit(1)), 2).alias("activation_pct"),
-        pct(F.sum(F.coalesce("abandoned", F.lit(0))), F.count(F.lit(1)), 2).alias("abandonment_pct"),
-        pct(F.count("ticket"), F.count(F.lit(1)), 2).alias("ticket_pct"))
-    med = exact_quantiles(x, ["period"], "accept_min", [0.5], ["accept_p50_min"]) \
-        .withColumn("accept_p50_min", F.round("accept_p50_min", 2))
-    g = g.join(med, "period", "left")
-    metrics = ("activation_pct", "abandonment_pct", "ticket_pct", "accept_p50_min")
+# the guardrails: metric and allowed relative change for the worse in percent; None is tracked only
+GUARDRAILS = [("ticket_volume", 10.0), ("retention_pct", 0.0), ("ssh_adoption_pct", None), ("completion_p50_hours", 20.0)]
+
+
+def guardrails(events: DataFrame, tickets: DataFrame, cut: str, window_days: int = 28, retention_days: int = 30,
+               ssh_days: int = 90) -> DataFrame:
+    """F-35: four metrics of the ``window_days`` before and after ``cut``, each with its limit: tickets opened
+    (no rise over 10 %), users invited then who are still active ``retention_days`` later (no fall), of them
+    those who set up their SSH key within ``ssh_days`` (tracked), and the median hours from invite to
+    completed onboarding (no rise over 20 %). One pass over the events gives every user's times."""
+    at = F.lit(cut).cast("timestamp_ntz")
+
+    def period(c):
+        back, ahead = F.timestamp_add("DAY", F.lit(-window_days), at), F.timestamp_add("DAY", F.lit(window_days), at)
+        return F.when((c >= back) & (c < at), "before").when((c >= at) & (c < ahead), "after")
+
+    def first(event: str, more=None):
+        cond = _ev(event) if more is None else _ev(event) & more
+        return F.min(F.when(cond, F.col(TS)))
+
+    ssh = F.get_json_object("properties", "$.step_name") == "ssh_key_setup"
+    users = (events.where(F.col(U).isNotNull() & F.col(T).isNotNull()).groupBy(U, T).agg(
+        first("dedicated_user_invited").alias("invited_at"), first("dedicated_onboarding_step_completed", ssh).alias("_ssh"),
+        first("dedicated_onboarding_completed").alias("_done"), F.max(TS).alias("_last"))
+        .withColumn("period", period(F.col("invited_at"))).where("period IS NOT NULL"))
+    since = F.col("invited_at")
+    kept = F.col("_last") >= F.timestamp_add("DAY", F.lit(retention_days), since)
+    keyed = (F.col("_ssh") >= since) & (F.col("_ssh") < F.timestamp_add("DAY", F.lit(ssh_days), since))
+    rates = users.groupBy("period").agg(
+        pct(F.count_if(kept), F.count(F.lit(1)), 2).alias("retention_pct"), pct(F.count_if(keyed), F.count(F.lit(1)), 2).alias("ssh_adoption_pct"))
+    hours = users.where(F.col("_done") >= since).withColumn("_h", elapsed(since, F.col("_done"), 3600))
+    median = exact_quantiles(hours, ["period"], "_h", [0.5], ["m"]).select("period", F.round("m", 2).alias("completion_p50_hours"))
+    volume = tickets.groupBy(period(F.col("opened_at")).alias("period")).agg(F.count(F.lit(1)).cast("double").alias("ticket_volume")).where("period IS NOT NULL")
+    both = rates.join(median, "period", "full").join(volume, "period", "full")
+    names = [m for m, _ in GUARDRAILS]
     # the two period rows side by side: conditional aggregates, no join
-    j = g.agg(*[F.max(F.when(F.col("period") == p, F.col(m))).alias(f"{p}_{m}")
-                for p in ("before", "after") for m in metrics])
+    j = both.agg(*[F.max(F.when(F.col("period") == p, F.col(m))).alias(f"{p}_{m}") for p in ("before", "after") for m in names])
     rows = []
-    for m, kind, lim in (("activation_pct", "drop_pts", 5.0), ("abandonment_pct", "rise_pts", 5.0),
-                         ("ticket_pct", "rise_pts", 5.0), ("accept_p50_min", "rise_rel", 0.2)):
-        bv, av = F.col(f"before_{m}"), F.col(f"after_{m}")
-        ok = (bv - av <= lim) if kind == "drop_pts" else (av - bv <= lim) if kind == "rise_pts" else \
-            (av <= bv * (1 + lim))
-        rows.append(F.struct(F.lit(m).alias("metric"), bv.alias("before"), av.alias("after"),
-                             F.when(ok, "OK").otherwise("BREACH").alias("status")))
+    for m, limit in GUARDRAILS:
+        old, new = F.col(f"before_{m}"), F.col(f"after_{m}")
+        if limit is None:
+            status = F.lit("TRACKED")
+        else:
+            held = new >= old if m == "retention_pct" else new <= old * (1 + limit / 100)
+            status = F.when(old.isNull() | new.isNull(), "NO_DATA").when(held, "OK").otherwise("BREACH")
+        rows.append(F.struct(F.lit(m).alias("metric"), old.alias("before"), new.alias("after"),
+                             F.when(old > 0, F.round((new - old) * 100.0 / old, 2)).alias("change_pct"), status.alias("status")))
     return j.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -726,7 +766,7 @@ def stratified_rates(events: DataFrame, dim_tenants: DataFrame, days: int = 90)
     """F-38: activation rate within tenant strata (seat bucket × SSO) for
     invites in the last ``days`` days of data."""
     from ..functions.skew import bounded_broadcast
-    prof = invite_profile(events, {"activated": _ev("dedicated_user_activated")})
+    prof = invite_profile(events, {"activated": "dedicated_user_activated"})
     last = prof.agg(F.max("invited_at")).first()[0]      # one scalar to the driver
     t = bounded_broadcast(dim_tenants.where(F.col("is_current"))
                           .select(T, seat_bucket(F.col("seat_limit")).alias("seat_bucket"), "sso_enabled"))

@@ -3,6 +3,7 @@ sessions, lifecycle, retention, partitioned writes."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.compat import day_of_week_sun0, json_int, json_str
 from ..functions.ranking import dense_sequence, lag_by_position
-from ..functions.skew import split_join
+from ..functions.skew import fits, split_join
+from ..session import scratch_path
 
 STEP_EVENT = "dedicated_onboarding_step_completed"
 NAV_EVENT = "dedicated_nav_section_clicked"
@@ -108,6 +110,18 @@ def scd2_as_of(events: DataFrame, dim: DataFrame, key: str, ts_col: str = "event
         .drop("valid_from", "valid_to")
 
 
+def scd2_as_of_small(events: DataFrame, dim: DataFrame, key: str, ts_col: str = "event_timestamp",
+                     attrs: Sequence[str] = (), hot_rows: int = C.Scale().hot_key_rows, max_rows: int = 100_000) -> DataFrame:
+    """``scd2_as_of`` against a dimension that is broadcast if it has at most ``max_rows`` versions: the
+    events then stay where they are."""
+    if not fits(dim, max_rows):
+        return scd2_as_of(events, dim, key, ts_col, attrs, hot_rows)
+    v = F.broadcast(dim.select(F.col(key).alias("_k"), "valid_from", "valid_to", *attrs))
+    ts = F.col(ts_col)
+    cond = (F.col(key) == F.col("_k")) & (ts >= F.col("valid_from")) & (ts < F.coalesce(F.col("valid_to"), F.expr(OPEN_END)))
+    return events.join(v, cond, "left").select(*[events[c] for c in events.columns], *attrs)
+
+
 # --------------------------------------------------------------------- M-7
 def add_star_keys(fact: DataFrame, dim_tenants: DataFrame, dim_users: DataFrame,
                   hot_rows: int = C.Scale().hot_key_rows) -> DataFrame:
@@ -117,7 +131,7 @@ def add_star_keys(fact: DataFrame, dim_tenants: DataFrame, dim_users: DataFrame,
                            F.col("tenant_surrogate_key").alias("tenant_key"))
     u = dim_users.select("user_id", "valid_from", "valid_to",
                          F.col("user_surrogate_key").alias("user_key"))
-    out = scd2_as_of(fact, t, "tenant_id", attrs=["tenant_key"], hot_rows=hot_rows)
+    out = scd2_as_of_small(fact, t, "tenant_id", attrs=["tenant_key"], hot_rows=hot_rows)
     out = scd2_as_of(out, u, "user_id", attrs=["user_key"], hot_rows=hot_rows)
     return (out.withColumn("tenant_key", F.coalesce("tenant_key", F.lit(-1).cast("long")))
                .withColumn("user_key", F.coalesce("user_key", F.lit(-1).cast("long"))))
@@ -165,6 +179,10 @@ def scd2_apply(current: DataFrame, incoming: DataFrame, key: str, attrs: Sequenc
     out = joined.select(F.explode(versions).alias("_v")).select("_v.*")
     if surrogate not in cols:
         return out
+    # written once: the kept rows and the fresh ones are read from it, not joined again
+    path = scratch_path(current.sparkSession, f"scd2-{uuid.uuid4().hex}")
+    out.write.parquet(path)
+    out = current.sparkSession.read.schema(out.schema).parquet(path)
     top = current.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
     fresh = dense_sequence(out.where(F.col(surrogate).isNull()).drop(surrogate), [key, "valid_from"],
                            out_col=surrogate, tiebreak=[])

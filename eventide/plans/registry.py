@@ -13,6 +13,7 @@ from .. import config as C
 from ..operators import funnel as FN
 from ..operators import docs as D
 from ..operators import governance as G
+from ..operators import erasure as ER
 from ..operators.fact_store import FactStore
 from ..operators import model as M
 from ..operators import quality as Q
@@ -649,6 +650,31 @@ def _g8(c: Ctx):
     return G.opt_out_violations(c.raw, F.broadcast(opt))
 
 
+def _clustered(c: Ctx) -> str:
+    import uuid
+    path = scratch_path(c.spark, f"erase-{uuid.uuid4().hex}")
+    M.write_clustered(c.fact, path, cluster=("tenant_id",))
+    return path
+
+
+@register("g9_erasure_files")
+def _g9f(c: Ctx):
+    """A stored table after the files that hold an erased tenant were rewritten."""
+    path = _clustered(c)
+    gone = c.spark.createDataFrame([(t,) for t in ERASED_TENANTS], "tenant_id string")
+    ER.erase_tenant_files(c.spark, path, gone, "event_date", run_id="1")
+    return c.spark.read.parquet(path).groupBy("tenant_id", "event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("g9_erasure_ledger")
+def _g9l(c: Ctx):
+    """Requests (one a tenant and day from December 28th) against what the table still holds."""
+    path = _clustered(c)
+    ER.erase_tenant_files(c.spark, path, c.spark.createDataFrame([(t,) for t in ERASED_TENANTS], "tenant_id string"), "event_date", run_id="1")
+    requests = c.tenants.select("tenant_id", F.expr("date_add(DATE'2023-12-28', CAST(substring(tenant_id, 8) AS INT))").alias("requested_on"))
+    return ER.erasure_ledger(requests, ER.file_manifest(c.spark, path), AS_OF)
+
+
 @register("g9_erasure")
 def _g9(c: Ctx):
     gone = c.spark.createDataFrame([(t,) for t in ERASED_TENANTS], "tenant_id string")
@@ -832,7 +858,9 @@ def _f28(c: Ctx):
 
 @register("f29_pipeline_retention_corr")
 def _f29(c: Ctx):
-    return FN.pipeline_retention_corr(c.raw)
+    """Retention by tenant at 1, 6 and 12 months; two tenants fall silent on January 2nd, so that the first horizon has both kinds."""
+    silent = F.col("tenant_id").isin("tenant_2", "tenant_6") & (F.col("event_timestamp") >= F.lit("2024-01-02").cast("timestamp_ntz"))
+    return FN.pipeline_retention_corr(c.raw.where(~silent), c.tenants, AS_OF, months=(1, 6, 12))
 
 
 @register("f30_scan_adoption")
@@ -867,7 +895,8 @@ def _f34(c: Ctx):
 
 @register("f35_guardrails")
 def _f35(c: Ctx):
-    return FN.guardrails(c.raw, c.tickets, GUARDRAIL_CUT)
+    """The month before and after the cut, with retention after a week (the data span a month)."""
+    return FN.guardrails(c.raw, c.tickets, GUARDRAIL_CUT, retention_days=7)
 
 
 @register("f37_uplift_projection")
@@ -875,6 +904,15 @@ def _f37(c: Ctx):
     return FN.uplift_projection(c.raw)
 
 
+@register("f38_keyword_tags")
+def _f38k(c: Ctx):
+    """The opening text of every conversation as a ticket; every fourth has a tag, the others are tagged by keyword."""
+    t = X.table(c.spark, c.sf, "conversations")
+    tickets = t.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).withColumn(
+        "category", F.when(F.col("conv_id") % 4 == 0, "login").when(F.col("conv_id") % 4 == 1, ""))
+    return FN.tag_untagged(tickets).select("conv_id", "category", "tag_source")
+
+
 @register("f38_stratified_rates")
 def _f38(c: Ctx):
     return FN.stratified_rates(c.raw, c.tenants)
