@@ -78,8 +78,8 @@ def main() -> None:
 
     sc.setJobGroup("build_fact", "build_fact")
     t = time.perf_counter()
-    store = FactStore(spark, f"{run}/fact")
-    store.build(raw_n.drop("n"), as_of=AS_OF)
+    store = FactStore(spark, f"{run}/fact", keep=["n"])
+    store.build(raw_n, as_of=AS_OF)
     times["build_fact"] = round(time.perf_counter() - t, 3)
     fact_n = store.read(with_key=False)
 

@@ -92,61 +92,68 @@ def dense_sequence(df: DataFrame, order_cols: Sequence[str], out_col: str = "seq
             .withColumn(out_col, F.col("_pos") + F.lit(1)).drop("_pos"))
 
 
-# buckets of one histogram, and how often the one that holds a rank is split again
-BUCKETS, REFINEMENTS = 1 << 14, 2
+# the first histogram has so many buckets an octave, later ones so many in all
+OCTAVE, BUCKETS, REFINEMENTS = 512, 1 << 14, 1
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str],
-                    buckets: int = BUCKETS, refinements: int = REFINEMENTS) -> DataFrame:
+                    octave: int = OCTAVE, buckets: int = BUCKETS, refinements: int = REFINEMENTS) -> DataFrame:
     """Exact interpolated quantiles (``QUANTILE_CONT``) per group.
 
     Position h = (n-1)·p; result = v[⌊h⌋] + (h-⌊h⌋)·(v[⌈h⌉] - v[⌊h⌋]).
 
     Ranks are found by histogram refinement, the same for groups of any size:
-    equal values are counted (combined map-side), the range of a group is cut
-    into equal ``buckets`` whose counts tell which one holds a wanted rank,
-    that one is cut again between its least and greatest value, and after
-    ``refinements`` cuts the few values left are walked in order. No window
-    sees more than ``buckets`` rows or the distinct values of one range/
-    buckets^refinements slice. All of it is one lazy plan, whose counts are
-    shuffled once and reused.
+    equal values are counted (combined map-side) and put into buckets by their
+    logarithm, whose counts tell which one holds a wanted rank; that one is cut
+    into ``buckets`` equal parts between its least and greatest value, and the
+    few values left are walked in order. A window sees the buckets of a group
+    (15,000 for values from 0 to 10^9), or the distinct values of a slice of
+    10^-7 of its value. All of it is one lazy plan, whose counts are shuffled
+    once and reused.
     """
     group_cols = list(group_cols)
     # a struct compares null-safe, so a NULL group is a group like any other
     group = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("_all"))
     counts = (df.select(group.alias("_g"), F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
                 .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    size = counts.groupBy("_g").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
 
     def at(p: float):
         return (F.col("_n") - 1).cast("double") * F.lit(float(p))
 
+    def before(by: str, *group):
+        w = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_c").over(w), F.lit(0))
+
+    # a bucket number that never falls as the value rises
+    size = F.floor(F.log2(F.abs(F.col("_v")) + 1) * octave)
+    first = (counts.groupBy("_g", F.when(F.col("_v") < 0, -1 - size).otherwise(size).alias("_b"))
+                   .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+                   .withColumn("_before", before("_b", "_g")).withColumn("_n", F.sum("_c").over(Window.partitionBy("_g"))))
     ranks = F.array_distinct(F.array(*[f(at(p)).cast("long") for p in probs for f in (F.floor, F.ceil)]))
-    sought = size.select("_g", F.explode(ranks).alias("_t"), "_lo", "_hi").withColumn("_r", F.col("_t"))
+    here = F.filter(ranks, lambda t: (t >= F.col("_before")) & (t < F.col("_before") + F.col("_c")))
+    sought = first.select("_g", "_n", "_lo", "_hi", "_before", F.explode(here).alias("_t")).withColumn("_r", F.col("_t") - F.col("_before")).drop("_before")
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
 
     def holding(counted: DataFrame, by: str) -> DataFrame:
         """The rows of (_g, _t) whose counts, in the order of ``by``, reach over the wanted rank."""
-        w = Window.partitionBy("_g", "_t").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-        before = F.coalesce(F.sum("_c").over(w), F.lit(0))
-        return (counted.withColumn("_before", before)
+        return (counted.withColumn("_before", before(by, "_g", "_t"))
                        .where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_c")))
                        .withColumn("_r", F.col("_r") - F.col("_before")))
 
     for _ in range(refinements):
         width = F.col("_hi") - F.col("_lo")
         bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1))).otherwise(0)
-        counted = (counts.join(sought, "_g").where(inside).groupBy("_g", "_t", "_r", bucket.alias("_b"))
+        counted = (counts.join(sought, "_g").where(inside).groupBy("_g", "_n", "_t", "_r", bucket.alias("_b"))
                          .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-        sought = holding(counted, "_b").select("_g", "_t", "_lo", "_hi", "_r")
-    found = holding(counts.join(sought, "_g").where(inside), "_v").groupBy("_g").agg(
+        sought = holding(counted, "_b").select("_g", "_n", "_t", "_lo", "_hi", "_r")
+    found = holding(counts.join(sought, "_g").where(inside), "_v").groupBy("_g", "_n").agg(
         F.map_from_entries(F.collect_list(F.struct("_t", "_v"))).alias("_at"))       # two entries a quantile at most
     out = [F.col("_g").getField(g).alias(g) for g in group_cols]
     for p, name in zip(probs, names):
         lo, hi = (F.element_at("_at", f(at(p)).cast("long")) for f in (F.floor, F.ceil))
         out.append((lo + (hi - lo) * (at(p) - F.floor(at(p)))).alias(name))
-    return size.join(found, "_g").select(*out)
+    return found.select(*out)
 
 
 def lag_by_position(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

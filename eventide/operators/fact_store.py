@@ -34,10 +34,11 @@ _LOCAL = (1 << 33) - 1
 
 
 class FactStore:
-    """A stored fact table under ``path``."""
+    """A stored fact table under ``path``; ``keep`` names further raw columns that its rows carry."""
 
-    def __init__(self, spark: SparkSession, path: str, cluster: Sequence[str] = ("tenant_id", "event_name")):
-        self.spark, self.path, self.cluster = spark, path.rstrip("/"), list(cluster)
+    def __init__(self, spark: SparkSession, path: str, cluster: Sequence[str] = ("tenant_id", "event_name"),
+                 keep: Sequence[str] = ()):
+        self.spark, self.path, self.cluster, self.keep = spark, path.rstrip("/"), list(cluster), list(keep)
 
     # ---- reading
     def version(self) -> int | None:
@@ -118,7 +119,7 @@ class FactStore:
         """A full build from raw events, duplicates included."""
         version = self.version()
         write = 0 if version is None else version + 1
-        self._commit(self._write(build_fact(self._winners(raw), as_of=as_of, keep=["_collected", "_tie"]), write), write)
+        self._commit(self._write(build_fact(self._winners(raw), as_of=as_of, keep=[*self.keep, "_collected", "_tie"]), write), write)
 
     def apply(self, raw: DataFrame, as_of: str | None = None) -> list:
         """Merge further raw events, however late; returns the dates that were rewritten.
@@ -131,7 +132,7 @@ class FactStore:
         old = self._current("ids").select(F.col("event_id").alias("_id"), F.struct(*RANK).alias("_old"), F.col("event_date").alias("_old_date"))
         found = new.join(old, F.col("event_id") == F.col("_id"), "left").where(F.col("_id").isNull() | (F.struct(*RANK) < F.col("_old")))
         path = scratch_path(self.spark, f"{self.path.rsplit('/', 1)[-1]}-accepted-{write}")
-        build_fact(found, as_of=as_of, keep=["_collected", "_tie", "_id", "_old_date"]).write.mode("overwrite").parquet(path)
+        build_fact(found, as_of=as_of, keep=[*self.keep, "_collected", "_tie", "_id", "_old_date"]).write.mode("overwrite").parquet(path)
         accepted = self.spark.read.parquet(path)
         gone = accepted.where(F.col("_id").isNotNull())
         # one row a date

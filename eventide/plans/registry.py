@@ -906,9 +906,13 @@ def _f37(c: Ctx):
 
 @register("f38_keyword_tags")
 def _f38k(c: Ctx):
-    """The opening text of every conversation as a ticket; every fourth has a tag, the others are tagged by keyword."""
+    """The opening text of every conversation as a ticket, with a complaint added to some; every fourth has a tag, the others
+    are tagged by keyword."""
     t = X.table(c.spark, c.sf, "conversations")
-    tickets = t.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).withColumn(
+    k = F.col("conv_id") % 7
+    said = (F.when(k == 0, " I cannot log in").when(k == 1, " the SSH key is refused").when(k == 2, " a job failed in CI/CD")
+             .when(k == 3, " no repository").otherwise(""))
+    tickets = t.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).withColumn("text", F.concat("text", said)).withColumn(
         "category", F.when(F.col("conv_id") % 4 == 0, "login").when(F.col("conv_id") % 4 == 1, ""))
     return FN.tag_untagged(tickets).select("conv_id", "category", "tag_source")
 

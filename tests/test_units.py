@@ -196,8 +196,8 @@ def test_exact_quantiles_by_refinement(spark):
               "spread": [float(x) for x in rng.lognormal(0, 6, 700)], "signs": [float(x) for x in rng.normal(0, 1e-3, 200)]}
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("none", None)], "g string, v double")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    for buckets, cuts in ((1 << 14, 2), (4, 2), (3, 0)):
-        out = ranking.exact_quantiles(df, ["g"], "v", probs, [f"q{k}" for k in range(5)], buckets=buckets, refinements=cuts)
+    for octave, buckets, cuts in ((512, 1 << 14, 1), (1, 4, 2), (2, 3, 0)):
+        out = ranking.exact_quantiles(df, ["g"], "v", probs, [f"q{k}" for k in range(5)], octave=octave, buckets=buckets, refinements=cuts)
         got = {r.g: [r[f"q{k}"] for k in range(5)] for r in out.collect()}
         assert set(got) == set(values)
         for g, vs in values.items():
