@@ -49,7 +49,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
     """Fit on labelled rows with crc32(doc_id) mod 5 <> 0."""
-    return toxicity.fit(*toxicity.sample_labelled(docs.where(crc_mod("doc_id", 5) != 0), read(spark, sf_dir, "labels")))
+    return toxicity.train(toxicity.sample_labelled(docs.where(crc_mod("doc_id", 5) != 0), read(spark, sf_dir, "labels")))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

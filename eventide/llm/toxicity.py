@@ -3,7 +3,7 @@
 A span (one word; its bytes between two blanks) is the bag of its character
 n-grams of 3 to 5 bytes, hashed into a table of vectors. The mean of a span's
 vectors goes through a linear softmax of two classes. Vectors and softmax are
-trained jointly, in numpy on the driver, from a bounded sample of labelled
+trained jointly, in numpy in one task, from a bounded sample of labelled
 rows: a text is toxic if any of its spans is (noisy-or), so a few toxic words
 count the same in a short and in a very long text, and a misspelling shares
 n-grams with the words that were seen.
@@ -96,10 +96,12 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, rounds: int = ROUNDS)
         spans += [data[a:b].tobytes() for a, b in zip(s[first].tolist(), e[first].tolist(), strict=True)]
         docs.append(np.full(len(k), i))
     words, first, word = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    docs = np.concatenate(docs)
+    word, docs = word.astype(np.int32), np.concatenate(docs).astype(np.int32)
+    del keys
     if not len(words):
         return ToxicityModel(np.zeros(BUCKETS), -60.0)
     data = np.frombuffer(b" ".join([spans[i] for i in first]), np.uint8)
+    del spans
     text, starts, ends, _ = _blanked(data, np.array([0, len(data)]))
     of_word, gram = [], []
     for n, ids in _gram_ids(text):
@@ -111,10 +113,11 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, rounds: int = ROUNDS)
     used, gram = np.unique(np.concatenate(gram), return_inverse=True)
     gram = gram.astype(np.int32)
     per_word = np.bincount(of_word, minlength=len(words)).astype(np.float32)
-    by_gram, by_word = np.argsort(gram, kind="stable"), np.argsort(of_word, kind="stable")
-    gram_first = np.searchsorted(gram[by_gram], np.arange(len(used)))
-    word_first = np.searchsorted(of_word[by_word], np.arange(len(words)))
-    word_of_gram, gram_of_word = of_word[by_gram], gram[by_word]
+    order = np.argsort(gram, kind="stable")
+    gram_first, word_of_gram = np.searchsorted(gram[order], np.arange(len(used))), of_word[order]
+    order = np.argsort(of_word, kind="stable")
+    word_first, gram_of_word = np.searchsorted(of_word[order], np.arange(len(words))), gram[order]
+    del order, gram, of_word
 
     rng = np.random.default_rng(seed)
     vec = rng.normal(0, 0.3, (len(used), DIM))
@@ -145,17 +148,37 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7, rounds: int = ROUNDS)
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
-                    text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], list[int]]:
-    """Up to ``rows`` toxic and twice as many clean labelled texts, in the order of a hash of the id; bounded by the parameter."""
+                    text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """(text, y) of up to ``rows`` toxic and twice as many clean labelled ids, in the order of a hash of the id.
+
+    Ids may repeat: at most ``6 * rows`` rows are taken, by id and text, so what repeats beyond that under the
+    largest ids is not learnt from. Bounded by the parameter.
+    """
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
     order = [F.xxhash64(id_col), F.col(id_col)]
     picked = None
     for y in (0, 1):
         ids = marks.where(F.col("y") == y).orderBy(*order).limit(rows * (2 - y))
         picked = ids if picked is None else picked.unionByName(ids)
-    got = (docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
-           .orderBy(id_col, text_col).limit(6 * rows).select(text_col, "y").collect())   # ids may repeat; 3 rows ids at most
-    return [r[0] for r in got], [r[1] for r in got]
+    return (docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(picked), id_col)
+            .orderBy(id_col, "text").limit(6 * rows).select("text", F.col("y").cast("long").alias("y")))
+
+
+def train(sample: DataFrame) -> ToxicityModel:
+    """``fit`` on a bounded sample of (text, y) rows, in one task; only the finished table comes to the driver."""
+    def one(batches):
+        texts, y = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            y += batch.column(1).to_pylist()
+        model = fit(texts, y)
+        yield pa.RecordBatch.from_pydict({"table": pa.array([model.table.astype("<f4").tobytes()], pa.binary()), "bias": pa.array([model.bias])})
+
+    got = sample.select("text", "y").repartition(1).mapInArrow(one, "table binary, bias double").first()
+    if got is None:
+        # an empty plan has no task
+        return fit([], [])
+    return ToxicityModel(np.frombuffer(got["table"], "<f4"), got["bias"])
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -165,6 +165,15 @@ def test_toxicity(spark):
     got = [r.score for r in toxicity.score(spark.createDataFrame([(None,), ("",), ("abc idiots",), ("x " * 20_000 + "moronics",), ("abcde fgabc",)], "text string").coalesce(1), model).collect()]
     assert got[0] == got[1] == 0 and got[2] > 0.5 and got[3] > 0.5 and got[4] < 0.5
     assert toxicity.fit(["a"], [1]).bias < -50 and toxicity.fit([], []).bias < -50
+    # trained in a task: the same model; labels of no document, null labels and repeated ids
+    docs = spark.createDataFrame([(k, t, "clash") for k, (t, _) in enumerate(made)] + [(0, made[0][0], "clash"), (None, "x", "clash")], "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(made)] + [(10**6, 1), (1, None), (None, 1)], "doc_id long, toxic int")
+    sample = toxicity.sample_labelled(docs, labels)
+    assert sample.count() == len(made) + 1
+    rows = sample.collect()
+    trained, here = toxicity.train(sample), toxicity.fit([r.text for r in rows], [r.y for r in rows])
+    assert np.allclose(np.sort(trained.table), np.sort(here.table), atol=1e-3) and abs(trained.bias - here.bias) < 1e-3
+    assert toxicity.train(sample.limit(0)).bias < -50
 
 
 def test_lines(spark, docs, rows, empty):
