@@ -17,7 +17,7 @@ from eventide.llm.queries import tokenizer_path
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fit on labelled rows with crc32(doc_id) mod 5 <> 0, scores below 0.5."""
-    model = toxicity.fit(*toxicity.sample_labelled(docs.where(crc_mod("doc_id", 5) != 0), read(spark, sf_dir, "labels")))
+    model = toxicity.train(toxicity.sample_labelled(docs.where(crc_mod("doc_id", 5) != 0), read(spark, sf_dir, "labels")))
     return toxicity.score(docs, model, name="toxicity_").where("toxicity_ < 0.5").select(*docs.columns)
 
 
