@@ -89,6 +89,71 @@ def cosine_top_k(vectors: DataFrame, query: list[float], k: int = 10, id_col: st
                    .withColumn("score", F.round("score", 6)))
 
 
+class VectorIndex:
+    """D-3 at scale: a stored index of random-projection buckets (``pyspark.ml``), beside the exact scan.
+
+    Every vector has ``tables`` keys, each of ``hashes`` bucketed projections of its unit vector. A search
+    meets the vectors that share a key with a query and ranks them by exact cosine. What is far from every
+    query is never read with its vector; what is near is missed with a probability that falls with
+    ``tables`` (a test measures the recall). All rows are indexed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, id_col: str = "vec_id", vec_col: str = "embedding"):
+        self.spark, self.path, self.id_col, self.vec_col = spark, path, id_col, vec_col
+
+    def _unit(self, df: DataFrame) -> DataFrame:
+        """(id, unit vector) of the vectors that have a direction."""
+        v = F.transform(F.col(self.vec_col), lambda x: x.cast("double"))
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+        return (df.select(self.id_col, v.alias("_v"), norm.alias("_n")).where(F.col("_n") > 0)
+                  .select(self.id_col, F.transform("_v", lambda x: x / F.col("_n")).alias("unit")))
+
+    def _keys(self, model, df: DataFrame, tables: int, hashes: int) -> DataFrame:
+        """(id, table, key) rows: each key is the buckets of its ``hashes`` projections."""
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        h = model.transform(df.withColumn("_x", array_to_vector("unit"))).select(
+            self.id_col, F.transform("_h", lambda x: x).alias("_h"))
+        flat = h.select(self.id_col, F.array(*[vector_to_array(F.col("_h")[k])[0] for k in range(tables * hashes)]).alias("_b"))
+        keys = F.array(*[F.xxhash64(F.lit(t), F.slice("_b", t * hashes + 1, hashes)) for t in range(tables)])
+        return flat.select(self.id_col, F.explode(keys).alias("key"))
+
+    def build(self, vectors: DataFrame, tables: int = 24, hashes: int = 6, width: float = 0.12, seed: int = 7) -> None:
+        """Index all vectors. ``width`` is a bucket's length on a projection; unit vectors of d dimensions
+        at distance r stand about r / sqrt(d) apart there."""
+        import json
+
+        from pyspark.ml.feature import BucketedRandomProjectionLSH
+        from pyspark.ml.functions import array_to_vector
+        unit = self._unit(vectors)
+        unit.write.mode("overwrite").parquet(f"{self.path}/vectors")
+        unit = self.spark.read.parquet(f"{self.path}/vectors")
+        lsh = BucketedRandomProjectionLSH(inputCol="_x", outputCol="_h", numHashTables=tables * hashes, bucketLength=width, seed=seed)
+        model = lsh.fit(unit.limit(1).withColumn("_x", array_to_vector("unit")))         # it only asks for the dimension
+        model.write().overwrite().save(f"{self.path}/model")
+        self._keys(model, unit, tables, hashes).write.mode("overwrite").parquet(f"{self.path}/keys")
+        self.spark.createDataFrame([(json.dumps([tables, hashes]),)], "shape string").coalesce(1).write.mode("overwrite").text(f"{self.path}/shape")
+
+    def search(self, queries: DataFrame, k: int = 10) -> DataFrame:
+        """(query_id, id, score, rank) of up to ``k`` vectors per query row, by exact cosine among the
+        candidates. A query is not its own neighbour."""
+        import json
+
+        from pyspark.ml.feature import BucketedRandomProjectionLSHModel
+        from pyspark.sql import Window
+        tables, hashes = json.loads(self.spark.read.text(f"{self.path}/shape").first()[0])
+        model = BucketedRandomProjectionLSHModel.load(f"{self.path}/model")
+        q = self._unit(queries)
+        asked = self._keys(model, q, tables, hashes).withColumnRenamed(self.id_col, "query_id")
+        found = (self.spark.read.parquet(f"{self.path}/keys").join(asked, "key").where(F.col(self.id_col) != F.col("query_id"))
+                 .select("query_id", self.id_col).distinct())
+        both = (found.join(self.spark.read.parquet(f"{self.path}/vectors"), self.id_col)
+                     .join(q.select(F.col(self.id_col).alias("query_id"), F.col("unit").alias("_q")), "query_id"))
+        score = F.aggregate(F.zip_with("unit", "_q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+        w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(self.id_col))
+        return (both.select("query_id", self.id_col, score.alias("score")).withColumn("rank", F.row_number().over(w))
+                    .where(F.col("rank") <= k).withColumn("score", F.round("score", 6)))
+
+
 # ----------------------------------------------------------------- D-4
 SHINGLE_WORDS = 8
 KEYWORD_MIN_CHARS = 6
@@ -116,27 +181,18 @@ def shingles(df: DataFrame, id_col: str, text_col: str = "text", n: int = SHINGL
 
 
 def passage_top_k(queries: DataFrame, docs: DataFrame, k: int = 3, query_id: str = "item_id",
-                  doc_id: str = "doc_id", broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                  doc_id: str = "doc_id") -> DataFrame:
     """D-4 retrieval: documents sharing the most shingles with each query
-    text; exact (no candidate cap). The document side is joined through the
-    salted split join (boilerplate shingles shared by many documents are
-    hot keys); ``row_number() <= k`` keeps a partial top-k per task. When
-    the distinct query shingles number at most ``broadcast_max_rows`` they are
-    broadcast and the corpus is filtered map-side first."""
+    text; exact (no candidate cap). The corpus keeps only shingles that some
+    query has (a semi join; runtime sizes decide how), and meets the queries
+    in the salted split join, as boilerplate shingles shared by many documents
+    are hot keys; ``row_number() <= k`` keeps a partial top-k per task."""
     from pyspark.sql import Window
 
-    from ..functions.skew import fits, split_join
+    from ..functions.skew import split_join
     qs = shingles(queries, query_id)
-    wanted = qs.select("shingle").distinct()
-    ds_all = shingles(docs, doc_id, distinct=False)
-    if fits(wanted, broadcast_max_rows):
-        wanted = F.broadcast(wanted)
-        # bounded query set: drop non-matching document shingles map-side,
-        # before any shuffle of the corpus
-        ds = ds_all.join(wanted, "shingle", "left_semi").distinct()
-        pairs = ds.join(qs, "shingle")
-    else:
-        pairs = split_join(ds_all.distinct(), qs, ["shingle"], how="inner")
+    found = shingles(docs, doc_id, distinct=False).join(qs.select("shingle").distinct(), "shingle", "left_semi").distinct()
+    pairs = split_join(found, qs, ["shingle"], how="inner")
     scores = pairs.groupBy(query_id, doc_id).agg(F.count(F.lit(1)).alias("shared_shingles"))
     w = Window.partitionBy(query_id).orderBy(F.col("shared_shingles").desc(), F.col(doc_id))
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

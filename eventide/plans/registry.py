@@ -1000,6 +1000,16 @@ def _q20c(c: Ctx):
     return Q.column_drift(Q.column_profile(raw), Q.column_profile(bi))
 
 
+@register("d3_index_topk")
+def _d3i(c: Ctx):
+    """The nearest indexed vectors of every 20th vector, among those that share a bucket with it."""
+    import uuid
+    index = D.VectorIndex(c.spark, scratch_path(c.spark, f"vectors-{uuid.uuid4().hex}"))
+    vectors = X.table(c.spark, c.sf, "embeddings")
+    index.build(vectors)
+    return index.search(vectors.where(F.col("vec_id") % 20 == 0))
+
+
 @register("d4_passage_top_k")
 def _d4a(c: Ctx):
     return D.passage_top_k(X.table(c.spark, c.sf, "benchmark"), X.table(c.spark, c.sf, "documents"), k=3)
