@@ -125,14 +125,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         w = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("_c").over(w), F.lit(0))
 
-    # a bucket number that never falls as the value rises
+    # a bucket number that never falls as the value rises; it is a key of the joins, so a hot group is spread
     size = F.floor(F.log2(F.abs(F.col("_v")) + 1) * octave)
-    first = (counts.groupBy("_g", F.when(F.col("_v") < 0, -1 - size).otherwise(size).alias("_b"))
+    counts = counts.withColumn("_b", F.when(F.col("_v") < 0, -1 - size).otherwise(size))
+    first = (counts.groupBy("_g", "_b")
                    .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
                    .withColumn("_before", before("_b", "_g")).withColumn("_n", F.sum("_c").over(Window.partitionBy("_g"))))
     ranks = F.array_distinct(F.array(*[f(at(p)).cast("long") for p in probs for f in (F.floor, F.ceil)]))
     here = F.filter(ranks, lambda t: (t >= F.col("_before")) & (t < F.col("_before") + F.col("_c")))
-    sought = first.select("_g", "_n", "_lo", "_hi", "_before", F.explode(here).alias("_t")).withColumn("_r", F.col("_t") - F.col("_before")).drop("_before")
+    sought = first.select("_g", "_b", "_n", "_lo", "_hi", "_before", F.explode(here).alias("_t")).withColumn("_r", F.col("_t") - F.col("_before")).drop("_before")
     inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
 
     def holding(counted: DataFrame, by: str) -> DataFrame:
@@ -144,10 +145,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     for _ in range(refinements):
         width = F.col("_hi") - F.col("_lo")
         bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1))).otherwise(0)
-        counted = (counts.join(sought, "_g").where(inside).groupBy("_g", "_n", "_t", "_r", bucket.alias("_b"))
+        counted = (counts.join(sought, ["_g", "_b"]).where(inside).groupBy("_g", "_b", "_n", "_t", "_r", bucket.alias("_part"))
                          .agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-        sought = holding(counted, "_b").select("_g", "_n", "_t", "_lo", "_hi", "_r")
-    found = holding(counts.join(sought, "_g").where(inside), "_v").groupBy("_g", "_n").agg(
+        sought = holding(counted, "_part").select("_g", "_b", "_n", "_t", "_lo", "_hi", "_r")
+    found = holding(counts.join(sought, ["_g", "_b"]).where(inside), "_v").groupBy("_g", "_n").agg(
         F.map_from_entries(F.collect_list(F.struct("_t", "_v"))).alias("_at"))       # two entries a quantile at most
     out = [F.col("_g").getField(g).alias(g) for g in group_cols]
     for p, name in zip(probs, names):
