@@ -688,8 +688,9 @@ def lift_compare(profile: DataFrame, label_col: str, success_col: str, control:
     minimum detectable effect that was set beforehand. Without a control arm there is nothing to compare."""
     g = profile.groupBy(label_col).agg(F.count(F.lit(1)).alias("users"), F.sum(success_col).cast("long").alias("successes"))
     g = g.withColumn("rate_pct", pct("successes", "users", 2))
-    base = F.broadcast(g.where(F.col(label_col) == control).select(F.lit(control).alias("control"), F.col("rate_pct").alias("control_rate_pct")))    # one row
-    g = g.withColumn("control", F.lit(control)).join(base, "control", "left")
+    # the arms side by side with the control's rate: a handful of aggregated rows, no join
+    arms = g.agg(F.collect_list(F.struct(*g.columns)).alias("_arms"), F.max(F.when(F.col(label_col) == control, F.col("rate_pct"))).alias("control_rate_pct"))
+    g = arms.select("control_rate_pct", F.explode("_arms").alias("_a")).select("_a.*", "control_rate_pct")
     change = F.when(F.col("control_rate_pct") > 0, F.round((F.col("rate_pct") - F.col("control_rate_pct")) * 100.0 / F.col("control_rate_pct"), 2))
     return g.withColumn("relative_change_pct", change).select(
         label_col, "users", "successes", "rate_pct", "control_rate_pct", "relative_change_pct",
