@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.compat import boundary_diff, json_str, null_or_empty, pct, seconds_between
+from ..functions.compat import boundary_diff, null_or_empty, pct, seconds_between
 
 TS, NAME = "event_timestamp", "event_name"
 
