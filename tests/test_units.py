@@ -232,13 +232,25 @@ def test_asof_last_matches_brute_force(spark):
         assert got[lid] == (max(cands)[1] if cands else None)
 
 
-def test_passage_search_paths_agree(spark, sf_dir):
+def test_passage_search_equals_plain_python(spark, sf_dir):
+    import re
+
     from eventide.operators import docs as D
     from eventide.sources import fixtures as X
+
+    def parts(text):
+        w = [x for x in re.split(r"\s+", text or "", flags=re.ASCII) if x]
+        return {" ".join(w[i:i + 8]) for i in range(len(w) - 7)}
+
     q, d = X.table(spark, sf_dir, "benchmark"), X.table(spark, sf_dir, "documents")
-    a = sorted(map(tuple, D.passage_top_k(q, d, k=3).collect()))
-    b = sorted(map(tuple, D.passage_top_k(q, d, k=3, broadcast_max_rows=0).collect()))
-    assert a == b and len(a) > 0
+    texts = {r.doc_id: parts(r.text) for r in d.collect()}
+    want = []
+    for r in q.collect():
+        own = parts(r.text)
+        shared = sorted((-len(own & t), k) for k, t in texts.items() if own & t)
+        want += [(r.item_id, k, -n, i + 1) for i, (n, k) in enumerate(shared[:3])]
+    got = sorted(map(tuple, D.passage_top_k(q, d, k=3).select("item_id", "doc_id", "shared_shingles", "rank").collect()))
+    assert got == sorted(want) and len(got) > 0
 
 
 def test_keyword_tagging_keeps_tags_and_fills_untagged(spark):
