@@ -18,6 +18,9 @@ RAW_JSON_SCHEMA = ("event_id string, event_name string, event_category string, t
                    "properties map<string,string>, sdk_version string")
 
 
+ROWS_PER_CSV = 1_000_000
+
+
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
     """SRC-2/SRC-3: load JSON-lines payloads with an explicit schema; the
     properties object is stored as its JSON text (``to_json``), as the raw
@@ -54,22 +57,30 @@ def write_report_sets(sets: dict[str, DataFrame], path: str, fmt: str = "parquet
             w.parquet(f"{path}/{name}")
 
 
-def write_named_csv(df: DataFrame, path: str, name_col: str) -> None:
-    """One CSV file per value of ``name_col``, named ``<value>.csv`` (parts of a value beyond the first:
-    ``<value>/<part>.csv``). Values are file names, so there are few; the rows are written by tasks and only
-    the finished files are renamed."""
+def write_named_csv(df: DataFrame, path: str, name_col: str, rows_per_file: int = ROWS_PER_CSV) -> None:
+    """One CSV file per value of ``name_col``, named ``<value>.csv``; a value of more than ``rows_per_file`` rows
+    has its further parts in ``<name_col>=<value>/<part>.csv``, so that no task holds a whole value. Values are
+    file names, so there are few; the rows are written by tasks and only the finished files are renamed."""
     spark = df.sparkSession
-    df.repartition(name_col).write.partitionBy(name_col).option("header", True).csv(f"{path}/_parts")
+    parts = df.groupBy(name_col).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_parts")).where("_parts > 1")
+    parts = F.broadcast(parts.withColumnRenamed(name_col, "_value"))
+    dealt = (df.join(parts, df[name_col].eqNullSafe(F.col("_value")), "left")
+             .withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1)))))
+    (dealt.repartition(name_col, "_part").select(*df.columns).write.partitionBy(name_col).option("maxRecordsPerFile", rows_per_file)
+          .option("header", True).csv(f"{path}/_parts"))
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     for folder in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/_parts")):
-        key, _, value = folder.getPath().getName().partition("=")
+        name = folder.getPath().getName()
+        key, _, value = name.partition("=")
         if key != name_col:
             continue
+        # readers skip files named _ or . first (such as the null value's): its parts stay with it
+        more = value if value.startswith(("_", ".")) else name
         parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
         for k, part in enumerate(parts):
-            to = jvm.org.apache.hadoop.fs.Path(f"{path}/{value}.csv" if not k else f"{path}/{value}/{k}.csv")
+            to = jvm.org.apache.hadoop.fs.Path(f"{path}/{value}.csv" if not k else f"{path}/{more}/{k}.csv")
             if k:
                 fs.mkdirs(to.getParent())
             fs.rename(part, to)

@@ -12,6 +12,7 @@ from eventide.operators import funnel as FN
 from eventide.operators import governance as G
 from eventide.operators import model as M
 from eventide.operators import quality as Q
+from eventide.sources import io as IO
 
 RAW_SCHEMA = ("event_id string, event_name string, event_category string, tenant_id string, user_id string, "
               "session_id string, event_timestamp timestamp_ntz, collector_tstamp timestamp_ntz, "
@@ -339,3 +340,16 @@ def test_scd1_upsert_latest_wins_ties_to_incoming(spark):
     inc = spark.createDataFrame([("a", "new", T0), ("c", "add", T0 + dt.timedelta(days=1))], schema)
     got = {r.k: r.v for r in M.scd1_upsert(cur, inc, "k").collect()}
     assert got == {"a": "new", "b": "keep", "c": "add"}
+
+
+def test_a_large_portfolio_is_written_and_read_in_parts(spark, tmp_path):
+    day = dt.date(2024, 1, 3)
+    rows = [("a", f"T{k % 3}", 2, 1.5, day) for k in range(70)] + [("b", "T0", 1, 2.0, day)]
+    df = spark.createDataFrame(rows, "portfolio_id string, ticker string, shares long, price double, date date")
+    IO.write_named_csv(df, str(tmp_path), "portfolio_id", rows_per_file=20)
+    files = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("[!.]*.csv"))
+    assert "a.csv" in files and "b.csv" in files and any(f.startswith("portfolio_id=a/") for f in files)
+    assert max(len(p.read_text().splitlines()) for p in tmp_path.rglob("[!.]*.csv")) <= 21
+    out = {r.portfolio_id: r for r in D.portfolio_summary(D.read_portfolios(spark, str(tmp_path))).collect()}
+    assert {k: (r.positions, r.tickers, r.market_value) for k, r in out.items()} == {
+        "a": (70, 3, 210.0), "b": (1, 1, 2.0)}
