@@ -54,6 +54,30 @@ def land_files(raw: DataFrame, path: str, lo: str | None = None, hi: str | None
         .write.mode(mode).partitionBy("arrival_date").parquet(path))
 
 
+def _files(spark: SparkSession, path: str):
+    """(Hadoop path, its file system) of a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def staged_dates(spark: SparkSession, path: str) -> list:
+    """Arrival dates that ``land_files`` wrote folders of, in order."""
+    import datetime as dt
+    folder, fs = _files(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith("arrival_date="))
+
+
+def land_staged(spark: SparkSession, staged: str, path: str, dates: Sequence) -> None:
+    """Land the staged folders of these arrival dates: they are moved, no row is read."""
+    to, fs = _files(spark, path)
+    fs.mkdirs(to)
+    for day in dates:
+        name = f"arrival_date={day.isoformat()}"
+        if not fs.rename(_files(spark, f"{staged}/{name}")[0], _files(spark, f"{path}/{name}")[0]):
+            raise OSError(f"{name} was not landed")
+
+
 def read_landing(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of the landing folder with an explicit schema.
     ``files_per_trigger`` caps the files per micro-batch (files are taken in
@@ -72,16 +96,18 @@ def replay(spark: SparkSession, raw: DataFrame, root: str, build, chunk_days: in
     offsets and state across the runs, as after a restart. ``build`` maps the
     streaming source to a DataStreamWriter. With ``route_delay`` the rows go
     through ``route_behind`` first and the query reads those it lets pass. The
-    loop runs over arrival-date chunks (a handful per month), each step a
-    distributed job."""
+    raw events are read and laid out once, for all landings; a landing then
+    moves the folders of its arrival dates. The loop runs over arrival-date
+    chunks (a handful per month), each step a distributed job."""
     import datetime as dt
-    lo, hi = raw.agg(F.min(F.to_date("collector_tstamp")), F.max(F.to_date("collector_tstamp"))).first()
-    if lo is None:
+    land_files(raw.where(F.col("collector_tstamp").isNotNull()), f"{root}/staged")
+    dates = staged_dates(spark, f"{root}/staged")
+    if not dates:
         return
-    day = lo
-    while day <= hi:
+    day = dates[0]
+    while day <= dates[-1]:
         nxt = day + dt.timedelta(days=chunk_days)
-        land_files(raw, f"{root}/landing", day.isoformat(), nxt.isoformat())
+        land_staged(spark, f"{root}/staged", f"{root}/landing", [d for d in dates if day <= d < nxt])
         source = read_landing(spark, f"{root}/landing")
         if route_delay:
             run_available(spark, source.writeStream.foreachBatch(route_behind(f"{root}/routed", route_delay)),
@@ -250,6 +276,7 @@ CLICK = ["event_id", *CLICK_KEYS, "event_timestamp"]
 CLICK_SCHEMA = ("event_id string, user_id string, session_id string, section_name string, "
                 "event_timestamp timestamp_ntz")
 BUCKET_SECONDS = 600
+KEY_SHARDS = 8           # groups of keys a bucket in the state of debounce_stream
 
 
 def nav_clicks(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -292,11 +319,12 @@ def debounce_batch(events: DataFrame, window_ms: int = 200) -> DataFrame:
 
 
 class ClickDebouncer(StatefulProcessor):
-    """Buffers a bucket's clicks until the watermark passes its end, then judges them in event-time order.
+    """Buffers a shard's clicks of a bucket until the watermark passes its end, then judges them in event-time order.
 
     Clicks may arrive in any order up to the watermark's delay; nothing is
     judged before all that could change it has come. State is one bucket of
-    one key, and is cleared when its timer fires.
+    the keys of one shard, and is cleared when its timer fires: calls to the
+    state store are per shard and bucket, not per key.
     """
 
     def __init__(self, window_ms: int, bucket_seconds: int):
@@ -304,20 +332,25 @@ class ClickDebouncer(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.clicks = handle.getListState("clicks", "event_id string, us long, own boolean")
+        self.clicks = handle.getListState("clicks", "event_id string, user_id string, session_id string, section_name string, us long, own boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        found = [(r["event_id"], int(r["us"]), bool(r["own"])) for pdf in rows for r in pdf.to_dict("records")]
+        cols = ["event_id", *CLICK_KEYS, "us", "own"]
+        found = [click for pdf in rows for click in zip(*(pdf[c].tolist() for c in cols), strict=True)]
         if found:
             self.clicks.appendList(found)
             self.handle.registerTimer((int(key[-1]) + 1) * self.bucket_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        rows = sorted((us, event_id, own) for event_id, us, own in self.clicks.get())
+        by_key: dict[tuple, list] = {}
+        for event_id, user_id, session_id, section, us, own in self.clicks.get():
+            # a null id stands before others
+            by_key.setdefault((user_id, session_id, section), []).append((us, event_id is not None, event_id or "", own))
         self.clicks.clear()
-        kept = [(event_id, *key[:-1], pd.Timestamp(us, unit="us")) for (us, event_id, own), (before, *_) in
-                zip(rows, [(None,), *rows], strict=False) if own and (before is None or us - before > self.window_us)]
+        kept = [(event_id if known else None, *k, pd.Timestamp(us, unit="us")) for k, rows in by_key.items() for ordered in [sorted(rows)]
+                for (us, known, event_id, own), (before, *_) in zip(ordered, [(None,), *ordered], strict=False)
+                if own and (before is None or us - before > self.window_us)]
         if kept:
             yield pd.DataFrame(kept, columns=CLICK)
 
@@ -326,12 +359,14 @@ class ClickDebouncer(StatefulProcessor):
 
 
 def debounce_stream(events: DataFrame, window_ms: int = 200, delay: str = "24 hours",
-                    bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = BUCKET_SECONDS, shards: int = KEY_SHARDS) -> DataFrame:
     """ST-4 on a stream: clicks are emitted once the watermark has passed their
-    bucket. What still waits in state can be read with ``debounce_pending``."""
+    bucket. What still waits in state can be read with ``debounce_pending``.
+    The keys are dealt over ``shards`` groups a bucket (fixed for a checkpoint)."""
     clicks = with_event_time(nav_clicks(events)).withWatermark(ET, delay)
-    dealt = in_buckets(clicks, window_ms, bucket_seconds).withColumn("us", epoch_micros("event_timestamp"))
-    return (dealt.select("event_id", *CLICK_KEYS, "bucket", "us", "own", ET).groupBy(*CLICK_KEYS, "bucket")
+    dealt = (in_buckets(clicks, window_ms, bucket_seconds).withColumn("us", epoch_micros("event_timestamp"))
+             .withColumn("shard", F.pmod(F.xxhash64(*CLICK_KEYS), F.lit(shards)).cast("int")))
+    return (dealt.select("event_id", *CLICK_KEYS, "shard", "bucket", "us", "own", ET).groupBy("shard", "bucket")
                  .transformWithStateInPandas(ClickDebouncer(window_ms, bucket_seconds), CLICK_SCHEMA, "append", "EventTime"))
 
 
@@ -339,7 +374,8 @@ def debounce_pending(spark: SparkSession, checkpoint: str, window_ms: int = 200)
     """The clicks that wait in the state of ``debounce_stream``, judged by what has come so far
     (read through the state data source)."""
     state = spark.read.format("statestore").option("stateVarName", "clicks").load(checkpoint)
-    rows = state.select("key.*", "list_element.*").withColumn("event_timestamp", to_ntz(F.timestamp_micros("us"))).drop("us")
+    rows = (state.select("key.bucket", "list_element.*").withColumn("event_timestamp", to_ntz(F.timestamp_micros("us")))
+            .drop("us"))
     return judge(rows, window_ms).where("keep").select(*CLICK)
 
 

@@ -78,6 +78,46 @@ def test_debounce_in_a_waiting_table_agrees(spark):
     assert sorted(r.event_id for r in ST.debounced(spark, f"{out}/o").collect()) == sorted(KEPT)
 
 
+def test_debounce_state_is_kept_a_shard_and_bucket(spark):
+    ms = dt.timedelta(milliseconds=1)
+    rows = [row(2 * k + d, NAV, T0 + (k + 150 * d) * ms, user=f"u{k}" if k else None) for k in range(200) for d in (0, 1)]
+    out = tempfile.mkdtemp(prefix="deb-", dir="/tmp")
+    stream = ST.debounce_stream(ST.read_landing(spark, land(spark, [rows])))
+    ST.run_available(spark, stream.writeStream.format("parquet").option("path", f"{out}/data").outputMode("append"), f"{out}/ckpt", conf=ST.TIMER_CONF)
+    state = spark.read.format("statestore").option("stateVarName", "clicks").load(f"{out}/ckpt")
+    assert state.count() == 400 and state.select("key").distinct().count() <= 8
+    assert sorted(r.event_id for r in ST.debounce_pending(spark, f"{out}/ckpt").collect()) == sorted(f"evt_{2 * k}" for k in range(200))
+
+
+def test_replay_reads_the_raw_events_once_for_all_landings(spark):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp_ntz")
+    def counted(t):
+        evaluated.add(1)
+        return t
+
+    day = dt.timedelta(days=1)
+    rows = [row(k, "x", T0 + k * day) for k in range(60)] + [(*row(60, "x", T0)[:8], None, *row(60, "x", T0)[9:])]
+    raw = spark.createDataFrame(rows, ST.RAW_STREAM_SCHEMA).withColumn("collector_tstamp", counted("collector_tstamp"))
+    out = tempfile.mkdtemp(prefix="replay-", dir="/tmp")
+    seen = []
+
+    def build(src):
+        return src.writeStream.foreachBatch(lambda b, i: seen.append(sorted(r.n for r in b.select("n").collect())))
+
+    ST.replay(spark, raw, out, build, partitions=2)
+    # weeks in order, each a batch of its own; rows without an arrival never land
+    assert seen == [list(range(k, min(k + 7, 60))) for k in range(0, 60, 7)]
+    # the layout samples its rows once and writes them once, however many weeks there are
+    assert evaluated.value <= 4 * len(rows)
+
+
+def test_replay_of_no_events(spark):
+    out = tempfile.mkdtemp(prefix="replay-", dir="/tmp")
+    ST.replay(spark, spark.createDataFrame([], ST.RAW_STREAM_SCHEMA), out, lambda src: 1 / 0)
+
+
 def test_rows_behind_the_watermark_are_routed(spark):
     hour = dt.timedelta(hours=1)
     b1 = [row(1, "x", T0), row(2, "x", T0 + 10 * hour)]
