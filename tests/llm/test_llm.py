@@ -397,7 +397,7 @@ def test_cascade_is_exact(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     cur = con.execute(queries.ORACLE[name])
     cols = [d[0] for d in cur.description]
