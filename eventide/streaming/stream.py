@@ -11,6 +11,7 @@ query resumes from its checkpoint.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,18 +41,37 @@ def to_ntz(c) -> "F.Column":
 
 
 # ------------------------------------------------------------------ source
+# the JVM does not compile methods of more bytes; the derived columns of raw events make one far larger, which ran interpreted
+LAND_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict):
+    """Session settings that hold within the block, then are restored."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def land_files(raw: DataFrame, path: str, lo: str | None = None, hi: str | None = None,
                mode: str = "append") -> None:
     """Land raw events as collector files, one folder per arrival
-    (collector) date; optionally only the arrivals in [lo, hi). The write is
-    range-partitioned (balanced tasks, sorted files), never one task per day."""
-    from ..operators.model import clustered_layout
+    (collector) date; optionally only the arrivals in [lo, hi). Each input
+    task writes its own rows, sorted, a file per date: tasks are as balanced
+    as the input's splits, never one task per day, and every row is derived
+    once (a range shuffle would derive all rows once more for its sample)."""
     df = raw.withColumn("arrival_date", F.to_date("collector_tstamp"))
     if lo is not None:
         df = df.where((F.col("arrival_date") >= F.lit(lo).cast("date")) &
                       (F.col("arrival_date") < F.lit(hi).cast("date")))
-    (clustered_layout(df, "arrival_date", ["collector_tstamp"])
-        .write.mode(mode).partitionBy("arrival_date").parquet(path))
+    with settings(raw.sparkSession, LAND_CONF):
+        (df.sortWithinPartitions("arrival_date", "collector_tstamp")
+           .write.mode(mode).partitionBy("arrival_date").parquet(path))
 
 
 def _files(spark: SparkSession, path: str):
@@ -140,14 +160,8 @@ def run_available(spark: SparkSession, query_writer, checkpoint: str, partitions
     given it is the query's shuffle/state partition count; it and ``conf`` are
     set only while the query starts, then restored."""
     want = {**(conf or {}), **({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})}
-    old = {k: spark.conf.get(k, None) for k in want}
-    for k, v in want.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, want):
         q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -245,13 +259,14 @@ def route_behind(path: str, delay: str):
     ``ahead``, which the query reads. However the query batches them, its
     watermark is no further than the router's, so it drops none."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        horizon = _mark(batch.sparkSession, f"{path}_marks", batch_id)
+        spark = batch.sparkSession
+        horizon = _mark(spark, f"{path}_marks", batch_id)
         behind = epoch_micros("event_timestamp") <= F.lit((horizon or 0) * 1000) if horizon is not None else F.lit(False)
         (batch.withColumn("route", F.when(behind, "behind").otherwise("ahead"))
               .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route").parquet(_batch_dir(path, batch_id)))
-        _set_mark(batch, f"{path}_marks", batch_id, horizon, delay)
-        batch.unpersist()
+        # the latest event time is read from what was written, one column of it
+        written = spark.read.schema(RAW_STREAM_SCHEMA).parquet(_batch_dir(path, batch_id))
+        _set_mark(written, f"{path}_marks", batch_id, horizon, delay)
     return write
 
 
@@ -390,7 +405,9 @@ def debounce_batches(path: str, window_ms: int = 200, delay: str = "24 hours"):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        # of other events only the time is kept, for the horizon
+        nav = F.col("event_name") == NAV_EVENT
+        batch = batch.select("event_timestamp", *[F.when(nav, F.col(x)).alias(x) for x in ("event_name", "event_id", "user_id", "session_id", "properties")]).persist()
         before = _mark(spark, f"{path}/marks", batch_id)
         after = _set_mark(batch, f"{path}/marks", batch_id, before, delay)
         us = epoch_micros("event_timestamp")

@@ -113,6 +113,46 @@ def test_replay_reads_the_raw_events_once_for_all_landings(spark):
     assert evaluated.value <= 4 * len(rows)
 
 
+def test_landing_derives_each_row_once_and_keeps_settings(spark):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp_ntz")
+    def counted(t):
+        evaluated.add(1)
+        return t
+
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit, None)
+    rows = [row(k, "x", T0 + (k % 9) * dt.timedelta(days=1)) for k in range(200)] + [row(7, "x", T0)] * 2
+    raw = spark.createDataFrame(rows, ST.RAW_STREAM_SCHEMA).withColumn("collector_tstamp", counted("collector_tstamp"))
+    out = tempfile.mkdtemp(prefix="landed-", dir="/tmp")
+    ST.land_files(raw, f"{out}/landing")
+    assert evaluated.value == len(rows) and spark.conf.get(limit, None) == before
+    landed = spark.read.schema(ST.RAW_STREAM_SCHEMA + ", arrival_date date").parquet(f"{out}/landing")
+    assert sorted(tuple(r) for r in landed.drop("arrival_date").select("n", "collector_tstamp").collect()) == sorted((r[0], r[8]) for r in rows)
+    assert landed.where("arrival_date <> to_date(collector_tstamp)").isEmpty() and len(ST.staged_dates(spark, f"{out}/landing")) == 9
+
+
+def test_routing_and_debouncing_cache_no_whole_events(spark, monkeypatch):
+    cached = []
+    frame = type(spark.range(0))
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: cached.append(self) or persist(self, *a))
+    hour = dt.timedelta(hours=1)
+    batch = spark.createDataFrame([row(1, NAV, T0), row(2, "x", T0 + 9 * hour)], ST.RAW_STREAM_SCHEMA)
+    out = tempfile.mkdtemp(prefix="cached-", dir="/tmp")
+    ST.route_behind(f"{out}/r", "4 hours")(batch, 0)
+    ST.debounce_batches(f"{out}/d")(batch, 0)
+    seen = [r for df in cached for r in df.collect()]
+    # only what debouncing needs: of other events the time
+    assert all(set(r.asDict()) <= {"event_timestamp", "event_name", "event_id", "user_id", "session_id", "properties"} for r in seen)
+    assert [r.event_id for r in seen if r.event_timestamp == T0 + 9 * hour] == [None]
+    # the horizon follows all events
+    for marks, delay in (("r_marks", 4), ("d/marks", 24)):
+        at = spark.read.parquet(f"{out}/{marks}/mark=0").first().horizon
+        assert at == int(((T0 + (9 - delay) * hour) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+
+
 def test_replay_of_no_events(spark):
     out = tempfile.mkdtemp(prefix="replay-", dir="/tmp")
     ST.replay(spark, spark.createDataFrame([], ST.RAW_STREAM_SCHEMA), out, lambda src: 1 / 0)
