@@ -13,8 +13,11 @@ by each set of two bands they share, those of still large groups by three bands
 and so on, so a line is in a bounded number of groups. Lines of large groups that
 these links leave in different components are then met exactly: two similar
 lines share one of the first fifth of their shingles in any fixed order of all
-shingles (rare ones first here), so the pairs of those posting lists hold every
-similar pair of them; long lists are split over tasks by both lines. Pairs are verified by the exact Jaccard similarity of all
+shingles, so the pairs of those posting lists hold every similar pair of them.
+The order here is that of the number of lines, after shingles that only lines
+of one component have, which need no list; and the first shared shingle must
+have enough shingles after it in both. Long lists are split over tasks by both
+lines. Pairs are verified by the exact Jaccard similarity of all
 their character shingles, after two bounds that no similar pair can miss: their
 numbers of shingles, and the classes of hashes that hold an odd number in one
 line and an even one in the other. Pairs whose lines earlier links have already
@@ -49,7 +52,6 @@ SIMILAR = 0.8
 BEFORE = 3            # lines of a band that each line is compared with, beside the first
 DEEPER = 8            # the same in groups of lines that share several bands
 PARITY_WORDS = 8      # of 64 classes of shingle hashes each
-RARITY = 1 << 16      # classes of shingle hashes whose counts order the shingles
 LIST_PART = 1000      # lines of a posting list that meet in one task
 
 
@@ -118,36 +120,39 @@ def _unlike(x: Column, y: Column) -> Column:
     return reduce(Column.__add__, [F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(PARITY_WORDS)])
 
 
-def _posted_prefixes(texts: DataFrame, ratio: Fraction) -> DataFrame:
-    """(line_id, n, h): the shingles of each line of which similar lines share one, rare ones first; n is the line's number of shingles."""
-    cls = F.col("h").bitwiseAND(RARITY - 1)
-    counts = texts.select(F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")).groupBy(cls.alias("c")).count().collect()  # at most RARITY rows
-    by_class = ["0"] * RARITY
-    for r in counts:
-        by_class[r["c"]] = str(r["count"])
-    # any order of shingles will do that is the same for all lines, so counts of classes are enough
-    count = F.split(F.lit(",".join(by_class)), ",").cast("array<bigint>")
-    ranked = F.sort_array(F.transform(F.array_distinct(_shingles(F.col("line"))), lambda h: F.struct(
-        F.get(count, h.bitwiseAND(RARITY - 1).cast("int")).alias("c"), h.alias("h"))))
-    listed = texts.select("line_id", ranked.alias("s")).select("line_id", F.size("s").alias("n"), "s")
-    # n - ceil(ratio * n) + 1
-    first = F.floor(F.col("n") * (ratio.denominator - ratio.numerator) / ratio.denominator).cast("int") + 1
-    return listed.select("line_id", "n", F.explode_outer(F.slice("s", 1, first)).alias("x")).select("line_id", "n", F.col("x.h").alias("h"))
-
-
-def _apart_in_lists(texts: DataFrame, links: DataFrame, ratio: Fraction) -> DataFrame:
-    """(a, b): every pair of lines in different components of ``links`` that can be similar, by shared rare shingles and sizes."""
-    roots = connected_components(links)
-    posted = stored(_posted_prefixes(texts, ratio).join(roots, F.col("line_id") == F.col("node"), "left")
-                    .select("line_id", "n", "h", F.coalesce("root", "line_id").alias("root")), "line-prefixes")
+def _posted_prefixes(texts: DataFrame, marks: DataFrame, roots: DataFrame, ratio: Fraction) -> DataFrame:
+    """(line_id, n, root, h, at): the shingles of each line of which similar lines of two components share one, and their places.
+
+    A line's shingles stand in one order for all lines: first those that lines of only one component have, which
+    bring no two components together and are not listed, then the others, those in fewer lines first.
+    """
+    rooted = (texts.join(marks.select("line_id", "n"), "line_id").join(roots, F.col("line_id") == F.col("node"), "left")
+              .select("line_id", "n", "line", "root"))
+    # one exchange on the shingle counts its lines, one on the line sorts its shingles; a line without links is its own root
+    root = F.coalesce("root", "line_id")
+    posted, of = rooted.select("line_id", "root", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")), Window.partitionBy("h")
+    shared = (posted.select("line_id", "h", F.count(F.lit(1)).over(of).alias("c"), F.min(root).over(of).alias("r0"), F.max(root).over(of).alias("r1"))
+              .where("r0 <> r1").select("line_id", "h", "c"))
+    mine = Window.partitionBy("line_id")
+    listed = (shared.select("line_id", "h", F.row_number().over(mine.orderBy("c", "h")).alias("k"), F.count(F.lit(1)).over(mine).alias("listed"))
+              .join(rooted.select("line_id", "n", root.alias("root")), "line_id").withColumn("at", F.col("n") - F.col("listed") + F.col("k") - 1))
+    # the first n - ceil(ratio * n) + 1
+    return listed.where(F.col("at") <= F.floor(F.col("n") * (ratio.denominator - ratio.numerator) / ratio.denominator)).select("line_id", "n", "root", "h", "at")
+
+
+def _apart_in_lists(texts: DataFrame, marks: DataFrame, links: DataFrame, ratio: Fraction) -> DataFrame:
+    """(a, b): every pair of lines in different components of ``links`` that can be similar, by shared rare shingles, their places and sizes."""
+    posted = stored(_posted_prefixes(texts, marks, connected_components(links), ratio), "line-prefixes")
     lists = posted.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     met = (posted.join(lists.select("h", F.ceil(F.col("c") / LIST_PART).cast("int").alias("parts")), "h")
            .withColumn("mine", F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
-    x = met.select("h", F.col("mine").alias("p"), F.col("other").alias("q"), F.col("line_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = met.select("h", F.col("other").alias("p"), F.col("mine").alias("q"), F.col("line_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    x = met.select("h", F.col("mine").alias("p"), F.col("other").alias("q"), F.col("line_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("at").alias("ia"))
+    y = met.select("h", F.col("other").alias("p"), F.col("mine").alias("q"), F.col("line_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("ib"))
+    # the first shingle that similar lines share has enough shingles after it in both
+    enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) * (ratio.denominator + ratio.numerator) >= (F.col("na") + F.col("nb")) * ratio.numerator
     return (x.join(y, ["h", "p", "q"]).where("a < b and ra <> rb")
-            .where(F.least("na", "nb") * ratio.denominator >= F.greatest("na", "nb") * ratio.numerator).select("a", "b").distinct())
+            .where(F.least("na", "nb") * ratio.denominator >= F.greatest("na", "nb") * ratio.numerator).where(enough).select("a", "b").distinct())
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
@@ -160,10 +165,11 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marked = lines.withColumn("at", at_words)
     marked = marked.withColumn("wide", F.when(F.size("at") >= FEW, _least_of_bins(F.col("at"))).otherwise(none)).withColumn(
         "fine", F.when(F.size("at") <= MANY, _least_of_bins(_shingles(F.col("line")))).otherwise(none))
-    firsts = stored(marked.groupBy("line_id").agg(F.min(order).alias("o"), F.first("wide").alias("wide"), F.first("fine").alias("fine"))
-                    .select("line_id", F.col("o.doc").alias("doc"), F.col("o.place").alias("place"),
-                            F.concat(F.when(F.size("wide") > 0, _bands(F.col("wide"), 0)).otherwise(none),
-                                     F.when(F.size("fine") > 0, _bands(F.col("fine"), BANDS)).otherwise(none)).alias("bands")), "lines")
+    # bands, not the longer lists of hashes, go through the exchange
+    marked = marked.withColumn("bands", F.concat(F.when(F.size("wide") > 0, _bands(F.col("wide"), 0)).otherwise(none),
+                                                 F.when(F.size("fine") > 0, _bands(F.col("fine"), BANDS)).otherwise(none)))
+    firsts = stored(marked.groupBy("line_id").agg(F.min(order).alias("o"), F.first("bands").alias("bands"))
+                    .select("line_id", F.col("o.doc").alias("doc"), F.col("o.place").alias("place"), "bands"), "lines")
     posted = firsts.select("line_id", F.posexplode("bands").alias("at", "band"), "bands").select("line_id", "at", "band", _after().alias("next"))
     met_first, found = _shared(posted, "line-bands"), []
     met = met_first
@@ -218,7 +224,7 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # lines of large groups were not all compared: every similar pair that is still apart
     rest = met_first.where(F.col("n") > BEFORE + 1).select("line_id").distinct()
     if not rest.isEmpty():
-        links = links.union(verified(bounded(_apart_in_lists(texts.join(rest, "line_id", "left_semi"), links, ratio))))
+        links = links.union(verified(bounded(_apart_in_lists(texts.join(rest, "line_id", "left_semi"), marks, links, ratio))))
     return firsts, links
 
 

@@ -253,6 +253,34 @@ def test_lines_of_large_groups(spark):
         line_dedup.LIST_PART = kept
 
 
+def test_lists_of_lines_left_apart(spark):
+    from fractions import Fraction
+
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7))
+    common = [word() for _ in range(12)]
+    made = []
+    for k in range(60):
+        own = [word() for _ in range(14)]
+        # a phrase that a third of the lines have in the middle
+        line = own[:7] + (common[4 * (k % 3):4 * (k % 3) + 4]) + own[7:]
+        made.append(" ".join(line))
+        if k < 12:
+            made.append(" ".join([*line[:-1], word()]))
+    sets = [{x[j:j + 9] for j in range(len(x) - 8)} for x in made]
+    similar = {(a, b) for a in range(len(made)) for b in range(a + 1, len(made)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    texts = spark.createDataFrame(list(enumerate(made)), "line_id long, line string")
+    marks, ratio = line_dedup._marks(texts), Fraction("0.8")
+    for linked in (set(), set(list(sorted(similar))[:5])):
+        links = spark.createDataFrame(sorted(linked), "a long, b long")
+        found = {(r.a, r.b) for r in line_dedup._apart_in_lists(texts, marks, links, ratio).collect()}
+        # every similar pair that is apart, and none for the phrase alone
+        assert found == similar - linked and len(similar) == 12
+    # shingles that one component has alone are in no list: only the phrase is left, which is beyond the prefix
+    listed = line_dedup._posted_prefixes(texts, marks, components.connected_components(spark.createDataFrame(sorted(similar), "a long, b long")), ratio)
+    assert listed.count() == 0
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 
