@@ -9,7 +9,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.session import checkpoint_dir
+from eventide.session import checkpoint_dir, settings
 
 # One reduce task's share of shuffled bytes; shard counts follow the input.
 SHARD_BYTES = 16 << 20
@@ -24,10 +24,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+# shuffle files of a write are removed when it has ended, not when the driver next collects garbage
+WRITE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors, leaves no shuffle files."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with settings(df.sparkSession, WRITE_CONF):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,19 @@ def build_session(master: str | None = None, app: str = "eventide",
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict):
+    """Session settings that hold within the block, then are restored."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

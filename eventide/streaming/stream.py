@@ -11,7 +11,6 @@ query resumes from its checkpoint.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.compat import EPOCH_NTZ, epoch_micros
+from ..session import settings
 
 RAW_STREAM_SCHEMA = ("n long, event_id string, event_name string, event_category string, tenant_id string, "
                      "user_id string, session_id string, event_timestamp timestamp_ntz, "
@@ -45,19 +45,6 @@ def to_ntz(c) -> "F.Column":
 LAND_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
-@contextmanager
-def settings(spark: SparkSession, conf: dict):
-    """Session settings that hold within the block, then are restored."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def land_files(raw: DataFrame, path: str, lo: str | None = None, hi: str | None = None,
                mode: str = "append") -> None:
     """Land raw events as collector files, one folder per arrival
