@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from eventide.llm import components, decontamination, fingerprints, html_text, kneser_ney, line_dedup, packing, queries, simhash, suffix_arrays, suffix_dedup, toxicity, url_filter
+from eventide.llm import common, components, decontamination, fingerprints, html_text, kneser_ney, line_dedup, packing, queries, simhash, suffix_arrays, suffix_dedup, toxicity, url_filter
 
 SF = "/root/testdata/sf0.001"
 ODD = [(9000, None), (9001, ""), (9002, "   "), (9003, "a" * 400), (9004, "ab" * 200), (9005, "é" * 150), (9006, "one"), (9007, "one"),
@@ -41,6 +42,22 @@ def _low(s):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s or "")
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (found.apply(i) for i in range(found.length())) if f.getName().startswith("shuffle_")}
+
+    clean_up = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf, before = spark.conf.get(clean_up, None), shuffle_files()
+    out = common.stored(spark.range(3000).selectExpr("id % 100 AS k").groupBy("k").count(), "shuffled")
+    # the files are removed in the background
+    for _ in range(50):
+        if left := shuffle_files() - before:
+            time.sleep(0.1)
+    assert not left and sorted(tuple(r) for r in out.collect()) == [(k, 30) for k in range(100)]
+    assert spark.conf.get(clean_up, None) == conf
+
+
 def test_fingerprints(docs, rows, empty):
     got = fingerprints.edit_likeness(docs).collect()
     assert len(got) == len(rows) and fingerprints.edit_likeness(empty).count() == 0
