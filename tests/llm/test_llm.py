@@ -298,6 +298,27 @@ def test_lists_of_lines_left_apart(spark):
     assert listed.count() == 0
 
 
+def test_lines_alone_are_left_out_of_the_lists(spark, monkeypatch):
+    from fractions import Fraction
+
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7))
+    phrase = [word() for _ in range(4)]
+    own = [word() for _ in range(14)]
+    # lines that share only a phrase, and two similar ones, also in characters of two, three and four bytes
+    made = [" ".join([*phrase, *[word() for _ in range(14)]]) for _ in range(30)] + [" ".join([*phrase, *own]), " ".join([*phrase, *own[:-1], "é€𝄞"])]
+    texts = spark.createDataFrame(list(enumerate(made)), "line_id long, line string")
+    assert {r.line_id: r.g for r in texts.select("line_id", F.size(line_dedup._grams(F.col("line"))).alias("g")).collect()} == {k: len(x) - 8 for k, x in enumerate(made)}
+    tables, plain = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: tables.setdefault(name, plain(df, name)))
+    none = spark.createDataFrame([], "a long, b long")
+    found = line_dedup._apart_in_lists(texts, line_dedup._marks(texts), none, Fraction("0.8")).collect()
+    assert {(r.a, r.b) for r in found} == {(30, 31)}
+    assert {r.line_id for r in tables["line-listed"].collect()} == {30, 31}
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 
@@ -421,6 +442,19 @@ def test_components(spark):
     assert got == {**{k: 100 for k in range(100, 161)}, 200: 100, 1: 1, 2: 1, 7: 1}
 
 
+def test_components_need_no_round_on_stars(spark, monkeypatch):
+    rounds, plain = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, name: (rounds.append(name), plain(df, name))[1])
+    stars = [(1, 5), (9, 1), (1, 7), (2, 3)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame([(max(e), min(e)) for e in stars], "a long, b long")).collect()}
+    assert got == {1: 1, 5: 1, 9: 1, 7: 1, 2: 2, 3: 2} and len(rounds) == 1
+    # not stars yet: an upward edge, a chain, two lower ends
+    for edges in ([(2, 3)], [(3, 2), (2, 1)], [(3, 1), (3, 2)]):
+        rounds.clear()
+        got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {x: min(map(min, edges)) for e in edges for x in e} and len(rounds) > 1
+
+
 def test_urls(spark):
     t = spark.createDataFrame([(1, None, "x"), (2, "no scheme", "x"), (3, "HTTP://WWW.Example.COM/en/1?q", "x"), (4, "http://example.com/en/1", "x"), (5, "http://a.b.net/es/#x", "x"),
                                (6, "http://net/fr/", "x"), (7, "http://xcom/", "x"), (8, "http://a.com", "x"), (8, "http://a.com/EN", "x"), (9, "http://", "x")], "page_id int, url string, key string")
