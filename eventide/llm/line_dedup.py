@@ -15,13 +15,13 @@ these links leave in different components are then met exactly: two similar
 lines share one of the first fifth of their shingles in any fixed order of all
 shingles, so the pairs of those posting lists hold every similar pair of them.
 The order here is that of the number of lines, after shingles that only lines
-of one component have, which need no list; and the first shared shingle must
-have enough shingles after it in both. Long lists are split over tasks by both
+of one component have, which need no list; the first shared shingle must
+have enough shingles after it in both; and lines that have too few shingles in
+common with other components are left out before. Long lists are split over tasks by both
 lines. Pairs are verified by the exact Jaccard similarity of all
 their character shingles, after two bounds that no similar pair can miss: their
 numbers of shingles, and the classes of hashes that hold an odd number in one
-line and an even one in the other. Pairs whose lines earlier links have already
-connected are not verified again. Verified links go through distributed connected
+line and an even one in the other. Verified links go through distributed connected
 components, and the first line (by document id, then place) of each component
 stays. Blank lines are never removed.
 
@@ -75,6 +75,13 @@ def _shingles(line: Column, n: int = SHINGLE) -> Column:
     return F.transform(whole, lambda x: F.xxhash64(x))
 
 
+def _grams(line: Column) -> Column:
+    """Hashes of all character shingles, or of the line if it is shorter; cut from four bytes a character, not by an expression."""
+    size = 4 * SHINGLE
+    return let(F.encode(line, "UTF-32"), lambda b: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.octet_length(b) - size + 1, F.lit(1)), F.lit(4)), lambda i: F.xxhash64(F.substring(b, i, F.lit(size)))))
+
+
 def _blank(line: Column) -> Column:
     return F.ltrim(line, F.lit(" \t\n\x0b\f\r")) == ""
 
@@ -91,28 +98,29 @@ def _after() -> Column:
     return F.get("bands", F.pmod(F.col("at") + 1, F.size("bands")))
 
 
-def _shared(posted: DataFrame, name: str) -> DataFrame:
-    """Rows of the groups of two or more lines, with the group's size ``n``."""
-    return stored(posted.join(posted.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), name)
+def _met(posted: DataFrame, before: int, name: str) -> DataFrame:
+    """Rows of the groups of two or more lines, with the group's size ``n`` and ``near``: the ``before`` lines before each and the group's first."""
+    sizes = posted.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    by = Window.partitionBy("band").orderBy("next", "line_id")
+    near = F.array(*[F.lag("line_id", i).over(by) for i in range(1, before + 1)], F.first("line_id").over(by))
+    met = posted.join(sizes, "band").withColumn("near", F.array_except(near, F.array("line_id"))).drop("next")
+    # the others are done with
+    return stored(met.withColumns({c: F.when(F.col("n") > before + 1, F.col(c)) for c in ("at", "band", "bands") if c in met.columns}), name)
 
 
-def _neighbours(members: DataFrame, before: int) -> DataFrame:
-    """(a, b) of each group's lines with the ``before`` lines before them and with the group's first."""
-    by = Window.partitionBy("band").orderBy("next", "line_id")
-    near = members.select("line_id", *[F.lag("line_id", i).over(by).alias(f"p{i}") for i in range(1, before + 1)], F.first("line_id").over(by).alias("p0"))
-    return (near.select("line_id", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(before + 1)]))).alias("o"))
-            .where("o is not null and o <> line_id").select(F.least("line_id", "o").alias("a"), F.greatest("line_id", "o").alias("b")))
+def _pairs(met: DataFrame) -> DataFrame:
+    """(a, b) of each group's lines with those of ``near``."""
+    return (met.select("line_id", F.explode("near").alias("o")).where("o is not null")
+            .select(F.least("line_id", "o").alias("a"), F.greatest("line_id", "o").alias("b")))
 
 
 def _marks(texts: DataFrame) -> DataFrame:
     """(line_id, n, parity): the number of distinct shingles, and of each of 512 classes of hashes whether it holds an odd number of them."""
-    def word(k: int) -> Column:
-        mine = F.shiftrightunsigned("h", 61) == k
-        return F.bit_xor(F.when(mine, F.expr("shiftleft(1L, cast(h & 63 as int))")).otherwise(F.lit(0).cast("long")))
-
-    return (texts.select("line_id", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")).groupBy("line_id")
-            .agg(F.count(F.lit(1)).alias("n"), *[word(k).alias(f"w{k}") for k in range(PARITY_WORDS)])
-            .select("line_id", "n", F.array(*[f"w{k}" for k in range(PARITY_WORDS)]).alias("parity")))
+    words = (texts.select("line_id", F.explode_outer(F.array_distinct(_grams(F.col("line")))).alias("h"))
+             .groupBy("line_id", F.shiftrightunsigned("h", 61).cast("int").alias("k"))
+             .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("w")))
+    word = [F.coalesce(F.max(F.when(F.col("k") == k, F.col("w"))), F.lit(0).cast("long")) for k in range(PARITY_WORDS)]
+    return words.groupBy("line_id").agg(F.sum("n").alias("n"), F.array(*word).alias("parity"))
 
 
 def _unlike(x: Column, y: Column) -> Column:
@@ -120,29 +128,40 @@ def _unlike(x: Column, y: Column) -> Column:
     return reduce(Column.__add__, [F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(PARITY_WORDS)])
 
 
+def _between(rooted: DataFrame) -> DataFrame:
+    """(line_id, h, c): the shingles that lines of several components have, and how many lines."""
+    # half of the hash, as the exchanges hold all shingles: those that fall together only make a list longer
+    hashes = F.transform(F.array_distinct(_grams(F.col("line"))), lambda h: F.shiftright(h, 32).cast("int"))
+    # a line without links is its own root
+    posted, of, root = rooted.select("line_id", "root", F.explode_outer(hashes).alias("h")), Window.partitionBy("h"), F.coalesce("root", "line_id")
+    return (posted.select("line_id", "h", F.count(F.lit(1)).over(of).alias("c"), F.min(root).over(of).alias("r0"), F.max(root).over(of).alias("r1"))
+            .where("r0 <> r1").select("line_id", "h", "c"))
+
+
 def _posted_prefixes(texts: DataFrame, marks: DataFrame, roots: DataFrame, ratio: Fraction) -> DataFrame:
     """(line_id, n, root, h, at): the shingles of each line of which similar lines of two components share one, and their places.
 
-    A line's shingles stand in one order for all lines: first those that lines of only one component have, which
-    bring no two components together and are not listed, then the others, those in fewer lines first.
+    A line has most of its shingles in common with a similar one, so lines with fewer in other components have none
+    there and are left out first. The shingles of the others stand in one order for all lines: first those that lines
+    of only one component have, which bring no two components together and are not listed, then the rest, those in
+    fewer lines first.
     """
     rooted = (texts.join(marks.select("line_id", "n"), "line_id").join(roots, F.col("line_id") == F.col("node"), "left")
               .select("line_id", "n", "line", "root"))
-    # one exchange on the shingle counts its lines, one on the line sorts its shingles; a line without links is its own root
-    root = F.coalesce("root", "line_id")
-    posted, of = rooted.select("line_id", "root", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("h")), Window.partitionBy("h")
-    shared = (posted.select("line_id", "h", F.count(F.lit(1)).over(of).alias("c"), F.min(root).over(of).alias("r0"), F.max(root).over(of).alias("r1"))
-              .where("r0 <> r1").select("line_id", "h", "c"))
+    many = _between(rooted).groupBy("line_id").agg(F.count(F.lit(1)).alias("listed")).join(marks.select("line_id", "n"), "line_id")
+    many = stored(many.where(F.col("listed") * ratio.denominator >= F.col("n") * ratio.numerator).select("line_id"), "line-listed")
+    rooted = rooted.join(many, "line_id", "left_semi")
+    # one exchange on the shingle counts its lines, one on the line sorts its shingles
     mine = Window.partitionBy("line_id")
-    listed = (shared.select("line_id", "h", F.row_number().over(mine.orderBy("c", "h")).alias("k"), F.count(F.lit(1)).over(mine).alias("listed"))
-              .join(rooted.select("line_id", "n", root.alias("root")), "line_id").withColumn("at", F.col("n") - F.col("listed") + F.col("k") - 1))
+    listed = (_between(rooted).select("line_id", "h", F.row_number().over(mine.orderBy("c", "h")).alias("k"), F.count(F.lit(1)).over(mine).alias("listed"))
+              .join(rooted.select("line_id", "n", F.coalesce("root", "line_id").alias("root")), "line_id").withColumn("at", F.col("n") - F.col("listed") + F.col("k") - 1))
     # the first n - ceil(ratio * n) + 1
     return listed.where(F.col("at") <= F.floor(F.col("n") * (ratio.denominator - ratio.numerator) / ratio.denominator)).select("line_id", "n", "root", "h", "at")
 
 
-def _apart_in_lists(texts: DataFrame, marks: DataFrame, links: DataFrame, ratio: Fraction) -> DataFrame:
+def _apart_in_lists(texts: DataFrame, marks: DataFrame, links: DataFrame, ratio: Fraction, roots: DataFrame | None = None) -> DataFrame:
     """(a, b): every pair of lines in different components of ``links`` that can be similar, by shared rare shingles, their places and sizes."""
-    posted = stored(_posted_prefixes(texts, marks, connected_components(links), ratio), "line-prefixes")
+    posted = stored(_posted_prefixes(texts, marks, connected_components(links) if roots is None else roots, ratio), "line-prefixes")
     lists = posted.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     met = (posted.join(lists.select("h", F.ceil(F.col("c") / LIST_PART).cast("int").alias("parts")), "h")
            .withColumn("mine", F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int"))
@@ -171,19 +190,19 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = stored(marked.groupBy("line_id").agg(F.min(order).alias("o"), F.first("bands").alias("bands"))
                     .select("line_id", F.col("o.doc").alias("doc"), F.col("o.place").alias("place"), "bands"), "lines")
     posted = firsts.select("line_id", F.posexplode("bands").alias("at", "band"), "bands").select("line_id", "at", "band", _after().alias("next"))
-    met_first, found = _shared(posted, "line-bands"), []
-    met = met_first
-    for level in range(BANDS):
-        found.append(_neighbours(met, BEFORE if level == 0 else DEEPER))
-        # lines of a group too large for every pair meet again in the groups of one band more
-        large = met.where(F.col("n") > (BEFORE if level == 0 else DEEPER) + 1)
-        if level + 1 == BANDS or large.isEmpty():
+    met_first = met = _met(posted, BEFORE, "line-bands")
+    found = [_pairs(met)]
+    # lines of a group too large for every pair meet again in the groups of one band more
+    large = met.where(F.col("n") > BEFORE + 1).join(firsts.select("line_id", "bands"), "line_id")
+    for level in range(1, BANDS):
+        if large.isEmpty():
             break
-        more = (large.select("line_id", F.col("at").alias("last"), F.col("band").alias("so_far")).join(firsts.select("line_id", "bands"), "line_id")
-                .select("line_id", "last", "so_far", "bands", F.posexplode("bands").alias("at", "one"))
+        more = (large.select("line_id", F.col("at").alias("last"), F.col("band").alias("so_far"), "bands", F.posexplode("bands").alias("at", "one"))
                 # each set of bands once, by rising places of one of the two signatures
                 .where((F.col("at") > F.col("last")) & (F.floor(F.col("at") / BANDS) == F.floor(F.col("last") / BANDS))))
-        met = _shared(more.select("line_id", "at", F.xxhash64("so_far", "one").alias("band"), _after().alias("next")), f"line-bands-{level + 2}")
+        met = _met(more.select("line_id", "at", F.xxhash64("so_far", "one").alias("band"), _after().alias("next"), "bands"), DEEPER, f"line-bands-{level + 1}")
+        found.append(_pairs(met))
+        large = met.where(F.col("n") > DEEPER + 1)
     pairs = stored(reduce(DataFrame.union, found).distinct(), "line-pairs")
     # texts of the lines in a pair, from their first occurrence
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).distinct()
@@ -210,21 +229,17 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         both = (pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("x")), "a")
                 .join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("y")), "b"))
         # the common shingles stand once in the condition, in whole numbers, so they are found once a pair
-        common = F.size(F.array_intersect(_shingles(F.col("x")), _shingles(F.col("y"))))
+        common = F.size(F.array_intersect(_grams(F.col("x")), _grams(F.col("y"))))
         return both.where(common * (ratio.numerator + ratio.denominator) >= (F.col("nx") + F.col("ny")) * ratio.numerator).select("a", "b")
 
-    # one pair of each line first; of the others only those whose lines these have not yet connected
-    least = likely.groupBy("b").agg(F.min("a").alias("a"))
-    trees = stored(verified(likely.join(least, ["a", "b"], "left_semi")), "line-links")
-    roots = connected_components(trees)
-    apart = (likely.join(least, ["a", "b"], "left_anti").join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-             .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
-    links = stored(trees.union(verified(apart.select("a", "b", "nx", "ny"))), "line-near-links")
+    links = stored(verified(likely), "line-links")
+    roots = connected_components(links)
     # lines of large groups were not all compared: every similar pair that is still apart
     rest = met_first.where(F.col("n") > BEFORE + 1).select("line_id").distinct()
     if not rest.isEmpty():
-        links = links.union(verified(bounded(_apart_in_lists(texts.join(rest, "line_id", "left_semi"), marks, links, ratio))))
+        more = stored(verified(bounded(_apart_in_lists(texts.join(rest, "line_id", "left_semi"), marks, links, ratio, roots))), "line-list-links")
+        # what is new joins whole components
+        links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).where("a <> b").union(more)
     return firsts, links
 
 
